@@ -8,17 +8,14 @@ from pyspark.sql import functions as F
 from airshed.config import EARTH_RADIUS_KM
 
 
-def _col(x) -> Column:
-    return x if isinstance(x, Column) else F.lit(float(x))
-
-
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:
-    """Great-circle distance in km; arguments are columns or numbers, in degrees."""
-    lat1, lon1, lat2, lon2 = map(_col, (lat1, lon1, lat2, lon2))
-    half_lat = F.sin(F.radians(lat2 - lat1) / F.lit(2.0))
-    half_lon = F.sin(F.radians(lon2 - lon1) / F.lit(2.0))
-    h = half_lat * half_lat + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * half_lon * half_lon
-    return F.lit(2.0 * EARTH_RADIUS_KM) * F.asin(F.least(F.lit(1.0), F.sqrt(h)))
+    """Great-circle distance in km; arguments are column names or numbers, in degrees."""
+    a, b, c, d = (x if isinstance(x, str) else f"{float(x)!r}D" for x in (lat1, lon1, lat2, lon2))
+    return F.expr(
+        f"2 * {EARTH_RADIUS_KM}D * asin(least(1D, sqrt("
+        f"pow(sin(radians({c} - {a}) / 2), 2)"
+        f" + cos(radians({a})) * cos(radians({c})) * pow(sin(radians({d} - {b}) / 2), 2))))"
+    )
 
 
 def degrees_minutes(deg: Column, minutes: Column, seconds: Column | None = None) -> Column:

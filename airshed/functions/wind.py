@@ -1,25 +1,21 @@
-"""Circular wind arithmetic (direction is where the wind comes from)."""
+"""Circular wind arithmetic (direction is where the wind comes from). Arguments are SQL text."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-
-def direction_deg(tens: Column) -> Column:
+def direction_deg(tens: str) -> str:
     """Tens of degrees to degrees."""
-    return tens * F.lit(10.0)
+    return f"({tens} * 10D)"
 
 
-def component_u(speed: Column, direction: Column) -> Column:
-    return -speed * F.sin(F.radians(direction))
+def component_u(speed: str, direction: str) -> str:
+    return f"(-{speed} * sin(radians({direction})))"
 
 
-def component_v(speed: Column, direction: Column) -> Column:
-    return -speed * F.cos(F.radians(direction))
+def component_v(speed: str, direction: str) -> str:
+    return f"(-{speed} * cos(radians({direction})))"
 
 
-def vector_direction(u: Column, v: Column, calm: float = 1e-6) -> Column:
+def vector_direction(u: str, v: str, calm: float = 1e-6) -> str:
     """Direction of a mean vector; null when the vector nearly vanishes."""
-    angle = F.pmod(F.degrees(F.atan2(-u, -v)), F.lit(360.0))
-    return F.when(F.sqrt(u * u + v * v) > calm, angle)
+    return f"if(sqrt({u} * {u} + {v} * {v}) > {calm}D, pmod(degrees(atan2(-{u}, -{v})), 360D), null)"

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from airshed.config import CIVIL_ZONE
 from airshed.functions.moments import civil_date, civil_hour, parse_date
-from airshed.functions.text import NULL_MARK, SEPARATOR, clean_text, to_number
+from airshed.functions.text import NULL_MARK, SEPARATOR
 from airshed.operators.grouping import HOT_ROWS, attach_facts, keep_one
 from airshed.operators.quality import group_sizes, year_mismatches
 
@@ -26,12 +26,12 @@ def censored(df: DataFrame, source: str = "aqhi") -> DataFrame:
 
     The flag of a missing reading is null: nothing says whether it was above ten.
     """
-    raw = clean_text(F.col(source))
-    return df.withColumn("aqhi_raw", raw).withColumns(
-        {
-            "aqhi_is_10_plus": F.col("aqhi_raw") == "10+",
-            "aqhi_numeric": to_number(F.replace(F.col("aqhi_raw"), F.lit("+"), F.lit(""))),
-        }
+    raw = f"trim(cast({source} as string))"
+    return df.selectExpr(
+        "*",
+        f"{raw} as aqhi_raw",
+        f"{raw} = '10+' as aqhi_is_10_plus",
+        f"try_cast(replace({raw}, '+', '') as double) as aqhi_numeric",
     )
 
 
@@ -179,40 +179,29 @@ def station_daily(df: DataFrame) -> DataFrame:
     daily_max takes their greatest value and daily_4pm needs them to agree.
     """
     per_time = (
-        df.where(F.col("date").isNotNull())
+        df.where("date is not null")
         .groupBy("city", "station_id", "value_type", "date", "time")
         .agg(
-            F.min("aqhi_raw").alias("lo"),
-            F.max("aqhi_raw").alias("hi"),
-            F.max("aqhi_numeric").alias("value"),
-            F.max("aqhi_is_10_plus").alias("plus"),
+            F.expr("min(aqhi_raw) < max(aqhi_raw) as differs"),
+            F.expr("max(aqhi_numeric) as v"),
+            F.expr("max(aqhi_is_10_plus) as plus"),
         )
     )
-    clean = F.col("lo") == F.col("hi")
-    return (
-        per_time.groupBy("city", "station_id", "value_type", "date")
-        .agg(
-            F.max(F.when(clean, F.col("value"))).alias("hi_value"),
-            F.min(F.when(clean, F.col("value"))).alias("lo_value"),
-            F.max(F.when(clean, F.col("plus"))).alias("plus"),
-            F.count_if(F.col("lo") < F.col("hi")).alias("conflicting_times"),
-        )
-        .withColumn(
-            "value",
-            F.when(
-                (F.col("value_type") == "daily_max") | (F.col("lo_value") == F.col("hi_value")),
-                F.col("hi_value"),
-            ),
-        )
-        .select(
-            "city",
-            "station_id",
-            "value_type",
-            "date",
-            "value",
-            F.when(F.col("value").isNotNull(), F.coalesce("plus", F.lit(False))).alias("is_10_plus"),
-            "conflicting_times",
-        )
+    per_date = per_time.groupBy("city", "station_id", "value_type", "date").agg(
+        F.expr("max(if(differs, null, v)) as hi"),
+        F.expr("min(if(differs, null, v)) as lo"),
+        F.expr("max(if(differs, null, plus)) as plus"),
+        F.expr("count_if(differs) as conflicting_times"),
+    )
+    usable = "if(value_type = 'daily_max' or lo = hi, hi, null)"
+    return per_date.selectExpr(
+        "city",
+        "station_id",
+        "value_type",
+        "date",
+        f"{usable} as value",
+        f"if({usable} is not null, coalesce(plus, false), null) as is_10_plus",
+        "conflicting_times",
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airshed.config import BBOX, CITIES, DISTANCE_BANDS_KM, PROVINCE_OUTLINE
@@ -14,7 +15,7 @@ from airshed.operators.grouping import literal_rows
 
 # Beyond this many sites the per-site expressions give way to the cell join.
 MAX_INLINE_SITES = 32
-KM_PER_DEGREE = 111.0
+KM_PER_DEGREE = 111.2  # a little more than a degree of latitude
 
 
 def bbox_time_filter(
@@ -57,35 +58,55 @@ def city_exposure(
         )
         return site_exposure(hotspots, sites, bands, day)
     measured = hotspots.select(
-        day,
+        day, *[haversine_km("lat", "lon", c[3], c[4]).alias(f"km_{c[0]}") for c in cities]
+    )
+    wide = measured.groupBy(day).agg(
         *[
-            haversine_km(F.col("lat"), F.col("lon"), c[3], c[4]).alias(f"km_{c[0]}")
-            for c in cities
+            F.expr(f"count_if(km_{c[0]} <= {b}) as n{b}_{c[0]}") for c in cities for b in bands
         ],
+        *[F.min(f"km_{c[0]}").alias(f"near_{c[0]}") for c in cities],
     )
-    aggregates: list[Column] = []
-    for c in cities:
-        km = F.col(f"km_{c[0]}")
-        aggregates += [F.count_if(km <= b).alias(f"n{b}_{c[0]}") for b in bands]
-        aggregates.append(F.min(km).alias(f"near_{c[0]}"))
-    wide = measured.groupBy(day).agg(*aggregates)
-    per_city = F.array(
-        *[
-            F.struct(
-                F.lit(c[0]).alias("city_id"),
-                *[F.col(f"n{b}_{c[0]}").alias(f"hotspots_within_{b}km") for b in bands],
-                F.col(f"near_{c[0]}").alias("nearest_hotspot_distance_km"),
-            )
-            for c in cities
-        ]
+    per_city = ", ".join(
+        "struct("
+        + ", ".join(
+            [
+                f"{c[0]} as city_id",
+                *[f"n{b}_{c[0]} as hotspots_within_{b}km" for b in bands],
+                f"near_{c[0]} as nearest_hotspot_distance_km",
+            ]
+        )
+        + ")"
+        for c in cities
     )
-    return wide.select(day, F.inline(per_city))
+    return wide.selectExpr(day, f"inline(array({per_city}))")
 
 
-def _cells(lat: Column, lon: Column, degrees: float) -> tuple[Column, Column]:
+def _cells_in_reach(sites: DataFrame, reach: float, half: float, w: float) -> DataFrame:
+    """(city_id, site_lat, site_lon, cell_lat, cell_lon, centre_km) for every grid cell that may
+    hold a point within ``reach`` of the site."""
+    width = int(360 / w)
+    degrees = (reach + 2 * half) / KM_PER_DEGREE
+    lon_reach = f"({degrees}D / cos(radians(least(abs(site_lat) + {degrees}D, 89D))))"
+    rows = int(degrees / w) + 1
     return (
-        F.floor(lat / F.lit(degrees)).cast("int"),
-        F.floor(lon / F.lit(degrees)).cast("int"),
+        sites.selectExpr(
+            "city_id",
+            "site_lat",
+            "site_lon",
+            f"explode(sequence(int(floor(site_lat / {w}D)) - {rows}, int(floor(site_lat / {w}D)) + {rows})) as cell_lat",
+            f"int(floor(site_lon / {w}D)) as at_lon",
+            f"int(least(ceil({lon_reach} / {w}D), {width // 2})) as cols",
+        )
+        .selectExpr(
+            "city_id", "site_lat", "site_lon", "cell_lat",
+            f"explode(array_distinct(transform(sequence(at_lon - cols, at_lon + cols), c -> pmod(c, {width})))) as cell_lon",
+        )
+        .withColumns(
+            {"mid_lat": F.expr(f"(cell_lat + 0.5D) * {w}D"), "mid_lon": F.expr(f"(cell_lon + 0.5D) * {w}D")}
+        )
+        .withColumn("centre_km", haversine_km("mid_lat", "mid_lon", "site_lat", "site_lon"))
+        .where(f"centre_km - {half}D <= {reach}D")
+        .drop("mid_lat", "mid_lon")
     )
 
 
@@ -94,61 +115,60 @@ def site_exposure(
     sites: DataFrame,
     bands: Sequence[int] = DISTANCE_BANDS_KM,
     day: str = "date",
-    cell_degrees: float = 2.5,
-    salt: int = 64,
+    cell_degrees: float = 0.25,
+    salt: int = 16,
 ) -> DataFrame:
-    """The same features for any number of sites, by an equi-join on grid cells.
-
-    Sites are copied to every cell their widest band can touch. Hotspots first shrink to one row
-    per day and position, and each site copy is dealt over ``salt`` slots so that one crowded cell
-    is worked on by several tasks. The nearest distance is that within the widest band; it is null
-    where no hotspot lies that near. Exact distances decide, the cells only propose.
+    """The same features for any number of sites (city_id, site_lat, site_lon), by grid cells.
+
+    Hotspots are first counted per day and cell. A cell that lies wholly within a band adds its
+    count without looking at its points; only cells cut by the edge of a band, or that may hold
+    the nearest point, are opened and measured point by point. So the work follows the number of
+    cells near a site, not the number of hotspots. Opened cells are dealt over ``salt`` slots, so
+    a crowded cell is shared by several tasks. The nearest distance is that within the widest
+    band; city-days without a hotspot that near have no row.
     """
-    reach = max(bands)
-    lat_cells = F.ceil(F.lit(reach / KM_PER_DEGREE / cell_degrees)).cast("int")
-    far_lat = F.least(F.abs(F.col("site_lat")) + F.lit(reach / KM_PER_DEGREE), F.lit(89.0))
-    lon_reach = F.lit(reach / KM_PER_DEGREE) / F.cos(F.radians(far_lat))
-    lon_cells = F.least(
-        F.ceil(lon_reach / F.lit(cell_degrees)), F.lit(int(360 / cell_degrees))
-    ).cast("int")
-    at_lat, at_lon = _cells(F.col("site_lat"), F.col("site_lon"), cell_degrees)
-    width = int(360 / cell_degrees)
-    placed = (
-        sites.withColumns({"__a": at_lat, "__b": at_lon})
-        .withColumn("cell_lat", F.explode(F.sequence(F.col("__a") - lat_cells, F.col("__a") + lat_cells)))
-        .withColumn("__c", F.explode(F.sequence(F.col("__b") - lon_cells, F.col("__b") + lon_cells)))
-        .withColumn("cell_lon", F.pmod(F.col("__c"), F.lit(width)))
-        .drop("__a", "__b", "__c")
-        .dropDuplicates(["city_id", "cell_lat", "cell_lon"])
-        .withColumn("slot", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    )
-    hot_lat, hot_lon = _cells(F.col("lat"), F.col("lon"), cell_degrees)
+    reach, w = float(max(bands)), cell_degrees
+    half = w * KM_PER_DEGREE * 0.7072 + 0.01  # no point of a cell lies farther from its centre
+    near = _cells_in_reach(sites, reach, half, w)
     points = (
-        hotspots.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
+        hotspots.where("lat is not null and lon is not null")
         .groupBy(day, "lat", "lon")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumns(
-            {
-                "cell_lat": hot_lat,
-                "cell_lon": F.pmod(hot_lon, F.lit(width)),
-                "slot": F.pmod(F.xxhash64(day, "lat", "lon"), F.lit(salt)).cast("int"),
-            }
+        .agg(F.count(F.lit(1)).alias("n"))
+        .selectExpr(
+            "*",
+            f"int(floor(lat / {w}D)) as cell_lat",
+            f"pmod(int(floor(lon / {w}D)), {int(360 / w)}) as cell_lon",
         )
     )
-    km = haversine_km(F.col("lat"), F.col("lon"), F.col("site_lat"), F.col("site_lon"))
-    near = points.join(placed, ["cell_lat", "cell_lon", "slot"]).withColumn("__km", km)
+    filled = points.groupBy(day, "cell_lat", "cell_lon").agg(F.sum("n").alias("cell_n"))
+    met = filled.join(near, ["cell_lat", "cell_lon"]).withColumn(
+        "closest", F.min("centre_km").over(W.partitionBy("city_id", day))
+    )
+    whole = met.selectExpr(
+        "city_id",
+        day,
+        *[f"if(centre_km + {half}D <= {b}, cell_n, 0) as w{b}" for b in bands],
+        "cast(null as double) as km",
+    )
+    cut = {b: f"(centre_km - {half}D <= {b} and centre_km + {half}D > {b})" for b in bands}
+    opened = met.where(
+        " or ".join([*cut.values(), f"centre_km - {half}D <= closest + {half}D"])
+    ).selectExpr("*", f"explode(sequence(0, {salt - 1})) as slot")
+    dealt = points.withColumn("slot", F.expr(f"int(pmod(xxhash64(lat, lon), {salt}))"))
+    measured = opened.join(dealt, [day, "cell_lat", "cell_lon", "slot"]).withColumn(
+        "km", haversine_km("lat", "lon", "site_lat", "site_lon")
+    )
+    single = measured.selectExpr(
+        "city_id", day, *[f"if({cut[b]} and km <= {b}, n, 0) as w{b}" for b in bands], "km"
+    )
     return (
-        near.where(F.col("__km") <= reach)
+        whole.unionByName(single)
         .groupBy("city_id", day)
         .agg(
-            *[
-                F.coalesce(F.sum(F.when(F.col("__km") <= b, F.col("__n"))), F.lit(0)).alias(
-                    f"hotspots_within_{b}km"
-                )
-                for b in bands
-            ],
-            F.min("__km").alias("nearest_hotspot_distance_km"),
+            *[F.sum(f"w{b}").alias(f"hotspots_within_{b}km") for b in bands],
+            F.min("km").alias("nearest_hotspot_distance_km"),
         )
+        .where(f"hotspots_within_{max(bands)}km > 0")
     )
 
 

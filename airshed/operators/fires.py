@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from airshed.config import (
@@ -14,10 +14,11 @@ from airshed.config import (
     STAGE_CODES,
 )
 from airshed.functions.moments import epoch_ms_to_utc
-from airshed.functions.text import clean_text, to_number
 from airshed.operators.grouping import latest, literal_rows
 from airshed.operators.quality import code_frequency
 
+NUMBER = "try_cast(trim(cast({} as string)) as double)"
+
 # Cleaned column -> source field.
 TEXT_FIELDS = {
     "fire_id": "FIELD_AGENCY_FIRE_ID",
@@ -34,81 +35,74 @@ INSTANT_FIELDS = {
 }
 
 
-def _lookup(code: Column, pairs: list[tuple[str, str]]) -> Column:
+def _labels(code: str, pairs: list[tuple[str, str]]) -> str:
     """Label of a code, null when unknown."""
-    table = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
-    return F.try_element_at(table, code)
-
+    cases = " ".join(f"when '{c}' then '{label}'" for c, label in pairs)
+    return f"case {code} {cases} end"
 
-def _false_if_null(c: Column) -> Column:
-    return F.coalesce(c, F.lit(False))
 
-
-def stage_columns(code: Column) -> dict[str, Column]:
+def stage_columns(code: str) -> dict[str, str]:
     """Confirmed and provisional readings of the stage code, kept in separate columns."""
-    confirmed = _lookup(code, [(c, label) for c, label, status in STAGE_CODES if status == "Confirmed"])
-    provisional = _lookup(
+    confirmed = _labels(code, [(c, label) for c, label, status in STAGE_CODES if status == "Confirmed"])
+    provisional = _labels(
         code, [(c, label) for c, label, status in STAGE_CODES if status == "Provisional"]
     )
+    active = ", ".join(f"'{c}'" for c in ACTIVE_STAGE_CODES)
     return {
         "stage_of_control_label": confirmed,
         "stage_of_control_label_provisional": provisional,
-        "stage_of_control_mapping_status": F.when(provisional.isNotNull(), "Provisional")
-        .when(confirmed.isNotNull(), "Confirmed")
-        .otherwise("Unmapped"),
-        "stage_of_control_display_label": F.coalesce(confirmed, provisional, F.lit("Unmapped")),
-        "is_active_fire": _false_if_null(code.isin(ACTIVE_STAGE_CODES)),
+        "stage_of_control_mapping_status": f"case when {provisional} is not null then 'Provisional'"
+        f" when {confirmed} is not null then 'Confirmed' else 'Unmapped' end",
+        "stage_of_control_display_label": f"coalesce({confirmed}, {provisional}, 'Unmapped')",
+        "is_active_fire": f"coalesce({code} in ({active}), false)",
     }
 
 
-def response_label(code: Column) -> Column:
-    return F.coalesce(_lookup(code, RESPONSE_CODES), F.lit("Unmapped"))
+def response_label(code: str) -> str:
+    return f"coalesce({_labels(code, RESPONSE_CODES)}, 'Unmapped')"
 
 
-def cause_columns(agency: Column, system: Column) -> dict[str, Column]:
+def cause_columns(agency: str, system: str) -> dict[str, str]:
     """Only the pair LTG with L is read, as lightning; L alone is never rolled up."""
-    lightning = _false_if_null((agency == "LTG") & (system == "L"))
+    lightning = f"{agency} = 'LTG' and {system} = 'L'"
     return {
-        "cause_interpretation_provisional": F.when(lightning, "Lightning").otherwise("Unmapped"),
-        "cause_mapping_status": F.when(lightning, "High-confidence provisional").otherwise(
-            "Requires review"
-        ),
+        "cause_interpretation_provisional": f"if({lightning}, 'Lightning', 'Unmapped')",
+        "cause_mapping_status": f"if({lightning}, 'High-confidence provisional', 'Requires review')",
     }
 
 
-def sentinel_columns(columns: list[str]) -> dict[str, Column]:
-    return {
-        f"{f}_is_minus_one": _false_if_null(F.col(f) == -1) for f in SENTINEL_FIELDS if f in columns
-    }
+def sentinel_columns(columns: list[str]) -> dict[str, str]:
+    return {f"{f}_is_minus_one": f"coalesce({f} = -1, false)" for f in SENTINEL_FIELDS if f in columns}
 
 
 def clean_fires(raw: DataFrame) -> DataFrame:
     """Source fields unchanged, plus every cleaned or interpreted column the input allows."""
     have = raw.columns
-    cleaned = raw.withColumns(
-        {new: clean_text(F.col(old)) for new, old in TEXT_FIELDS.items() if old in have}
-    )
-    extra: dict[str, Column] = {}
-    if "stage_of_control_code" in cleaned.columns:
-        extra |= stage_columns(F.col("stage_of_control_code"))
-    if "response_type_code" in cleaned.columns:
-        extra["response_type_label"] = response_label(F.col("response_type_code"))
+    texts = {new: f"trim(cast({old} as string))" for new, old in TEXT_FIELDS.items() if old in have}
+    extra: dict[str, str] = {}
+    if "stage_of_control_code" in texts:
+        extra |= stage_columns("stage_of_control_code")
+    if "response_type_code" in texts:
+        extra["response_type_label"] = response_label("response_type_code")
     if "FIELD_FIRE_SIZE" in have:
-        extra["fire_size_hectares"] = to_number(F.col("FIELD_FIRE_SIZE"))
+        extra["fire_size_hectares"] = NUMBER.format("FIELD_FIRE_SIZE")
     # The point's own coordinates stand in only when the attribute column is absent altogether.
     for new, old, fallback in (
         ("latitude", "FIELD_LATITUDE", "geometry_latitude"),
         ("longitude", "FIELD_LONGITUDE", "geometry_longitude"),
     ):
-        extra[new] = to_number(F.col(old)) if old in have else F.col(fallback)
-    extra |= {new: epoch_ms_to_utc(F.col(old)) for new, old in INSTANT_FIELDS.items() if old in have}
-    known = {"agency_fire_cause_code", "system_fire_cause_code"} <= set(cleaned.columns)
+        extra[new] = NUMBER.format(old) if old in have else fallback
+    known = "agency_fire_cause_code" in texts and "system_fire_cause_code" in texts
     extra |= cause_columns(
-        F.col("agency_fire_cause_code") if known else F.lit(None),
-        F.col("system_fire_cause_code") if known else F.lit(None),
+        "agency_fire_cause_code" if known else "cast(null as string)",
+        "system_fire_cause_code" if known else "cast(null as string)",
     )
     extra |= sentinel_columns(have)
-    return cleaned.withColumns(extra)
+    cleaned = raw.selectExpr("*", *[f"{e} as {n}" for n, e in texts.items()])
+    cleaned = cleaned.selectExpr("*", *[f"{e} as {n}" for n, e in extra.items()])
+    return cleaned.withColumns(
+        {new: epoch_ms_to_utc(F.col(old)) for new, old in INSTANT_FIELDS.items() if old in have}
+    )
 
 
 def active_only(cleaned: DataFrame) -> DataFrame:
@@ -122,24 +116,21 @@ def fire_code_frequency(raw: DataFrame) -> DataFrame:
 def validation_report(cleaned: DataFrame) -> DataFrame:
     """The (check_name, value) table. Two aggregates: the checks, and duplicates by id size."""
 
-    def total(condition: Column) -> Column:
-        return F.count_if(condition).cast("double")
-
-    status = F.col("stage_of_control_mapping_status")
+    status = "double(count_if(stage_of_control_mapping_status = '{}'))"
     checks = {
-        "total_records": F.count(F.lit(1)).cast("double"),
-        "missing_fire_ids": total(F.col("FIELD_AGENCY_FIRE_ID").isNull()),
-        "missing_latitude": total(F.col("latitude").isNull()),
-        "missing_longitude": total(F.col("longitude").isNull()),
-        "missing_fire_size": total(F.col("fire_size_hectares").isNull()),
-        "minimum_fire_size_hectares": F.min("fire_size_hectares"),
-        "maximum_fire_size_hectares": F.max("fire_size_hectares"),
-        "confirmed_stage_records": total(status == "Confirmed"),
-        "provisional_stage_records": total(status == "Provisional"),
-        "unmapped_stage_records": total(status == "Unmapped"),
-        "cause_codes_requiring_review": total(F.col("cause_mapping_status") == "Requires review"),
+        "total_records": "double(count(1))",
+        "missing_fire_ids": "double(count_if(FIELD_AGENCY_FIRE_ID is null))",
+        "missing_latitude": "double(count_if(latitude is null))",
+        "missing_longitude": "double(count_if(longitude is null))",
+        "missing_fire_size": "double(count_if(fire_size_hectares is null))",
+        "minimum_fire_size_hectares": "min(fire_size_hectares)",
+        "maximum_fire_size_hectares": "max(fire_size_hectares)",
+        "confirmed_stage_records": status.format("Confirmed"),
+        "provisional_stage_records": status.format("Provisional"),
+        "unmapped_stage_records": status.format("Unmapped"),
+        "cause_codes_requiring_review": "double(count_if(cause_mapping_status = 'Requires review'))",
     }
-    one_row = cleaned.agg(*[c.alias(name) for name, c in checks.items()])
+    one_row = cleaned.agg(*[F.expr(c).alias(name) for name, c in checks.items()])
     report = one_row.unpivot([], list(checks), "check_name", "value")
     duplicates = (
         cleaned.groupBy("OBJECTID")

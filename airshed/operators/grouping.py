@@ -2,20 +2,13 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # A key with more rows than this is spread over several tasks when rows meet their group facts.
 HOT_ROWS = 2_000_000
 
 
-def same(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    """Null-safe equality on all keys."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
-
-
 def attach_facts(
     rows: DataFrame,
     facts: DataFrame,
@@ -34,41 +27,23 @@ def attach_facts(
     bounds the broadcast list of them. Nothing is dropped and the result does not depend on
     ``hot_rows``.
     """
-    copies = F.ceil(F.col(count_col) / F.lit(hot_rows)).cast("int")
-    hot = facts.where(F.col(count_col) > hot_rows).select(
-        *[F.col(k).alias(f"__hot_{k}") for k in keys], copies.alias("__copies")
-    )
-    on_hot = reduce(
-        lambda a, b: a & b, [rows[k].eqNullSafe(hot[f"__hot_{k}"]) for k in keys]
-    )
-    spread = (
-        rows.join(F.broadcast(hot), on_hot, "left")
-        .withColumn(
-            "__slot",
-            F.when(
-                F.col("__copies").isNotNull(),
-                F.pmod(F.xxhash64(F.col(spread_by)), F.col("__copies").cast("bigint")),
-            ).otherwise(F.lit(0).cast("bigint")),
-        )
-        .drop("__copies", *[f"__hot_{k}" for k in keys])
-    )
-    copied = facts.withColumn(
-        "__slot",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), copies.cast("bigint") - 1)),
-    )
-    renamed = copied.select(
-        *[F.col(k).alias(f"__k_{k}") for k in keys],
-        F.col("__slot").alias("__k_slot"),
-        *[c for c in facts.columns if c not in keys],
+    copies = f"int(ceil({count_col} / {hot_rows}D))"
+    hot = facts.where(f"{count_col} > {hot_rows}").selectExpr(
+        *[f"`{k}` as `__h_{k}`" for k in keys], f"{copies} as __copies"
     )
-    on = reduce(
-        lambda a, b: a & b,
-        [spread[k].eqNullSafe(renamed[f"__k_{k}"]) for k in keys]
-        + [spread["__slot"] == renamed["__k_slot"]],
+    on_hot = " and ".join(f"`{k}` <=> `__h_{k}`" for k in keys)
+    dealt = rows.join(F.broadcast(hot), F.expr(on_hot), "left").selectExpr(
+        *[f"`{c}`" for c in rows.columns],
+        f"if(__copies is null, 0, int(pmod(xxhash64(`{spread_by}`), __copies))) as __slot",
     )
-    return spread.join(renamed, on, how).drop(
-        "__slot", "__k_slot", *[f"__k_{k}" for k in keys]
+    copied = facts.selectExpr(
+        *[f"`{k}` as `__k_{k}`" for k in keys],
+        *[f"`{c}`" for c in facts.columns if c not in keys],
+        f"explode(sequence(0, {copies} - 1)) as __k_slot",
     )
+    on = " and ".join([*[f"`{k}` <=> `__k_{k}`" for k in keys], "__slot = __k_slot"])
+    joined = dealt.join(copied, F.expr(on), how)
+    return joined.drop("__slot", "__k_slot", *[f"__k_{k}" for k in keys])
 
 
 def keep_one(rows: DataFrame, keys: list[str], order_by: str, copies_col: str = "copies") -> DataFrame:

@@ -14,6 +14,9 @@ from airshed.functions.moments import civil_date, hour_index, lst_to_utc
 from airshed.operators.quality import n_rows
 
 FIELDS = ["temp", "rh", "precip", "wind_dir_10s_deg", "wind_speed"]
+STATISTICS = {"mean": "avg", "min": "min", "max": "max"}
+# Distinct hours of a day, as the number of bits set.
+HOURS_SEEN = "bit_count(bit_or(if({when}, shiftleft(1, hour(date_time_lst)), null)))"
 
 
 def wind_missing_class(direction: Column, speed: Column, flag: Column) -> Column:
@@ -59,50 +62,41 @@ def with_utc(df: DataFrame, offset: Column | None = None) -> DataFrame:
 
 def with_vectors(df: DataFrame) -> DataFrame:
     """Direction in degrees and wind vector components; null where either part is missing."""
-    degrees = wind.direction_deg(F.col("wind_dir_10s_deg"))
-    return df.withColumn("wind_direction_degrees", degrees).withColumns(
-        {
-            "wind_u": wind.component_u(F.col("wind_speed"), F.col("wind_direction_degrees")),
-            "wind_v": wind.component_v(F.col("wind_speed"), F.col("wind_direction_degrees")),
-        }
+    degrees = wind.direction_deg("wind_dir_10s_deg")
+    return df.selectExpr(
+        "*",
+        f"{degrees} as wind_direction_degrees",
+        f"{wind.component_u('wind_speed', degrees)} as wind_u",
+        f"{wind.component_v('wind_speed', degrees)} as wind_v",
     )
 
 
 def daily_weather(
     df: DataFrame,
     keys: Sequence[str] = ("city",),
-    day: Column | None = None,
+    day: str = "cast(date_time_lst as date)",
     min_hours: int = MIN_VALID_HOURS,
 ) -> DataFrame:
     """Hourly rows to daily features; the day is local standard time unless given.
 
     A sum over nothing stays null. A day counts as available with at least ``min_hours`` distinct
-    hours of temperature.
+    hours of temperature; the hours are counted as bits, so no distinct aggregate is needed.
     """
-    hour = F.hour("date_time_lst")
-    on_day = with_vectors(df).withColumn(
-        "date", F.col("date_time_lst").cast("date") if day is None else day
-    )
-    u, v = F.avg("wind_u"), F.avg("wind_v")
-    valid_hours = F.bit_count(
-        F.bit_or(F.when(F.col("temp").isNotNull(), F.call_function("shiftleft", F.lit(1), hour)))
-    )
-    daily = on_day.groupBy(*keys, "date").agg(
-        *[f(c).alias(f"{c}_{n}") for c in ("temp", "rh") for n, f in (("mean", F.avg), ("min", F.min), ("max", F.max))],
-        F.sum("precip").alias("precip_total"),
-        F.avg("wind_speed").alias("wind_speed_mean"),
-        F.max("wind_speed").alias("wind_speed_max"),
-        u.alias("wind_u_mean"),
-        v.alias("wind_v_mean"),
-        wind.vector_direction(u, v).alias("wind_dir_mean_deg"),
-        n_rows().alias("hourly_rows"),
-        F.coalesce(valid_hours, F.lit(0)).alias("valid_hours"),
-        *[
-            (F.avg(F.col(c).isNull().cast("double")) * 100).alias(f"{c}_missing_pct")
-            for c in FIELDS
-        ],
-    )
-    return daily.withColumn("weather_data_available", F.col("valid_hours") >= min_hours)
+    aggregates = [f"{f}({c}) as {c}_{n}" for c in ("temp", "rh") for n, f in STATISTICS.items()]
+    aggregates += [
+        "sum(precip) as precip_total",
+        "avg(wind_speed) as wind_speed_mean",
+        "max(wind_speed) as wind_speed_max",
+        "avg(wind_u) as wind_u_mean",
+        "avg(wind_v) as wind_v_mean",
+        f"{wind.vector_direction('avg(wind_u)', 'avg(wind_v)')} as wind_dir_mean_deg",
+        "count(1) as hourly_rows",
+        f"coalesce({HOURS_SEEN.format(when='temp is not null')}, 0) as valid_hours",
+        *[f"avg(double({c} is null)) * 100 as {c}_missing_pct" for c in FIELDS],
+        f"coalesce({HOURS_SEEN.format(when='temp is not null')}, 0) >= {min_hours} as weather_data_available",
+    ]
+    on_day = with_vectors(df).withColumn("date", F.expr(day))
+    return on_day.groupBy(*keys, "date").agg(*[F.expr(a) for a in aggregates])
 
 
 def rows_per_month(df: DataFrame, city: str = "city") -> DataFrame:
@@ -116,9 +110,7 @@ def expected_hours(df: DataFrame, station: str = "station_id") -> DataFrame:
     """Distinct hours per station and month against days times 24."""
     per_day = (
         df.groupBy(station, F.col("date_time_lst").cast("date").alias("d"))
-        .agg(
-            F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1), F.hour("date_time_lst")))).alias("hours")
-        )
+        .agg(F.expr(HOURS_SEEN.format(when="true")).alias("hours"))
         .withColumn("month_start", F.trunc("d", "month"))
     )
     return (

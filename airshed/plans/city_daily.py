@@ -8,44 +8,17 @@ from pyspark.sql import functions as F
 from airshed.config import CITIES, DISTANCE_BANDS_KM
 
 HOTSPOT_COUNTS = [f"hotspots_within_{b}km" for b in DISTANCE_BANDS_KM]
-COLUMNS = [
-    "city_id",
-    "date_id",
-    "aqhi_daily_4pm",
-    "aqhi_daily_max",
-    "aqhi_any_10_plus",
-    "aqhi_data_available",
-    *HOTSPOT_COUNTS,
-    "nearest_hotspot_distance_km",
-    "fire_data_available",
-    "temp_mean",
-    "temp_min",
-    "temp_max",
-    "precip_total",
-    "wind_speed_mean",
-    "wind_dir_mean_deg",
-    "weather_data_available",
-]
 
 
 def pivot_modes(city_aqhi: DataFrame) -> DataFrame:
     """Both daily AQHI definitions side by side; neither is chosen here."""
-
-    def of(mode: str, column: str):
-        return F.max(F.when(F.col("value_type") == mode, F.col(column)))
-
     return city_aqhi.groupBy("city", "date").agg(
-        of("daily_4pm", "aqhi").alias("aqhi_daily_4pm"),
-        of("daily_max", "aqhi").alias("aqhi_daily_max"),
-        F.max("any_10_plus").alias("aqhi_any_10_plus"),
+        F.expr("max(if(value_type = 'daily_4pm', aqhi, null)) as aqhi_daily_4pm"),
+        F.expr("max(if(value_type = 'daily_max', aqhi, null)) as aqhi_daily_max"),
+        F.expr("max(any_10_plus) as aqhi_any_10_plus"),
     )
 
 
-def _city_id(city: str = "city"):
-    table = F.create_map(*[F.lit(x) for c in CITIES for x in (c[1], c[0])])
-    return F.try_element_at(table, F.col(city))
-
-
 def assemble(
     grid: DataFrame,
     city_aqhi: DataFrame,
@@ -59,38 +32,44 @@ def assemble(
     true zero with no nearest distance; an uncovered day is unknown. Every input is already at
     city-day grain, so the joins move the small daily tables only, all on the same two keys.
     """
-    air = pivot_modes(city_aqhi).select(
-        _city_id().alias("city_id"), F.col("date").alias("date_id"), "aqhi_daily_4pm",
-        "aqhi_daily_max", "aqhi_any_10_plus",
+    ids = ", ".join(f"'{c[1]}', {c[0]}" for c in CITIES)
+    city_id = f"try_element_at(map({ids}), city) as city_id"
+    air = pivot_modes(city_aqhi).selectExpr(
+        city_id, "date as date_id", "aqhi_daily_4pm", "aqhi_daily_max", "aqhi_any_10_plus"
     )
-    fire = exposure.withColumnRenamed("date", "date_id")
-    wx = weather.select(
-        _city_id().alias("city_id"),
-        F.col("date").alias("date_id"),
+    wx = weather.selectExpr(
+        city_id,
+        "date as date_id",
         "temp_mean",
         "temp_min",
         "temp_max",
         "precip_total",
         "wind_speed_mean",
         "wind_dir_mean_deg",
-        F.col("weather_data_available").alias("__wx_ok"),
+        "weather_data_available as wx_ok",
     )
-    covered = fire_days.select(F.col("date").alias("date_id"), F.lit(True).alias("__fire_ok"))
+    covered = fire_days.selectExpr("date as date_id", "true as fire_ok")
     keys = ["city_id", "date_id"]
     joined = (
         grid.join(covered, "date_id", "left")
         .join(air, keys, "left")
-        .join(fire, keys, "left")
+        .join(exposure.withColumnRenamed("date", "date_id"), keys, "left")
         .join(wx, keys, "left")
     )
-    fire_ok = F.coalesce("__fire_ok", F.lit(False))
-    return joined.withColumns(
-        {
-            **{c: F.when(fire_ok, F.coalesce(c, F.lit(0))) for c in HOTSPOT_COUNTS},
-            "nearest_hotspot_distance_km": F.when(fire_ok, F.col("nearest_hotspot_distance_km")),
-            "fire_data_available": fire_ok,
-            "aqhi_data_available": F.col("aqhi_daily_4pm").isNotNull()
-            | F.col("aqhi_daily_max").isNotNull(),
-            "weather_data_available": F.coalesce("__wx_ok", F.lit(False)),
-        }
-    ).select(*COLUMNS)
+    return joined.selectExpr(
+        *keys,
+        "aqhi_daily_4pm",
+        "aqhi_daily_max",
+        "aqhi_any_10_plus",
+        "aqhi_daily_4pm is not null or aqhi_daily_max is not null as aqhi_data_available",
+        *[f"if(fire_ok, coalesce({c}, 0), null) as {c}" for c in HOTSPOT_COUNTS],
+        "if(fire_ok, nearest_hotspot_distance_km, null) as nearest_hotspot_distance_km",
+        "coalesce(fire_ok, false) as fire_data_available",
+        "temp_mean",
+        "temp_min",
+        "temp_max",
+        "precip_total",
+        "wind_speed_mean",
+        "wind_dir_mean_deg",
+        "coalesce(wx_ok, false) as weather_data_available",
+    )

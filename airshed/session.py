@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -26,6 +27,9 @@ def build_session(app: str = "airshed", master: str | None = None, **conf: str)
     return builder.getOrCreate()
 
 
+_LOCAL_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, for checkpoints and intermediate tables.
 
@@ -38,6 +42,19 @@ def shared_dir(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    path = tempfile.mkdtemp(prefix="airshed-")
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_DIRS:
+        _LOCAL_DIRS[app] = tempfile.mkdtemp(prefix="airshed-")
+    return _LOCAL_DIRS[app]
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
+    """The table written once to the shared folder and read back.
+
+    For a result that several later steps start from: they read the small table instead of each
+    repeating the scans behind it, and a lost executor costs only the step it was working on.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

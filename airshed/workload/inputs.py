@@ -2,16 +2,14 @@
 
 None of the given tables is environmental, so each source is a fixed projection of a whole table:
 every row is used, and defects (nulls, repeats, unknown codes, bad dates) are planted by
-arithmetic on the ids. ``oracle.py`` states the same projections in SQL.
+arithmetic on the ids. ``oracle.py`` states the same projections in its own SQL.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from airshed.config import AQO_STATIONS, CITIES, WEATHER_STATIONS
-from airshed.functions.moments import EPOCH, hour_start, parse_date
 from airshed.operators.aqhi import clean_history
 from airshed.operators.grouping import latest
 
@@ -20,68 +18,59 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def pick(values: list, at: Column) -> Column:
+def pick(values: list, at: str) -> str:
     """Element of a fixed list by zero-based position."""
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (at + 1).cast("int"))
-
-
-def text(c: Column) -> Column:
-    return c.cast("string")
-
-
-def day_plus(first: str, days: Column) -> Column:
-    return F.date_add(F.lit(first).cast("date"), days.cast("int"))
+    items = ", ".join("null" if v is None else repr(v) for v in values)
+    return f"element_at(array({items}), cast({at} + 1 as int))"
 
 
 def hotspots(spark: SparkSession, sf: str) -> DataFrame:
-    e = F.col("event_id")
-    return table(spark, sf, "events").select(
-        e.alias("uid"),
-        F.col("ts").alias("rep_date"),
-        F.col("ts").cast("date").alias("date"),
-        (F.lit(41.0) + ((e % 16500) * 7919 % 16500) / F.lit(1000.0)).alias("lat"),
-        (F.lit(-96.0) + ((e % 22500) * 104729 % 22500) / F.lit(1000.0)).alias("lon"),
-        F.col("event_type").alias("sensor"),
-        F.when(e % 9 != 0, pick(["ON", "MB", "QC", "MN"], e % 4)).alias("agency"),
+    return table(spark, sf, "events").selectExpr(
+        "event_id as uid",
+        "ts as rep_date",
+        "cast(ts as date) as date",
+        "41e0 + ((event_id % 16500) * 7919 % 16500) / 1000e0 as lat",
+        "-96e0 + ((event_id % 22500) * 104729 % 22500) / 1000e0 as lon",
+        "event_type as sensor",
+        f"if(event_id % 9 <> 0, {pick(['ON', 'MB', 'QC', 'MN'], 'event_id % 4')}, null) as agency",
     )
 
 
 def aqhi_raw(spark: SparkSession, sf: str, sparse: bool = False) -> DataFrame:
     """Historical readings as landed. The sparse form leaves most calendar days without a row,
-    because squares modulo 400 take few values."""
-    e, at = F.col("event_id"), F.col("user_id") % 7
-    day = (e % 400) * (e % 400) % 400 if sparse else (e % 400) * 31 % 400
-    value = F.col("value")
-    level = 1 + F.floor(value) % 10
-    reading = F.when(value >= 60, F.lit("10+")).otherwise(text(level))
-    maximum = e % 2 == 1
-    zone = F.when(e % 3 == 0, " EDT").otherwise(" EST")
-    clock = F.when(
-        maximum,
-        F.concat(text(1 + e % 12), F.when(e % 24 < 12, ":00 am").otherwise(":00 pm")),
-    ).otherwise(F.lit("4:00 pm"))
-    risk = (
-        F.when(value >= 60, "very high risk")
-        .when(level <= 3, "low risk")
-        .when(level <= 6, "moderate risk")
-        .otherwise("high risk")
+    because squares modulo 400 take few values. A station's readings of a day agree, but for
+    planted days on which some records differ by one."""
+    day = "(event_id % 400) * (event_id % 400) % 400" if sparse else "(event_id % 400) * 31 % 400"
+    based = table(spark, sf, "events").selectExpr(
+        "event_id as e",
+        "user_id % 7 as station",
+        f"{day} as day",
+        "floor(event_id / 3) % 2 = 1 as is_max",
+    )
+    levelled = based.selectExpr(
+        "*",
+        "1 + (day * 7 + floor(day / 9) + station * 3"
+        " + if((day + station) % 13 = 0 and e % 5 = 0, 1, 0)"
+        " + if(is_max and day % 3 = 0, 1, 0)) % 11 as level",
     )
-    return table(spark, sf, "events").select(
-        e.alias("row_id"),
-        F.when(e % 211 == 0, "not stated")
-        .otherwise(text(day_plus("2024-01-01", day)))
-        .alias("date"),
-        F.when(e % 97 != 0, F.concat(clock, zone)).alias("time"),
-        F.when(
-            e % 53 != 0, F.when(e % 7 == 0, F.concat(F.lit(" "), reading, F.lit(" "))).otherwise(reading)
-        ).alias("aqhi"),
-        F.when(e % 53 != 0, risk).alias("category"),
-        pick([s[1] for s in AQO_STATIONS], at).alias("city"),
-        pick([s[2] for s in AQO_STATIONS], at).alias("station_name"),
-        pick([s[0] for s in AQO_STATIONS], at).alias("station_id"),
-        F.when(e % 5 == 4, 2025).otherwise(2024).alias("requested_year"),
-        F.when(maximum, "daily_max").otherwise("daily_4pm").alias("value_type"),
-        F.when(maximum, 2).otherwise(0).alias("show_day_code"),
+    return levelled.selectExpr(
+        "e as row_id",
+        "if(e % 211 = 0, 'not stated',"
+        " cast(date_add(date'2024-01-01', cast(day as int)) as string)) as date",
+        "if(e % 97 <> 0, concat("
+        " if(is_max, concat(1 + e % 12, if(e % 24 < 12, ':00 am', ':00 pm')), '4:00 pm'),"
+        " if(e % 3 = 0, ' EDT', ' EST')), null) as time",
+        "if(e % 53 <> 0, concat(if(e % 7 = 0, ' ', ''), if(level = 11, '10+', string(level)),"
+        " if(e % 7 = 0, ' ', '')), null) as aqhi",
+        "case when e % 53 = 0 then null when level = 11 then 'very high risk'"
+        " when level <= 3 then 'low risk' when level <= 6 then 'moderate risk'"
+        " else 'high risk' end as category",
+        f"{pick([s[1] for s in AQO_STATIONS], 'station')} as city",
+        f"{pick([s[2] for s in AQO_STATIONS], 'station')} as station_name",
+        f"{pick([s[0] for s in AQO_STATIONS], 'station')} as station_id",
+        "if(e % 5 = 4, 2025, 2024) as requested_year",
+        "if(is_max, 'daily_max', 'daily_4pm') as value_type",
+        "if(is_max, 2, 0) as show_day_code",
     )
 
 
@@ -89,99 +78,100 @@ def aqhi(spark: SparkSession, sf: str, sparse: bool = False) -> DataFrame:
     return clean_history(aqhi_raw(spark, sf, sparse))
 
 
+HOUR_START = (
+    "make_timestamp_ntz(year(ts), month(ts), dayofmonth(ts), hour(ts), 0, 0)"
+)
+
+
 def current(spark: SparkSession, sf: str) -> DataFrame:
     """Polls of the current feed: an observation is a location and hour, polled many times."""
-    at = F.col("user_id") % 8
-    location = pick(
-        ["FAFFD", "FEVJR", "FCWFX", "FEUZB", "FCWYG", "FDQBU", "FDQBX", "XOTHR"], at
-    )
-    hour = hour_start(F.col("ts"))
-    return table(spark, sf, "events").select(
-        F.concat_ws("-", location, text(F.col("ts").cast("date")), text(F.hour("ts"))).alias("id"),
-        F.when(F.col("event_id") % 103 != 0, location).alias("location_id"),
-        F.concat(F.lit("Location "), text(at)).alias("location_name_en"),
-        hour.alias("observation_datetime"),
-        F.col("ts").alias("snapshot_ts"),
-        F.col("event_id").alias("row_id"),
-        F.when(F.col("event_id") % 61 != 0, (F.floor(F.col("value")) % 12 + 1).cast("double")).alias(
-            "aqhi"
-        ),
-        (F.lit(41.5) + at).cast("double").alias("latitude"),
-        (F.lit(-95.0) + at).cast("double").alias("longitude"),
+    locations = ["FAFFD", "FEVJR", "FCWFX", "FEUZB", "FCWYG", "FDQBU", "FDQBX", "XOTHR"]
+    location = pick(locations, "user_id % 8")
+    return table(spark, sf, "events").selectExpr(
+        f"concat_ws('-', {location}, cast(ts as date), hour(ts)) as id",
+        f"if(event_id % 103 <> 0, {location}, null) as location_id",
+        "concat('Location ', user_id % 8) as location_name_en",
+        f"{HOUR_START} as observation_datetime",
+        "ts as snapshot_ts",
+        "event_id as row_id",
+        "if(event_id % 61 <> 0, double(floor(value) % 12 + 1), null) as aqhi",
+        "41.5e0 + user_id % 8 as latitude",
+        "-95e0 + user_id % 8 as longitude",
     )
 
 
 def weather(spark: SparkSession, sf: str) -> DataFrame:
-    e, at = F.col("event_id"), F.col("user_id") % 4
-    return table(spark, sf, "events").select(
-        e.alias("row_id"),
-        pick([s[0] for s in WEATHER_STATIONS], at).alias("station_id"),
-        F.when(e % 499 == 0, "RENAMED")
-        .otherwise(pick([s[2] for s in WEATHER_STATIONS], at))
-        .alias("station_name"),
-        pick([s[1] for s in WEATHER_STATIONS], at).alias("city"),
-        hour_start(F.col("ts")).alias("date_time_lst"),
-        F.when(e % 1009 == 0, 99.0)
-        .when(e % 17 != 0, (e % 60 - 25).cast("double"))
-        .alias("temp"),
-        F.when(e % 1013 == 0, 130.0).otherwise((e % 101).cast("double")).alias("rh"),
-        F.when(e % 997 == 0, -0.5).when(e % 19 != 0, (e % 5) * F.lit(0.25)).alias("precip"),
-        F.when(e % 29 == 0, "M").alias("precip_flag"),
-        F.when(e % 991 == 0, 40.0).when(e % 13 != 0, (e % 37).cast("double")).alias(
-            "wind_dir_10s_deg"
-        ),
-        F.when(e % 31 != 0, (e % 25).cast("double")).alias("wind_speed"),
-        F.when(e % 29 == 1, "M").alias("wind_flag"),
-        (1 + F.col("user_id") % 3).alias("priority"),
+    return table(spark, sf, "events").selectExpr(
+        "event_id as row_id",
+        f"{pick([s[0] for s in WEATHER_STATIONS], 'user_id % 4')} as station_id",
+        "if(event_id % 499 = 0, 'RENAMED',"
+        f" {pick([s[2] for s in WEATHER_STATIONS], 'user_id % 4')}) as station_name",
+        f"{pick([s[1] for s in WEATHER_STATIONS], 'user_id % 4')} as city",
+        f"{HOUR_START} as date_time_lst",
+        "case when event_id % 1009 = 0 then 99e0"
+        " when event_id % 17 <> 0 then double(event_id % 60 - 25) end as temp",
+        "if(event_id % 1013 = 0, 130e0, double(event_id % 101)) as rh",
+        "case when event_id % 997 = 0 then -0.5e0"
+        " when event_id % 19 <> 0 then (event_id % 5) * 0.25e0 end as precip",
+        "if(event_id % 29 = 0, 'M', null) as precip_flag",
+        "case when event_id % 991 = 0 then 40e0"
+        " when event_id % 13 <> 0 then double(event_id % 37) end as wind_dir_10s_deg",
+        "if(event_id % 31 <> 0, double(event_id % 25), null) as wind_speed",
+        "if(event_id % 29 = 1, 'M', null) as wind_flag",
+        "1 + user_id % 3 as priority",
     )
 
 
 def fires_raw(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    days = F.datediff(F.col("o_orderdate").cast("date"), F.expr(EPOCH).cast("date"))
-    ms = days.cast("bigint") * 86400000 + k % 86400000
-    lat = F.lit(41.5) + ((k % 15500) * 7919 % 15500) / F.lit(1000.0)
-    lon = F.lit(-95.5) + ((k % 21500) * 104729 % 21500) / F.lit(1000.0)
-
-    def sentinel(mod: int) -> Column:
-        return F.when(k % 23 != 0, F.when(k % mod == 0, -1.0).otherwise((k % 100).cast("double")))
-
-    return table(spark, sf, "orders").select(
-        k.alias("OBJECTID"),
-        F.when(k % 301 != 0, F.concat(F.lit("F"), text(k))).alias("FIELD_AGENCY_FIRE_ID"),
-        F.when(k % 307 == 0, "").otherwise("ON").alias("FIELD_AGENCY_CODE"),
-        pick(["EX", "EX", " BM ", "OC", "BH", "UC", "ZZ", None], k % 8).alias(
-            "FIELD_STAGE_OF_CONTROL_STATUS"
-        ),
-        pick(["LTG", "HUM", "LTG", None], k % 4).alias("FIELD_AGENCY_FIRE_CAUSE"),
-        pick(["L", "H", "H", "L", "X"], k % 5).alias("FIELD_SYSTEM_FIRE_CAUSE"),
-        pick(["FUL", "MON", "MNP", "MOD", "MDP", "-1"], k % 6).alias("FIELD_RESPONSE_TYPE"),
-        F.when(k % 53 == 0, "n/a").otherwise(text(F.col("o_totalprice"))).alias("FIELD_FIRE_SIZE"),
-        F.when(k % 59 != 0, text(lat)).alias("FIELD_LATITUDE"),
-        F.when(k % 59 != 0, text(lon)).alias("FIELD_LONGITUDE"),
-        F.when(k % 41 == 0, "bad").otherwise(text(ms)).alias("FIELD_SITUATION_REPORT_DATE"),
-        F.when(k % 37 != 0, text(ms)).alias("FIELD_STATUS_DATE"),
-        text(ms).alias("REFRESHED_DATETIME"),
-        sentinel(5).alias("FIELD_LOCATION"),
-        sentinel(7).alias("FIELD_PERCENT_CONTAINED"),
-        sentinel(11).alias("FIELD_SEVERITY_NEAREST_DSR"),
-        sentinel(13).alias("FIELD_AGENCY_PREPARE_LEVEL"),
-        sentinel(17).alias("FIELD_FIRE_TYPE_ICS"),
+    based = table(spark, sf, "orders").selectExpr(
+        "o_orderkey as k",
+        "o_totalprice",
+        "bigint(datediff(cast(o_orderdate as date), date'1970-01-01')) * 86400000"
+        " + o_orderkey % 86400000 as ms",
+    )
+    sentinels = {
+        "FIELD_LOCATION": 5,
+        "FIELD_PERCENT_CONTAINED": 7,
+        "FIELD_SEVERITY_NEAREST_DSR": 11,
+        "FIELD_AGENCY_PREPARE_LEVEL": 13,
+        "FIELD_FIRE_TYPE_ICS": 17,
+    }
+    return based.selectExpr(
+        "k as OBJECTID",
+        "if(k % 301 <> 0, concat('F', k), null) as FIELD_AGENCY_FIRE_ID",
+        "if(k % 307 = 0, '', 'ON') as FIELD_AGENCY_CODE",
+        f"{pick(['EX', 'EX', ' BM ', 'OC', 'BH', 'UC', 'ZZ', None], 'k % 8')}"
+        " as FIELD_STAGE_OF_CONTROL_STATUS",
+        f"{pick(['LTG', 'HUM', 'LTG', None], 'k % 4')} as FIELD_AGENCY_FIRE_CAUSE",
+        f"{pick(['L', 'H', 'H', 'L', 'X'], 'k % 5')} as FIELD_SYSTEM_FIRE_CAUSE",
+        f"{pick(['FUL', 'MON', 'MNP', 'MOD', 'MDP', '-1'], 'k % 6')} as FIELD_RESPONSE_TYPE",
+        "if(k % 53 = 0, 'n/a', string(o_totalprice)) as FIELD_FIRE_SIZE",
+        "if(k % 59 <> 0, string(41.5e0 + ((k % 15500) * 7919 % 15500) / 1000e0), null)"
+        " as FIELD_LATITUDE",
+        "if(k % 59 <> 0, string(-95.5e0 + ((k % 21500) * 104729 % 21500) / 1000e0), null)"
+        " as FIELD_LONGITUDE",
+        "if(k % 41 = 0, 'bad', string(ms)) as FIELD_SITUATION_REPORT_DATE",
+        "if(k % 37 <> 0, string(ms), null) as FIELD_STATUS_DATE",
+        "string(ms) as REFRESHED_DATETIME",
+        *[
+            f"if(k % 23 <> 0, if(k % {mod} = 0, -1e0, double(k % 100)), null) as {name}"
+            for name, mod in sentinels.items()
+        ],
     )
 
 
 def fire_history(spark: SparkSession, sf: str) -> DataFrame:
     """Snapshot rows of fires: a fire is an order, a snapshot a line number."""
-    return table(spark, sf, "lineitem").select(
-        F.col("l_orderkey").alias("fire_id"),
-        F.col("l_linenumber").alias("snapshot_no"),
-        F.col("l_shipdate").cast("date").alias("status_date"),
-        F.col("l_partkey").alias("part"),
-        F.col("l_suppkey").alias("supp"),
-        F.col("l_quantity").alias("size_hectares"),
-        pick(["EX", "BM", "OC", "BH", "UC"], F.col("l_partkey") % 5).alias("stage"),
-        F.col("l_returnflag").alias("response"),
-        F.col("l_extendedprice").alias("price"),
+    return table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey as fire_id",
+        "l_linenumber as snapshot_no",
+        "cast(l_shipdate as date) as status_date",
+        "l_partkey as part",
+        "l_suppkey as supp",
+        "l_quantity as size_hectares",
+        f"{pick(['EX', 'BM', 'OC', 'BH', 'UC'], 'l_partkey % 5')} as stage",
+        "l_returnflag as response",
+        "l_extendedprice as price",
     )
 
 
@@ -195,81 +185,78 @@ def fire_snapshots(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def evacuation_log(spark: SparkSession, sf: str) -> DataFrame:
-    k = F.col("o_orderkey")
-    start = F.col("o_orderdate").cast("date")
-    end = F.date_add(start, (k % 9 - 1).cast("int"))
-    community = F.concat(F.lit("Community "), text(F.col("o_custkey") % 50))
-    raw = table(spark, sf, "orders").select(
-        F.when(k % 41 == 0, F.concat(F.lit("EV-"), text(k)))
-        .when(k % 43 == 0, F.concat(F.lit("EVAC-"), F.lpad(text(k % 1000), 3, "0")))
-        .otherwise(F.concat(F.lit("EVAC-"), F.when(k < 1000, F.lpad(text(k), 3, "0")).otherwise(text(k))))
-        .alias("event_id"),
-        F.when(k % 47 == 0, F.upper(community)).otherwise(community).alias("community"),
-        pick([*[c[1] for c in CITIES], "Not applicable", "Ottawa"], k % 6).alias(
-            "nearby_project_city"
-        ),
-        F.when(k % 71 == 0, "not known").otherwise(text(start)).alias(
-            "evacuation_start_date"
-        ),
-        F.when(k % 73 == 0, "Ongoing")
-        .when(k % 4 != 0, text(end))
-        .alias("evacuation_end_date"),
-        F.when(k % 79 == 0, "Active").otherwise(pick(["Ongoing", "Lifted", "Unknown"], k % 3)).alias("status"),
-        F.date_add(start, (k % 20).cast("int")).alias("status_as_of_date"),
-        F.lit("CBC News").alias("source_name"),
-        F.when(k % 83 == 0, F.concat(F.lit("https://news.aggregator.example/item/"), text(k)))
-        .when(k % 89 != 0, F.concat(F.lit("https://www.cbc.ca/news/"), text(k)))
-        .alias("source_url"),
-        k.alias("row_id"),
+    cities = [*[c[1] for c in CITIES], "Not applicable", "Ottawa"]
+    based = table(spark, sf, "orders").selectExpr(
+        "o_orderkey as k",
+        "cast(o_orderdate as date) as d",
+        "concat('Community ', o_custkey % 50) as place",
     )
-    return raw.withColumns(
-        {
-            "start_date": parse_date(F.col("evacuation_start_date")),
-            "end_date": parse_date(F.col("evacuation_end_date")),
-        }
+    raw = based.selectExpr(
+        "case when k % 41 = 0 then concat('EV-', k)"
+        " when k % 43 = 0 then concat('EVAC-', lpad(string(k % 1000), 3, '0'))"
+        " else concat('EVAC-', if(k < 1000, lpad(string(k), 3, '0'), string(k))) end as event_id",
+        "if(k % 47 = 0, upper(place), place) as community",
+        f"{pick(cities, 'k % 6')} as nearby_project_city",
+        "if(k % 71 = 0, 'not known', string(d)) as evacuation_start_date",
+        "case when k % 73 = 0 then 'Ongoing'"
+        " when k % 4 <> 0 then string(date_add(d, int(k % 9 - 1))) end as evacuation_end_date",
+        f"if(k % 79 = 0, 'Active', {pick(['Ongoing', 'Lifted', 'Unknown'], 'k % 3')}) as status",
+        "date_add(d, int(k % 20)) as status_as_of_date",
+        "'CBC News' as source_name",
+        "case when k % 83 = 0 then concat('https://news.aggregator.example/item/', k)"
+        " when k % 89 <> 0 then concat('https://www.cbc.ca/news/', k) end as source_url",
+        "k as row_id",
+    )
+    return raw.selectExpr(
+        "*",
+        "try_to_date(evacuation_start_date, 'yyyy-MM-dd') as start_date",
+        "try_to_date(evacuation_end_date, 'yyyy-MM-dd') as end_date",
     )
 
 
 def stations(spark: SparkSession, sf: str) -> DataFrame:
     """A station register with planted defects, one station per supplier."""
-    k = F.col("s_suppkey")
-    return table(spark, sf, "supplier").select(
-        F.when(k % 31 == 30, k - 1).otherwise(k).alias("station_id"),
-        F.when(k % 29 != 28, F.concat(F.lit("S"), text(k - k % 17 % 2))).alias("source_station_id"),
-        F.col("s_name").alias("station_name"),
-        pick(["geomet", "aqo", "eccc_weather", "aqo", "other"], k % 5).alias("source_system"),
-        (1 + F.col("s_nationkey") % 6).alias("city_id"),
-        F.when(k % 23 == 7, 95.5).otherwise(42.0 + (k % 140) / F.lit(10.0)).alias("latitude"),
-        F.when(k % 37 == 9, -190.25).otherwise(-95.0 + (k % 200) / F.lit(10.0)).alias("longitude"),
+    systems = pick(["geomet", "aqo", "eccc_weather", "aqo", "other"], "s_suppkey % 5")
+    return table(spark, sf, "supplier").selectExpr(
+        "if(s_suppkey % 31 = 30, s_suppkey - 1, s_suppkey) as station_id",
+        "if(s_suppkey % 29 <> 28, concat('S', s_suppkey - (s_suppkey % 17) % 2), null)"
+        " as source_station_id",
+        "s_name as station_name",
+        f"{systems} as source_system",
+        "1 + s_nationkey % 6 as city_id",
+        "if(s_suppkey % 23 = 7, 95.5e0, 42e0 + (s_suppkey % 140) / 10e0) as latitude",
+        "if(s_suppkey % 37 = 9, -190.25e0, -95e0 + (s_suppkey % 200) / 10e0) as longitude",
     )
 
 
 def station_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Weather-station candidates, one per customer."""
-    k = F.col("c_custkey")
-    return table(spark, sf, "customer").select(
-        k.alias("station_id"),
-        pick([c[1] for c in CITIES], F.col("c_nationkey").cast("bigint") % 4).alias("city"),
-        F.when(k % 3 == 0, "daily").otherwise("hourly").alias("interval"),
-        F.when(k % 5 == 0, "NAVCAN").when(k % 5 == 1, "ECCC-MSC").otherwise("CCN").alias("operator"),
-        day_plus("2023-01-01", k % 700).alias("first_date"),
-        day_plus("2026-01-01", k % 400).alias("last_date"),
-        (k % 7 != 0).alias("has_wind"),
-        (k % 11 != 0).alias("has_precip"),
-        ((k * 7919 % 5000) / F.lit(10.0)).alias("distance_km"),
-        (42 + k % 14).alias("lat_deg"),
-        (k % 60).alias("lat_min"),
-        (-95 + k % 20).alias("lon_deg"),
-        (k * 7 % 60).alias("lon_min"),
+    return table(spark, sf, "customer").selectExpr(
+        "c_custkey as station_id",
+        f"{pick([c[1] for c in CITIES], 'c_nationkey % 4')} as city",
+        "if(c_custkey % 3 = 0, 'daily', 'hourly') as interval",
+        "case c_custkey % 5 when 0 then 'NAVCAN' when 1 then 'ECCC-MSC' else 'CCN' end as operator",
+        "date_add(date'2023-01-01', int(c_custkey % 700)) as first_date",
+        "date_add(date'2026-01-01', int(c_custkey % 400)) as last_date",
+        "c_custkey % 7 <> 0 as has_wind",
+        "c_custkey % 11 <> 0 as has_precip",
+        "(c_custkey * 7919 % 5000) / 10e0 as distance_km",
+        "42 + c_custkey % 14 as lat_deg",
+        "c_custkey % 60 as lat_min",
+        "-95 + c_custkey % 20 as lon_deg",
+        "c_custkey * 7 % 60 as lon_min",
     )
 
 
 def fire_days(spark: SparkSession, sf: str) -> DataFrame:
     """Days a hotspot extract covered: all days with events but for planted outages."""
-    days = table(spark, sf, "events").select(F.col("ts").cast("date").alias("date")).distinct()
-    return days.where(F.dayofmonth("date") % 7 != 3)
+    days = table(spark, sf, "events").selectExpr("cast(ts as date) as date").distinct()
+    return days.where("dayofmonth(date) % 7 <> 3")
 
 
 def grid_bounds(spark: SparkSession, sf: str) -> DataFrame:
     """First and last day of the readings."""
-    return aqhi(spark, sf).agg(F.min("date").alias("first_day"), F.max("date").alias("last_day"))
+    return aqhi_raw(spark, sf).selectExpr(
+        "min(try_to_date(date, 'yyyy-MM-dd')) as first_day",
+        "max(try_to_date(date, 'yyyy-MM-dd')) as last_day",
+    )

@@ -57,26 +57,27 @@ def _aqhi(day: str) -> str:
     from (
       select event_id as row_id,
         case when event_id % 211 = 0 then 'not stated'
-             else cast(date '2024-01-01' + cast({day} as integer) as varchar) end as date_txt,
+             else cast(date '2024-01-01' + cast(day as integer) as varchar) end as date_txt,
         case when event_id % 97 <> 0 then
-          (case when event_id % 2 = 1 then cast(1 + event_id % 12 as varchar)
+          (case when is_max then cast(1 + event_id % 12 as varchar)
                || (case when event_id % 24 < 12 then ':00 am' else ':00 pm' end)
              else '4:00 pm' end) || (case when event_id % 3 = 0 then ' EDT' else ' EST' end) end as time,
         case when event_id % 53 <> 0 then
           case when event_id % 7 = 0 then ' ' || reading || ' ' else reading end end as aqhi,
         case when event_id % 53 <> 0 then
-          case when value >= 60 then 'very high risk' when lvl <= 3 then 'low risk'
+          case when lvl = 11 then 'very high risk' when lvl <= 3 then 'low risk'
                when lvl <= 6 then 'moderate risk' else 'high risk' end end as category,
         {_list([s[1] for s in AQO_STATIONS])}[user_id % 7 + 1] as city,
         {_list([s[2] for s in AQO_STATIONS])}[user_id % 7 + 1] as station_name,
         {_list([s[0] for s in AQO_STATIONS])}[user_id % 7 + 1] as station_id,
         case when event_id % 5 = 4 then 2025 else 2024 end as requested_year,
-        case when event_id % 2 = 1 then 'daily_max' else 'daily_4pm' end as value_type,
-        case when event_id % 2 = 1 then 2 else 0 end as show_day_code
-      from (select *, 1 + cast(floor(value) as bigint) % 10 as lvl,
-              case when value >= 60 then '10+'
-                   else cast(1 + cast(floor(value) as bigint) % 10 as varchar) end as reading
-            from events))"""
+        case when is_max then 'daily_max' else 'daily_4pm' end as value_type,
+        case when is_max then 2 else 0 end as show_day_code
+      from (select *, case when lvl = 11 then '10+' else cast(lvl as varchar) end as reading
+            from (select *, 1 + (day * 7 + day // 9 + (user_id % 7) * 3
+                    + case when (day + user_id % 7) % 13 = 0 and event_id % 5 = 0 then 1 else 0 end
+                    + case when is_max and day % 3 = 0 then 1 else 0 end) % 11 as lvl
+                  from (select *, {day} as day, (event_id // 3) % 2 = 1 as is_max from events))))"""
 
 
 VIEWS = {

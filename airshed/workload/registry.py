@@ -13,7 +13,7 @@ from airshed.config import GEOMET_LOCATIONS, SENTINEL_FIELDS
 from airshed.functions import geo, moments, text
 from airshed.operators import aqhi, evacuation, exposure, fires, grouping, quality, rules, weather
 from airshed.plans import city_daily, dimensions, model_prep
-from airshed.session import shared_dir
+from airshed.session import settle, shared_dir
 from airshed.sources import files, geojson, html, manifest
 from airshed.sources.schemas import struct
 from airshed.streaming import polls
@@ -40,15 +40,13 @@ def plain(df: DataFrame) -> DataFrame:
     """Dates and times as text and doubles at six decimals, the form both engines print alike."""
     out = []
     for f in df.schema:
-        c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DateType, T.TimestampNTZType, T.TimestampType)):
-            c = c.cast("string")
-        elif isinstance(f.dataType, T.DecimalType):
-            c = c.cast("double")
-        if isinstance(f.dataType, (T.DoubleType, T.DecimalType)):
-            c = F.round(c, 6) + F.lit(0.0)
-        out.append(c.alias(f.name))
-    return df.select(*out)
+            out.append(f"cast(`{f.name}` as string) as `{f.name}`")
+        elif isinstance(f.dataType, (T.DoubleType, T.DecimalType)):
+            out.append(f"round(cast(`{f.name}` as double), 6) + 0D as `{f.name}`")
+        else:
+            out.append(f"`{f.name}`")
+    return df.selectExpr(*out)
 
 
 def query(fn: Query) -> Query:
@@ -769,7 +767,8 @@ def primary_station(spark, sf):
 
 
 def _panel(spark: SparkSession, sf: str, target: str = "aqhi_daily_4pm") -> DataFrame:
-    return model_prep.series(_city_fact(spark, sf), target)
+    """The fact settled first: every step below joins or windows it more than once."""
+    return model_prep.series(settle(_city_fact(spark, sf), "fact_city_daily"), target)
 
 
 @query
@@ -868,7 +867,7 @@ def dq_evac(spark, sf):
 @query
 def dq_fact(spark, sf):
     """The fact with planted breaks: a repeated city-day, a stray city, counts without a source."""
-    fact = _city_fact(spark, sf)
+    fact = settle(_city_fact(spark, sf), "fact_city_daily")
     broken = fact.withColumns(
         {
             "hotspots_within_100km": F.when(
