@@ -53,7 +53,7 @@ def payload_is_valid(text: Column, marker: str = "Date/Time") -> Column:
 
 def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     """Whole text of every file, with its path."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
     )
 

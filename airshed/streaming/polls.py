@@ -18,18 +18,24 @@ def upsert_polls(polls: DataFrame, key: str = "id", taken_at: str = "snapshot_ts
     return latest(polls, [key], [taken_at])
 
 
-def stream_folder(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int = 1000) -> DataFrame:
+def stream_folder(
+    spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None
+) -> DataFrame:
     """Parquet landed under ``path``. The path is given as a pattern that matches only itself,
     which lets it be a folder of part files or one file."""
     pattern = f"{path[:-1]}[{path[-1]}]"
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(pattern)
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(pattern)
 
 
 def first_seen(
     stream: DataFrame, keys: Sequence[str] = ("id",), event_time: str = "observation_datetime", retention: str = "4 days"
 ) -> DataFrame:
-    """Each key once. State is kept only for the retention of the overlap: polls look back three
-    days, so a copy cannot arrive after four."""
+    """Each key once, as soon as it arrives. State is kept only for the retention of the overlap:
+    polls look back three days, so a copy cannot arrive after four. For a backlog whose files are
+    not in time order use one batch, or ``ingest_upserts``."""
     return stream.withWatermark(event_time, retention).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -44,6 +50,29 @@ def ingest_available(
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def ingest_upserts(
+    rows: DataFrame, out: str, checkpoint: str, key: str = "id", taken_at: str = "snapshot_ts"
+) -> StreamingQuery:
+    """Exact upsert, however late a copy comes: every batch leaves its newest copy per key in a
+    partition of its own, and ``read_upserts`` takes the newest over all. A batch that is run
+    again after a failure replaces its own partition."""
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        newest = upsert_polls(batch, key, taken_at).withColumn("batch_id", F.lit(batch_id))
+        write_table(newest, out, ["batch_id"])
+
+    return (
+        rows.writeStream.foreachBatch(keep)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def read_upserts(spark: SparkSession, out: str, key: str = "id", taken_at: str = "snapshot_ts") -> DataFrame:
+    return upsert_polls(spark.read.parquet(out).drop("batch_id"), key, taken_at)
+
+
 def append_snapshot(cleaned: DataFrame, path: str, stamp: str = "snapshot_ts") -> None:
     """ref_active_fires_snapshot: a partition per snapshot; writing one again replaces it."""
     write_table(cleaned, path, [stamp])

@@ -8,14 +8,22 @@ arithmetic on the ids. ``oracle.py`` states the same projections in its own SQL.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from airshed.config import AQO_STATIONS, CITIES, WEATHER_STATIONS
 from airshed.operators.aqhi import clean_history
 from airshed.operators.grouping import latest
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    """A given table; its schema is read from the files once and stated after that."""
+    path = f"{sf}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def pick(values: list, at: str) -> str:
@@ -84,10 +92,14 @@ HOUR_START = (
 
 
 def current(spark: SparkSession, sf: str) -> DataFrame:
+    return current_rows(table(spark, sf, "events"))
+
+
+def current_rows(events: DataFrame) -> DataFrame:
     """Polls of the current feed: an observation is a location and hour, polled many times."""
     locations = ["FAFFD", "FEVJR", "FCWFX", "FEUZB", "FCWYG", "FDQBU", "FDQBX", "XOTHR"]
     location = pick(locations, "user_id % 8")
-    return table(spark, sf, "events").selectExpr(
+    return events.selectExpr(
         f"concat_ws('-', {location}, cast(ts as date), hour(ts)) as id",
         f"if(event_id % 103 <> 0, {location}, null) as location_id",
         "concat('Location ', user_id % 8) as location_name_en",

@@ -1221,6 +1221,7 @@ def statements() -> dict[str, str]:
         "select id, cast(snapshot_ts as varchar) as snapshot_ts, row_id, aqhi from (select *, row_number() over (partition by id "
         "order by snapshot_ts desc, row_id desc) as rn from cur) where rn = 1",
     )
+    s["poll_stream_upsert"] = s["poll_upsert"]
     add(
         "poll_stream_ids",
         [],

@@ -900,3 +900,14 @@ def poll_stream_ids(spark, sf):
     done = polls.ingest_available(polls.first_seen(stream).select("id"), f"{run}/ids", f"{run}/progress")
     done.awaitTermination()
     return spark.read.schema(struct("id string")).parquet(f"{run}/ids")
+
+
+@query
+def poll_stream_upsert(spark, sf):
+    """The streaming upsert of one catch-up run; the same result as the batch form."""
+    schema = inputs.table(spark, sf, "events").schema
+    stream = polls.stream_folder(spark, f"{sf}/events.parquet", schema)
+    rows = inputs.current_rows(stream).select("id", "snapshot_ts", "row_id", "aqhi")
+    run = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
+    polls.ingest_upserts(rows, f"{run}/rows", f"{run}/progress").awaitTermination()
+    return polls.read_upserts(spark, f"{run}/rows").select("id", "snapshot_ts", "row_id", "aqhi")
