@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from airshed.operators import aqhi, evacuation, exposure, fires, rules, weather
 from airshed.plans import city_daily, dimensions
-from airshed.sources.files import write_table
+from airshed.sources.files import read_table, write_table
 
 # Staging table -> column its month partition is taken from.
 STAGING = {
@@ -37,7 +37,7 @@ class Store:
         return f"{self.root}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        return read_table(self.spark, self.path(layer, name))
 
 
 def load_staging(store: Store, sources: dict[str, DataFrame]) -> None:

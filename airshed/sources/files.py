@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from functools import reduce
 
@@ -64,7 +65,7 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
 ) -> None:
-    """Parquet table, written even when empty.
+    """Parquet table with its schema beside it, so that an empty one can be read too.
 
     Rows are first rebalanced by the partition columns: few files per partition, and a partition
     far larger than the others is split over several tasks. Only the partitions present in ``df``
@@ -75,6 +76,14 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    spark = df.sparkSession
+    described = spark.sql("select :schema as value", {"schema": df.schema.json()})
+    described.write.mode("overwrite").text(f"{path}/_schema")
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    described = spark.read.text(f"{path}/_schema").first()["value"]
+    return spark.read.schema(T.StructType.fromJson(json.loads(described))).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from airshed.operators.grouping import latest
-from airshed.sources.files import write_table
+from airshed.sources.files import read_table, write_table
 
 
 def upsert_polls(polls: DataFrame, key: str = "id", taken_at: str = "snapshot_ts") -> DataFrame:
@@ -70,7 +70,7 @@ def ingest_upserts(
 
 
 def read_upserts(spark: SparkSession, out: str, key: str = "id", taken_at: str = "snapshot_ts") -> DataFrame:
-    return upsert_polls(spark.read.parquet(out).drop("batch_id"), key, taken_at)
+    return upsert_polls(read_table(spark, out).drop("batch_id"), key, taken_at)
 
 
 def append_snapshot(cleaned: DataFrame, path: str, stamp: str = "snapshot_ts") -> None:

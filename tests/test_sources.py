@@ -120,6 +120,10 @@ def test_sinks(spark, tmp_path):
     empty = spark.createDataFrame([], "a int, snapshot_ts string")
     files.write_table(empty, str(tmp_path / "empty"))
     assert spark.read.parquet(str(tmp_path / "empty")).columns == ["a", "snapshot_ts"]
+    files.write_table(empty, str(tmp_path / "parts"), ["snapshot_ts"])
+    assert files.read_table(spark, str(tmp_path / "parts")).schema == empty.schema
+    files.write_table(spark.sql("select 1 as a, 't' as snapshot_ts"), str(tmp_path / "parts"), ["snapshot_ts"])
+    assert as_set(files.read_table(spark, str(tmp_path / "parts"))) == [(1, "t")]
     files.export_csv(empty, str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 0
     path = str(tmp_path / "snap")
