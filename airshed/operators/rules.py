@@ -253,7 +253,9 @@ def fact_rules(fact: DataFrame, cities: DataFrame, days: DataFrame) -> DataFrame
                 F.coalesce("aqhi_daily_4pm", "aqhi_daily_max"),
             ),
             RowRule(
-                "Q17_weather_incomplete", no_wx & F.col("temp_mean").isNotNull(), F.col("temp_mean"),
+                "Q17_weather_incomplete",
+                no_wx & F.col("temp_mean").isNotNull(),
+                F.lit("temp_mean"),
                 "warning",
             ),
         ],

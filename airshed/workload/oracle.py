@@ -485,8 +485,9 @@ def _fact_rules() -> str:
             key,
             "coalesce(aqhi_daily_4pm, aqhi_daily_max)",
         ),
-        f"select 'Q17_weather_incomplete' as rule_id, 'warning' as severity, {key} as entity_key, "
-        "'x' as detail from broken where not weather_data_available and temp_mean is not null and false",
+        _rule(
+            v, "Q17_weather_incomplete", "not weather_data_available and temp_mean is not null", key, "'temp_mean'", "warning"
+        ),
         _unique(v, "Q16_city_day", ["city_id", "date_id"]),
         _parent(v, "Q16_city", "city_id", "city", "city_id"),
         _parent(v, "Q16_date", "date_id", "days", "date_id"),
