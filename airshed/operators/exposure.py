@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from airshed.config import BBOX, CITIES, DISTANCE_BANDS_KM, PROVINCE_OUTLINE
@@ -116,16 +115,18 @@ def site_exposure(
     bands: Sequence[int] = DISTANCE_BANDS_KM,
     day: str = "date",
     cell_degrees: float = 0.25,
-    salt: int = 16,
+    crowded: int = 100_000,
 ) -> DataFrame:
     """The same features for any number of sites (city_id, site_lat, site_lon), by grid cells.
 
     Hotspots are first counted per day and cell. A cell that lies wholly within a band adds its
     count without looking at its points; only cells cut by the edge of a band, or that may hold
     the nearest point, are opened and measured point by point. So the work follows the number of
-    cells near a site, not the number of hotspots. Opened cells are dealt over ``salt`` slots, so
-    a crowded cell is shared by several tasks. The nearest distance is that within the widest
-    band; city-days without a hotspot that near have no row.
+    cells near a site, not the number of hotspots. A cell with more than ``crowded`` positions on
+    a day is opened in several slots, one per ``crowded`` positions, for several tasks to share;
+    there are at most positions/crowded such cells, which bounds the broadcast list of them. The
+    nearest distance is that within the widest band; city-days without a hotspot that near have
+    no row.
     """
     reach, w = float(max(bands)), cell_degrees
     half = w * KM_PER_DEGREE * 0.7072 + 0.01  # no point of a cell lies farther from its centre
@@ -140,29 +141,52 @@ def site_exposure(
             f"pmod(int(floor(lon / {w}D)), {int(360 / w)}) as cell_lon",
         )
     )
-    filled = points.groupBy(day, "cell_lat", "cell_lon").agg(F.sum("n").alias("cell_n"))
-    met = filled.join(near, ["cell_lat", "cell_lon"]).withColumn(
-        "closest", F.min("centre_km").over(W.partitionBy("city_id", day))
+    cell = [day, "cell_lat", "cell_lon"]
+    filled = points.groupBy(*cell).agg(
+        F.sum("n").alias("cell_n"), F.expr(f"int(ceil(count(1) / {crowded}D))").alias("slots")
     )
-    whole = met.selectExpr(
-        "city_id",
-        day,
-        *[f"if(centre_km + {half}D <= {b}, cell_n, 0) as w{b}" for b in bands],
-        "cast(null as double) as km",
-    )
-    cut = {b: f"(centre_km - {half}D <= {b} and centre_km + {half}D > {b})" for b in bands}
-    opened = met.where(
-        " or ".join([*cut.values(), f"centre_km - {half}D <= closest + {half}D"])
-    ).selectExpr("*", f"explode(sequence(0, {salt - 1})) as slot")
-    dealt = points.withColumn("slot", F.expr(f"int(pmod(xxhash64(lat, lon), {salt}))"))
-    measured = opened.join(dealt, [day, "cell_lat", "cell_lon", "slot"]).withColumn(
+    met = filled.join(near, ["cell_lat", "cell_lon"])
+    whole = met.groupBy("city_id", day).agg(
+        *[F.expr(f"sum(if(centre_km + {half}D <= {b}, cell_n, 0)) as w{b}") for b in bands],
+        F.min("centre_km").alias("closest"),
+    )
+    # Cells cut by a band's edge count; the two rings from the closest filled cell on may hold the
+    # nearest point. A cell may be in both, which a minimum does not mind.
+    edge = {b: f"(centre_km - {half}D <= {b} and centre_km + {half}D > {b})" for b in bands}
+    sides = ["city_id", "site_lat", "site_lon", *cell, "slots", "centre_km"]
+    cut = met.where(" or ".join(edge.values())).selectExpr(*sides, "true as counts")
+    ringed = near.withColumn("ring", F.expr(f"int(floor(centre_km / {2 * half}D))"))
+    nearby = (
+        whole.selectExpr(
+            "city_id",
+            day,
+            "closest",
+            f"explode(array(int(floor(closest / {2 * half}D)), int(floor(closest / {2 * half}D)) + 1)) as ring",
+        )
+        .join(ringed, ["city_id", "ring"])
+        .where(f"centre_km - {half}D <= closest + {half}D")
+        .join(filled, cell)
+        .selectExpr(*sides, "false as counts")
+    )
+    opened = cut.unionByName(nearby).selectExpr("*", "explode(sequence(0, slots - 1)) as slot").drop("slots")
+    dealt = points.join(
+        F.broadcast(filled.where("slots > 1").select(*cell, "slots")), cell, "left"
+    ).selectExpr(
+        *cell, "lat", "lon", "n", "if(slots is null, 0, int(pmod(xxhash64(lat, lon), slots))) as slot"
+    )
+    measured = opened.join(dealt, [*cell, "slot"]).withColumn(
         "km", haversine_km("lat", "lon", "site_lat", "site_lon")
     )
     single = measured.selectExpr(
-        "city_id", day, *[f"if({cut[b]} and km <= {b}, n, 0) as w{b}" for b in bands], "km"
+        "city_id",
+        day,
+        *[f"if(counts and {edge[b]} and km <= {b}, n, 0) as w{b}" for b in bands],
+        "km",
     )
     return (
-        whole.unionByName(single)
+        whole.drop("closest")
+        .withColumn("km", F.lit(None).cast("double"))
+        .unionByName(single)
         .groupBy("city_id", day)
         .agg(
             *[F.sum(f"w{b}").alias(f"hotspots_within_{b}km") for b in bands],

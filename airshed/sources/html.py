@@ -15,6 +15,7 @@ from airshed.functions.text import SEPARATOR
 TABLE = r"(?is)<table\b[^>]*>(.*?)</table>"
 ROW = r"(?is)<tr\b[^>]*>(.*?)(?=<tr\b|</tr|\z)"
 CELL = r"(?is)<t[hd]\b[^>]*>(.*?)(?=<t[hd]\b|</t[hd]|\z)"
+CELL_START = r"(?i)<t[hd]\b[^>]*>"
 ANCHOR = r"(?is)<a\b[^>]*>.*?</a>"
 HREF = r"(?is)^<a\b[^>]*?\bhref\s*=\s*[\"']?([^\"'\s>]*)"
 HEADER_WORDS = ("date", "aqhi", "category")
@@ -59,24 +60,28 @@ def table_rows(
 ) -> DataFrame:
     """One row per data row of each page's result table: named fields, row text, cells."""
     keep = [c for c in pages.columns if c != html]
-    found = pages.select(*keep, result_table(F.col(html)).alias("t")).where(F.col("t").isNotNull())
-    rows = found.select(
+    found = pages.select(*keep, result_table(F.col(html)).alias("t"))
+    # Header positions once per page, cells once per row; pages without a table explode to nothing.
+    headed = found.select(
         *keep,
-        F.col("t.at").alias("table_index"),
+        "t",
         F.transform(_cells(F.get("t.rows", F.lit(0))), lambda c: F.lower(c)).alias("header"),
-        F.posexplode(F.transform("t.rows", _cells)).alias("row_index", "cells"),
-    ).where((F.col("row_index") > 0) & (F.size("cells") > 0))
-
-    def field(name: str) -> Column:
-        at = F.array_position("header", name)
-        return F.when(at > 0, F.get("cells", (at - 1).cast("int")))
-
-    return rows.select(
+    ).select(*keep, "t", *[F.array_position("header", f).alias(f"at_{f}") for f in fields])
+    rows = headed.select(
         *keep,
+        F.col("t.at").alias("table_index"),
+        *[f"at_{f}" for f in fields],
+        F.posexplode("t.rows").alias("row_index", "tr"),
+    ).where((F.col("row_index") > 0) & F.col("tr").rlike(CELL_START))
+    return rows.withColumn("cells", _cells(F.col("tr"))).selectExpr(
+        *[f"`{c}`" for c in keep],
         "table_index",
         "row_index",
-        *[F.nullif(field(f), F.lit("")).alias(f) for f in fields],
-        F.array_join("cells", SEPARATOR).alias("row_text"),
+        *[
+            f"if(at_{f} > 0, nullif(get(cells, int(at_{f} - 1)), ''), null) as `{f}`"
+            for f in fields
+        ],
+        f"array_join(cells, '{SEPARATOR}') as row_text",
         "cells",
     )
 

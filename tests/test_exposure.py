@@ -51,16 +51,16 @@ def test_city_exposure_equals_brute_force(spark):
     check(exposure.city_exposure(df), brute(data, [(c[0], c[3], c[4]) for c in CITIES]))
 
 
-@pytest.mark.parametrize("cell", [0.1, 0.25, 2.0])
+@pytest.mark.parametrize(("cell", "crowded"), [(0.1, 100_000), (0.25, 1), (2.0, 10)])
 @pytest.mark.parametrize("box", [(41.5, 57.0, -95.5, -74.0), (-20.0, 20.0, 170.0, 179.9), (70.0, 88.0, -180.0, 180.0)])
-def test_cell_join_equals_brute_force(spark, cell, box):
+def test_cell_join_equals_brute_force(spark, cell, crowded, box):
     if cell == 0.1 and box[1] > 80:
         pytest.skip("polar cells this small are many")
     data = points(300, box)
     rnd = random.Random(1)
     sites = [(i, rnd.uniform(*box[:2]), rnd.uniform(*box[2:])) for i in range(6)] + [(99, box[0], -179.9)]
     df = spark.createDataFrame(data, "uid int, date date, lat double, lon double")
-    got = exposure.site_exposure(df, literal_rows(spark, ["city_id", "site_lat", "site_lon"], sites), cell_degrees=cell, salt=3)
+    got = exposure.site_exposure(df, literal_rows(spark, ["city_id", "site_lat", "site_lon"], sites), cell_degrees=cell, crowded=crowded)
     check(got, {k: v for k, v in brute(data, sites).items() if v[2] > 0})
 
 
@@ -105,3 +105,15 @@ def test_box_and_period(spark):
         exposure.bbox_time_filter(df, "2026-07-03", "2026-07-01")
     with pytest.raises(ValueError):
         exposure.bbox_time_filter(df, "July 1", "2026-07-01")
+
+
+def test_filters_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "hot")
+    data = [(i, dt.datetime(2026, 7, 1), a, b, "x") for i, _, a, b in points(20)]
+    spark.createDataFrame(data, "uid int, rep_date timestamp_ntz, lat double, lon double, agency string").write.parquet(path)
+    df = spark.read.parquet(path)
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    for picked in (exposure.bbox_time_filter(df, "2026-07-01", "2026-07-03"), exposure.inside_outline(df)):
+        plan = picked.select("uid")._jdf.queryExecution().executedPlan().toString()
+        assert "GreaterThanOrEqual(lat" in plan and "LessThanOrEqual(lon" in plan
+        assert "agency" not in plan
