@@ -74,6 +74,18 @@ def open_per_day(events: DataFrame, city: str = "city") -> DataFrame:
     )
 
 
+def annotations(events: DataFrame, city: str = "city") -> DataFrame:
+    """Which events overlap a city-day, one row per event and day, for display beside the fact."""
+    valid = events.withColumn("__end", known_end()).where(F.col("__end") >= F.col("start_date"))
+    return valid.select(
+        city,
+        F.explode(F.sequence("start_date", "__end")).alias("date"),
+        "event_id",
+        "community",
+        "status",
+    )
+
+
 def evacuation_facts(log: DataFrame, cities: DataFrame) -> DataFrame:
     """fact_evacuation_events: latest known state per event, linked to a city where one is named."""
     return log.join(

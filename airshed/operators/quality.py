@@ -194,8 +194,13 @@ def distinct_locations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def sorted_nulls_last(df: DataFrame, *columns: str) -> DataFrame:
-    """Ascending with nulls at the end, which is not Spark's default."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in columns])
+    """Sorted with nulls at the end, which is not Spark's default; "-name" sorts descending."""
+    return df.orderBy(
+        *[
+            F.col(c[1:]).desc_nulls_last() if c.startswith("-") else F.col(c).asc_nulls_last()
+            for c in columns
+        ]
+    )
 
 
 def preview(df: DataFrame, order_by: Sequence[str], n: int) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from airshed.config import MIN_VALID_HOURS, STANDARD_OFFSET_HOURS
+from airshed.config import CIVIL_ZONE, MIN_VALID_HOURS, STANDARD_OFFSET_HOURS
 from airshed.functions import wind
 from airshed.functions.moments import civil_date, hour_index, lst_to_utc
 from airshed.operators.quality import n_rows
@@ -157,6 +157,38 @@ def hour_gaps(df: DataFrame, station: str = "station_id", threshold: int = 1) ->
     )
 
 
+def station_coverage(df: DataFrame, station: str = "station_id") -> DataFrame:
+    """First and last hour, rows and distinct days per station."""
+    per_day = df.groupBy(station, F.col("date_time_lst").cast("date").alias("d")).agg(
+        F.min("date_time_lst").alias("lo"), F.max("date_time_lst").alias("hi"), n_rows().alias("n")
+    )
+    return per_day.groupBy(station).agg(
+        F.min("lo").alias("first_hour"),
+        F.max("hi").alias("last_hour"),
+        F.sum("n").alias("row_count"),
+        F.count(F.lit(1)).alias("days_with_rows"),
+    )
+
+
+def clock_change_days(df: DataFrame, station: str = "station_id", zone: str = CIVIL_ZONE) -> DataFrame:
+    """Hours seen on the days the civil clock changes. Local standard time has 24 hours on these
+    days too, so any other number means the stamps are not what they claim to be."""
+    per_day = df.groupBy(station, F.col("date_time_lst").cast("date").alias("date")).agg(
+        F.expr(HOURS_SEEN.format(when="true")).alias("hours")
+    )
+
+    def midnight_utc(day: str) -> Column:
+        local = F.expr(f"cast({day} as timestamp_ntz)")
+        return F.convert_timezone(F.lit(zone), F.lit("UTC"), local)
+
+    length = hour_index(midnight_utc("date_add(date, 1)")) - hour_index(midnight_utc("date"))
+    return (
+        per_day.withColumn("civil_day_hours", length.cast("int"))
+        .where("civil_day_hours <> 24")
+        .withColumn("is_standard_time", F.col("hours") == 24)
+    )
+
+
 def hour_runs(df: DataFrame, station: str = "station_id") -> DataFrame:
     """Unbroken stretches of hours per station."""
     order = W.partitionBy(station).orderBy("hour_no")

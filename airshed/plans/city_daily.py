@@ -28,8 +28,8 @@ def assemble(
 ) -> DataFrame:
     """The grid with all three daily tables.
 
-    ``fire_days`` lists the days a hotspot extract covered. A covered day without hotspots is a
-    true zero with no nearest distance; an uncovered day is unknown. Every input is already at
+    ``fire_days`` (date, ok) says which days a hotspot extract covered. A covered day without
+    hotspots is a true zero with no nearest distance; any other day is unknown. Every input is already at
     city-day grain, so the joins move the small daily tables only, all on the same two keys.
     """
     ids = ", ".join(f"'{c[1]}', {c[0]}" for c in CITIES)
@@ -48,7 +48,7 @@ def assemble(
         "wind_dir_mean_deg",
         "weather_data_available as wx_ok",
     )
-    covered = fire_days.selectExpr("date as date_id", "true as fire_ok")
+    covered = fire_days.selectExpr("date as date_id", "ok as fire_ok")
     keys = ["city_id", "date_id"]
     joined = (
         grid.join(covered, "date_id", "left")

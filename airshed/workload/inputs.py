@@ -261,9 +261,9 @@ def station_candidates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fire_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Days a hotspot extract covered: all days with events but for planted outages."""
+    """Every day with events and whether its hotspot extract succeeded; some outages are planted."""
     days = table(spark, sf, "events").selectExpr("cast(ts as date) as date").distinct()
-    return days.where("dayofmonth(date) % 7 <> 3")
+    return days.selectExpr("date", "dayofmonth(date) % 7 <> 3 as ok")
 
 
 def grid_bounds(spark: SparkSession, sf: str) -> DataFrame:

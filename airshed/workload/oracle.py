@@ -185,7 +185,7 @@ VIEWS = {
     select cast(unnest(generate_series(cast(lo as timestamp), cast(hi as timestamp), interval 1 day)) as date) as date_id
     from (select min(date) as lo, max(date) as hi from obs)""",
     "fire_days": """
-    select distinct cast(ts as date) as date from events where dayofmonth(ts) % 7 <> 3""",
+    select distinct cast(ts as date) as date, dayofmonth(ts) % 7 <> 3 as ok from events""",
     "exposure": f"""
     select city_id, date,
       count(*) filter (where km <= 100) as hotspots_within_100km,
@@ -243,7 +243,7 @@ VIEWS = {
       w.temp_mean, w.temp_min, w.temp_max, w.precip_total, w.wind_speed_mean, w.wind_dir_mean_deg,
       coalesce(w.valid_hours >= 18, false) as weather_data_available
     from (select c.city_id, c.city_name, d.date_id from city c cross join days d) g
-    left join fire_days f on f.date = g.date_id
+    left join fire_days f on f.date = g.date_id and f.ok
     left join (select city, date, max(case when value_type = 'daily_4pm' then aqhi end) as a4,
                  max(case when value_type = 'daily_max' then aqhi end) as am, bool_or(any_10_plus) as plus
                from city_day group by all) a on a.city = g.city_name and a.date = g.date_id
@@ -846,6 +846,13 @@ def statements() -> dict[str, str]:
           select nearby_project_city, cast(unnest(generate_series(cast(start_date as timestamp), cast(last_day as timestamp), interval 1 day)) as date) as d
           from known where last_day >= start_date) group by nearby_project_city, d""",
     )
+    add(
+        "evac_annotations",
+        ["known"],
+        """select nearby_project_city, cast(d as varchar) as date, event_id, community, status from (
+          select *, cast(unnest(generate_series(cast(start_date as timestamp), cast(last_day as timestamp), interval 1 day)) as date) as d
+          from known where last_day >= start_date)""",
+    )
     add(
         "evac_episodes",
         ["known"],
@@ -1103,6 +1110,12 @@ def statements() -> dict[str, str]:
         f"""select station_id, cast(p as varchar) as gap_start, cast(t as varchar) as gap_end, date_diff('hour', p, t) as gap_hours
         from (select *, lag(t) over (partition by station_id order by t) as p from ({hours})) where date_diff('hour', p, t) > 1""",
     )
+    add(
+        "station_coverage",
+        ["wx"],
+        "select station_id, cast(min(date_time_lst) as varchar) as first_hour, cast(max(date_time_lst) as varchar) as last_hour, "
+        "count(*) as row_count, count(distinct cast(date_time_lst as date)) as days_with_rows from wx group by station_id",
+    )
     add(
         "hour_runs",
         ["wx"],

@@ -520,6 +520,11 @@ def evac_overlap_days(spark, sf):
     return evacuation.open_per_day(inputs.evacuation_log(spark, sf), "nearby_project_city")
 
 
+@query
+def evac_annotations(spark, sf):
+    return evacuation.annotations(inputs.evacuation_log(spark, sf), "nearby_project_city")
+
+
 @query
 def evac_episodes(spark, sf):
     log = inputs.evacuation_log(spark, sf)
@@ -735,6 +740,11 @@ def hour_gaps(spark, sf):
     return weather.hour_gaps(inputs.weather(spark, sf))
 
 
+@query
+def station_coverage(spark, sf):
+    return weather.station_coverage(inputs.weather(spark, sf))
+
+
 @query
 def hour_runs(spark, sf):
     return weather.hour_runs(inputs.weather(spark, sf))

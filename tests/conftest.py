@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -18,6 +19,7 @@ def spark():
             "spark.sql.shuffle.partitions": "4",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="airshed-tests-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

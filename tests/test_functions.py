@@ -78,3 +78,20 @@ def test_distance(spark):
     assert km[0] == pytest.approx(85.4, abs=0.3)
     assert km[1] == pytest.approx(20015.1, abs=0.1)
     assert km[2] == 0
+
+
+def test_shared_folder_is_the_one_the_cluster_names(spark):
+    from types import SimpleNamespace as Fake
+
+    from airshed.session import settle, shared_dir
+
+    assert shared_dir(spark) == spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    five = settle(spark.range(5), "five")
+    assert five.count() == 5 and shared_dir(spark) in five.inputFiles()[0]
+
+    def unset(master):
+        return Fake(conf=Fake(get=lambda key, default: default), sparkContext=Fake(master=master, applicationId=master))
+
+    assert shared_dir(unset("local[2]")) == shared_dir(unset("local[2]"))
+    with pytest.raises(RuntimeError):
+        shared_dir(unset("yarn"))

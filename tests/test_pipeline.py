@@ -41,7 +41,7 @@ def sources(spark):
 
 def test_landing_to_facts_twice(spark, tmp_path):
     store = Store(spark, str(tmp_path))
-    fire_days = spark.sql("select date'2024-01-02' as date union all select date'2024-01-04'")
+    fire_days = spark.sql("select * from values (date'2024-01-02', true), (date'2024-01-03', false), (date'2024-01-04', true) as t(date, ok)")
     for _ in range(2):  # a second run replaces, it does not add
         load_staging(store, sources(spark))
         load_dimensions(store, "2024-01-01", str(dt.date(2024, 1, 1) + dt.timedelta(DAYS - 1)))

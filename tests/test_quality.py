@@ -159,3 +159,9 @@ def test_keep_one_and_latest(rows):
 def test_missing_column_is_an_error(df):
     with pytest.raises(ValueError, match="nope"):
         quality.require_columns(df, ["date", "nope"])
+
+
+def test_mixed_order_with_nulls_last(rows):
+    df = rows([(2024, 1), (2024, None), (None, 5), (2024, 9), (2023, 2)], "y int, n int")
+    got = [tuple(r) for r in quality.sorted_nulls_last(df, "y", "-n").collect()]
+    assert got == [(2023, 2), (2024, 9), (2024, 1), (2024, None), (None, 5)]

@@ -85,3 +85,17 @@ def test_fallback_and_primary_station(spark):
     ).selectExpr("*", "date'2020-01-01' as first_date", "date'2027-01-01' as last_date")
     r = dicts(weather.primary_station(cand, "2024-01-01", "2026-07-31", ["has_wind"]))
     assert r == [{"city": "K", "station_id": 2, "operator": "ECCC-MSC", "distance_km": 9.0, "fit_candidates": 3}]
+
+
+def test_clock_changes_leave_standard_time_alone(spark):
+    """2024-03-10 has 23 civil hours and 2024-11-03 has 25; standard time always has 24."""
+    data = hours(48, dt.datetime(2024, 3, 10)) + [r for r in hours(24, dt.datetime(2024, 11, 3)) if r[0] != 2]
+    df = spark.createDataFrame(data, DDL)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    for zone in ("UTC", "America/Toronto"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        got = sorted(as_set(weather.clock_change_days(df)))
+        spark.conf.set("spark.sql.session.timeZone", before)
+        assert got == [(1, dt.date(2024, 3, 10), 24, 23, True), (1, dt.date(2024, 11, 3), 23, 25, False)]
+    cover = weather.station_coverage(df).first()
+    assert (cover["row_count"], cover["days_with_rows"]) == (71, 3)
