@@ -6,14 +6,34 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import decontaminate, ngram_join, packing, quality, secrets
+from airshed.llm import decontaminate, embed_dedup, html_extract, langid, ngram_join, packing, pii, quality, secrets, url_filter
 from airshed.llm.common import table
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.digest(table(spark, sf_dir, "pages"))
+
+
+def op2_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.digest(table(spark, sf_dir, "pages"))
+
+
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(table(spark, sf_dir, "documents"))
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.digest(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.deduplicated(table(spark, sf_dir, "embeddings"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.sequences(table(spark, sf_dir, "documents"))
 
@@ -32,5 +52,16 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op5_decontamination, op7_packing, op8_quality, op9_secrets, op10_ngram_join)
+    for f in (
+        op1_html,
+        op2_urls,
+        op3_pii,
+        op4_language,
+        op5_decontamination,
+        op6_embeddings,
+        op7_packing,
+        op8_quality,
+        op9_secrets,
+        op10_ngram_join,
+    )
 }
