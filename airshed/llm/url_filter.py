@@ -1,7 +1,7 @@
 """URL verdicts by rules and by trust and distrust along links.
 
-A rule that fits decides. For the rest, hosts with allowed pages are trusted seeds and hosts with
-blocked pages are distrusted ones. Trust walks along the links of the pages (personalised PageRank
+A rule that fits decides. For the rest, hosts with allowed and without blocked pages are trusted
+seeds, and hosts whose pages are all blocked are distrusted ones. Trust walks along the links of the pages (personalised PageRank
 from the trusted seeds); distrust walks against them: who links to blocked hosts earns some of it.
 A host is blocked when most of what reached it is distrust. All of it is DataFrame operations.
 """
@@ -87,16 +87,13 @@ def spread(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: floa
 
 def host_scores(pages: DataFrame, rules: tuple = RULES) -> DataFrame:
     """host, trust, distrust of each host that trust or distrust reaches."""
-    known = settle(
-        pages.select(host_of(F.col("url")).alias("host"), fitting(host_of(F.col("url")), path_of(F.col("url")), rules).alias("r"))
-        .groupBy("host")
-        .agg(F.max(F.col("r.verdict") == "allow").alias("allowed"), F.max(F.col("r.verdict") == "block").alias("blocked"))
-        .where("host <> ''"),
-        "url-hosts",
-    )
+    verdict = fitting(host_of(F.col("url")), path_of(F.col("url")), rules)["verdict"]
+    part = lambda v: F.sum(F.when(F.col("verdict") == v, 1).otherwise(0)).alias(v)
+    known = pages.select(host_of(F.col("url")).alias("host"), verdict.alias("verdict")).where("host <> ''")
+    known = settle(known.groupBy("host").agg(part("allow"), part("block"), F.count("*").alias("pages")), "url-hosts")
     seeds = None
-    for kind, column, other in (("trust", "allowed", "blocked"), ("distrust", "blocked", "allowed")):
-        of_kind = known.where(F.col(column) & ~F.coalesce(F.col(other), F.lit(False)))
+    for kind, chosen in (("trust", "allow > 0 and block = 0"), ("distrust", "block = pages")):
+        of_kind = known.where(chosen)
         n = of_kind.count()
         of_kind = of_kind.select(F.lit(kind).alias("kind"), "host", F.lit(1.0 / max(n, 1)).alias("score"))
         seeds = of_kind if seeds is None else seeds.unionByName(of_kind)
