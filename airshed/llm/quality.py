@@ -26,6 +26,7 @@ BUCKETS = 1 << 17  # hashed n-grams; bounds the model, whatever the corpus
 SLICE = 1024  # buckets whose counts travel in one row
 LABELS = 40_000  # labelled documents of either class that the target model and the cut are fitted on
 PRIOR = 5.0  # n-grams seen about as often say little
+COST = 3.0  # of a good document lost, in bad ones kept
 SEED = 20
 
 _TOKEN = re.compile(rb"[A-Za-z\x80-\xff]+|[0-9]+|[^\sA-Za-z0-9\x80-\xff]+")
@@ -139,24 +140,19 @@ def scored(docs: DataFrame, labels: DataFrame, limit: int = LABELS) -> DataFrame
     return mapped(marked, f"`{weight}` double", fill)
 
 
-def cut(points: list[tuple[float, bool]]) -> float:
-    """The weight that parts good from bad best (mean of both shares told right; lowest of equals).
+def cut(points: list[tuple[float, bool]], cost: float = COST) -> float:
+    """The weight from which on documents count as good: the one that tells most labelled bad ones
+    apart, less ``cost`` times the good ones lost by it; the lowest of equals.
 
-    Minus infinity if either class is missing: nothing is then known to be bad.
+    Minus infinity if no weight gains anything, so also without labels of both classes.
     """
-    good = sum(g for _, g in points)
-    bad = len(points) - good
-    if not good or not bad:
-        return float("-inf")
-    best, at = 1.0, float("-inf")
-    lost = right = 0
+    best, at = 0.0, float("-inf")
+    gain = 0.0
     points = sorted(points)
-    for i, (x, g) in enumerate(points):
-        lost, right = lost + g, right + (not g)
-        if i + 1 < len(points) and points[i + 1][0] > x:
-            told = right / bad + 1 - lost / good
-            if told > best:
-                best, at = told, points[i + 1][0]
+    for i, (x, good) in enumerate(points):
+        gain += -cost if good else 1
+        if i + 1 < len(points) and points[i + 1][0] > x and gain > best:
+            best, at = gain, points[i + 1][0]
     return at
 
 
@@ -172,8 +168,8 @@ def resampled(
     good, weight = rows.columns[-2:]
     key, kept = free_name(rows, "sample_key"), free_name(rows, "kept")
     rows = settle(rows.withColumn(key, F.col(weight) + gumbel(seed, "doc_id", "text")).drop(*drop), "quality-scores")
-    points = [tuple(r) for r in rows.where(F.col(good).isNotNull()).groupBy(weight, good).count().select(weight, good).collect()]
-    at = cut(points)
+    points = rows.where(F.col(good).isNotNull()).select(weight, good).collect()  # the label sample
+    at = cut([tuple(r) for r in points])
     k = rows.where(F.col(weight) >= at).count()
     return rows.withColumn(kept, F.col(key) >= F.lit(kth_largest(rows, key, k)))
 
