@@ -17,6 +17,8 @@ from airshed.session import settle
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = ASCII_UPPER.lower()
 
+FEW = 1_000_000  # edges, of 16 bytes, that one task holds at most
+
 #: Bytes of a word are digits, letters and everything beyond ASCII; all others part words.
 _WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -124,43 +126,48 @@ def keyed(df: DataFrame, name: str, key: str) -> DataFrame:
     return settle(df.withColumn(key, F.monotonically_increasing_id()), name)
 
 
-def connected(edges: DataFrame, name: str, rounds: int = 60) -> DataFrame:
+def connected(edges: DataFrame, name: str, few: int = FEW, rounds: int = 60) -> DataFrame:
     """Components of undirected edges (a long, b long): columns node, component (its smallest node).
 
     Alternating star contraction: every node hands its neighbours to the smallest of them. Each
     round is written to the shared folder, so a lost executor repeats one round at most, and the
-    driver sees only a row count and a checksum. Nodes without an edge are not listed.
+    driver sees only a row count and a checksum. At most ``few`` edges are done by one task instead,
+    to the same result. Nodes without an edge are not listed.
     """
-
-    def stable(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(20,0)"))).first())
-
-    e = edges.where(F.col("a") != F.col("b")).select(
-        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
-    )
+    e = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     e = settle(e.distinct(), name)
-    seen = stable(e)
+    n, check = _state(e)
+    if n <= few:
+        return e.coalesce(1).mapInArrow(_union, "node long, component long")
     for _ in range(rounds):
-        if not seen[0]:
-            break
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where(F.col("v") > F.col("u")).join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where(F.col("u") != F.col("v")).distinct()
+        large = large.where(F.col("u") != F.col("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u")
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
-            least.select("u", F.col("m").alias("v"))
-        )
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = small.unionByName(least.select("u", F.col("m").alias("v")))
         e = settle(small.where(F.col("u") != F.col("v")).distinct(), name)
-        now = stable(e)
-        if now == seen:
+        before, (n, check) = (n, check), _state(e)
+        if before == (n, check):
             break
-        seen = now
     else:
         raise RuntimeError(f"components did not settle in {rounds} rounds")
-    roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+    stars = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(stars)
+
+
+def _state(e: DataFrame) -> tuple:
+    return tuple(e.agg(F.count("*"), F.sum(F.hash("u", "v").cast("decimal(20,0)"))).first())
+
+
+def _union(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts = [np.stack([b["u"].to_numpy(), b["v"].to_numpy()]) for b in batches]
+    if parts:
+        node, place = np.unique(np.concatenate(parts, axis=1), return_inverse=True)
+        a, b = place.reshape(2, -1)
+        root = roots(len(node), a, b)
+        yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(node[root])], names=["node", "component"])
 
 
 def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
