@@ -16,9 +16,15 @@ def clean_text(c: Column) -> Column:
     return F.trim(c.cast("string"))
 
 
-def to_number(c: Column) -> Column:
-    """Number, or null where the text is none."""
-    return F.trim(c.cast("string")).try_cast("double")
+NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
+
+def number_sql(text: str) -> str:
+    """SQL for the number that a trimmed text spells out in decimal digits, else null.
+
+    A plain cast also reads NaN, Infinity and Java's suffixed literals such as 1d.
+    """
+    return f"if(rlike({text}, r'{NUMBER_PATTERN}'), try_cast({text} as double), cast(null as double))"
 
 
 def snake(c: Column) -> Column:

@@ -10,15 +10,13 @@ from pyspark.sql import functions as F
 
 from airshed.config import CIVIL_ZONE
 from airshed.functions.moments import civil_date, civil_hour, parse_date
-from airshed.functions.text import NULL_MARK, SEPARATOR
+from airshed.functions.text import NULL_MARK, SEPARATOR, number_sql
 from airshed.operators.grouping import HOT_ROWS, attach_facts, keep_one
 from airshed.operators.quality import group_sizes, year_mismatches
 
 STATION_YEAR = ["station_id", "station_name", "requested_year"]
 BOUNDARY_ISSUE = "possible_date_boundary_anomaly"
 YEAR_ISSUE = "date_outside_requested_year"
-# A report line joins at most this many readings; a date with more gets further lines.
-READINGS_PER_LINE = 1000
 
 
 def censored(df: DataFrame, source: str = "aqhi") -> DataFrame:
@@ -31,7 +29,7 @@ def censored(df: DataFrame, source: str = "aqhi") -> DataFrame:
         "*",
         f"{raw} as aqhi_raw",
         f"{raw} = '10+' as aqhi_is_10_plus",
-        f"try_cast(replace({raw}, '+', '') as double) as aqhi_numeric",
+        f"{number_sql(f"replace({raw}, '+', '')")} as aqhi_numeric",
     )
 
 
@@ -80,45 +78,37 @@ def _boundary_dates(df: DataFrame) -> DataFrame:
     )
 
 
-def daily_max_date_anomalies(
-    df: DataFrame,
-    row_id: str = "row_id",
-    per_line: int = READINGS_PER_LINE,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Date-boundary report with times and values joined in row order.
+def daily_max_date_anomalies(df: DataFrame, row_id: str = "row_id") -> DataFrame:
+    """Date-boundary report: one line per suspicious date, its times and values in row order.
 
-    A date with up to ``per_line`` records is one line. A larger one is cut by row number into
-    lines of at most ``per_line`` readings (``line_no`` tells them apart), so no reading is left
-    out and no task has to hold a whole hot date.
+    Equal readings (time and value) of a date are listed once, at the place of the first, so a line
+    is as long as the different readings of a date, however many records it has; their number is in
+    ``records_on_duplicated_date`` and the single rows are in ``date_anomaly_flags``.
     """
     keys = [*STATION_YEAR, "date"]
-    rows = df.where(F.col("value_type") == "daily_max").select(*keys, row_id, "time", "aqhi_raw")
-    found = attach_facts(
-        rows, _boundary_dates(df), keys, "records_on_duplicated_date", row_id, hot_rows=hot_rows
+    readings = (
+        df.where(F.col("value_type") == "daily_max")
+        .groupBy(*keys, "time", "aqhi_raw")
+        .agg(F.min(row_id).alias("k"))
     )
-    line = F.when(
-        F.col("records_on_duplicated_date") <= per_line, F.lit(0).cast("bigint")
-    ).otherwise(F.floor(F.col(row_id) / F.lit(per_line)).cast("bigint"))
+    found = readings.join(_boundary_dates(df), keys)
     ordered = F.array_sort(
         F.collect_list(
             F.struct(
-                F.col(row_id).alias("k"),
+                "k",
                 F.coalesce(F.col("time"), F.lit(NULL_MARK)).alias("t"),
                 F.coalesce(F.col("aqhi_raw"), F.lit(NULL_MARK)).alias("v"),
             )
         )
     )
     return (
-        found.withColumn("line_no", line)
-        .groupBy(*keys, "records_on_duplicated_date", "line_no")
+        found.groupBy(*keys, "records_on_duplicated_date")
         .agg(ordered.alias("r"))
         .select(
             *STATION_YEAR,
             F.date_sub("date", 1).alias("missing_previous_date"),
             F.col("date").alias("duplicated_reported_date"),
             "records_on_duplicated_date",
-            "line_no",
             F.array_join(F.col("r.t"), SEPARATOR).alias("reported_times"),
             F.array_join(F.col("r.v"), SEPARATOR).alias("reported_aqhi_values"),
             F.lit(BOUNDARY_ISSUE).alias("issue_type"),

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from airshed.operators.grouping import latest
+
 
 def known_end(end: str = "end_date", status: str = "status", as_of: str = "status_as_of_date", start: str = "start_date") -> Column:
     """Last day an event is known to last.
@@ -86,9 +88,16 @@ def annotations(events: DataFrame, city: str = "city") -> DataFrame:
     )
 
 
-def evacuation_facts(log: DataFrame, cities: DataFrame) -> DataFrame:
-    """fact_evacuation_events: latest known state per event, linked to a city where one is named."""
-    return log.join(
+def evacuation_facts(log: DataFrame, cities: DataFrame, row_id: str | None = None) -> DataFrame:
+    """fact_evacuation_events: latest known state per event, linked to a city where one is named.
+
+    The latest state is the one checked last; of those checked on one day the last row
+    (``row_id``). Rows without an event id name no event and are left to the rules.
+    """
+    order = ["status_as_of_date", *([row_id] if row_id else [])]
+    columns = ["event_id", "community", "nearby_project_city", "start_date", "end_date", "status", "source_url", *order]
+    states = latest(log.where(F.col("event_id").isNotNull()).select(*columns), ["event_id"], order)
+    return states.join(
         cities.select("city_id", F.col("city_name").alias("nearby_project_city")),
         "nearby_project_city",
         "left",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from airshed.functions.geo import haversine_km
 from airshed.functions.moments import strict_date
 from airshed.operators.grouping import literal_rows
 
-# Beyond this many sites the per-site expressions give way to the cell join.
-MAX_INLINE_SITES = 32
+# So many cities are measured in one scan; expressions for more would not compile well.
+CITIES_PER_SCAN = 32
 KM_PER_DEGREE = 111.2  # a little more than a degree of latitude
 
 
@@ -45,17 +46,18 @@ def city_exposure(
 ) -> DataFrame:
     """Per city and day: hotspots within each band, and the distance to the nearest one.
 
-    For a short list of cities each distance is an expression of the row, so one scan and one
-    partial aggregate per day do all the work; no row is joined or copied. A longer list goes
-    through ``site_exposure``.
+    Each distance is an expression of the row, so one scan and one partial aggregate per day do the
+    work for up to ``CITIES_PER_SCAN`` cities; more cities take further scans, to the same result.
+    The nearest distance is over all hotspots of the day; a day without any has no rows.
     """
-    if len(cities) > MAX_INLINE_SITES:
-        sites = literal_rows(
-            hotspots.sparkSession,
-            ["city_id", "site_lat", "site_lon"],
-            [(c[0], float(c[3]), float(c[4])) for c in cities],
-        )
-        return site_exposure(hotspots, sites, bands, day)
+    parts = [
+        _exposure_of(hotspots, cities[i : i + CITIES_PER_SCAN], bands, day)
+        for i in range(0, len(cities), CITIES_PER_SCAN)
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _exposure_of(hotspots: DataFrame, cities: Sequence[tuple], bands: Sequence[int], day: str) -> DataFrame:
     measured = hotspots.select(
         day, *[haversine_km("lat", "lon", c[3], c[4]).alias(f"km_{c[0]}") for c in cities]
     )

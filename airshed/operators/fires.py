@@ -14,10 +14,14 @@ from airshed.config import (
     STAGE_CODES,
 )
 from airshed.functions.moments import epoch_ms_to_utc
+from airshed.functions.text import number_sql
 from airshed.operators.grouping import latest, literal_rows
 from airshed.operators.quality import code_frequency
 
-NUMBER = "try_cast(trim(cast({} as string)) as double)"
+
+def number(field: str) -> str:
+    return number_sql(f"trim(cast({field} as string))")
+
 
 # Cleaned column -> source field.
 TEXT_FIELDS = {
@@ -85,13 +89,13 @@ def clean_fires(raw: DataFrame) -> DataFrame:
     if "response_type_code" in texts:
         extra["response_type_label"] = response_label("response_type_code")
     if "FIELD_FIRE_SIZE" in have:
-        extra["fire_size_hectares"] = NUMBER.format("FIELD_FIRE_SIZE")
+        extra["fire_size_hectares"] = number("FIELD_FIRE_SIZE")
     # The point's own coordinates stand in only when the attribute column is absent altogether.
     for new, old, fallback in (
         ("latitude", "FIELD_LATITUDE", "geometry_latitude"),
         ("longitude", "FIELD_LONGITUDE", "geometry_longitude"),
     ):
-        extra[new] = NUMBER.format(old) if old in have else fallback
+        extra[new] = number(old) if old in have else fallback
     known = "agency_fire_cause_code" in texts and "system_fire_cause_code" in texts
     extra |= cause_columns(
         "agency_fire_cause_code" if known else "cast(null as string)",

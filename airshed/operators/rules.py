@@ -104,10 +104,10 @@ def outside(c: str, low: float, high: float) -> Column:
     return (F.col(c) < low) | (F.col(c) > high)
 
 
-def coordinate_rules(lat: str = "latitude", lon: str = "longitude") -> list[RowRule]:
+def coordinate_rules(rule_id: str = "Q3", lat: str = "latitude", lon: str = "longitude") -> list[RowRule]:
     return [
-        RowRule("Q3_latitude", outside(lat, -90, 90), F.col(lat)),
-        RowRule("Q3_longitude", outside(lon, -180, 180), F.col(lon)),
+        RowRule(f"{rule_id}_latitude", outside(lat, -90, 90), F.col(lat)),
+        RowRule(f"{rule_id}_longitude", outside(lon, -180, 180), F.col(lon)),
     ]
 
 
@@ -121,8 +121,24 @@ def length_rules(limits: dict[str, int]) -> list[RowRule]:
     ]
 
 
+def city_rules(cities: DataFrame) -> DataFrame:
+    """Q1 to Q3 over the cities."""
+    rows = check_rows(
+        cities, F.col("city_id"), [*missing_rules("Q2_city", ["city_id", "city_name", "latitude", "longitude"]), *coordinate_rules("Q3_city")]
+    )
+    return union_all(
+        [rows, check_unique(cities, "Q1_city_id", ["city_id"]), check_unique(cities, "Q1_city_name", ["city_name"])]
+    )
+
+
+def date_rules(days: DataFrame) -> DataFrame:
+    """Q1 and Q2 over the calendar."""
+    rows = check_rows(days, F.col("date_id"), missing_rules("Q2_date", ["date_id"]))
+    return union_all([rows, check_unique(days, "Q1_date_id", ["date_id"])])
+
+
 def dimension_rules(stations: DataFrame, cities: DataFrame) -> DataFrame:
-    """Q1 to Q5 over the station register and its cities."""
+    """Q1 to Q5 over the station register; its cities have ``city_rules``."""
     rows = check_rows(
         stations,
         F.col("station_id"),
@@ -177,14 +193,14 @@ def evacuation_rules(log: DataFrame, cutoff: str, start: str = LOG_START) -> Dat
         log,
         e("event_id"),
         [
-            RowRule("Q8_id_format", ~e("event_id").rlike(r"^EVAC-\d{3,}$"), e("event_id")),
+            RowRule("Q8_id_format", ~F.coalesce(e("event_id"), F.lit("")).rlike(r"^EVAC-\d{3,}$"), e("event_id")),
             RowRule("Q9_start_date", e("start_date").isNull(), e("evacuation_start_date")),
             RowRule(
                 "Q9_end_date",
                 e("evacuation_end_date").isNotNull() & e("end_date").isNull(),
                 e("evacuation_end_date"),
             ),
-            RowRule("Q10_status", ~e("status").isin(EVENT_STATUSES), e("status")),
+            RowRule("Q10_status", ~F.coalesce(e("status"), F.lit("")).isin(EVENT_STATUSES), e("status")),
             RowRule(
                 "Q11_city",
                 ~F.coalesce(e("nearby_project_city"), F.lit("")).isin(
@@ -238,38 +254,46 @@ def fact_rules(fact: DataFrame, cities: DataFrame, days: DataFrame) -> DataFrame
         ~F.col(f)
         for f in ("fire_data_available", "aqhi_data_available", "weather_data_available")
     )
+    counted = [*counts, "nearest_hotspot_distance_km"]
+    air = F.coalesce("aqhi_daily_4pm", "aqhi_daily_max")
+    measured = [c for c in fact.columns if c.startswith(("temp_", "precip_", "wind_"))]
     rows = check_rows(
         fact,
         key,
         [
-            *[RowRule(f"Q17_{c}_without_source", no_fire & F.col(c).isNotNull(), F.col(c)) for c in counts],
+            *[RowRule(f"Q17_{c}_without_source", no_fire & F.col(c).isNotNull(), F.col(c)) for c in counted],
             *[
                 RowRule(f"Q17_{c}_unknown", F.col("fire_data_available") & F.col(c).isNull(), F.lit(c))
                 for c in counts
             ],
+            RowRule("Q17_aqhi_without_source", no_air & air.isNotNull(), air),
+            RowRule("Q17_aqhi_unknown", F.col("aqhi_data_available") & air.isNull(), F.lit("aqhi")),
+            *[
+                RowRule(f"Q17_{c}_incomplete", no_wx & F.col(c).isNotNull(), F.lit(c), "warning")
+                for c in measured
+            ],
             RowRule(
-                "Q17_aqhi_without_source",
-                no_air & (F.col("aqhi_daily_4pm").isNotNull() | F.col("aqhi_daily_max").isNotNull()),
-                F.coalesce("aqhi_daily_4pm", "aqhi_daily_max"),
-            ),
-            RowRule(
-                "Q17_weather_incomplete",
-                no_wx & F.col("temp_mean").isNotNull(),
+                "Q17_weather_unknown",
+                F.col("weather_data_available") & F.col("temp_mean").isNull(),
                 F.lit("temp_mean"),
-                "warning",
             ),
         ],
     )
-    per_city = fact.groupBy("city_id").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("date_id").alias("lo"), F.max("date_id").alias("hi")
-    )
-    holes = per_city.where(
-        F.col("rows") != F.datediff("hi", "lo") + 1
-    ).select(
-        F.lit("Q18_date_coverage").alias("rule_id"),
-        F.lit("error").alias("severity"),
-        text(F.col("city_id")).alias("entity_key"),
-        F.concat(F.col("rows").cast("string"), F.lit(" of "), (F.datediff("hi", "lo") + 1).cast("string")).alias("detail"),
+    # Every city has every day of the calendar; a repeated day does not stand for a missing one.
+    known = fact.join(days.select("date_id"), "date_id", "left_semi").select("city_id", "date_id").distinct()
+    present = known.groupBy("city_id").agg(F.count(F.lit(1)).alias("present"))
+    expected = days.agg(F.count_distinct("date_id")).scalar()
+    holes = (
+        cities.select("city_id")
+        .join(present, "city_id", "left")
+        .withColumn("expected", expected)
+        .where(F.col("expected") > F.coalesce("present", F.lit(0)))
+        .select(
+            F.lit("Q18_date_coverage").alias("rule_id"),
+            F.lit("error").alias("severity"),
+            text(F.col("city_id")).alias("entity_key"),
+            F.concat(F.coalesce("present", F.lit(0)).cast("string"), F.lit(" of "), F.col("expected").cast("string")).alias("detail"),
+        )
     )
     return union_all(
         [

@@ -71,6 +71,27 @@ def with_vectors(df: DataFrame) -> DataFrame:
     )
 
 
+def station_hours(df: DataFrame, keys: Sequence[str], station: str = "station_id") -> DataFrame:
+    """One row per station and hour: the mean of what its rows say, and how many rows there were.
+
+    An amount of precipitation that is flagged as missing or negative is none; the same hour landed
+    twice counts once. Keys are kept beside the station.
+    """
+    flagged = "coalesce(precip_flag = 'M', false)" if "precip_flag" in df.columns else "false"
+    amount = f"if(precip < 0 or {flagged}, null, precip)"
+    values = ["temp", "rh", "wind_dir_10s_deg", "wind_speed", "wind_u", "wind_v"]
+    by = list(dict.fromkeys([*keys, station]))
+    return (
+        with_vectors(df)
+        .groupBy(*by, F.date_trunc("hour", "date_time_lst").cast("timestamp_ntz").alias("date_time_lst"))
+        .agg(
+            *[F.avg(c).alias(c) for c in values],
+            F.expr(f"avg({amount})").alias("precip"),
+            F.count(F.lit(1)).alias("landed_rows"),
+        )
+    )
+
+
 def daily_weather(
     df: DataFrame,
     keys: Sequence[str] = ("city",),
@@ -79,8 +100,10 @@ def daily_weather(
 ) -> DataFrame:
     """Hourly rows to daily features; the day is local standard time unless given.
 
-    A sum over nothing stays null. A day counts as available with at least ``min_hours`` distinct
-    hours of temperature; the hours are counted as bits, so no distinct aggregate is needed.
+    Rows are first brought to one per station and hour (``station_hours``), so repeated hours add
+    nothing; ``repeated_rows`` counts them. A sum over nothing stays null. A day counts as available
+    with at least ``min_hours`` distinct hours of temperature; the hours are counted as bits, so no
+    distinct aggregate is needed. Sums run over the stations given: choose one per city before.
     """
     aggregates = [f"{f}({c}) as {c}_{n}" for c in ("temp", "rh") for n, f in STATISTICS.items()]
     aggregates += [
@@ -91,11 +114,12 @@ def daily_weather(
         "avg(wind_v) as wind_v_mean",
         f"{wind.vector_direction('avg(wind_u)', 'avg(wind_v)')} as wind_dir_mean_deg",
         "count(1) as hourly_rows",
+        "sum(landed_rows) - count(1) as repeated_rows",
         f"coalesce({HOURS_SEEN.format(when='temp is not null')}, 0) as valid_hours",
         *[f"avg(double({c} is null)) * 100 as {c}_missing_pct" for c in FIELDS],
         f"coalesce({HOURS_SEEN.format(when='temp is not null')}, 0) >= {min_hours} as weather_data_available",
     ]
-    on_day = with_vectors(df).withColumn("date", F.expr(day))
+    on_day = station_hours(df, keys).withColumn("date", F.expr(day))
     return on_day.groupBy(*keys, "date").agg(*[F.expr(a) for a in aggregates])
 
 
@@ -212,11 +236,11 @@ def fallback_reading(
     priority: str = "priority",
     station: str = "station_id",
     tie: str = "row_id",
-    enabled: bool = True,
+    enabled: bool = False,
 ) -> DataFrame:
     """Each field from the best-ranked station that has it, and which station that was.
 
-    Switched off, only rank-1 stations count.
+    Unless ``enabled``, only rank-1 stations count.
     """
     rows = df if enabled else df.where(F.col(priority) == 1)
 

@@ -13,16 +13,17 @@ from pyspark.sql import functions as F
 
 from airshed.operators import aqhi, evacuation, exposure, fires, rules, weather
 from airshed.plans import city_daily, dimensions
-from airshed.sources.files import read_table, write_table
+from airshed.sources.files import read_table, replace_load, write_table
 
-# Staging table -> column its month partition is taken from.
+# Staging table -> column its month partition is taken from, and what one delivery replaces as a
+# whole: all rows that an earlier load has under the same values of these columns.
 STAGING = {
-    "cwfis_hotspots": "rep_date",
-    "aqhi_geomet_current": "observation_datetime",
-    "aqhi_aqo_historical": "date",
-    "ontario_active_fires": "snapshot_downloaded_at_utc",
-    "eccc_hourly_weather": "date_time_lst",
-    "evacuation_log": "start_date",
+    "cwfis_hotspots": ("rep_date", ["uid"]),
+    "aqhi_geomet_current": ("observation_datetime", ["id"]),
+    "aqhi_aqo_historical": ("date", ["station_id", "value_type", "requested_year"]),
+    "ontario_active_fires": ("snapshot_downloaded_at_utc", ["snapshot_downloaded_at_utc"]),
+    "eccc_hourly_weather": ("date_time_lst", ["station_id", "month"]),
+    "evacuation_log": ("start_date", ["event_id", "status_as_of_date"]),
 }
 
 
@@ -40,12 +41,33 @@ class Store:
         return read_table(self.spark, self.path(layer, name))
 
 
-def load_staging(store: Store, sources: dict[str, DataFrame]) -> None:
-    """Each source at its own grain, partitioned by month; an empty source still makes a table."""
+def load_staging(store: Store, sources: dict[str, DataFrame], load: int = 0) -> None:
+    """Each source at its own grain, by load and month; an empty source still makes a table.
+
+    Loads are numbered by the caller. A load adds its rows beside those of the others and replaces
+    only itself when it is run again, so nothing that was landed before is lost; ``staged`` tells
+    which rows count.
+    """
     for name, df in sources.items():
-        month = F.date_format(F.col(STAGING[name]).cast("date"), "yyyy-MM")
-        staged = df.withColumn("month", F.coalesce(month, F.lit("undated")))
-        write_table(staged, store.path("staging", name), ["month"])
+        month = F.date_format(F.col(STAGING[name][0]).cast("date"), "yyyy-MM")
+        rows = df.withColumn("month", F.coalesce(month, F.lit("undated")))
+        replace_load(rows, store.path("staging", name), load, ["month"])
+
+
+def staged(store: Store, name: str) -> DataFrame:
+    """The rows of a staging table that count: of each delivery unit those of its last load.
+
+    Rows of one load are all kept, repeats too: staging holds the source grain. A unit with a null
+    in its columns is a unit as well.
+    """
+    rows = store.read("staging", name)
+    unit = STAGING[name][1]
+    last = rows.groupBy(*unit).agg(F.max("load").alias("__load"))
+    last = last.select(*[F.col(c).alias(f"__{c}") for c in unit], "__load")
+    same = F.col("load") == F.col("__load")
+    for c in unit:
+        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return rows.join(last, same, "left_semi").drop("load")
 
 
 def load_dimensions(store: Store, first_day: str, last_day: str) -> None:
@@ -64,16 +86,16 @@ def load_dimensions(store: Store, first_day: str, last_day: str) -> None:
 def load_facts(store: Store, fire_days: DataFrame, aqhi_rule: str = "mean") -> None:
     """The city-day fact by month, the evacuation events, and the fire snapshots beside it."""
     days = store.read("analytics", "dim_date").select("date_id")
-    hotspots = store.read("staging", "cwfis_hotspots").withColumn(
+    hotspots = staged(store, "cwfis_hotspots").withColumn(
         "date", F.col("rep_date").cast("date")
     )
     fact = city_daily.assemble(
         dimensions.city_day_grid(days),
         aqhi.city_daily(
-            aqhi.station_daily(store.read("staging", "aqhi_aqo_historical")), aqhi_rule
+            aqhi.station_daily(staged(store, "aqhi_aqo_historical")), aqhi_rule
         ),
         exposure.city_exposure(hotspots),
-        weather.daily_weather(store.read("staging", "eccc_hourly_weather")),
+        weather.daily_weather(staged(store, "eccc_hourly_weather")),
         fire_days,
     )
     write_table(
@@ -83,12 +105,12 @@ def load_facts(store: Store, fire_days: DataFrame, aqhi_rule: str = "mean") -> N
     )
     write_table(
         evacuation.evacuation_facts(
-            store.read("staging", "evacuation_log"), store.read("analytics", "dim_city")
+            staged(store, "evacuation_log"), store.read("analytics", "dim_city")
         ),
         store.path("analytics", "fact_evacuation_events"),
     )
     write_table(
-        fires.clean_fires(store.read("staging", "ontario_active_fires").drop("month")),
+        fires.clean_fires(staged(store, "ontario_active_fires").drop("month")),
         store.path("analytics", "ref_active_fires_snapshot"),
         ["snapshot_downloaded_at_utc"],
     )
@@ -120,7 +142,7 @@ def row_counts(store: Store) -> DataFrame:
     ]
     return rules.union_all(
         [
-            store.read(layer, name)
+            (staged(store, name) if layer == "staging" else store.read(layer, name))
             .agg(F.count(F.lit(1)).alias("row_count"))
             .select(F.lit(layer).alias("layer"), F.lit(name).alias("table_name"), "row_count")
             for layer, name in tables

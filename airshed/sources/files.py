@@ -6,6 +6,7 @@ import json
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -76,14 +77,45 @@ def write_table(
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    _describe(df, path)
+
+
+def replace_load(df: DataFrame, path: str, load: int, partition_by: Sequence[str] = ()) -> None:
+    """The rows of one load of a table, in place of what that load wrote before, and of nothing else."""
+    rows = df.withColumn("load", F.lit(load).cast("int"))
+    out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    writer = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(f"{path}/load={load}")
+    _describe(rows, path)
+
+
+def _describe(df: DataFrame, path: str) -> None:
+    """Writes the table's schema: the columns known before, and new ones behind them.
+
+    A column keeps its type for good; a load that brings another one is refused.
+    """
     spark = df.sparkSession
-    described = spark.sql("select :schema as value", {"schema": df.schema.json()})
+    known = {f.name: f for f in _schema(spark, path).fields}
+    for f in df.schema.fields:
+        before = known.setdefault(f.name, T.StructField(f.name, f.dataType))
+        if before.dataType != f.dataType:
+            raise ValueError(f"{path}: {f.name} was {before.dataType.simpleString()}, now {f.dataType.simpleString()}")
+    described = spark.sql("select :schema as value", {"schema": T.StructType(list(known.values())).json()})
     described.write.mode("overwrite").text(f"{path}/_schema")
 
 
+def _schema(spark: SparkSession, path: str) -> T.StructType:
+    try:
+        described = spark.read.text(f"{path}/_schema").first()["value"]
+    except AnalysisException:
+        return T.StructType([])
+    return T.StructType.fromJson(json.loads(described))
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    described = spark.read.text(f"{path}/_schema").first()["value"]
-    return spark.read.schema(T.StructType.fromJson(json.loads(described))).parquet(path)
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> None:

@@ -157,7 +157,8 @@ def fires_raw(spark: SparkSession, sf: str) -> DataFrame:
         f"{pick(['LTG', 'HUM', 'LTG', None], 'k % 4')} as FIELD_AGENCY_FIRE_CAUSE",
         f"{pick(['L', 'H', 'H', 'L', 'X'], 'k % 5')} as FIELD_SYSTEM_FIRE_CAUSE",
         f"{pick(['FUL', 'MON', 'MNP', 'MOD', 'MDP', '-1'], 'k % 6')} as FIELD_RESPONSE_TYPE",
-        "if(k % 53 = 0, 'n/a', string(o_totalprice)) as FIELD_FIRE_SIZE",
+        "case when k % 53 = 0 then 'n/a' when k % 109 = 0 then 'NaN' when k % 113 = 0 then '1d'"
+        " when k % 127 = 0 then '7f' else string(o_totalprice) end as FIELD_FIRE_SIZE",
         "if(k % 59 <> 0, string(41.5e0 + ((k % 15500) * 7919 % 15500) / 1000e0), null)"
         " as FIELD_LATITUDE",
         "if(k % 59 <> 0, string(-95.5e0 + ((k % 21500) * 104729 % 21500) / 1000e0), null)"
@@ -206,13 +207,14 @@ def evacuation_log(spark: SparkSession, sf: str) -> DataFrame:
     raw = based.selectExpr(
         "case when k % 41 = 0 then concat('EV-', k)"
         " when k % 43 = 0 then concat('EVAC-', lpad(string(k % 1000), 3, '0'))"
-        " else concat('EVAC-', if(k < 1000, lpad(string(k), 3, '0'), string(k))) end as event_id",
+        " when k < 1000 then concat('EVAC-', lpad(string(k), 3, '0'))"
+        " when k % 101 <> 0 then concat('EVAC-', string(k)) end as event_id",
         "if(k % 47 = 0, upper(place), place) as community",
         f"{pick(cities, 'k % 6')} as nearby_project_city",
         "if(k % 71 = 0, 'not known', string(d)) as evacuation_start_date",
         "case when k % 73 = 0 then 'Ongoing'"
         " when k % 4 <> 0 then string(date_add(d, int(k % 9 - 1))) end as evacuation_end_date",
-        f"if(k % 79 = 0, 'Active', {pick(['Ongoing', 'Lifted', 'Unknown'], 'k % 3')}) as status",
+        f"case when k % 103 = 0 then null when k % 79 = 0 then 'Active' else {pick(['Ongoing', 'Lifted', 'Unknown'], 'k % 3')} end as status",
         "date_add(d, int(k % 20)) as status_as_of_date",
         "'CBC News' as source_name",
         "case when k % 83 = 0 then concat('https://news.aggregator.example/item/', k)"

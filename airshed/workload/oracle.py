@@ -126,7 +126,8 @@ VIEWS = {
       ['LTG','HUM','LTG',null][o_orderkey % 4 + 1] as acause,
       ['L','H','H','L','X'][o_orderkey % 5 + 1] as scause,
       ['FUL','MON','MNP','MOD','MDP','-1'][o_orderkey % 6 + 1] as response,
-      case when o_orderkey % 53 <> 0 then o_totalprice end as size,
+      case when o_orderkey % 53 <> 0 and o_orderkey % 109 <> 0 and o_orderkey % 113 <> 0 and o_orderkey % 127 <> 0
+        then o_totalprice end as size,
       case when o_orderkey % 59 <> 0 then 41.5e0 + ((o_orderkey % 15500) * 7919 % 15500) / 1000e0 end as lat,
       case when o_orderkey % 59 <> 0 then -95.5e0 + ((o_orderkey % 21500) * 104729 % 21500) / 1000e0 end as lon,
       cast(o_orderdate as date) + to_milliseconds(o_orderkey % 86400000) as stamped
@@ -144,7 +145,7 @@ VIEWS = {
       case when o_orderkey % 41 = 0 then 'EV-' || cast(o_orderkey as varchar)
            when o_orderkey % 43 = 0 then 'EVAC-' || lpad(cast(o_orderkey % 1000 as varchar), 3, '0')
            when o_orderkey < 1000 then 'EVAC-' || lpad(cast(o_orderkey as varchar), 3, '0')
-           else 'EVAC-' || cast(o_orderkey as varchar) end as event_id,
+           when o_orderkey % 101 <> 0 then 'EVAC-' || cast(o_orderkey as varchar) end as event_id,
       case when o_orderkey % 47 = 0 then upper('Community ' || cast(o_custkey % 50 as varchar))
            else 'Community ' || cast(o_custkey % 50 as varchar) end as community,
       ['Barrie','Kingston','Thunder Bay','Toronto','Not applicable','Ottawa'][o_orderkey % 6 + 1] as nearby_project_city,
@@ -153,7 +154,7 @@ VIEWS = {
       case when o_orderkey % 73 = 0 then 'Ongoing'
            when o_orderkey % 4 <> 0 then
              cast(cast(o_orderdate as date) + cast(o_orderkey % 9 - 1 as integer) as varchar) end as evacuation_end_date,
-      case when o_orderkey % 79 = 0 then 'Active'
+      case when o_orderkey % 103 = 0 then null when o_orderkey % 79 = 0 then 'Active'
            else ['Ongoing','Lifted','Unknown'][o_orderkey % 3 + 1] end as status,
       cast(o_orderdate as date) + cast(o_orderkey % 20 as integer) as status_as_of_date,
       'CBC News' as source_name,
@@ -214,8 +215,12 @@ VIEWS = {
     select city, value_type, date, avg(value) as aqhi, bool_or(is_10_plus) as any_10_plus, count(value) as station_count
     from st_day group by all""",
     "wx_vec": """
-    select *, -wind_speed * sin(radians(wind_dir_10s_deg * 10e0)) as u,
-      -wind_speed * cos(radians(wind_dir_10s_deg * 10e0)) as v from wx""",
+    select city, station_id, date_trunc('hour', date_time_lst) as date_time_lst, count(*) as landed, avg(temp) as temp, avg(rh) as rh,
+      avg(precip) filter (where precip >= 0 and precip_flag is distinct from 'M') as precip,
+      avg(wind_dir_10s_deg) as wind_dir_10s_deg, avg(wind_speed) as wind_speed,
+      avg(-wind_speed * sin(radians(wind_dir_10s_deg * 10e0))) as u,
+      avg(-wind_speed * cos(radians(wind_dir_10s_deg * 10e0))) as v
+    from wx group by 1, 2, 3""",
     "wx_day": """
     select city, cast(date_time_lst as date) as date,
       avg(temp) as temp_mean, min(temp) as temp_min, max(temp) as temp_max,
@@ -224,7 +229,7 @@ VIEWS = {
       avg(u) as um, avg(v) as vm,
       case when sqrt(avg(u) * avg(u) + avg(v) * avg(v)) > 1e-6
            then ((degrees(atan2(-avg(u), -avg(v))) % 360) + 360) % 360 end as wind_dir_mean_deg,
-      count(*) as hourly_rows,
+      count(*) as hourly_rows, cast(sum(landed) - count(*) as bigint) as repeated_rows,
       count(distinct case when temp is not null then hour(date_time_lst) end) as valid_hours,
       100e0 * sum(case when temp is null then 1 else 0 end) / count(*) as temp_missing_pct,
       100e0 * sum(case when rh is null then 1 else 0 end) / count(*) as rh_missing_pct,
@@ -442,10 +447,10 @@ def _evac_rules() -> str:
     e, v = "event_id", "evac"
     return _union(
         [
-            _rule(v, "Q8_id_format", "not regexp_full_match(event_id, 'EVAC-[0-9]{3,}')", e, e),
+            _rule(v, "Q8_id_format", "event_id is null or not regexp_full_match(event_id, 'EVAC-[0-9]{3,}')", e, e),
             _rule(v, "Q9_start_date", "start_date is null", e, "evacuation_start_date"),
             _rule(v, "Q9_end_date", "evacuation_end_date is not null and end_date is null", e, "evacuation_end_date"),
-            _rule(v, "Q10_status", "status not in ('Ongoing','Lifted','Unknown')", e, "status"),
+            _rule(v, "Q10_status", "status is null or status not in ('Ongoing','Lifted','Unknown')", e, "status"),
             _rule(
                 v,
                 "Q11_city",
@@ -472,32 +477,30 @@ def _fact_rules() -> str:
     v = "broken"
     key = "cast(city_id as varchar) || '/' || cast(date_id as varchar)"
     parts = []
-    for c in ("hotspots_within_100km", "hotspots_within_250km", "hotspots_within_500km"):
-        parts += [
-            _rule(v, f"Q17_{c}_without_source", f"not fire_data_available and {c} is not null", key, c),
-            _rule(v, f"Q17_{c}_unknown", f"fire_data_available and {c} is null", key, f"'{c}'"),
-        ]
+    bands = ["hotspots_within_100km", "hotspots_within_250km", "hotspots_within_500km"]
+    for c in [*bands, "nearest_hotspot_distance_km"]:
+        parts.append(_rule(v, f"Q17_{c}_without_source", f"not fire_data_available and {c} is not null", key, c))
+    for c in bands:
+        parts.append(_rule(v, f"Q17_{c}_unknown", f"fire_data_available and {c} is null", key, f"'{c}'"))
+    air = "coalesce(aqhi_daily_4pm, aqhi_daily_max)"
+    for c in ("temp_mean", "temp_min", "temp_max", "precip_total", "wind_speed_mean", "wind_dir_mean_deg"):
+        parts.append(_rule(v, f"Q17_{c}_incomplete", f"not weather_data_available and {c} is not null", key, f"'{c}'", "warning"))
     parts += [
-        _rule(
-            v,
-            "Q17_aqhi_without_source",
-            "not aqhi_data_available and (aqhi_daily_4pm is not null or aqhi_daily_max is not null)",
-            key,
-            "coalesce(aqhi_daily_4pm, aqhi_daily_max)",
-        ),
-        _rule(
-            v, "Q17_weather_incomplete", "not weather_data_available and temp_mean is not null", key, "'temp_mean'", "warning"
-        ),
+        _rule(v, "Q17_aqhi_without_source", f"not aqhi_data_available and {air} is not null", key, air),
+        _rule(v, "Q17_aqhi_unknown", f"aqhi_data_available and {air} is null", key, "'aqhi'"),
+        _rule(v, "Q17_weather_unknown", "weather_data_available and temp_mean is null", key, "'temp_mean'"),
         _unique(v, "Q16_city_day", ["city_id", "date_id"]),
         _parent(v, "Q16_city", "city_id", "city", "city_id"),
         _parent(v, "Q16_date", "date_id", "days", "date_id"),
-        "select 'Q18_date_coverage' as rule_id, 'error' as severity, cast(city_id as varchar) as entity_key, "
-        "count(*) || ' of ' || (max(date_id) - min(date_id) + 1) as detail from broken group by city_id "
-        "having count(*) <> max(date_id) - min(date_id) + 1",
+        "select 'Q18_date_coverage' as rule_id, 'error' as severity, cast(c.city_id as varchar) as entity_key, "
+        "(select count(*) from days) - count(*) || ' of ' || (select count(*) from days) as detail from city c cross join days d "
+        "where not exists (select 1 from broken b where b.city_id = c.city_id and b.date_id = d.date_id) group by c.city_id",
     ]
     broken = """broken as (select * replace (
       case when dayofmonth(date_id) = 17 then null when dayofmonth(date_id) = 24 then 5 else hotspots_within_100km end as hotspots_within_100km,
-      case when dayofyear(date_id) = 40 then city_id + 1 else city_id end as city_id) from fact)"""
+      case when dayofmonth(date_id) = 11 then null else aqhi_daily_4pm end as aqhi_daily_4pm,
+      case when dayofmonth(date_id) = 11 then null else aqhi_daily_max end as aqhi_daily_max,
+      case when dayofyear(date_id) = 40 then city_id + 1 else city_id end as city_id) from fact where city_id <> 2 or dayofyear(date_id) > 5)"""
     return _with(["fact"], "").rstrip() + ",\n" + broken + "\n" + _union(parts)
 
 
@@ -869,7 +872,8 @@ def statements() -> dict[str, str]:
         ["evac", "city"],
         "select event_id, city_id, community as location_name, cast(start_date as varchar) as start_date, cast(end_date as varchar) as end_date, "
         "status, source_url as source, cast(status_as_of_date as varchar) as last_verified_date "
-        "from evac left join city on city_name = nearby_project_city",
+        "from (select * from evac where event_id is not null qualify row_number() over (partition by event_id "
+        "order by status_as_of_date desc nulls last, row_id desc) = 1) left join city on city_name = nearby_project_city",
     )
     best = (
         "first({c} order by priority, row_id) filter (where {c} is not null) as {c}, "
@@ -990,7 +994,7 @@ def statements() -> dict[str, str]:
         ["wx_day"],
         "select city, cast(date as varchar) as date, "
         + ", ".join(f"{r6(c)} as {c}" for c in wx_cols)
-        + ", hourly_rows, cast(valid_hours as integer) as valid_hours, valid_hours >= 18 as weather_data_available from wx_day",
+        + ", hourly_rows, repeated_rows, cast(valid_hours as integer) as valid_hours, valid_hours >= 18 as weather_data_available from wx_day",
     )
     add(
         "wind_vector_daily",
@@ -1084,16 +1088,15 @@ def statements() -> dict[str, str]:
     add(
         "daily_max_date_anomalies",
         ["boundary"],
-        """select station_id, station_name, requested_year, cast(missing as varchar) as missing_previous_date,
-          cast(d as varchar) as duplicated_reported_date, n as records_on_duplicated_date, line_no, reported_times, reported_aqhi_values,
+        """select b.station_id, b.station_name, b.requested_year, cast(b.date - 1 as varchar) as missing_previous_date,
+          cast(b.date as varchar) as duplicated_reported_date, b.n as records_on_duplicated_date,
+          string_agg(coalesce(r.time, '<NA>'), ' | ' order by r.first_row) as reported_times,
+          string_agg(coalesce(r.aqhi_raw, '<NA>'), ' | ' order by r.first_row) as reported_aqhi_values,
           'possible_date_boundary_anomaly' as issue_type
-        from (select b.station_id, b.station_name, b.requested_year, b.date - 1 as missing, b.date as d, b.n,
-            case when b.n <= 1000 then 0 else cast(floor(o.row_id / 1000e0) as bigint) end as line_no,
-            string_agg(coalesce(o.time, '<NA>'), ' | ' order by o.row_id) as reported_times,
-            string_agg(coalesce(o.aqhi_raw, '<NA>'), ' | ' order by o.row_id) as reported_aqhi_values
-          from boundary b join obs_sparse o on o.value_type = 'daily_max' and o.station_id = b.station_id
-            and o.station_name = b.station_name and o.requested_year = b.requested_year and o.date = b.date
-          group by 1, 2, 3, 4, 5, 6, 7)""",
+        from boundary b join (select station_id, station_name, requested_year, date, time, aqhi_raw, min(row_id) as first_row
+            from obs_sparse where value_type = 'daily_max' group by all) r
+          on r.station_id = b.station_id and r.station_name = b.station_name and r.requested_year = b.requested_year and r.date = b.date
+        group by 1, 2, 3, 4, 5, 6""",
     )
     add(
         "date_anomaly_flags",

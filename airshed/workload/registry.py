@@ -534,14 +534,14 @@ def evac_episodes(spark, sf):
 @query
 def evac_fact(spark, sf):
     return evacuation.evacuation_facts(
-        inputs.evacuation_log(spark, sf), dimensions.dim_city(spark)
+        inputs.evacuation_log(spark, sf), dimensions.dim_city(spark), "row_id"
     )
 
 
 @query
 def fallback_station(spark, sf):
     wx = inputs.weather(spark, sf)
-    return weather.fallback_reading(wx, ["city", "date_time_lst"], ["temp", "precip"])
+    return weather.fallback_reading(wx, ["city", "date_time_lst"], ["temp", "precip"], enabled=True)
 
 
 # --- aggregates ---------------------------------------------------------------------------------
@@ -876,13 +876,17 @@ def dq_evac(spark, sf):
 
 @query
 def dq_fact(spark, sf):
-    """The fact with planted breaks: a repeated city-day, a stray city, counts without a source."""
-    fact = settle(_city_fact(spark, sf), "fact_city_daily")
+    """The fact with planted breaks: a repeated city-day, a stray city, counts without a source,
+    a city without its first days, readings that a flag promises."""
+    fact = settle(_city_fact(spark, sf), "fact_city_daily").where("city_id <> 2 or dayofyear(date_id) > 5")
     broken = fact.withColumns(
         {
             "hotspots_within_100km": F.when(
                 F.dayofmonth("date_id") == 17, F.lit(None)
             ).when(F.dayofmonth("date_id") == 24, F.lit(5)).otherwise(F.col("hotspots_within_100km")),
+            **{
+                c: F.when(F.dayofmonth("date_id") != 11, F.col(c)) for c in ("aqhi_daily_4pm", "aqhi_daily_max")
+            },
             "city_id": F.when(F.dayofyear("date_id") == 40, F.col("city_id") + 1).otherwise(F.col("city_id")),
         }
     )

@@ -64,20 +64,16 @@ def test_planted_boundary_anomalies_are_found_exactly(spark):
     assert aqhi.date_anomaly_flags(frame(spark, data)).count() == 6
 
 
-@pytest.mark.parametrize(("per_line", "hot_rows"), [(1000, 10**9), (7, 10**9), (7, 3), (1, 1)])
-def test_long_dates_are_cut_into_whole_lines(spark, per_line, hot_rows):
-    data = planted(days=30, gaps=(10, 20), extra=40)
-    data[5] = (*data[5][:7], None, None, None)
-    report = dicts(aqhi.daily_max_date_anomalies(frame(spark, data), per_line=per_line, hot_rows=hot_rows))
-    lines = defaultdict(list)
-    for r in sorted(report, key=lambda r: (r["duplicated_reported_date"], r["line_no"])):
-        assert r["records_on_duplicated_date"] == 41
+@pytest.mark.parametrize("extra", [3, 999, 1000, 1001])
+def test_a_date_is_one_line_however_many_records(spark, extra):
+    data = [(5000 * r[0], *r[1:]) for r in planted(days=30, gaps=(10, 20), extra=extra)]
+    report = dicts(aqhi.daily_max_date_anomalies(frame(spark, data)))
+    assert {r["duplicated_reported_date"].day for r in report} == {11, 21} and len(report) == 2
+    for r in report:
+        assert r["records_on_duplicated_date"] == extra + 1
+        own = [(x[7] or "<NA>", x[8] or "<NA>") for x in data if x[6] == r["duplicated_reported_date"]]
         parts = list(zip(r["reported_times"].split(" | "), r["reported_aqhi_values"].split(" | ")))
-        assert len(parts) <= max(per_line, 1)
-        lines[r["duplicated_reported_date"]] += parts
-    for k in (10, 20):
-        date = dt.date(2024, 1, 1) + dt.timedelta(k)
-        assert lines[date] == [(r[7] or "<NA>", r[8] or "<NA>") for r in data if r[6] == date]
+        assert parts == list(dict.fromkeys(own))
 
 
 def test_missing_readings_print_a_mark(spark):

@@ -82,12 +82,12 @@ def test_planted_violations_are_reported_once_each(spark):
         {"status": "Ended"}, {"nearby_project_city": "Ottawa"}, {"nearby_project_city": None}, {"source_url": None},
         {"source_url": "https://news.yahoo.com/x"}, {"source_url": "see CBC"}, {"community": "Place 0"},
         {"evacuation_end_date": "2026-07-12", "status": "Lifted"}, {"status": "Lifted"}, {"evacuation_end_date": "2026-07-20"},
-        {"evacuation_start_date": "2025-12-31"}, {"evacuation_start_date": "2026-08-05"}, {"community": "place 3", "evacuation_start_date": "2026-07-14"},
+        {"evacuation_start_date": "2025-12-31"}, {"evacuation_start_date": "2026-08-05"}, {"event_id": None}, {"status": None}, {"community": "place 3", "evacuation_start_date": "2026-07-14"},
     ]
     report = rules.evacuation_rules(log(spark, planted), "2026-08-04")
     assert Counter(r["rule_id"] for r in report.collect()) == Counter(
         {
-            "Q8_id_format": 1, "Q8_id_unique": 1, "Q9_start_date": 1, "Q9_end_date": 1, "Q10_status": 1, "Q11_city": 2, "Q12_url_missing": 1,
+            "Q8_id_format": 2, "Q8_id_unique": 1, "Q9_start_date": 1, "Q9_end_date": 1, "Q10_status": 2, "Q11_city": 2, "Q12_url_missing": 1,
             "Q12_url_host": 2, "Q13_community_start": 1, "Q14_end_before_start": 1, "Q14_lifted_without_end": 1,
             "Q14_ongoing_with_end": 2, "Q15_outside_window": 2, "Q15_spelling": 1,
         }
@@ -117,3 +117,30 @@ def test_dimension_and_weather_rules(spark):
     )
     got = Counter(r["rule_id"] for r in rules.weather_rules(wx, F.col("row_id")).collect())
     assert got == Counter(["Q6_temp", "Q6_rh", "Q6_wind_speed", "Q6_wind_dir_10s_deg", "Q6_precip_negative", "Q7_station_identity"])
+
+
+def test_one_row_per_event_with_its_latest_state(spark):
+    df = log(spark, [{"event_id": "EVAC-001", "status": "Lifted", "status_as_of_date": "2026-08-09"}, {"event_id": None}])
+    facts = evacuation.evacuation_facts(df, dim_city(spark))
+    assert facts.count() == 6
+    assert as_set(facts.where("event_id = 'EVAC-001'").select("status", "last_verified_date")) == [("Lifted", "2026-08-09")]
+
+
+def test_city_and_calendar_rules(spark):
+    cities = spark.sql("select * from values (1, 'a', 45D, -80D), (1, 'b', 95D, -80D), (null, 'a', null, 190D) as t(city_id, city_name, latitude, longitude)")
+    assert Counter(r["rule_id"] for r in rules.city_rules(cities).collect()) == Counter(
+        ["Q1_city_id", "Q1_city_name", "Q2_city_city_id", "Q2_city_latitude", "Q3_city_latitude", "Q3_city_longitude"]
+    )
+    days = spark.sql("select * from values (date'2024-01-01'), (date'2024-01-01'), (null) as t(date_id)")
+    assert Counter(r["rule_id"] for r in rules.date_rules(days).collect()) == Counter(["Q1_date_id", "Q2_date_date_id"])
+
+
+def test_an_incomplete_fact_is_reported(spark):
+    days = spark.sql("select explode(sequence(date'2024-01-01', date'2024-01-20')) as date_id")
+    fact = days.where("day(date_id) > 15").selectExpr(
+        "1 as city_id", "date_id", "cast(null as double) as aqhi_daily_4pm", "cast(null as double) as aqhi_daily_max", "true as aqhi_data_available",
+        "0 as hotspots_within_100km", "1D as nearest_hotspot_distance_km", "true as fire_data_available", "cast(null as double) as temp_mean",
+        "1D as precip_total", "true as weather_data_available",
+    )
+    got = Counter(r["rule_id"] for r in rules.fact_rules(fact, dim_city(spark), days).collect())
+    assert got == Counter({"Q17_aqhi_unknown": 5, "Q17_weather_unknown": 5, "Q18_date_coverage": 4})

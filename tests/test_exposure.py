@@ -64,12 +64,14 @@ def test_cell_join_equals_brute_force(spark, cell, crowded, box):
     check(got, {k: v for k, v in brute(data, sites).items() if v[2] > 0})
 
 
-def test_many_cities_take_the_cell_join(spark):
-    data = points(200)
+def test_cities_do_not_change_one_another(spark):
+    data = points(200, (41.5, 57.0, -95.5, -74.0)) + [(900, dt.date(2024, 9, 9), 57.0, -95.0)]
     df = spark.createDataFrame(data, "uid int, date date, lat double, lon double")
-    cities = [(i, f"c{i}", "r", 42.0 + i / 4, -90.0 + i / 4) for i in range(40)]
-    want = {k: v for k, v in brute(data, [(c[0], c[3], c[4]) for c in cities]).items() if v[2] > 0}
-    check(exposure.city_exposure(df, cities), want)
+    cities = [(i, f"c{i}", "r", 42.0 + i / 16, -74.0 - i / 16) for i in range(44)]
+    check(exposure.city_exposure(df, cities), brute(data, [(c[0], c[3], c[4]) for c in cities]))
+    alone = exposure.city_exposure(df, cities[:4])
+    among = exposure.city_exposure(df, cities).where("city_id < 4")
+    assert as_set(alone) == as_set(among) and alone.where("date = date'2024-09-09'").count() == 4
 
 
 def inside(lat, lon, ring):

@@ -57,8 +57,8 @@ def test_scalars(spark):
     row = spark.range(1).select(
         moments.iso_weekday(F.lit(date(2024, 1, 7))),
         moments.hour_index(F.expr("timestamp_ntz'1970-01-02 03:59:59'")),
-        text.to_number(F.lit(" 12.5 ")),
-        text.to_number(F.lit("10+")),
+        F.expr(text.number_sql("'12.5'")),
+        F.expr(text.number_sql("'10+'")),
         text.file_label(F.lit("Thunder Bay"), F.lit(30682), F.lit(date(2024, 3, 1))),
         text.url_host(F.lit("https://www.CBC.ca/news?x=1")),
         text.url_host(F.lit("cbc.ca/news")),
@@ -95,3 +95,9 @@ def test_shared_folder_is_the_one_the_cluster_names(spark):
     assert shared_dir(unset("local[2]")) == shared_dir(unset("local[2]"))
     with pytest.raises(RuntimeError):
         shared_dir(unset("yarn"))
+
+
+def test_only_decimal_digits_are_numbers(spark):
+    rows = spark.sql("select * from values ('1'), ('-1.5e3'), ('.5'), ('5.'), ('NaN'), ('1d'), ('7f'), ('Infinity'), ('0x1'), (''), (null) as t(x)")
+    got = [r[0] for r in rows.select(F.expr(text.number_sql("x"))).collect()]
+    assert got == [1.0, -1500.0, 0.5, 5.0] + [None] * 7

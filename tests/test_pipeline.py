@@ -4,7 +4,7 @@ from conftest import as_set
 from pyspark.sql import functions as F
 
 from airshed.operators.aqhi import clean_history
-from airshed.plans.pipeline import Store, check_facts, load_dimensions, load_facts, load_staging, row_counts
+from airshed.plans.pipeline import Store, check_facts, load_dimensions, load_facts, load_staging, row_counts, staged
 from airshed.sources.schemas import ACTIVE_FIRES, AQHI_CURRENT, conform
 from airshed.streaming.polls import stamp_rows
 
@@ -61,6 +61,32 @@ def test_landing_to_facts_twice(spark, tmp_path):
     assert got == {1: (None, True, False, True), 2: (1, False, True, False), 3: (None, True, False, False), 4: (0, True, True, False)}
     assert as_set(fact.where("aqhi_any_10_plus").select("date_id", "aqhi_daily_4pm")) == [(dt.date(2024, 1, 6), 10.0)]
     assert fact.where("not aqhi_data_available").count() == 1
-    assert [r["rule_id"] for r in check_facts(store).collect()] == ["Q17_weather_incomplete"]
+    warned = {r["rule_id"] for r in check_facts(store).collect()}
+    assert warned == {f"Q17_{c}_incomplete" for c in ("temp_mean", "temp_min", "temp_max", "precip_total", "wind_speed_mean", "wind_dir_mean_deg")}
     snapshot = store.read("analytics", "ref_active_fires_snapshot").first()
     assert snapshot["is_active_fire"] and snapshot["stage_of_control_label"] == "Out of Control"
+
+
+def test_later_loads_keep_what_was_landed(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    poll = "select * from values {} as t(uid, rep_date, lat, lon)"
+    one = spark.sql(poll.format("('a', timestamp_ntz'2024-07-01 05:00:00', 44D, -79D), ('b', timestamp_ntz'2024-07-02 05:00:00', 44D, -79D)"))
+    two = spark.sql(poll.format("('c', timestamp_ntz'2024-07-20 05:00:00', 44D, -79D), ('b', timestamp_ntz'2024-08-02 05:00:00', 45D, -79D)"))
+    fires = [
+        stamp_rows(conform(spark.sql("select 1 as OBJECTID"), ACTIVE_FIRES, ["OBJECTID"]), f"2026-07-{d} 04:59:31", "https://example.org/fires")
+        for d in (30, 31)
+    ]
+    for load, (hot, snapshot) in enumerate(zip((one, two), fires)):
+        load_staging(store, {"cwfis_hotspots": hot, "ontario_active_fires": snapshot}, load)
+    load_staging(store, {"cwfis_hotspots": two}, 1)  # the same load again
+    got = as_set(staged(store, "cwfis_hotspots").select("uid", "lat", F.month("rep_date")))
+    assert got == [("a", 44.0, 7), ("b", 45.0, 8), ("c", 44.0, 7)]
+    assert staged(store, "ontario_active_fires").count() == 2
+
+
+def test_a_load_with_fewer_columns_hides_none(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    full = spark.sql("select 'a' as uid, timestamp_ntz'2024-07-01 05:00:00' as rep_date, 1D as frp")
+    load_staging(store, {"cwfis_hotspots": full}, 0)
+    load_staging(store, {"cwfis_hotspots": full.drop("frp").withColumn("uid", F.lit("b"))}, 1)
+    assert as_set(staged(store, "cwfis_hotspots").select("uid", "frp")) == [("a", 1.0), ("b", None)]

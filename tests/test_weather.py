@@ -76,7 +76,7 @@ def test_fallback_and_primary_station(spark):
         "select * from values ('a', 1, 10, 1, cast(null as double)), ('a', 2, 20, 2, 5D), ('a', 3, 30, 3, 6D), ('b', 1, 10, 4, null)"
         " as t(city, priority, station_id, row_id, temp)"
     )
-    assert as_set(weather.fallback_reading(df, ["city"], ["temp"])) == [("a", 5.0, 20), ("b", None, None)]
+    assert as_set(weather.fallback_reading(df, ["city"], ["temp"], enabled=True)) == [("a", 5.0, 20), ("b", None, None)]
     assert as_set(weather.fallback_reading(df, ["city"], ["temp"], enabled=False)) == [("a", None, None), ("b", None, None)]
     cand = spark.sql(
         "select * from values (1, 'K', 'hourly', 'NAVCAN', 1D, true), (2, 'K', 'hourly', 'ECCC-MSC', 9D, true),"
@@ -99,3 +99,12 @@ def test_clock_changes_leave_standard_time_alone(spark):
         assert got == [(1, dt.date(2024, 3, 10), 24, 23, True), (1, dt.date(2024, 11, 3), 23, 25, False)]
     cover = weather.station_coverage(df).first()
     assert (cover["row_count"], cover["days_with_rows"]) == (71, 3)
+
+
+def test_repeated_hours_and_impossible_amounts_add_nothing(spark):
+    clean = spark.createDataFrame(hours(24, precip=1.0), DDL)
+    twice = clean.union(clean).unionByName(
+        spark.createDataFrame(hours(1, precip=-9.0), DDL)).unionByName(spark.createDataFrame(hours(1, precip=99.0, precip_flag="M"), DDL))
+    a, b = (weather.daily_weather(x).first().asDict() for x in (clean, twice))
+    assert (a.pop("repeated_rows"), b.pop("repeated_rows")) == (0, 26)
+    assert a == b and a["precip_total"] == 24.0
