@@ -2,8 +2,76 @@
 
 from __future__ import annotations
 
-OPS: dict[str, str] = {}
+from airshed.llm import url_filter
+from airshed.llm.decontaminate import WINDOW
+
+# Words of a text, A-Z lower-cased.
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"[x for x in regexp_split_to_array({_LOWERED}, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+') if x <> '']"
+
+
+def decontamination() -> str:
+    """A window is a list of words; a word is hit if it lies in an occurrence of one."""
+    return f"""
+    with item as (select coalesce(cast(item_id as varchar), 'null') as item_id, {_WORDS} as w from benchmark),
+    cut as (select item_id, w, least({WINDOW}, len(w)) as n from item where len(w) > 0),
+    win as (select distinct item_id, n, array_to_string(w[i : i + n - 1], ' ') as phrase
+            from (select *, unnest(range(1, len(w) - n + 2)) as i from cut)),
+    doc as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+    sizes as (select distinct n from win),
+    place as (select r, i, n, array_to_string(w[i : i + n - 1], ' ') as phrase
+              from (select r, w, n, unnest(range(1, len(w) - n + 2)) as i from doc, sizes where len(w) >= n)),
+    hit as (select distinct r, i, n, item_id from place join win using (n, phrase)),
+    words as (select r, count(distinct spot) as n_hit from (select r, unnest(range(i, i + n)) as spot from hit) group by r),
+    items as (select r, count(distinct item_id) as n_items, string_agg(distinct item_id, ',' order by item_id) as ids from hit group by r)
+    select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+      sha256(coalesce(ids, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+    from doc left join words using (r) left join items using (r)"""
+
+
+def _host(url: str) -> str:
+    host = rf"regexp_extract(coalesce({url}, ''), '^.*?://([^/?#]*)', 1, 's')"
+    return f"translate({host}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _fits(on: str, start: str) -> str:
+    return f"(host = '{on}' or ends_with(host, '.{on}')) and starts_with(path, '{start}')"
+
+
+def urls(steps: int = url_filter.STEPS, damping: float = url_filter.DAMPING, threshold: float = url_filter.THRESHOLD) -> str:
+    """Rules by length, then the walks along and against links step by step."""
+    longest = sorted(url_filter.RULES, key=lambda r: -len(r[0] + r[1]))
+    rule = " ".join(f"when {_fits(on, start)} then '{on}{start}'" for on, start, _ in longest)
+    said = " ".join(f"when rule = '{on}{start}' then '{verdict}'" for on, start, verdict in longest)
+    walk = "\nunion all\n".join(f"select * from f{k}" for k in range(steps + 1))
+    step = "".join(
+        f"""f{k} as (select f.kind, g.dst as host, sum(f.score * g.weight * {damping}) as score
+            from f{k - 1} f join graph g on g.kind = f.kind and g.src = f.host group by 1, 2),
+    """
+        for k in range(1, steps + 1)
+    )
+    return f"""
+    with page as (select page_id, url, html, {_host('url')} as host,
+        regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') as path from pages),
+    ruled as (select *, case {rule} end as rule from page),
+    judged as (select *, case {said} end as said from ruled),
+    known as (select host, count(*) filter (where said = 'allow') as a, count(*) filter (where said = 'block') as b, count(*) as n
+        from judged where host <> '' group by host),
+    seeds as (select 'trust' as kind, host from known where a > 0 and b = 0 union all select 'distrust', host from known where b = n),
+    link as (select host as src, {_host('target')} as dst from (select host,
+        unnest(regexp_extract_all(coalesce(html, ''), '{url_filter.LINK.replace("(?i)", "").replace("'", "''")}', 1, 'i')) as target from page)),
+    pair as (select src, dst, count(*) as c from link where src <> dst and src <> '' and dst <> '' group by 1, 2),
+    edge as (select src, dst, c / sum(c) over (partition by src) as weight from pair),
+    graph as (select 'trust' as kind, src, dst, weight from edge
+        union all select 'distrust', dst, src, weight / sum(weight) over (partition by dst) from edge),
+    f0 as (select kind, host, {1 - damping} / count(*) over (partition by kind) as score from seeds),
+    {step}every as ({walk}),
+    score as (select host, coalesce(sum(score) filter (where kind = 'trust'), 0) as trust,
+        coalesce(sum(score) filter (where kind = 'distrust'), 0) as distrust from every group by host)
+    select page_id, host, path, rule, coalesce(said, case when coalesce(distrust, 0) > {threshold} * (coalesce(trust, 0) + coalesce(distrust, 0))
+        then 'block' else 'allow' end) as verdict
+    from judged left join score using (host)"""
 
 
 def statements() -> dict[str, str]:
-    return dict(OPS)
+    return {"op2_urls": urls(), "op5_decontamination": decontamination()}

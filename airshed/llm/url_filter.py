@@ -25,7 +25,7 @@ DAMPING = 0.85
 STEPS = 12  # links that trust and distrust are followed along
 THRESHOLD = 0.5  # share of distrust beyond which a host is blocked
 
-_LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?(https?://[^\s"'<>]+)"""
+LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?(https?://[^\s"'<>]+)"""
 
 
 def lowered(text: Column) -> Column:
@@ -55,7 +55,7 @@ def host_edges(pages: DataFrame) -> DataFrame:
     Links within a host, without a host, or in pages without one are left out.
     """
     out = pages.select(
-        host_of(F.col("url")).alias("src"), F.explode(F.regexp_extract_all("html", F.lit(_LINK), 1)).alias("link")
+        host_of(F.col("url")).alias("src"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("link")
     )
     out = out.select("src", host_of(F.col("link")).alias("dst")).where("src <> dst and src <> '' and dst <> ''")
     n = out.groupBy("src", "dst").agg(F.count("*").alias("n"))

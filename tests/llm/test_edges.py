@@ -1,0 +1,465 @@
+"""Nulls, empty and very long texts, ties, repeated rows, empty tables, clashing names: every operator and stage."""
+
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+pytest.importorskip("airshed.llm")
+
+import brute  # noqa: E402
+import corpus_pipeline  # noqa: E402
+from airshed.llm import (  # noqa: E402
+    decontaminate,
+    embed_dedup,
+    html_extract,
+    langid,
+    ngram_join,
+    packing,
+    pii,
+    quality,
+    secrets,
+)
+from pyspark.sql import functions as F  # noqa: E402
+
+# Names that the operators use themselves.
+EXTRA = "Kept string, n_words string, class string, node string, score string, secrets string, label string, good int"
+DOCS = f"doc_id long, text string, lang string, source string, n_chars long, {EXTRA}"
+WORDS = [a + b for a in "ka mo ri tu se lo ne vi".split() for b in "ba den fos gul hir jam".split()]
+
+
+def prose(seed, n):
+    r = random.Random(seed)
+    return " ".join(r.choice(WORDS) for _ in range(n))
+
+
+LONG = prose(99, 60_000)
+TEXTS = [
+    (1, prose(1, 80)),
+    (2, prose(1, 80)),  # a copy of 1
+    (3, prose(1, 80).upper()),  # the same words
+    (4, prose(1, 80) + " and a little more"),
+    (5, prose(5, 60)),
+    (5, prose(5, 60)),  # a repeated row
+    (6, None),
+    (7, ""),
+    (8, " \n\t!!! ???"),
+    (9, "two words"),
+    (10, "two words"),
+    (11, LONG),
+    (None, prose(12, 40)),
+    (None, None),
+    (13, "Ünïcödé 🎉 é́ \x00 \x1c token: 'abcd1234efgh' mail a.b@c-d.example.com"),
+    (14, prose(14, 30) + " " + prose(77, 12) + " " + prose(15, 30)),
+]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    rows = [(i, t, "aa" if k % 2 else None, None, len(t) if t else 0, *["x"] * 7, 1) for k, (i, t) in enumerate(TEXTS)]
+    return spark.createDataFrame(rows, DOCS).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def empty(docs):
+    return docs.where("false")
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame(
+        [(1, 1, 0, 0), (1, 1, 0, 0), (5, 1, None, 0), (9, 0, 0, 0), (8, 0, 1, 0), (None, 0, 0, 0), (4, None, 0, 0)],
+        "doc_id long, quality int, toxic int, text int",
+    )
+
+
+@pytest.fixture(scope="module")
+def items(spark):
+    data = [(1, prose(77, 12)), (2, "two words"), (2, "two words"), (3, None), (4, "…"), (None, prose(1, 14)), (5, "")]
+    return spark.createDataFrame(data, "item_id long, text string")
+
+
+def key(row):
+    return repr(row)
+
+
+# --- html ----------------------------------------------------------------------------------------
+
+PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var a="</p><p>no";</script></head>
+<body class="page has-sidebar"><header><a href=/>No home</a></header><nav><ul><li><a href=a>No</a><li><a href=b>No</a></ul></nav>
+<div class=main><h1>A&nbsp;heading</h1><p>First   paragraph of the
+ <b>art</b>icle with a good many words in it &amp; &#8212; some signs.</p><p>Short.<br>Next line</p><ul><li>one<li>two</ul>
+<aside>No aside</aside><div class="ad-box">No buy this now, a long advert with many words indeed</div>
+<p>Second paragraph of the article, again with a good many words in it, so that it counts.</p>
+<!-- no --><form>No <button>no</button></form><noscript>no</noscript></div>
+<div class="cookie-notice">No cookies here please, dear reader of pages</div>
+<section id="comments"><article class="comment"><p>No I think that this is a very long comment of a reader on the article above it.</p></article></section>
+<footer>No &copy;</footer>"""
+TEXT = (
+    "A heading First paragraph of the article with a good many words in it & — some signs. Short. Next line one two "
+    "Second paragraph of the article, again with a good many words in it, so that it counts."
+)
+
+
+def test_html_cases(spark):
+    rows = [
+        (1, "u", PAGE, "t"), (1, "u", PAGE, "t"), (2, None, None, None), (3, "u", "", "t"), (4, "u", "plain <b>te</b>xt &lt;x&gt;", "t"),
+        (5, "u", "<p>cut off in the middle of a sentence and then a tag <a hre", "t"), (6, "u", "<nav><a href=x>only a menu</a></nav>", "t"),
+        (7, "u", "<article>" + "<p>" + "word " * 200_000 + "</article>", "t"), (None, "u", "<<<>>> & &# &#x; <!-- ", "t"),
+        (8, "u", "<script>never ends <p>x", "t"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, TEXT string")
+    got = {r.page_id: r for r in html_extract.extracted(pages).collect()}
+    assert got[1]["_text"] == TEXT and got[1].n_chars == len(TEXT) and got[1]["TEXT"] == "t"
+    assert [got[i]["_text"] for i in (2, 3, 6, 8)] == [""] * 4 and got[2].n_chars == 0
+    assert got[4]["_text"] == "plain text <x>" and got[5]["_text"] == "cut off in the middle of a sentence and then a tag"
+    assert got[7].n_chars == 5 * 200_000 - 1
+    assert html_extract.extracted(pages).count() == len(rows)
+    assert html_extract.extracted(pages.where("false")).count() == 0
+
+
+def test_html_region_without_marks():
+    body = "".join(f"<p>{prose(i, 30)}</p>" for i in range(6))
+    menu = "".join(f"<li><a href=/{i}>item {i}</a></li>" for i in range(30))
+    page = f"<body><div><ul>{menu}</ul></div><div><div>{body}</div></div><div><a href=x>imprint</a> <a href=y>contact</a></div>"
+    assert html_extract.main_text(page) == " ".join(prose(i, 30) for i in range(6))
+
+
+# --- personal data -------------------------------------------------------------------------------
+
+
+def test_personal_data_cases(docs, empty):
+    got = sorted(((r.doc_id, r.n_email, r.base_sha256, r.spans) for r in pii.digest(docs).collect()), key=key)
+    want = []
+    for i, t in TEXTS:
+        line = brute.lines(brute.pii(t))
+        want.append((i, sum(k == "email" for k, *_ in brute.pii(t)), brute.sha(line), line))
+    assert got == sorted(want, key=key)
+    assert pii.digest(empty).count() == 0
+    assert pii.detected(docs).columns == [c for c in docs.columns if c != "text"] + ["base_spans", "spans"]
+
+
+def test_personal_data_patterns_equal_the_plain_ones(spark):
+    r = random.Random(4)
+    bits = ["a", "b.c", "@", "x.y", ".", "-", "_", "%", " ", "+", "+1", "(", ")", "12", "4111111111111111", "255", "256", "00", "1.2.3.4", "é", "🎉",
+            "5500 0000 0000 0004", "1", "7", "\n", "0044", "(0221) 555"]
+    texts = ["".join(r.choice(bits) for _ in range(r.randrange(14))) for _ in range(4000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for row in pii.digest(df).collect():
+        base = brute.pii(texts[row.doc_id])
+        assert row.base_sha256 == brute.sha(brute.lines(base)), texts[row.doc_id]
+        assert set(filter(None, brute.lines(base).split(","))) <= set(row.spans.split(","))
+
+
+def test_long_runs_take_linear_time(spark):
+    texts = ["a" * 500_000, "1" * 300_000, "a." * 200_000, "+1" + " " * 200_000, "1.1" * 100_000, "a@" * 100_000, "x@" + "a." * 100_000, "12 " * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.n_email, r.n_ip, r.n_card, r.n_phone) for r in pii.digest(df).collect()}
+    assert got[0] == (0, 0, 0, 0) and got[6][0] == 1 and len(got) == len(texts)
+
+
+def test_trees_add_spans(spark):
+    r = random.Random(8)
+    rows = []
+    for i in range(400):
+        n = "".join(str(r.randrange(10)) for _ in range(15))
+        card = n + next(c for c in "0123456789" if brute.luhn(n + c) == (i % 2 == 0))
+        rows.append((i, f"text card {card} ip {i % 256}.{r.randrange(256)}.{r.randrange(400)}.{i % 256} call +1 (555) 555-{i:04d} mail u{i}@mail.example.com end"))
+    rows += [(1000, "write to john.doe (at) example (dot) com today"), (1001, "on 2024-01-01 12:30:45 version 1.2.3 it was 12 345 678")]
+    got = {x.doc_id: x for x in pii.digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1000].spans == "email:9:40" and got[1000].n_email == 0
+    assert got[1001].spans == ""
+
+
+def test_thresholds():
+    assert pii.thresholds([(0, 49, 10, 10), (0, 30, 1, 10), (1, 40, 0, 5)]) == {0: 0.98}
+
+
+# --- language ------------------------------------------------------------------------------------
+
+
+def test_language_cases(spark, docs, empty):
+    got = langid.identified(docs).collect()
+    assert len(got) == len(TEXTS)
+    for r in got:
+        none = not any(c.isalpha() for c in r.text or "")
+        assert r.lang_pred == ("und" if none else "aa") and 0 <= r["_score"] <= 1 and r.score == "x"
+        assert r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+    assert langid.identified(empty).count() == 0
+    unlabelled = langid.identified(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {r.lang_pred for r in unlabelled.collect()} == {"und"}
+
+
+def test_phrases_are_the_longest_matches():
+    r = random.Random(1)
+    samples = {k: "".join(r.choice(a) for _ in range(300)) for k, a in (("x", "abc "), ("y", "abd "))}
+    p = langid.Parser(samples)
+    for n in (1, 5, 40, langid.SEGMENT, langid.SEGMENT + 1, 3 * langid.SEGMENT):
+        text = "".join(r.choice("abcd e") for _ in range(n))
+        symbols = p.alphabet(text)
+        for j, k in enumerate(p.languages):
+            own = bytes(p.alphabet(samples[k]))
+            count = 0
+            for at in range(0, len(symbols), langid.SEGMENT):
+                part, i = bytes(symbols[at : at + langid.SEGMENT]), 0
+                while i < len(part):
+                    m = 1
+                    while i + m < len(part) and part[i : i + m + 1] in own:
+                        m += 1
+                    i, count = i + m, count + 1
+            assert p.phrases([symbols])[0, j] == count
+
+
+# --- benchmark -----------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("block", [decontaminate.BLOCK, 5])
+def test_decontamination_cases(docs, empty, items, block, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK", block)
+    rows = decontaminate.marked(docs, items, block=block)
+    got = sorted(((r.doc_id, r["_n_words"], sum(x.end - x.start for x in r.hit_spans), len(r.hit_items)) for r in rows.collect()), key=key)
+    listed = [("null" if i is None else i, t) for i, t in [tuple(r) for r in items.collect()]]
+    want = [(d, n, h, k) for d, n, h, k, *_ in brute.contaminated(TEXTS, listed)]
+    assert got == sorted(want, key=key)
+    assert decontaminate.marked(empty, items).count() == 0
+    assert decontaminate.marked(docs, items.where("false")).where("size(hit_spans) > 0").count() == 0
+
+
+def test_spans_are_cut_out_until_none_is_left(spark, items):
+    w = prose(77, 12).split()
+    rows = [(1, " ".join([*w[:6], "two", "words", *w[6:]])), (2, "A, " + prose(77, 12) + "! B"), (3, None), (4, "clean")]
+    out = {r.doc_id: r.text for r in decontaminate.cleaned(spark.createDataFrame(rows, "doc_id long, text string"), items).collect()}
+    assert out[4] == "clean" and out[3] is None and out[2] == "A, \n! B"
+    assert not any(r[-1] for r in brute.contaminated(list(out.items()), [(1, prose(77, 12)), (2, "two words")]))
+
+
+# --- vectors -------------------------------------------------------------------------------------
+
+
+def test_vector_cases(spark):
+    r = np.random.default_rng(1)
+    centre = r.normal(size=(6, 16))
+    rows = []
+    for i in range(300):
+        rows.append((i, [float(x) for x in centre[i % 6] + r.normal(size=16) * 0.14], i % 2))
+    v = rows[0][1]
+    rows += [(300, v, 0), (301, v, 0), (301, v, 0), (302, [2 * x for x in v], 0), (303, [1e30 * x for x in v], 0), (304, v, None), (305, None, 0), (306, [0.0] * 16, 0),
+             (307, [float("nan")] + v[1:], 0), (308, [float("inf")] + v[1:], 0), (309, [None] + v[1:], 0), (310, v[:8], 0), (311, v[:8], 0), (312, [], 0), (None, v, 0)]
+    df = spark.createDataFrame([(*x, "c") for x in rows], "vec_id long, embedding array<float>, label int, node string").repartition(4)
+    got = sorted(map(tuple, embed_dedup.deduplicated(df).collect()), key=key)
+    unit = []
+    for _, e, label, *_ in rows:
+        a = np.array([np.float32(x) if x is not None else np.nan for x in e or []], np.float64)
+        ok = len(a) and np.isfinite(a).all() and a.any() and label is not None
+        unit.append((len(a), label, a / np.linalg.norm(a / np.abs(a).max()) / np.abs(a).max()) if ok else None)
+    links = [
+        (i, j) for i, a in enumerate(unit) for j, b in enumerate(unit[:i]) if a and b and a[:2] == b[:2] and a[2] @ b[2] >= 0.93
+    ]
+    root = brute.components(range(len(rows)), links)
+    first = {}
+    for i, x in enumerate(rows):
+        if x[0] is not None:
+            first[root[i]] = min(first.get(root[i], 10**9), x[0])
+    n = [sum(i in p for p in links) for i in range(len(rows))]
+    want = [(x[0], n[i], first.get(root[i], x[0]), x[0] is not None and first[root[i]] == x[0]) for i, x in enumerate(rows)]
+    assert got == sorted(want, key=key)
+    assert embed_dedup.deduplicated(df.where("false")).count() == 0
+
+
+def test_more_vectors_need_more_passes():
+    assert embed_dedup.passes(10**6) > embed_dedup.passes(10**3) >= 2 and embed_dedup.passes(0) >= 1
+
+
+# --- packing -------------------------------------------------------------------------------------
+
+
+def test_packing_cases(docs, empty):
+    got = packing.sequences(docs).collect()
+    assert len({(r.sequence_id, r.offset) for r in got}) == len(got)
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for places in bins.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= packing.LENGTH
+    zero = zlib.crc32(b"\0\0\0\0")
+    assert sum(r.ids_crc32 == zero and r.length == 1 for r in got) == 3  # two nulls and an empty text
+    assert packing.sequences(empty).count() == 0
+
+
+@pytest.mark.parametrize("group", [7, 100, 10**6])
+def test_groups_pack_about_as_well(spark, group):
+    r = random.Random(3)
+    rows = [(i, 0, 0, r.randrange(1, 101), 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    got = packing.in_sequences(df, 100, group).collect()
+    bins = {}
+    for x in got:
+        bins.setdefault(x.sequence_id, []).append((x.offset, x.length))
+    for places in bins.values():
+        at = 0
+        for offset, length in sorted(places):
+            assert offset == at
+            at += length
+        assert at <= 100
+    best = -(-sum(x[3] for x in rows) // 100)
+    assert len(bins) <= best * (1.02 if group > 7 else 1.1) + 1 and len(got) == 3000
+
+
+def test_each_piece_goes_where_the_squares_are_least():
+    r = random.Random(2)
+    for _ in range(30):
+        lengths = sorted((r.randrange(1, 13) for _ in range(40)), reverse=True)
+        bins, places = packing.packed(np.array(lengths), 12)
+        gap, count = {}, [0] * 13
+        for n, b, at in zip(lengths, bins, places, strict=True):
+            cost = {}
+            for g in [g for g in range(n, 13) if count[g] or g == 12]:
+                after = list(count)
+                after[g] -= g < 12
+                after[g - n] += g > n
+                after[12] = 0
+                cost[g] = sum(x * x for x in after[1:])
+            held = gap.get(b, 12)
+            old = {g: c for g, c in cost.items() if g < 12}
+            assert cost[held] == (min(old.values()) if old and b in gap else cost[12]) and at == 12 - held
+            if b in gap:
+                count[held] -= 1
+            gap[b] = held - n
+            count[gap[b]] += gap[b] > 0
+
+
+def test_ids_are_the_tokenizers():
+    import public_tokenizers
+
+    e = packing.Encoder(public_tokenizers.path(packing.VOCABULARY))
+    r = random.Random(1)
+    letters = "aAbBzZ'sStTreELl0129.,;!?-_éÉüßñçÅå×÷¡ªº¼½ĀāſƀǅİıŉŁµ\xad \n\t\x1c\xa0　Σσςé́漢字🎉<|endoftext|>"
+    for _ in range(4000):
+        t = "".join(r.choice(letters) for _ in range(r.randrange(16)))
+        assert e(t) == e.whole(t), repr(t)
+    assert e("a<|endoftext|>b") == e.whole("a<|endoftext|>b")
+
+
+# --- quality -------------------------------------------------------------------------------------
+
+
+def test_quality_cases(docs, empty, labels):
+    got = quality.resampled(docs, labels).collect()
+    assert len(got) == len(TEXTS) and all(r.Kept == "x" for r in got)
+    by = {r.doc_id: r for r in got}
+    assert by[6].log_weight == by[7].log_weight == 0
+    assert len({r._kept for r in got if r.doc_id == 5}) == 1
+    assert quality.keep_good(docs, labels).columns == docs.columns
+    assert quality.resampled(empty, labels).count() == 0
+    for some in (labels.where("false"), labels.where("quality = 1"), labels.where("quality = 0")):
+        assert quality.keep_good(docs, some).count() == len(TEXTS)
+
+
+def test_quality_draws_by_weight(spark):
+    texts = [(i, prose(i, 50) if i % 3 else "@@ ## " * 20 + prose(i, 10)) for i in range(300)]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i % 3 > 0), 0) for i in range(0, 300, 2)], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r.kept for r in quality.judged(df, marks).collect()}
+    assert np.mean([got[i] for i in got if i % 3]) > 0.97 and np.mean([got[i] for i in got if i % 3 == 0]) < 0.05
+    again = {r.doc_id: r.kept for r in quality.judged(df.repartition(7), marks).collect()}
+    assert got == again
+
+
+def test_cut():
+    assert quality.cut([]) == float("-inf") and quality.cut([(1.0, True)]) == float("-inf")
+    assert quality.cut([(0.0, False), (1.0, False), (2.0, True), (3.0, True)]) == 2.0
+    assert quality.cut([(5.0, False), (1.0, True), (2.0, True)]) == float("-inf")
+
+
+# --- secrets -------------------------------------------------------------------------------------
+
+
+def test_secret_cases(docs, empty):
+    for r in secrets.scanned(docs).collect():
+        assert [(x.kind, x.start, x.end) for x in r["_secrets"]] == brute.secrets(r.text)
+    out = secrets.without_secrets(docs)
+    assert out.columns == docs.columns and out.count() == len(TEXTS)
+    one = out.where("doc_id = 13").first()
+    assert "abcd1234efgh" not in one.text and secrets.MASK in one.text and one.n_chars == len(one.text)
+    assert secrets.scanned(empty).count() == secrets.without_secrets(empty).count() == 0
+
+
+def test_secret_patterns_equal_the_plain_ones():
+    r = random.Random(3)
+    bits = ["token", "SECRET", "pass", "password", "passwd", "api", "key", "_", " ", "=", ":", "'", '"', "abcdef0123456789", "AKIA", "AKIAABCDEFGH1234",
+            "é", "🎉", "deadbeef" * 4, "x" * 8, "\n", "tok", "-", ".", "abcd1234", "ghp_" + "a" * 36, "eyJ"]
+    s = secrets.scanner()
+    for _ in range(5000):
+        t = "".join(r.choice(bits) for _ in range(r.randrange(12)))
+        found = [(s.kinds[i], a, b) for i, a, b in s.scan(t)]
+        assert [x for x in found if x[0] in ("assign", "access", "hex")] == brute.secrets(t), t
+        assert not brute.secrets(secrets.masked(t, [(a, b) for _, a, b in found])) or "api" in t or "key" in t
+
+
+def test_added_rules():
+    s = secrets.scanner()
+    kinds = lambda t: [s.kinds[i] for i, *_ in s.scan(t)]
+    assert kinds("ghp_" + "Zz9" * 12) == ["github"] and kinds("ghp_short") == []
+    assert kinds("xoxb-1234567890-abc") == ["slack"] and kinds("AIza" + "x" * 35) == ["google"]
+    assert kinds("eyJhbGciOiJ.eyJzdWIiOiI.SflKxwRJSM") == ["jwt"] and kinds("-----BEGIN RSA PRIVATE KEY-----") == ["pem"]
+    assert kinds("sk_live_" + "x" * 16) == ["stripe"]
+
+
+# --- n-gram join ---------------------------------------------------------------------------------
+
+
+def test_near_copies_cases(docs, empty):
+    got = ngram_join.grouped(docs).collect()
+    assert len(got) == len(TEXTS)
+    numbered = list(enumerate(t for _, t in sorted(TEXTS, key=key)))
+    ids = [i for i, _ in sorted(TEXTS, key=key)]
+    want = sorted(((ids[i], n) for i, n, _ in brute.near_copies(numbered)), key=key)
+    assert sorted(((r.doc_id, r.n_links) for r in got), key=key) == want
+    kept = ngram_join.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == len({root for *_, root in brute.near_copies(numbered)})
+    assert {r.doc_id for r in kept.collect()} >= {1, 5, 6, 7, 8, 9, 11, 13, 14, None}
+    assert ngram_join.keep_one(empty).count() == 0 and ngram_join.joined(empty).count() == 0
+    assert {r.class_id for r in ngram_join.joined(docs).where("doc_id in (1, 2, 3)").collect()} == {1}
+
+
+def test_near_copies_in_blocks_of_any_size(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join.blocks, "__defaults__", (7, 2000))
+    r = random.Random(6)
+    base = prose(3, 120).split()
+    texts = []
+    for i in range(90):
+        w = list(base)
+        for _ in range(r.randrange(9)):
+            w[r.randrange(len(w))] = r.choice(WORDS)
+        texts.append((i, " ".join(w)))
+    texts += [(100 + i, prose(1000 + i, 30)) for i in range(40)]
+    got = ngram_join.joined(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    want = brute.near_copies(texts)
+    assert sorted((x.doc_id, x.n_links, x.component_id) for x in got) == sorted(want)
+
+
+def test_prefixes_are_shortened_to_the_recall():
+    k = ngram_join.prefix_length()
+    assert 1 - (1 - 0.8**k) ** ngram_join.TREES >= ngram_join.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** ngram_join.TREES
+    assert ngram_join.prefix_length(recall=0.5) > k and ngram_join.prefix_length(similarity=0.1, recall=0.99999999) == 1
+
+
+# --- pipeline ------------------------------------------------------------------------------------
+
+
+def test_stages_take_any_table(spark, docs, empty, labels, items, tmp_path):
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    items.write.parquet(str(tmp_path / "benchmark.parquet"))
+    for table in (docs, empty):
+        rows = table
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, rows, str(tmp_path))
+            assert out.columns == docs.columns
+            assert out.count() <= rows.count()
+        assert corpus_pipeline.STAGES[-1][1](spark, rows, str(tmp_path)).count() >= rows.count()
