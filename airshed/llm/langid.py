@@ -22,6 +22,7 @@ from airshed.llm.common import free_name, mapped
 
 SAMPLE_DOCS = 400  # documents a language's sample is taken from, at most ...
 SAMPLE_CHARS = 60_000  # ... and its characters
+SALT = 32  # parts that the sample is first taken from
 SYMBOLS = 64  # letters told apart; the rest are one
 SEGMENT = 1024  # letters and gaps parsed in one go; a phrase ends with its segment
 UNKNOWN = "und"
@@ -169,14 +170,18 @@ def held_out() -> Column:
 def sampled(docs: DataFrame, documents: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> dict[str, str]:
     """For each language the beginnings of at most ``documents`` labelled documents, not held out.
 
-    They are the first by a hash of their ids; each task passes on so many a language at most. Every
-    document gives an equal share of the characters; what short ones leave goes to the next ones.
+    They are the first by a hash of their ids, of each of ``SALT`` parts first and then of all, so
+    that no task gets more than so many a part. Every document gives an equal share of the
+    characters; what short ones leave goes to the next ones.
     """
     share = 4 * chars // documents
     usable = docs.where(F.col("lang").isNotNull() & ~held_out()).where(F.length(F.trim("text")) > 0)
     part = usable.select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, share).alias("part"))
-    first = Window.partitionBy("lang").orderBy("h", "part")
-    rows = part.withColumn("n", F.row_number().over(first)).where(F.col("n") <= documents).collect()
+    part = part.withColumn("salt", F.pmod("h", F.lit(SALT)))
+    for group in (["lang", "salt"], ["lang"]):
+        order = Window.partitionBy(*group).orderBy("h", "part")
+        part = part.withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents)
+    rows = part.collect()
     out: dict[str, str] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["n"])):
         if len(out.setdefault(r["lang"], "")) < chars:
