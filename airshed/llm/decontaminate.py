@@ -8,7 +8,6 @@ A window counts only after its words have been compared.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -162,13 +161,13 @@ def cleaned(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     that is cut as well.
     """
     rows = marked(docs, benchmark)
-    spans = rows.columns[-2]
+    spans, columns = rows.columns[-2], docs.columns
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in batches:
             both = zip(part["text"], part[spans], strict=True)
             part["text"] = [cut_words(t, [(x["start"], x["end"]) for x in s]) for t, s in both]
-            yield part[docs.columns]
+            yield part[columns]
 
     hit = F.size(spans) > 0
     changed = settle(rows.where(hit).mapInPandas(cut, docs.schema), "decontaminated")

@@ -98,12 +98,15 @@ class Parser:
         for language in self.languages:
             own = self.alphabet(samples[language])
             table = suffix_automaton(own.tolist(), self.alphabet.size)
-            # Where the automaton has no step, the phrase ends and the symbol begins the next one;
-            # a symbol that the sample lacks is a phrase of its own. Such steps are negative.
-            again = np.where(table[0] >= 0, table[0], 0)
-            to = np.where(table >= 0, table + base, -1 - (again[None, :] + base))
+            # Where the automaton has no step, the symbol begins the next phrase: such steps are
+            # negative. A symbol that the sample lacks is a phrase of its own; after it, as at the
+            # beginning, stands a last state from which every symbol begins a phrase.
+            fresh = len(table)
+            begun = np.where(table[0] >= 0, table[0], fresh)
+            table = np.vstack([table, np.full((1, self.alphabet.size), -1, np.int32)])
+            to = np.where(table >= 0, table + base, -1 - (begun[None, :] + base))
             steps.append(to.astype(np.int32))
-            self.start.append(base)
+            self.start.append(base + fresh)
             self.cost.append(np.log2(max(len(own), 2)))
             base += len(table)
         self.steps = np.concatenate(steps).ravel() if steps else np.zeros(0, np.int32)
@@ -126,14 +129,14 @@ class Parser:
         size = self.alphabet.size
         for j, start in enumerate(self.start):
             state = np.full(len(parts), start * size, np.int32)
-            ended = np.ones(len(parts), np.int32)  # the last phrase ends with its segment
+            begun = np.zeros(len(parts), np.int32)
             live = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # segments longer than the step
             for row, n in zip(grid, live.tolist(), strict=True):
                 to = self.steps[state[:n] + row[:n]]
                 broken = to < 0
-                ended[:n] += broken
+                begun[:n] += broken
                 state[:n] = np.where(broken, -1 - to, to) * size
-            np.add.at(out[:, j], np.array(owner)[order], ended)
+            np.add.at(out[:, j], np.array(owner)[order], begun)
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:

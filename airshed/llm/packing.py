@@ -1,9 +1,9 @@
 """Sequence packing by sums of squares.
 
 A text becomes token ids and one separator, and only what is longer than a sequence is cut. The
-pieces are then placed one by one, long ones first: into the open sequence, or a new one, that
-leaves the sum over all gaps of (open sequences with that gap) squared the smallest. Gaps so stay
-spread out and nearly all of them are met by some later piece. Pieces are dealt into groups that
+pieces are then placed one by one, long ones first: into the open sequence that leaves the sum over
+all gaps of (open sequences with that gap) squared the smallest, or into a new one if none has room.
+Gaps so stay spread out and nearly all of them are met by some later piece. Pieces are dealt into groups that
 pack on their own; the sequences that a group leaves open are dealt again, as pieces, into fewer
 groups, until one group of bounded size is left.
 """
@@ -132,33 +132,27 @@ def packed(lengths: np.ndarray, size: int = LENGTH) -> tuple[np.ndarray, np.ndar
     """For pieces, longest first: the bin (numbered from 0) and the place in it of each."""
     open_bins: list[list[int]] = [[] for _ in range(size + 1)]  # by gap
     count = np.zeros(size + 1, np.int64)
-    squares = np.zeros(size + 1, np.int64)  # cost of one more bin with this gap, half of 2 n + 1
     bins, places = np.empty(len(lengths), np.int64), np.empty(len(lengths), np.int64)
+    none = np.iinfo(np.int64).max
     made = 0
     for i, n in enumerate(lengths.tolist()):
-        # From gap g to gap g - n the sum changes by 2 (count[g - n] - count[g] + 1); a full bin has
-        # no gap and counts nothing; a new bin adds one of gap size - n.
-        after = squares[: size + 1 - n].copy()
-        after[0] = 0
-        change = after - count[n:] + (np.arange(size + 1 - n) > 0)
-        change[count[n:] == 0] = np.iinfo(np.int64).max
+        # From gap g to gap g - n the sum changes by 2 (count[g - n] - count[g] + 1); a full sequence
+        # has no gap, so filling one up changes it by 1 - 2 count[g].
+        change = 2 * (count[: size + 1 - n] - count[n:] + 1)
+        change[0] = 1 - 2 * count[n]
+        change[count[n:] == 0] = none
         best = int(change.argmin())  # of equal ones the tightest
-        if change[best] == np.iinfo(np.int64).max or (n < size and change[best] > squares[size - n] and not made):
-            best = -1
-        if best < 0:
+        if change[best] == none:
             number, gap = made, size
             made += 1
         else:
             gap = best + n
             number = open_bins[gap].pop()
             count[gap] -= 1
-            squares[gap] = count[gap]
         bins[i], places[i] = number, size - gap
-        left = gap - n
-        if left:
-            open_bins[left].append(number)
-            count[left] += 1
-            squares[left] = count[left]
+        if gap > n:
+            open_bins[gap - n].append(number)
+            count[gap - n] += 1
     return bins, places
 
 

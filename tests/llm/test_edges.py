@@ -307,7 +307,7 @@ def test_groups_pack_about_as_well(spark, group):
             at += length
         assert at <= 100
     best = -(-sum(x[3] for x in rows) // 100)
-    assert len(bins) <= best * (1.02 if group > 7 else 1.1) + 1 and len(got) == 3000
+    assert len(bins) <= best * {7: 1.2, 100: 1.08}.get(group, 1.02) and len(got) == 3000
 
 
 def test_each_piece_goes_where_the_squares_are_least():
@@ -318,19 +318,17 @@ def test_each_piece_goes_where_the_squares_are_least():
         gap, count = {}, [0] * 13
         for n, b, at in zip(lengths, bins, places, strict=True):
             cost = {}
-            for g in [g for g in range(n, 13) if count[g] or g == 12]:
+            for g in [g for g in range(n, 13) if count[g]]:
                 after = list(count)
-                after[g] -= g < 12
-                after[g - n] += g > n
-                after[12] = 0
+                after[g] -= 1
+                after[g - n] += 1
                 cost[g] = sum(x * x for x in after[1:])
             held = gap.get(b, 12)
-            old = {g: c for g, c in cost.items() if g < 12}
-            assert cost[held] == (min(old.values()) if old and b in gap else cost[12]) and at == 12 - held
+            assert at == 12 - held and (cost[held] == min(cost.values()) if b in gap else not cost)
             if b in gap:
                 count[held] -= 1
             gap[b] = held - n
-            count[gap[b]] += gap[b] > 0
+            count[gap[b]] += 1
 
 
 def test_ids_are_the_tokenizers():
