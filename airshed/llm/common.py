@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import math
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -60,6 +64,27 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return mixed(out)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to Python workers that would not find it, once per application.
+
+    Nothing is sent where PYTHONPATH names the package's folder, or a local session was started in it.
+    """
+    root = Path(__file__).resolve().parents[2]
+    context = spark.sparkContext
+    local = context.master.split("[")[0] == "local" and Path.cwd() == root
+    if local or str(root) in os.environ.get("PYTHONPATH", "").split(":") or context.applicationId in _SHIPPED:
+        return
+    target = f"{tempfile.mkdtemp(prefix='airshed-code-')}/airshed.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for f in sorted((root / "airshed").rglob("*.py")):
+            out.write(f, f.relative_to(root))
+    context.addPyFile(target)  # Spark serves the copy to its executors
+    _SHIPPED.add(context.applicationId)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, or with underscores in front until no column of ``df`` has it in any case."""
     taken = {c.lower() for c in df.columns}
@@ -72,6 +97,7 @@ def mapped(
     df: DataFrame, added: str, fill: Callable[[pa.RecordBatch], list], prepare: Callable[[], None] | None = None
 ) -> DataFrame:
     """``df`` with the columns of the DDL ``added``, which ``fill`` makes from each Arrow batch."""
+    ship(df.sparkSession)
     extra = T.StructType.fromDDL(added)
     schema = T.StructType([*df.schema.fields, *extra.fields])
 
@@ -94,6 +120,7 @@ def per_group(
     The rows are dealt by the keys and sorted, and a task walks through its groups one after the
     other: thousands of small groups cost one stream, not one each. A group must be of bounded size.
     """
+    ship(df.sparkSession)
     schema = T.StructType.fromDDL(ddl)
     names = schema.fieldNames()
 
@@ -134,6 +161,7 @@ def connected(edges: DataFrame, name: str, few: int = FEW, rounds: int = 60) ->
     driver sees only a row count and a checksum. At most ``few`` edges are done by one task instead,
     to the same result. Nodes without an edge are not listed.
     """
+    ship(edges.sparkSession)
     e = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
     e = settle(e.distinct(), name)
     n, check = _state(e)

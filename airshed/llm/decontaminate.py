@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import free_name, mapped, words
+from airshed.llm.common import free_name, ship, words
 from airshed.session import settle
 
 WINDOW = 10
@@ -104,6 +104,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int
     underscores in front; the three are always the last columns.
     """
     spark = docs.sparkSession
+    ship(spark)
     n_words, hit_spans, hit_items = (free_name(docs, c) for c in ("n_words", "hit_spans", "hit_items"))
     # Rows of a window stay in one block; with one block the whole table is one.
     table = settle(windows(benchmark, size), "benchmark-windows")

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from airshed.llm.common import free_name, keyed, per_group
+from airshed.llm.common import keyed, per_group, ship
 from airshed.session import settle
 
 LENGTH = 2048
@@ -106,6 +106,7 @@ def pieces(docs: DataFrame, vocabulary: str, length: int = LENGTH) -> DataFrame:
 
     A null text counts as empty: its only id is the separator.
     """
+    ship(docs.sparkSession)
     kind = docs.schema["doc_id"].dataType
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import free_name, gumbel, kth_largest, mapped
+from airshed.llm.common import free_name, gumbel, kth_largest, mapped, ship
 from airshed.session import settle
 
 BUCKETS = 1 << 17  # hashed n-grams; bounds the model, whatever the corpus
@@ -95,6 +95,7 @@ def model(marked: DataFrame, text: str, good: str) -> tuple[np.ndarray, np.ndarr
             names=["slice", "raw", "target"],
         )
 
+    ship(marked.sparkSession)
     ddl = "slice int, raw binary, target binary"
     rows = marked.select(text, good).mapInArrow(count, ddl).groupBy("slice").applyInArrow(add, ddl).collect()
     raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
