@@ -111,8 +111,9 @@ MIN_VALID_HOURS = 18
 LOG_START = "2026-01-01"
 PUBLISHER_HOSTS = ["www.cbc.ca", "www.ctvnews.ca"]
 
-# Rough outline of the province as (latitude, longitude), first point not repeated.
-PROVINCE_OUTLINE = [
+# A sketch to try the polygon queries with, not a boundary: corners as (latitude, longitude), first
+# point not repeated, and a lake cut out of it. Pass a published boundary (``read_polygon``) instead.
+SKETCH_OUTER = [
     (42.0, -83.1),
     (42.7, -82.4),
     (45.3, -82.5),
@@ -136,3 +137,5 @@ PROVINCE_OUTLINE = [
     (43.2, -79.05),
     (42.8, -79.2),
 ]
+SKETCH_LAKE = [(46.5, -88.0), (48.4, -88.0), (48.0, -85.5), (46.7, -85.2)]
+PROVINCE_SKETCH = [SKETCH_OUTER, SKETCH_LAKE]

@@ -84,3 +84,31 @@ def union_pages(pages: Sequence[DataFrame], key: str, order_by: str) -> DataFram
     for page in pages[1:]:
         merged = merged.unionByName(page, allowMissingColumns=True)
     return keep_one(merged, [key], order_by, copies_col="page_copies")
+
+
+def read_polygon(spark: SparkSession, path: str) -> DataFrame:
+    """Vertices (ring, seq, lat, lon) of all polygons and multi-polygons in GeoJSON files.
+
+    A file is a feature collection, a feature or a bare geometry. Holes are rings as well.
+    """
+    ring = "array<array<double>>"
+    text = spark.read.text(path, wholetext=True).select("value")
+    bare = "struct<type:string, coordinates:string>"
+    top = text.select(
+        F.from_json("value", f"features array<struct<geometry:{bare}>>, geometry {bare}, type string, coordinates string").alias("t")
+    )
+    each = top.select(
+        F.explode(
+            F.coalesce(
+                F.transform("t.features", lambda f: f["geometry"]),
+                F.array(F.coalesce("t.geometry", F.struct("t.type", "t.coordinates"))),
+            )
+        ).alias("g")
+    )
+    rings = each.select(
+        F.when(F.col("g.type") == "Polygon", F.array(F.from_json("g.coordinates", f"array<{ring}>")))
+        .when(F.col("g.type") == "MultiPolygon", F.from_json("g.coordinates", f"array<array<{ring}>>"))
+        .alias("parts")
+    ).select(F.explode(F.flatten("parts")).alias("r"))
+    numbered = rings.select(F.xxhash64(F.to_json("r")).alias("ring"), F.posexplode("r").alias("seq", "p"))
+    return numbered.select("ring", "seq", F.col("p")[1].alias("lat"), F.col("p")[0].alias("lon"))

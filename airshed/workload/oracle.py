@@ -11,7 +11,7 @@ from airshed.config import (
     BBOX,
     CITIES,
     GEOMET_LOCATIONS,
-    PROVINCE_OUTLINE,
+    PROVINCE_SKETCH,
     WEATHER_STATIONS,
 )
 
@@ -268,7 +268,7 @@ VIEWS = {
     select 'persistence' as model, * from naive union all select 'moving_average' as model, * from ma""",
     "inside": f"""
     select h.uid, any_value(h.date) as date, any_value(h.rep_date) as rep_date, any_value(h.lat) as lat, any_value(h.lon) as lon
-    from hot h, (values {_values([(float(a), float(b), float(c), float(d)) for (a, b), (c, d) in zip(PROVINCE_OUTLINE, [*PROVINCE_OUTLINE[1:], PROVINCE_OUTLINE[0]])])}) as e(lat1, lon1, lat2, lon2)
+    from hot h, (values {_values([(float(a), float(b), float(c), float(d)) for ring in PROVINCE_SKETCH for (a, b), (c, d) in zip(ring, [*ring[1:], ring[0]])])}) as e(lat1, lon1, lat2, lon2)
     where (e.lat1 > h.lat) <> (e.lat2 > h.lat)
       and h.lon < e.lon1 + (h.lat - e.lat1) / (e.lat2 - e.lat1) * (e.lon2 - e.lon1)
     group by h.uid having count(*) % 2 = 1""",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.config import GEOMET_LOCATIONS, SENTINEL_FIELDS
+from airshed.config import GEOMET_LOCATIONS, PROVINCE_SKETCH, SENTINEL_FIELDS
 from airshed.functions import geo, moments, text
 from airshed.operators import aqhi, evacuation, exposure, fires, grouping, quality, rules, weather
 from airshed.plans import city_daily, dimensions, model_prep
@@ -468,17 +468,17 @@ def hotspot_site_exposure(spark, sf):
 
 @query
 def point_in_polygon(spark, sf):
-    return exposure.inside_outline(inputs.hotspots(spark, sf)).select("uid", "lat", "lon")
+    return exposure.inside_outline(inputs.hotspots(spark, sf), PROVINCE_SKETCH).select("uid", "lat", "lon")
 
 
 @query
 def province_daily_totals(spark, sf):
-    return exposure.province_daily_totals(exposure.inside_outline(inputs.hotspots(spark, sf)))
+    return exposure.province_daily_totals(exposure.inside_outline(inputs.hotspots(spark, sf), PROVINCE_SKETCH))
 
 
 @query
 def earliest_province_hotspot(spark, sf):
-    return exposure.earliest_hotspot(exposure.inside_outline(inputs.hotspots(spark, sf)))
+    return exposure.earliest_hotspot(exposure.inside_outline(inputs.hotspots(spark, sf), PROVINCE_SKETCH))
 
 
 @query

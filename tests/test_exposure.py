@@ -1,13 +1,15 @@
 import datetime as dt
+import json
 import math
 import random
 
 import pytest
 from conftest import as_set
 
-from airshed.config import CITIES, PROVINCE_OUTLINE
+from airshed.config import CITIES, PROVINCE_SKETCH, SKETCH_LAKE, SKETCH_OUTER
 from airshed.operators import exposure
 from airshed.operators.grouping import literal_rows
+from airshed.sources.geojson import read_polygon
 
 
 def km(a, b, c, d):
@@ -82,17 +84,28 @@ def inside(lat, lon, ring):
     return odd
 
 
-def test_point_in_polygon_equals_ray_casting(spark):
-    data = points(800)
-    data += [(9000 + i, dt.date(2024, 7, 1), *p) for i, p in enumerate(PROVINCE_OUTLINE)] + [(9999, dt.date(2024, 7, 1), None, -80.0)]
+def test_point_in_polygon_equals_ray_casting(spark, tmp_path):
+    data = points(800) + [(1000 + i, dt.date(2024, 7, 1), 46.6 + i / 40, -88.2 + i / 13) for i in range(40)]
+    corners = [*SKETCH_OUTER, *SKETCH_LAKE]
+    data += [(9000 + i, dt.date(2024, 7, 1), *p) for i, p in enumerate(corners)] + [(9999, dt.date(2024, 7, 1), None, -80.0)]
     df = spark.createDataFrame(data, "uid int, date date, lat double, lon double")
-    want = sorted(r[0] for r in data if r[2] is not None and inside(r[2], r[3], PROVINCE_OUTLINE))
-    assert 0 < len(want) < len(data)
+    held = [r for r in data if r[2] is not None and sum(inside(r[2], r[3], ring) for ring in PROVINCE_SKETCH) % 2]
+    want = sorted(r[0] for r in held)
+    assert 0 < len(want) < len(data) and any(inside(r[2], r[3], SKETCH_LAKE) for r in data if r[2])
     for band in (0.1, 0.5, 7.0):
-        got = exposure.inside_outline(df, band_degrees=band)
+        got = exposure.inside_outline(df, PROVINCE_SKETCH, band_degrees=band)
         assert got.columns == df.columns and sorted(r["uid"] for r in got.collect()) == want
-    total = sum(r["total_hotspots"] for r in exposure.province_daily_totals(exposure.inside_outline(df)).collect())
+    total = sum(r["total_hotspots"] for r in exposure.province_daily_totals(exposure.inside_outline(df, PROVINCE_SKETCH)).collect())
     assert total == len(want)
+    closed = [[[lon, lat] for lat, lon in [*ring, ring[0]]] for ring in PROVINCE_SKETCH]
+    for shape in (
+        {"type": "Polygon", "coordinates": closed},
+        {"type": "Feature", "properties": {}, "geometry": {"type": "Polygon", "coordinates": closed}},
+        {"type": "FeatureCollection", "features": [{"geometry": {"type": "MultiPolygon", "coordinates": [[closed[0]], [closed[1]]]}}]},
+    ):
+        (tmp_path / "p.geojson").write_text(json.dumps(shape, indent=1))
+        vertices = read_polygon(spark, str(tmp_path / "p.geojson"))
+        assert sorted(r["uid"] for r in exposure.inside_polygon(df, vertices).collect()) == want
 
 
 def test_box_and_period(spark):
@@ -115,7 +128,7 @@ def test_filters_reach_the_scan(spark, tmp_path):
     spark.createDataFrame(data, "uid int, rep_date timestamp_ntz, lat double, lon double, agency string").write.parquet(path)
     df = spark.read.parquet(path)
     spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
-    for picked in (exposure.bbox_time_filter(df, "2026-07-01", "2026-07-03"), exposure.inside_outline(df)):
+    for picked in (exposure.bbox_time_filter(df, "2026-07-01", "2026-07-03"), exposure.inside_outline(df, PROVINCE_SKETCH)):
         plan = picked.select("uid")._jdf.queryExecution().executedPlan().toString()
         assert "GreaterThanOrEqual(lat" in plan and "LessThanOrEqual(lon" in plan
         assert "agency" not in plan
