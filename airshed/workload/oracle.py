@@ -1228,6 +1228,16 @@ def statements() -> dict[str, str]:
     )
 
     # rules and increments
+    # The civil clock of Toronto in 2024: forward on 10 March, back on 3 November.
+    add(
+        "clock_change_days",
+        ["wx"],
+        """select station_id, cast(date as varchar) as date, hours, civil_day_hours, hours = 24 as is_standard_time
+        from (select station_id, cast(t as date) as date, cast(count(distinct hour(t)) as integer) as hours,
+            case cast(t as date) when date '2024-03-10' then 23 when date '2024-11-03' then 25 else 24 end as civil_day_hours
+          from (select station_id, date_time_lst + to_days(cast(row_id % 24 * 14 as integer)) as t from wx) group by all)
+        where civil_day_hours <> 24""",
+    )
     add("dq_dim", ["sta", "city"], _dim_rules())
     add("dq_weather", ["wx"], _weather_rules())
     add("dq_evac", ["evac"], _evac_rules())

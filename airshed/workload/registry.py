@@ -857,6 +857,15 @@ def preview_top_n(spark, sf):
 # --- rules --------------------------------------------------------------------------------------
 
 
+@query
+def clock_change_days(spark, sf):
+    """Stamps a third of a year apart, so that both clock changes are among them."""
+    wx = inputs.weather(spark, sf).withColumn(
+        "date_time_lst", F.expr("date_time_lst + make_dt_interval(int(row_id % 24) * 14, 0, 0, 0)")
+    )
+    return plain(weather.clock_change_days(wx))
+
+
 @query
 def dq_dim(spark, sf):
     return rules.dimension_rules(inputs.stations(spark, sf), dimensions.dim_city(spark))

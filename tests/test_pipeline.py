@@ -4,7 +4,12 @@ from conftest import as_set
 from pyspark.sql import functions as F
 
 from airshed.operators.aqhi import clean_history
+from airshed.operators.evacuation import evacuation_facts
+from airshed.operators.weather import daily_weather
+from airshed.plans.dimensions import dim_city
 from airshed.plans.pipeline import Store, check_facts, load_dimensions, load_facts, load_staging, row_counts, staged
+from airshed.sources import landed
+from airshed.sources.files import read_csv
 from airshed.sources.schemas import ACTIVE_FIRES, AQHI_CURRENT, conform
 from airshed.streaming.polls import stamp_rows
 
@@ -90,3 +95,34 @@ def test_a_load_with_fewer_columns_hides_none(spark, tmp_path):
     load_staging(store, {"cwfis_hotspots": full}, 0)
     load_staging(store, {"cwfis_hotspots": full.drop("frp").withColumn("uid", F.lit("b"))}, 1)
     assert as_set(staged(store, "cwfis_hotspots").select("uid", "frp")) == [("a", 1.0), ("b", None)]
+
+
+def test_landed_files_reach_the_operators(spark, tmp_path):
+    """From CSV files as they are landed to the daily weather, the evacuation fact and the readings."""
+    (tmp_path / "wx.csv").write_text(
+        "Date/Time (LST),Temp (°C),Rel Hum (%),Precip. Amount (mm),Precip. Amount Flag,Wind Dir (10s deg),Wind Spd (km/h),project_city,project_station_id,project_station_name\n"
+        + "".join(f"2024-01-01 {h:02d}:00,1.5,50,{'1.0' if h else ''},,27,5,Barrie,42183,BARRIE\n" for h in range(24))
+    )
+    wx = landed.weather(read_csv(spark, str(tmp_path / "wx.csv"), normalise=True))
+    day = daily_weather(wx).first()
+    assert (day["city"], day["precip_total"], day["valid_hours"], day["wind_speed_mean"]) == ("Barrie", 23.0, 24, 5.0)
+    (tmp_path / "evac.csv").write_text(
+        "event_id,community,nearby_project_city,evacuation_start_date,evacuation_end_date,event_status,status_as_of_date,source_name,source_url\n"
+        "EVAC-001,Armstrong,Thunder Bay,2026-07-13,,Ongoing,2026-08-04,CBC News,https://www.cbc.ca/1\n"
+        "EVAC-001,Armstrong,Thunder Bay,2026-07-13,2026-08-06,Lifted,2026-08-07,CBC News,https://www.cbc.ca/2\n"
+        "EVAC-002,Place,Not applicable,13 July,,Ongoing,2026-08-04,CBC News,https://www.cbc.ca/3\n"
+    )
+    log = landed.evacuations(read_csv(spark, str(tmp_path / "evac.csv")))
+    facts = as_set(evacuation_facts(log, dim_city(spark)).select("event_id", "city_id", "start_date", "status"))
+    assert facts == [("EVAC-001", 3, dt.date(2026, 7, 13), "Lifted"), ("EVAC-002", None, None, "Ongoing")]
+    (tmp_path / "air.csv").write_text(
+        "row_id,date,time,aqhi,category,city,station_name,station_id,requested_year,value_type,show_day_code\n"
+        "1,2024-01-05,4:00 pm EST,10+,very high risk,Barrie,Barrie,47045,2024,daily_4pm,0\n2,2024-01-06,4:00 pm EST,NaN,,Barrie,Barrie,47045,2024,daily_4pm,0\n"
+    )
+    air = landed.history(read_csv(spark, str(tmp_path / "air.csv")))
+    assert as_set(air.select("date", "aqhi_numeric", "aqhi_is_10_plus")) == [(dt.date(2024, 1, 5), 10.0, True), (dt.date(2024, 1, 6), None, False)]
+    hot = landed.hotspots(spark.sql("select 'a' as uid, '2024-07-01 05:00:00' as rep_date, '44.1' as lat, 'x' as lon"))
+    assert as_set(hot.select("date", "lat", "lon")) == [(dt.date(2024, 7, 1), 44.1, None)]
+    now = landed.current(spark.sql("select 'x' as id, '2024-07-01T05:00:00Z' as observation_datetime"))
+    assert now.first()["observation_datetime"] == dt.datetime(2024, 7, 1, 5)
+    assert landed.fires(spark.sql("select '1' as OBJECTID")).first()["OBJECTID"] == 1
