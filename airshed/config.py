@@ -82,6 +82,48 @@ EVENT_STATUSES = ["Ongoing", "Lifted", "Unknown"]
 DISTANCE_BANDS_KM = [100, 250, 500]
 EARTH_RADIUS_KM = 6371.0088
 
+# Columns of a historical reading as they are compared.
+SOURCE_FIELDS = [
+    "date",
+    "time",
+    "aqhi_raw",
+    "aqhi_numeric",
+    "category",
+    "station_id",
+    "requested_year",
+    "value_type",
+]
+
+# Cleaned column -> source field.
+TEXT_FIELDS = {
+    "fire_id": "FIELD_AGENCY_FIRE_ID",
+    "agency_code": "FIELD_AGENCY_CODE",
+    "stage_of_control_code": "FIELD_STAGE_OF_CONTROL_STATUS",
+    "agency_fire_cause_code": "FIELD_AGENCY_FIRE_CAUSE",
+    "system_fire_cause_code": "FIELD_SYSTEM_FIRE_CAUSE",
+    "response_type_code": "FIELD_RESPONSE_TYPE",
+}
+INSTANT_FIELDS = {
+    "situation_report_datetime_utc": "FIELD_SITUATION_REPORT_DATE",
+    "status_datetime_utc": "FIELD_STATUS_DATE",
+    "refreshed_datetime_utc": "REFRESHED_DATETIME",
+}
+
+# Checks of the published validation report, in its order.
+FIRE_CHECKS = [
+    "total_records",
+    "missing_fire_ids",
+    "missing_latitude",
+    "missing_longitude",
+    "missing_fire_size",
+    "minimum_fire_size_hectares",
+    "maximum_fire_size_hectares",
+    "confirmed_stage_records",
+    "provisional_stage_records",
+    "unmapped_stage_records",
+    "cause_codes_requiring_review",
+]
+
 # ---------------------------------------------------------------------------
 # Our own choices where the sources name none (public coordinates, limits, simplified outline).
 # ---------------------------------------------------------------------------

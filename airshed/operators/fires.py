@@ -9,9 +9,12 @@ from airshed.config import (
     ACTIVE_STAGE_CODES,
     CODED_FIELDS,
     DOCUMENTED_CAUSE_CODES,
+    FIRE_CHECKS,
+    INSTANT_FIELDS,
     RESPONSE_CODES,
     SENTINEL_FIELDS,
     STAGE_CODES,
+    TEXT_FIELDS,
 )
 from airshed.functions.moments import epoch_ms_to_utc
 from airshed.functions.text import number_sql
@@ -23,22 +26,6 @@ def number(field: str) -> str:
     return number_sql(f"trim(cast({field} as string))")
 
 
-# Cleaned column -> source field.
-TEXT_FIELDS = {
-    "fire_id": "FIELD_AGENCY_FIRE_ID",
-    "agency_code": "FIELD_AGENCY_CODE",
-    "stage_of_control_code": "FIELD_STAGE_OF_CONTROL_STATUS",
-    "agency_fire_cause_code": "FIELD_AGENCY_FIRE_CAUSE",
-    "system_fire_cause_code": "FIELD_SYSTEM_FIRE_CAUSE",
-    "response_type_code": "FIELD_RESPONSE_TYPE",
-}
-INSTANT_FIELDS = {
-    "situation_report_datetime_utc": "FIELD_SITUATION_REPORT_DATE",
-    "status_datetime_utc": "FIELD_STATUS_DATE",
-    "refreshed_datetime_utc": "REFRESHED_DATETIME",
-}
-
-
 def _labels(code: str, pairs: list[tuple[str, str]]) -> str:
     """Label of a code, null when unknown."""
     cases = " ".join(f"when '{c}' then '{label}'" for c, label in pairs)
@@ -121,19 +108,20 @@ def validation_report(cleaned: DataFrame) -> DataFrame:
     """The (check_name, value) table. Two aggregates: the checks, and duplicates by id size."""
 
     status = "double(count_if(stage_of_control_mapping_status = '{}'))"
-    checks = {
-        "total_records": "double(count(1))",
-        "missing_fire_ids": "double(count_if(FIELD_AGENCY_FIRE_ID is null))",
-        "missing_latitude": "double(count_if(latitude is null))",
-        "missing_longitude": "double(count_if(longitude is null))",
-        "missing_fire_size": "double(count_if(fire_size_hectares is null))",
-        "minimum_fire_size_hectares": "min(fire_size_hectares)",
-        "maximum_fire_size_hectares": "max(fire_size_hectares)",
-        "confirmed_stage_records": status.format("Confirmed"),
-        "provisional_stage_records": status.format("Provisional"),
-        "unmapped_stage_records": status.format("Unmapped"),
-        "cause_codes_requiring_review": "double(count_if(cause_mapping_status = 'Requires review'))",
-    }
+    values = [
+        "double(count(1))",
+        "double(count_if(FIELD_AGENCY_FIRE_ID is null))",
+        "double(count_if(latitude is null))",
+        "double(count_if(longitude is null))",
+        "double(count_if(fire_size_hectares is null))",
+        "min(fire_size_hectares)",
+        "max(fire_size_hectares)",
+        status.format("Confirmed"),
+        status.format("Provisional"),
+        status.format("Unmapped"),
+        "double(count_if(cause_mapping_status = 'Requires review'))",
+    ]
+    checks = dict(zip(FIRE_CHECKS, values, strict=True))
     one_row = cleaned.agg(*[F.expr(c).alias(name) for name, c in checks.items()])
     report = one_row.unpivot([], list(checks), "check_name", "value")
     duplicates = (

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.config import GEOMET_LOCATIONS, PROVINCE_SKETCH, SENTINEL_FIELDS
+from airshed.config import GEOMET_LOCATIONS, PROVINCE_SKETCH, SENTINEL_FIELDS, SOURCE_FIELDS
 from airshed.functions import geo, moments, text
 from airshed.operators import aqhi, evacuation, exposure, fires, grouping, quality, rules, weather
 from airshed.plans import city_daily, dimensions, model_prep
@@ -23,16 +23,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 STATION = ["station_id", "value_type", "requested_year"]
-SOURCE_FIELDS = [
-    "date",
-    "time",
-    "aqhi_raw",
-    "aqhi_numeric",
-    "category",
-    "station_id",
-    "requested_year",
-    "value_type",
-]
 BLOCK = 20  # features or table rows per built page
 
 
