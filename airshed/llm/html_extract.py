@@ -43,11 +43,11 @@ IMPLIED = {"p": BLOCKS - {"br"}, "li": frozenset({"li"}), "td": frozenset({"td",
            "option": frozenset({"option"})}
 #: Words in class, id or role that name what is not content.
 MARKS = frozenset(
-    "ad ads adbox adslot advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments "
-    "commentlist complementary consent contentinfo cookie cookies copyright disqus footer gdpr login menu menubar menus "
+    "ad adbanner ads adbox adslot adunit advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments "
+    "commentlist complementary consent contentinfo cookie cookies copyright cta disclaimer discussion disqus footer gdpr legal login menu menubar menus "
     "modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup promo "
     "promotion recommended related replies reply respond search share sharing sidebar sidebars signup skip social "
-    "sponsor sponsored subscribe subscription teaser toolbar topbar widget widgets masthead header".split()
+    "sponsor sponsored subnav subscribe subscription teaser toast toolbar topbar widget widgets masthead header".split()
 )
 PAGE_HEAD = frozenset({"header", "banner", "masthead"})  # of a page, not of an article
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
@@ -193,17 +193,20 @@ def main_text(html: str | None) -> str:
 def content_region(elements: list, paths: list[list[int]], weight: np.ndarray) -> int:
     """The innermost element that holds the clusters together (-1: the whole page).
 
-    If an article or main element holds some of them, the one that holds most of them.
+    If an article or main element holds some of them, the one that holds most of them; an article
+    rather than the main element, unless it has less than half of that.
     """
     held: dict[int, float] = {}
     for path, w in zip(paths, weight, strict=True):
         for e in path:
             held[e] = held.get(e, 0) + w
-    named = [e for e, w in held.items() if w > 0 and elements[e][0] in ("article", "main")]
-    if named:
-        most = max(held[e] for e in named)
-        best = [e for e in named if held[e] == most]
-        return max(best)  # of nested ones that hold the same the inner one
+    best: dict[str, int] = {}  # of nested ones that hold the same the inner one
+    for e, w in sorted(held.items()):
+        if w > 0 and elements[e][0] in ("article", "main") and w >= held.get(best.get(elements[e][0], -1), 0):
+            best[elements[e][0]] = e
+    if best:
+        article, main = (best.get(k, -1) for k in ("article", "main"))
+        return article if held.get(article, 0) >= 0.5 * held.get(main, 0) else main
     whole = weight.sum()
     fits = [e for e, w in held.items() if w >= 0.7 * whole and elements[e][0] in REGIONS]
     return max(fits, default=-1)  # elements are numbered from the outside in

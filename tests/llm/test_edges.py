@@ -126,6 +126,16 @@ def test_html_region_without_marks():
     assert html_extract.main_text(page) == " ".join(prose(i, 30) for i in range(6))
 
 
+def test_html_article_in_main():
+    text = [prose(i, 30) for i in range(4)]
+    page = f"<main><article>{''.join(f'<p>{t}</p>' for t in text)}</article><div><p>{prose(9, 25)}</p></div></main>"
+    assert html_extract.main_text(page) == " ".join(text)
+    several = f"<main>{''.join(f'<article><p>{t}</p></article>' for t in text)}</main>"
+    assert html_extract.main_text(several) == " ".join(text)
+    marked = f"<article class='post'><header><h1>Title here</h1></header><p>{text[0]}</p><div class='adBanner'>x y z</div><p id=cookieNotice>n</p></article>"
+    assert html_extract.main_text(marked) == f"Title here {text[0]}"
+
+
 # --- personal data -------------------------------------------------------------------------------
 
 
