@@ -21,7 +21,7 @@ from airshed.llm.common import free_name, ship, words
 from airshed.session import settle
 
 WINDOW = 10
-BLOCK = 500_000  # windows in one table
+BLOCK = 250_000  # windows of items in one table
 
 
 def windows(benchmark: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -106,7 +106,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int
     spark = docs.sparkSession
     ship(spark)
     n_words, hit_spans, hit_items = (free_name(docs, c) for c in ("n_words", "hit_spans", "hit_items"))
-    # Rows of a window stay in one block; with one block the whole table is one.
+    # A window that many items share may lie in several blocks; what they find adds up.
     table = settle(windows(benchmark, size), "benchmark-windows")
     count = max(1, -(-table.count() // block))
     ddl = f"`{n_words}` long, `{hit_spans}` array<struct<start:int,end:int>>, `{hit_items}` array<string>"
@@ -115,7 +115,7 @@ def marked(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int
     shape = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     out = docs.select("*", *[F.lit(None).cast(k).alias(c) for c, k in zip((n_words, hit_spans, hit_items), kinds, strict=True)])
     for i in range(count):
-        rows = [tuple(r) for r in table.where(F.pmod(F.xxhash64("window"), F.lit(count)) == i).collect()]
+        rows = [tuple(r) for r in table.where(F.pmod(F.xxhash64("window", "item_id"), F.lit(count)) == i).collect()]
         shipped = spark.sparkContext.broadcast([(bytes(w), n, item) for w, n, item in rows])  # about ``block`` windows
         out = _passed(out, shipped, at, ddl, shape)
     return out

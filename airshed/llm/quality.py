@@ -17,7 +17,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from airshed.llm.common import free_name, gumbel, kth_largest, mapped, ship
 from airshed.session import settle
