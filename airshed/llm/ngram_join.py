@@ -199,24 +199,16 @@ def linked(texts: DataFrame, similarity: float, name: str) -> DataFrame:
     return settle(per_group(dealt, ["component", "left", "right"], compare, "node long, links long, root long"), name)
 
 
-def grouped(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, recall: float = RECALL) -> DataFrame:
-    """docs, written once, with what the join finds for each row (new names get underscores if taken):
-
-    text_class (rows with the same words, null without words), n_links (other rows whose n-grams
-    have a Jaccard similarity of at least ``similarity``, rows of the same class included),
-    group_key (a number that rows reachable by links share), row_key (a number per row) and
-    kept (the first row of its group: smallest doc_id, nulls last, then row_key).
-
-    Null texts and texts without a word link with nothing and are kept. Texts of fewer than five
-    words have one n-gram, all their words. Repeated rows are copies of one another.
-    """
+def found_in(docs: DataFrame, similarity: float, trees: int, recall: float) -> tuple[DataFrame, DataFrame, str]:
+    """docs, written once, with row_key; what the join finds for each row without the other columns
+    (__row, __class, __links, __group); and the name of row_key."""
     length = prefix_length(similarity, trees, DEPTH, recall)
-    names = {c: free_name(docs, c) for c in ("text_class", "labels", "signature", "row_key", "n_links", "group_key", "kept")}
+    text_class, labels, signature = (free_name(docs, c) for c in ("text_class", "labels", "signature"))
+    row_key = free_name(docs, "row_key")
     s = sketched(docs, trees, length, "ngram-sketches")
-    row = F.col(names["row_key"])
-    plain = s.where(F.col(names["text_class"]).isNotNull()).select(
-        row.alias("row"), F.col(names["text_class"]).alias("class"), F.col(names["labels"]).alias("labels"),
-        F.col(names["signature"]).alias("signature"), "text",
+    plain = s.where(F.col(text_class).isNotNull()).select(
+        F.col(row_key).alias("row"), F.col(text_class).alias("class"), F.col(labels).alias("labels"),
+        F.col(signature).alias("signature"), "text",
     )
     classes = settle(
         plain.groupBy("class").agg(F.min("row").alias("node"), F.count("*").alias("copies")), "ngram-classes"
@@ -231,32 +223,47 @@ def grouped(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES,
     exact = linked(texts, similarity, "ngram-exact")
     links = exact.groupBy("node").agg(F.sum("links").alias("links"))
     tied = connected(exact.select(F.col("node").alias("a"), F.col("root").alias("b")), "ngram-groups")
-    found = settle(
-        classes.join(links, "node", "left").join(tied, "node", "left").select(
-            F.col("class").alias("__class"),
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias(names["n_links"]),
-            F.coalesce("component", "node").alias(names["group_key"]),
-        ),
-        "ngram-found",
-    )
-    out = s.drop(names["labels"], names["signature"]).join(
-        found, F.col(names["text_class"]) == F.col("__class"), "left"
-    ).drop("__class")
-    out = out.withColumn(names["n_links"], F.coalesce(names["n_links"], F.lit(0)))
-    return out.withColumn(names["group_key"], F.coalesce(names["group_key"], row))
+    found = classes.join(links, "node", "left").join(tied, "node", "left").select(
+        F.col("class").alias("__class"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("__links"),
+        F.coalesce("component", "node").alias("__group"),
+    )
+    narrow = s.select(F.col(row_key).alias("__row"), F.col(text_class).alias("__class")).join(found, "__class", "left")
+    narrow = narrow.select(
+        "__row", "__class", F.coalesce("__links", F.lit(0)).alias("__links"), F.coalesce("__group", "__row").alias("__group")
+    )
+    return s.drop(text_class, labels, signature), settle(narrow, "ngram-found"), row_key
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id, with its own columns."""
-    rows = grouped(docs)
-    group, row = rows.columns[-1], free_name(docs, "row_key")
-    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
-    first = rows.groupBy(group).agg(F.min(order).alias("first"))
-    return rows.join(first.select(F.col(f"first.{row}").alias("__row")), F.col(row) == F.col("__row"), "left_semi").select(
-        *docs.columns
+def grouped(docs: DataFrame, similarity: float = SIMILARITY, trees: int = TREES, recall: float = RECALL) -> DataFrame:
+    """docs, written once, with what the join finds for each row (new names get underscores if taken):
+
+    row_key (a number per row), text_class (rows with the same words, null without words), n_links
+    (other rows whose n-grams have a Jaccard similarity of at least ``similarity``, rows of the same
+    class included) and group_key (a number that rows reachable by links share).
+
+    Null texts and texts without a word link with nothing. Texts of fewer than five words have one
+    n-gram, all their words. Repeated rows are copies of one another.
+    """
+    rows, found, row_key = found_in(docs, similarity, trees, recall)
+    names = {c: free_name(docs, c) for c in ("text_class", "n_links", "group_key")}
+    return rows.join(found, F.col(row_key) == F.col("__row")).select(
+        *rows.columns,
+        F.col("__class").alias(names["text_class"]),
+        F.col("__links").alias(names["n_links"]),
+        F.col("__group").alias(names["group_key"]),
     )
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One document of each group, the one with the smallest doc_id, nulls last, with its own columns."""
+    rows, found, row_key = found_in(docs, SIMILARITY, TREES, RECALL)
+    numbered = found.join(rows.select(F.col(row_key).alias("__row"), F.col("doc_id").alias("__id")), "__row")
+    order = F.struct(F.col("__id").isNull(), "__id", "__row")
+    first = numbered.groupBy("__group").agg(F.min(order).alias("first")).select(F.col("first.__row").alias("__row"))
+    return rows.join(first, F.col(row_key) == F.col("__row"), "left_semi").select(*docs.columns)
+
+
 def joined(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest doc_id with the same words), n_links, component_id (smallest
     doc_id of its group) and kept (one row per group) of each document."""

@@ -28,7 +28,7 @@ from airshed.session import settle
 LENGTH = 2048
 GROUP = 20_000  # pieces that are packed together
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 500_000  # words whose ids a worker keeps, with and without signs
+CACHE = 500_000  # words, with and without signs, whose ids a worker keeps
 
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the vocabulary's pattern
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
@@ -69,8 +69,7 @@ class Encoder:
         self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.number = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
-        self.words = Kept(self.word, CACHE)
-        self.chunks = Kept(self.chunk, CACHE)
+        self.known = Kept(self.chunk, CACHE)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -80,16 +79,19 @@ class Encoder:
         return b"".join([self.number[t.id] for t in self.model.tokenize(shown)])
 
     def chunk(self, chunk: str) -> bytes:
+        """Ids of a stretch without white space; those of its words are kept as well."""
         if chunk.isalpha() and chunk.isascii():
-            return self.words[chunk.lower()]
+            small = chunk.lower()
+            return self.word(chunk) if small == chunk else self.known[small]
         if _LATIN.fullmatch(chunk) and not any(s in chunk for s in self.special):
-            return b"".join(map(self.words.__getitem__, _SPLIT.findall(unicodedata.normalize("NFC", chunk).lower())))
+            words = _SPLIT.findall(unicodedata.normalize("NFC", chunk).lower())
+            return self.word(chunk) if words == [chunk] else b"".join(map(self.known.__getitem__, words))
         return self.whole(chunk)
 
     def __call__(self, text: str) -> bytes:
         if _ODD_SPACE.search(text):
             return self.whole(text)
-        return b"".join(map(self.chunks.__getitem__, text.split()))
+        return b"".join(map(self.known.__getitem__, text.split()))
 
 
 _ENCODERS: dict[str, Encoder] = {}

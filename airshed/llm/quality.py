@@ -167,11 +167,15 @@ def resampled(
     rows = scored(docs, labels, limit)
     good, weight = rows.columns[-2:]
     key, kept = free_name(rows, "sample_key"), free_name(rows, "kept")
-    rows = settle(rows.withColumn(key, F.col(weight) + gumbel(seed, "doc_id", "text")).drop(*drop), "quality-scores")
-    points = rows.where(F.col(good).isNotNull()).select(weight, good).collect()  # the label sample
+    rows = rows.withColumn(key, F.col(weight) + gumbel(seed, "doc_id", "text")).drop(*drop)
+    # Without the texts the rows are written and used as they are; with them only the weights are,
+    # and what is kept is scored again: a second pass costs less than another copy of the corpus.
+    narrow = settle(rows if drop else rows.select(weight, good, key), "quality-scores")
+    rows = narrow if drop else rows
+    points = narrow.where(F.col(good).isNotNull()).select(weight, good).collect()  # the label sample
     at = cut([tuple(r) for r in points])
-    k = rows.where(F.col(weight) >= at).count()
-    return rows.withColumn(kept, F.col(key) >= F.lit(kth_largest(rows, key, k)))
+    k = narrow.where(F.col(weight) >= at).count()
+    return rows.withColumn(kept, F.col(key) >= F.lit(kth_largest(narrow, key, k)))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
