@@ -28,7 +28,7 @@ from airshed.session import settle
 LENGTH = 2048
 GROUP = 20_000  # pieces that are packed together
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 500_000  # words, with and without signs, whose ids a worker keeps
+CACHE = 350_000  # words, with and without signs, whose ids a worker keeps
 
 _SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the vocabulary's pattern
 _ODD_SPACE = regex.compile("[\x1c-\x1f]")  # white space to Python, not to the tokenizer
