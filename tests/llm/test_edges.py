@@ -162,6 +162,14 @@ def test_personal_data_patterns_equal_the_plain_ones(spark):
         assert set(filter(None, brute.lines(base).split(","))) <= set(row.spans.split(","))
 
 
+def test_digits_that_stand_apart(spark):
+    texts = ["call +4 9 3 0 1 2 3 4 5", "4-1-1-1-1-1-1-1-1-1-1-1-1-1-1-1", "4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "+4.9.3(0)1-2-3-4-5", "1 2 3", "+ 1 2 3 4 5 6 7 8 9"]
+    got = {r.doc_id: r for r in pii.digest(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got[0].n_phone == got[3].n_phone == 1 and got[1].n_card == got[2].n_card == 1
+    for i, t in enumerate(texts):
+        assert got[i].base_sha256 == brute.sha(brute.lines(brute.pii(t))), t
+
+
 def test_long_runs_take_linear_time(spark):
     texts = ["a" * 500_000, "1" * 300_000, "a." * 200_000, "+1" + " " * 200_000, "1.1" * 100_000, "a@" * 100_000, "x@" + "a." * 100_000, "12 " * 100_000]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
