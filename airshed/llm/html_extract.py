@@ -49,6 +49,14 @@ MARKS = frozenset(
     "promotion recommended related replies reply respond search share sharing sidebar sidebars signup skip social "
     "sponsor sponsored subnav subscribe subscription teaser toast toolbar topbar widget widgets masthead header".split()
 )
+#: Those that wrappers of whole pages don't carry: what they mark is left out, however long.
+BOXES = frozenset(
+    "ad adbanner ads adbox adslot adunit advert adverts advertisement advertising breadcrumb breadcrumbs comment comments commentlist "
+    "discussion disqus menu menubar menus nav navbar navigation pager pagination recommended related replies reply respond sidebar "
+    "sidebars sponsor sponsored subnav teaser".split()
+)
+#: Words that make a name speak of the page's state or layout (has-sidebar, comments-open), not of a box.
+STATES = frozenset("has with no without open opened closed enabled disabled layout free".split())
 PAGE_HEAD = frozenset({"header", "banner", "masthead"})  # of a page, not of an article
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _SPACE = re.compile(r"\s+")
@@ -62,7 +70,7 @@ class Lines(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.stack: list[tuple[str, int]] = []  # open elements: name, number
-        self.elements: list[tuple[str, int, bool]] = []  # name, parent (-1: none), marked
+        self.elements: list[tuple[str, int, int]] = []  # name, parent (-1: none), mark
         self.silent = 0  # open silent elements
         self.links = 0
         self.lines: list[list] = []  # text, tags, characters in links, innermost element
@@ -76,18 +84,23 @@ class Lines(HTMLParser):
             self.tags = 0
         self.text, self.linked = [], 0
 
-    def marked(self, tag: str, attrs: list) -> bool:
+    def mark(self, tag: str, attrs: list) -> int:
+        """0: none, 1: one that a wrapper of the page may carry, 2: one of a box."""
         named = dict(attrs)
-        if "hidden" in named or named.get("aria-hidden") == "true" or _HIDDEN.search(named.get("style") or ""):
-            return True
-        found = {"header"} if tag == "header" else set()
+        found, boxed = {"header"} if tag == "header" else set(), False
         for key in ("class", "id", "role"):
-            if named.get(key):
-                found.update(x.lower() for x in _NAME.findall(named[key]))
+            for name in (named.get(key) or "").split():
+                parts = {x.lower() for x in _NAME.findall(name)}
+                found |= parts
+                boxed |= not parts.isdisjoint(BOXES) and parts.isdisjoint(STATES)
         found &= MARKS
-        if found <= PAGE_HEAD and any(name in ("article", "main") for name, _ in self.stack):
-            return False
-        return bool(found) and tag not in ("html", "body")
+        hidden = "hidden" in named or named.get("aria-hidden") == "true" or bool(_HIDDEN.search(named.get("style") or ""))
+        if not hidden:
+            if found <= PAGE_HEAD and any(name in ("article", "main") for name, _ in self.stack):
+                return 0
+            if tag in ("html", "body"):
+                return 0
+        return 2 if boxed and tag not in ("html", "body") else int(hidden or bool(found))
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
@@ -100,7 +113,7 @@ class Lines(HTMLParser):
                 self.pop()
         if tag not in VOID:
             parent = self.stack[-1][1] if self.stack else -1
-            self.elements.append((tag, parent, bool(attrs or tag == "header") and self.marked(tag, attrs)))
+            self.elements.append((tag, parent, self.mark(tag, attrs) if attrs or tag == "header" else 0))
             self.stack.append((tag, len(self.elements) - 1))
             self.silent += tag in SILENT
             self.links += tag == "a"
@@ -165,13 +178,21 @@ def main_text(html: str | None) -> str:
             inner = elements[inner][1]
         paths.append(path)  # from the innermost element outwards
     size = np.array([len(text) for text, *_ in page.lines], float)
-    # A mark on an element that holds most of the page says nothing about its text.
+    # A mark on an element that holds most of the page says nothing about its text, unless it names
+    # a box: threads and menus can be longer than the article. The main element lies in no box.
     total = size.sum()
     under: dict[int, float] = {}
     for path, n in zip(paths, size, strict=True):
         for e in path:
             under[e] = under.get(e, 0) + n
-    barred = np.array([any(elements[e][2] and under[e] <= 0.6 * total for e in path) for path in paths])
+    around: set[int] = set()
+    for e in under:
+        if elements[e][0] == "main":
+            while e >= 0 and e not in around:
+                around.add(e)
+                e = elements[e][1]
+    strict = {e for e in under if elements[e][2] == 2 and e not in around}
+    barred = np.array([any(e in strict or elements[e][2] and under[e] <= 0.6 * total for e in path) for path in paths])
     linked = np.array([in_links for _, _, in_links, _ in page.lines], float)
     tags = np.array([n for _, n, _, _ in page.lines], float)
     ratio = np.where(barred, 0, (size - linked) / np.maximum(tags, 1))

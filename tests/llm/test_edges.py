@@ -136,6 +136,32 @@ def test_html_article_in_main():
     assert html_extract.main_text(marked) == f"Title here {text[0]}"
 
 
+THREADS = (
+    ('<section id="comments">', "</section>"), ('<div class="comments">', "</div>"), ('<div class="replies-wrap">', "</div>"),
+    ('<div id="sidebar">', "</div>"), ('<section class="discussion">', "</section>"), ('<div class="ad-box">', "</div>"),
+    ('<div class="comments" style="display: none">', "</div>"),
+)
+
+
+@pytest.mark.parametrize("start, end", THREADS)
+def test_html_long_threads_are_left_out(start, end):
+    text = [prose(i, 25) for i in range(2)]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    thread = start + "".join(f"<div><p>{prose(100 + i, 40)}</p></div>" for i in range(30)) + end
+    for page in (f"<body><div>{body}</div>{thread}", f"<article>{body}</article>{thread}", f"<article>{body}{thread}</article>",
+                 f"<main><article>{body}</article>{thread}</main>", f"<div class=page>{thread}<div>{body}</div></div>"):
+        assert html_extract.main_text(page) == " ".join(text), page[:200]
+
+
+@pytest.mark.parametrize("name", ["widget-wrap", "social-page", "search", "has-sidebar", "post comments-open", "ad-free", "no-menu"])
+def test_html_names_of_wrappers_say_nothing(name):
+    text = [prose(i, 25) for i in range(4)]
+    body = "".join(f"<p>{t}</p>" for t in text)
+    assert html_extract.main_text(f"<body><div class='{name}'>{body}</div><div>a b</div>").startswith(" ".join(text))
+    main = f"<div class='sidebar left'><main>{body}</main></div>"
+    assert html_extract.main_text(main) == " ".join(text)
+
+
 # --- personal data -------------------------------------------------------------------------------
 
 
