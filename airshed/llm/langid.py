@@ -5,6 +5,9 @@ stretch that occurs in the sample is a phrase, then the next. A text needs few p
 language and many by others; the number of phrases times the logarithm of the sample's length, per
 letter, estimates the cross entropy, and the language with the smallest wins. Texts are parsed
 whole, in segments of a fixed length that stand side by side in one array.
+
+All letters of the samples are told apart. When there are more than symbols, the most frequent ones
+have a symbol each, and every other letter is spelled by a fixed number of further symbols.
 """
 
 from __future__ import annotations
@@ -23,7 +26,8 @@ from airshed.llm.common import free_name, mapped
 SAMPLE_DOCS = 400  # documents a language's sample is taken from, at most ...
 SAMPLE_CHARS = 60_000  # ... and its characters
 SALT = 32  # parts that the sample is first taken from
-SYMBOLS = 64  # letters told apart; the rest are one
+SYMBOLS = 64  # of the automata
+SPELLING = 24  # symbols that letters are spelled with when there are too many for one each
 SEGMENT = 1024  # letters and gaps parsed in one go; a phrase ends with its segment
 UNKNOWN = "und"
 
@@ -41,20 +45,36 @@ def has_letter(text: str | None) -> bool:
 
 
 class Alphabet:
-    """Letters of the samples as small numbers, all that is not a letter as a gap."""
+    """Letters of the samples as small numbers, all that is not a letter as a gap.
+
+    Letters that no sample has are one: no automaton knows any of them.
+    """
 
     def __init__(self, samples: dict[str, str]):
         count = Counter(chr(c) for s in samples.values() for c in codes_of(s).tolist())
-        letters = sorted((c for c in count if c.isalpha()), key=lambda c: (-count[c], c))[: SYMBOLS - 2]
-        self.size = len(letters) + 2
-        self.symbol = np.array([_OTHER if chr(c).isalpha() else _GAP for c in range(0x110000)], np.uint8)
+        letters = sorted((c for c in count if c.isalpha()), key=lambda c: (-count[c], c))
+        more = len(letters) > SYMBOLS - 2
+        self.plain = SYMBOLS - SPELLING if more else len(letters) + 2  # symbols that stand for themselves
+        self.size = SYMBOLS if more else self.plain
+        self.width = 1  # symbols that spell one of the other letters
+        while SPELLING**self.width < len(letters) + 2 - self.plain:
+            self.width += 1
+        self.number = np.array([_OTHER if chr(c).isalpha() else _GAP for c in range(0x110000)], np.uint32)
         for i, c in enumerate(letters):
-            self.symbol[ord(c)] = i + 2
+            self.number[ord(c)] = i + 2
 
     def __call__(self, text: str) -> np.ndarray:
         """Symbols of the text; of several gaps in a row the first."""
-        s = self.symbol[codes_of(text)]
-        return s[np.concatenate([[True], (s[1:] != _GAP) | (s[:-1] != _GAP)])] if len(s) else s
+        s = self.number[codes_of(text)]
+        if len(s):
+            s = s[np.concatenate([[True], (s[1:] != _GAP) | (s[:-1] != _GAP)])]
+        if self.size == self.plain:
+            return s.astype(np.uint8)
+        length = np.where(s < self.plain, 1, self.width)
+        place = np.arange(length.sum()) - np.repeat(np.cumsum(length) - length, length)
+        s = np.repeat(s.astype(np.int64), length)
+        digit = (s - self.plain) // SPELLING ** (self.width - 1 - place) % SPELLING
+        return np.where(s < self.plain, s, self.plain + digit).astype(np.uint8)
 
 
 def suffix_automaton(symbols: list[int], size: int) -> np.ndarray:

@@ -255,6 +255,33 @@ def test_phrases_are_the_longest_matches():
             assert p.phrases([symbols])[0, j] == count
 
 
+SCRIPTS = {"en": (0x61, 26), "ru": (0x430, 32), "el": (0x3B1, 17), "he": (0x5D0, 27), "th": (0xE01, 46), "hi": (0x905, 50),
+           "ka": (0x10D0, 33), "hy": (0x561, 38), "zh": (0x4E00, 3000), "ja": (0x3041, 86), "ko": (0xAC00, 2000)}
+
+
+def script_text(language, seed, words):
+    start, n = SCRIPTS[language]
+    r = random.Random(f"{language} {seed}")
+    letters = [c for c in map(chr, range(start, start + n)) if c.isalpha()]
+    # Words of the same lengths in all languages: only the letters tell them apart.
+    return " ".join("".join(r.choice(letters) for _ in range(3 + i % 5)) for i in range(words))
+
+
+def test_many_scripts(spark):
+    rows = [(1000 * k + i, script_text(x, i, 40), x) for k, x in enumerate(SCRIPTS) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.identified(df).where("held_out").collect()
+    assert len({r.lang for r in got}) == len(SCRIPTS) and all(r.lang_pred == r.lang for r in got)
+
+
+def test_letters_beyond_the_symbols_are_told_apart():
+    letters = [c for c in map(chr, range(0x4E00, 0x4E00 + 5000)) if c.isalpha()]
+    a = langid.Alphabet({"zh": "".join(letters), "en": "the quick brown fox " * 50})
+    assert a.size <= langid.SYMBOLS and len({bytes(a(c)) for c in [*letters, *"thequickbrownfx"]}) == len(letters) + 15
+    text = "the 中 quick, 国人 !"
+    assert bytes(a(text)) == b"".join(bytes(a(c)) for c in "the 中 quick 国人 ")
+
+
 # --- benchmark -----------------------------------------------------------------------------------
 
 
