@@ -22,7 +22,9 @@ RULES = (
     ("org", "/fr/", "allow"),
 )
 DAMPING = 0.85
-STEPS = 12  # links that trust and distrust are followed along
+STEPS = 12  # links that the SQL follows trust and distrust along
+TOLERANCE = 1e-9  # of the seeds' trust, or distrust: what may be left unspread
+MERGE = 8  # steps after which their scores are added up in one table
 THRESHOLD = 0.5  # share of distrust beyond which a host is blocked
 
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?(https?://[^\s"'<>]+)"""
@@ -63,25 +65,37 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return n.join(total, "src").select("src", "dst", (F.col("n") / F.col("total")).alias("weight"))
 
 
-def spread(edges: DataFrame, seeds: DataFrame, steps: int = STEPS, damping: float = DAMPING) -> DataFrame:
+def spread(
+    edges: DataFrame, seeds: DataFrame, steps: int | None = None, damping: float = DAMPING, tolerance: float = TOLERANCE
+) -> DataFrame:
     """kind, host, score: what of each kind's seeds reaches a host.
 
     edges: kind, src, dst, weight; seeds: kind, host, score. The score is the sum over walks of k
-    links of (1 - damping) damping^k times what they carry, up to ``steps`` links. Hosts that have
-    got nothing in the last step are not looked at in the next one; every step is written, so a lost
-    executor repeats one step.
+    links of (1 - damping) damping^k times what they carry. Walks go on until less than ``tolerance``
+    of what a kind's seeds have is left to be spread and no host is reached for the first time, or
+    for ``steps`` links if given. Hosts that have got nothing in the last step are not looked at in
+    the next one; every step is written, so a lost executor repeats one step.
     """
     front = settle(seeds.select("kind", "host", (F.col("score") * (1 - damping)).alias("score")), "url-seeds")
-    every = front
-    for _ in range(steps):
+    every, step = front, 0
+    while steps is None or step < steps:
+        step += 1
         carried = front.withColumnRenamed("host", "src").join(edges, ["kind", "src"])
         front = carried.groupBy("kind", F.col("dst").alias("host")).agg(
             F.sum(F.col("score") * F.col("weight") * damping).alias("score")
         )
-        front = settle(front, "url-step")
-        if front.isEmpty():
+        front = settle(front.where("score > 0"), "url-step")
+        mass = [r["mass"] for r in front.groupBy("kind").agg(F.sum("score").alias("mass")).collect()]  # a number a kind
+        if not mass:
             break
+        # A step hands on at most ``damping`` of what it got: all later ones together, a geometric sum.
+        left = max(mass) * damping / (1 - damping)
+        last = steps is None and left < tolerance and front.join(every, ["kind", "host"], "left_anti").isEmpty()
         every = every.unionByName(front)
+        if last:
+            break
+        if step % MERGE == 0:
+            every = settle(every.groupBy("kind", "host").agg(F.sum("score").alias("score")), "url-spread")
     return every.groupBy("kind", "host").agg(F.sum("score").alias("score"))
 
 

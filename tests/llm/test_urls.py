@@ -75,5 +75,24 @@ def test_walks_carry_what_page_rank_says(spark):
     assert got == pytest.approx({"a": a, "b": a / 4, "c": a / 4})
 
 
+def test_far_hosts_are_reached(spark):
+    n = 30
+    chain = [(i, f"http://h{i}.com/", link(f"http://h{i + 1}.com/" if i < n else "http://bad.net/")) for i in range(1, n + 1)]
+    pages = spark.createDataFrame([(*r, "kept") for r in [*chain, (0, "http://bad.net/x", "")]], PAGES)
+    got = {r.page_id: r for r in url_filter.judged(pages).collect()}
+    assert all(r["verdict"] == "block" for r in got.values())
+    assert got[1].distrust == pytest.approx(0.15 * 0.85**n)
+
+
+def test_walks_go_on_until_little_is_left(spark):
+    edges = spark.createDataFrame([("t", "a", "b", 1.0), ("t", "b", "a", 1.0), *[("t", f"c{i}", f"c{i + 1}", 1.0) for i in range(20)]],
+                                  "kind string, src string, dst string, weight double")
+    seeds = spark.createDataFrame([("t", "a", 0.5), ("t", "c0", 0.5)], "kind string, host string, score double")
+    got = {r.host: r.score for r in url_filter.spread(edges, seeds, damping=0.5, tolerance=1e-4).collect()}
+    a = 0.25 / (1 - 0.25)
+    assert got["a"] == pytest.approx(a, abs=1e-4) and got["b"] == pytest.approx(a / 2, abs=1e-4)
+    assert got["c20"] == pytest.approx(0.25 * 0.5**20)  # reached, however little
+
+
 def test_no_pages(spark):
     assert url_filter.judged(spark.createDataFrame([], PAGES)).count() == 0
