@@ -338,6 +338,32 @@ def test_vector_cases(spark):
     assert embed_dedup.deduplicated(df.where("false")).count() == 0
 
 
+def test_vectors_that_share_a_direction(spark):
+    r = np.random.default_rng(7)
+    rows = []
+    for label, shared, size in ((1, 0.85, 6000), (2, 0.5, 3000)):
+        mean = np.zeros(64)
+        mean[0] = shared**0.5
+        side = r.normal(size=(size, 64))
+        side[:, 0] = 0
+        x = mean + side / np.linalg.norm(side, axis=1, keepdims=True) * (1 - shared) ** 0.5
+        for i in range(0, size, 10):  # the other half of a pair at 0.935
+            y = r.normal(size=64)
+            y -= (y @ x[i]) * x[i]
+            x[i + 1] = 0.935 * x[i] + (1 - 0.935**2) ** 0.5 * y / np.linalg.norm(y)
+        rows += [(label * 10_000 + i, v.astype(np.float32).tolist(), label) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {v.vec_id: (v.n_links, v.component_id) for v in embed_dedup.deduplicated(df).collect()}
+    for label in (1, 2):
+        ids = [i for i, _, k in rows if k == label]
+        x = np.array([v for _, v, k in rows if k == label], np.float64)
+        x /= np.linalg.norm(x, axis=1, keepdims=True)
+        hit = np.triu(x @ x.T >= 0.93, 1)
+        links = [(ids[a], ids[b]) for a, b in zip(*np.nonzero(hit), strict=True)]
+        root, count = brute.components(ids, links), (hit | hit.T).sum(axis=1)
+        assert len(links) >= len(ids) // 10 and {i: got[i] for i in ids} == {i: (count[k], root[i]) for k, i in enumerate(ids)}
+
+
 def test_more_vectors_need_more_passes():
     assert embed_dedup.passes(10**6) > embed_dedup.passes(10**3) >= 2 and embed_dedup.passes(0) >= 1
 
