@@ -465,6 +465,24 @@ def test_quality_draws_by_weight(spark):
     assert got == again
 
 
+def test_fluent_toxic_documents_are_caught(spark):
+    foul = ["trashy", "scumlike", "worthlessly"]
+    r = random.Random(9)
+    rows = []
+    for i in range(600):
+        w = prose(i, 60).split()
+        if i % 3 == 0:
+            w[r.randrange(60)] = r.choice(foul)
+        rows.append((i, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(0, 600, 2)], "doc_id long, quality int, toxic int")
+    for marks in (marks, marks.unionByName(spark.createDataFrame([(999, 0, 0)], marks.schema))):
+        got = {x.doc_id: x.kept for x in quality.judged(df, marks).collect()}
+        assert not any(got[i] for i in got if i % 3 == 0) and np.mean([got[i] for i in got if i % 3]) > 0.97
+    none = marks.where("toxic = 0")
+    assert all(x.kept for x in quality.judged(df, none).collect())
+
+
 def test_cut():
     assert quality.cut([]) == float("-inf") and quality.cut([(1.0, True)]) == float("-inf")
     assert quality.cut([(0.0, False), (1.0, False), (2.0, True), (3.0, True)]) == 2.0
