@@ -1,9 +1,10 @@
 """Near-duplicate join of texts: Jaccard similarity of their word n-grams by a MinHash LSH forest.
 
 A document's signature is cut into trees; in each tree it has a label, a row of minima. Documents
-whose labels share a prefix meet. The prefix starts at its full length and is shortened until a
-pair at the similarity threshold is met in some tree with the target probability. Documents that
-meet are first compared by their signatures (a pair is put aside only when its estimate lies far
+whose labels share a prefix meet. The prefix is the longest with which a pair at the similarity
+threshold is met in some tree with the target probability; it follows from the parameters, not from
+the data, so labels are made at that length and hashed whole: a forest at one depth, which is banded
+LSH. Documents that meet are first compared by their signatures (a pair is put aside only when its estimate lies far
 below the threshold); what is left falls into small components, and within each component every
 pair of different texts is compared exactly, in blocks. So a group of any size costs no row per pair.
 """
@@ -33,7 +34,7 @@ SEED = 10
 
 
 def prefix_length(similarity: float = SIMILARITY, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> int:
-    """The longest prefix that reaches the recall: shortened step by step from the whole label."""
+    """The longest prefix that reaches the recall: shortened step by step from the whole label, the same for all documents."""
     for k in range(depth, 1, -1):
         if 1 - (1 - similarity**k) ** trees >= recall:
             return k
