@@ -30,6 +30,7 @@ BUCKETS = 1 << 17  # hashed n-grams; bounds the model, whatever the corpus
 SLICE = 1024  # buckets whose counts travel in one row
 LABELS = 40_000  # labelled documents of each class that the target model and the cut are fitted on
 PRIOR = 5.0  # n-grams seen about as often say little
+POINTS = 200_000  # different weights of the label sample that the driver gets exactly
 COST = 3.0  # of a good document lost, in bad ones kept
 TELLING = 4.0  # standard deviations by which an n-gram must stand out in toxic documents
 SEED = 20
@@ -173,17 +174,31 @@ def scored(docs: DataFrame, labels: DataFrame, limit: int = LABELS) -> DataFrame
     return mapped(marked, f"`{weight}` double, `{foul}` double", fill)
 
 
-def cut(points: list[tuple[float, bool]], cost: float = COST) -> float:
+def counted(points: DataFrame, limit: int = POINTS) -> list[tuple[float, bool, int]]:
+    """points (x, good) as different (x, good, count), in ``limit`` steps of x if they are more than ``limit``.
+
+    A document repeated over any number of rows is one of them.
+    """
+    some = settle(points.toDF("x", "good").groupBy("x", "good").agg(F.count("*").alias("n")), "quality-points")
+    n, low, high = some.agg(F.count("*"), F.min("x"), F.max("x")).first()
+    if n > limit:
+        width = (high - low) / limit or 1.0
+        some = some.withColumn("x", low + F.floor((F.col("x") - low) / width) * width).groupBy("x", "good").agg(F.sum("n").alias("n"))
+    return [tuple(r) for r in some.collect()]
+
+
+def cut(points: list[tuple], cost: float = COST) -> float:
     """The weight from which on documents count as good: the one that tells most labelled bad ones
     apart, less ``cost`` times the good ones lost by it; the lowest of equals.
 
-    Minus infinity if no weight gains anything, so also without labels of both classes.
+    points: weight, good and, if not one, how many there are. Minus infinity if no weight gains
+    anything, so also without labels of both classes.
     """
     best, at = 0.0, float("-inf")
     gain = 0.0
     points = sorted(points)
-    for i, (x, good) in enumerate(points):
-        gain += -cost if good else 1
+    for i, (x, good, *n) in enumerate(points):
+        gain += (-cost if good else 1) * (n[0] if n else 1)
         if i + 1 < len(points) and points[i + 1][0] > x and gain > best:
             best, at = gain, points[i + 1][0]
     return at
@@ -207,10 +222,9 @@ def resampled(
     # and what is kept is scored again: a second pass costs less than another copy of the corpus.
     narrow = settle(rows if drop else rows.select(weight, foul, good, toxic, key), "quality-scores")
     rows = narrow if drop else rows
-    points = narrow.where(F.col(good).isNotNull()).select(weight, good).collect()  # the label sample
-    at = cut([tuple(r) for r in points])
-    points = narrow.where(F.col(good) | F.col(toxic)).select(-F.col(foul), ~F.col(toxic)).collect()
-    clean = -F.col(foul) >= F.lit(cut([tuple(r) for r in points]))
+    at = cut(counted(narrow.where(F.col(good).isNotNull()).select(weight, good)))
+    toxicity = narrow.where(F.col(good) | F.col(toxic)).select(-F.col(foul), ~F.col(toxic))
+    clean = -F.col(foul) >= F.lit(cut(counted(toxicity)))
     pool = narrow.where(clean)
     k = pool.where(F.col(weight) >= at).count()
     return rows.withColumn(kept, clean & (F.col(key) >= F.lit(kth_largest(pool, key, k))))

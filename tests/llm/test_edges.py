@@ -489,6 +489,15 @@ def test_cut():
     assert quality.cut([(5.0, False), (1.0, True), (2.0, True)]) == float("-inf")
 
 
+def test_repeated_labelled_rows_reach_the_driver_as_one(spark):
+    points = spark.range(9000).selectExpr("cast(id % 3 as double) as x", "id % 3 = 2 as good")
+    got = quality.counted(points)
+    assert sorted(got) == [(0.0, False, 3000), (1.0, False, 3000), (2.0, True, 3000)] and quality.cut(got) == 2.0
+    many = quality.counted(spark.range(9000).selectExpr("cast(id as double) as x", "id >= 4500 as good"), limit=100)
+    assert len(many) <= 102 and sum(n for *_, n in many) == 9000 and quality.cut(many) == pytest.approx(4500, abs=90)
+    assert quality.counted(points.where("false")) == []
+
+
 # --- secrets -------------------------------------------------------------------------------------
 
 
