@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from airshed.llm import decontaminate, embed_dedup, html_extract, langid, ngram_join, packing, pii, quality, secrets, url_filter
+from airshed.llm import (
+    decontaminate,
+    embed_dedup,
+    html_extract,
+    langid,
+    manifest,
+    ngram_join,
+    packing,
+    pii,
+    prefix_trie,
+    quality,
+    secrets,
+    sharding,
+    url_filter,
+)
 from airshed.llm.common import table
 
 
@@ -50,6 +64,18 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.joined(table(spark, sf_dir, "documents"))
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.digest(table(spark, sf_dir, "documents"))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.digest(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.digest(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -63,5 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality,
         op9_secrets,
         op10_ngram_join,
+        op11_manifest,
+        op12_sharding,
+        op13_prefix_trie,
     )
 }
