@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from airshed.config import BBOX, CITIES, DISTANCE_BANDS_KM
 from airshed.functions.geo import haversine_km
 from airshed.functions.moments import strict_date
+from airshed.operators import nearby
 from airshed.operators.grouping import literal_rows
 
 # So many cities are measured in one scan; expressions for more would not compile well.
 CITIES_PER_SCAN = 32
-KM_PER_DEGREE = 111.2  # a little more than a degree of latitude
 
 
 def bbox_time_filter(
@@ -49,8 +49,10 @@ def city_exposure(
 
     Each distance is an expression of the row, so one scan and one partial aggregate per day do the
     work for up to ``CITIES_PER_SCAN`` cities; more cities take further scans, to the same result.
-    The nearest distance is over all hotspots of the day; a day without any has no rows.
+    The nearest distance is over all hotspots of the day; a day without any has no rows. Hotspots
+    without a position count for nothing.
     """
+    hotspots = hotspots.where("lat is not null and lon is not null")
     parts = [
         _exposure_of(hotspots, cities[i : i + CITIES_PER_SCAN], bands, day)
         for i in range(0, len(cities), CITIES_PER_SCAN)
@@ -83,35 +85,6 @@ def _exposure_of(hotspots: DataFrame, cities: Sequence[tuple], bands: Sequence[i
     return wide.selectExpr(day, f"inline(array({per_city}))")
 
 
-def _cells_in_reach(sites: DataFrame, reach: float, half: float, w: float) -> DataFrame:
-    """(city_id, site_lat, site_lon, cell_lat, cell_lon, centre_km) for every grid cell that may
-    hold a point within ``reach`` of the site."""
-    width = int(360 / w)
-    degrees = (reach + 2 * half) / KM_PER_DEGREE
-    lon_reach = f"({degrees}D / cos(radians(least(abs(site_lat) + {degrees}D, 89D))))"
-    rows = int(degrees / w) + 1
-    return (
-        sites.selectExpr(
-            "city_id",
-            "site_lat",
-            "site_lon",
-            f"explode(sequence(int(floor(site_lat / {w}D)) - {rows}, int(floor(site_lat / {w}D)) + {rows})) as cell_lat",
-            f"int(floor(site_lon / {w}D)) as at_lon",
-            f"int(least(ceil({lon_reach} / {w}D), {width // 2})) as cols",
-        )
-        .selectExpr(
-            "city_id", "site_lat", "site_lon", "cell_lat",
-            f"explode(array_distinct(transform(sequence(at_lon - cols, at_lon + cols), c -> pmod(c, {width})))) as cell_lon",
-        )
-        .withColumns(
-            {"mid_lat": F.expr(f"(cell_lat + 0.5D) * {w}D"), "mid_lon": F.expr(f"(cell_lon + 0.5D) * {w}D")}
-        )
-        .withColumn("centre_km", haversine_km("mid_lat", "mid_lon", "site_lat", "site_lon"))
-        .where(f"centre_km - {half}D <= {reach}D")
-        .drop("mid_lat", "mid_lon")
-    )
-
-
 def site_exposure(
     hotspots: DataFrame,
     sites: DataFrame,
@@ -120,83 +93,12 @@ def site_exposure(
     cell_degrees: float = 0.25,
     crowded: int = 100_000,
 ) -> DataFrame:
-    """The same features for any number of sites (city_id, site_lat, site_lon), by grid cells.
+    """The same rows as ``city_exposure`` for any number of sites (city_id, site_lat, site_lon), at any distance.
 
-    Hotspots are first counted per day and cell. A cell that lies wholly within a band adds its
-    count without looking at its points; only cells cut by the edge of a band, or that may hold
-    the nearest point, are opened and measured point by point. So the work follows the number of
-    cells near a site, not the number of hotspots. A cell with more than ``crowded`` positions on
-    a day is opened in several slots, one per ``crowded`` positions, for several tasks to share;
-    there are at most positions/crowded such cells, which bounds the broadcast list of them. The
-    nearest distance is that within the widest band; city-days without a hotspot that near have
-    no row.
+    The work follows sites, days and the grid rows near a site, not the hotspots: see ``nearby``. A cell
+    with more than ``crowded`` positions on a day is measured by several tasks.
     """
-    reach, w = float(max(bands)), cell_degrees
-    half = w * KM_PER_DEGREE * 0.7072 + 0.01  # no point of a cell lies farther from its centre
-    near = _cells_in_reach(sites, reach, half, w)
-    points = (
-        hotspots.where("lat is not null and lon is not null")
-        .groupBy(day, "lat", "lon")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .selectExpr(
-            "*",
-            f"int(floor(lat / {w}D)) as cell_lat",
-            f"pmod(int(floor(lon / {w}D)), {int(360 / w)}) as cell_lon",
-        )
-    )
-    cell = [day, "cell_lat", "cell_lon"]
-    filled = points.groupBy(*cell).agg(
-        F.sum("n").alias("cell_n"), F.expr(f"int(ceil(count(1) / {crowded}D))").alias("slots")
-    )
-    met = filled.join(near, ["cell_lat", "cell_lon"])
-    whole = met.groupBy("city_id", day).agg(
-        *[F.expr(f"sum(if(centre_km + {half}D <= {b}, cell_n, 0)) as w{b}") for b in bands],
-        F.min("centre_km").alias("closest"),
-    )
-    # Cells cut by a band's edge count; the two rings from the closest filled cell on may hold the
-    # nearest point. A cell may be in both, which a minimum does not mind.
-    edge = {b: f"(centre_km - {half}D <= {b} and centre_km + {half}D > {b})" for b in bands}
-    sides = ["city_id", "site_lat", "site_lon", *cell, "slots", "centre_km"]
-    cut = met.where(" or ".join(edge.values())).selectExpr(*sides, "true as counts")
-    ringed = near.withColumn("ring", F.expr(f"int(floor(centre_km / {2 * half}D))"))
-    nearby = (
-        whole.selectExpr(
-            "city_id",
-            day,
-            "closest",
-            f"explode(array(int(floor(closest / {2 * half}D)), int(floor(closest / {2 * half}D)) + 1)) as ring",
-        )
-        .join(ringed, ["city_id", "ring"])
-        .where(f"centre_km - {half}D <= closest + {half}D")
-        .join(filled, cell)
-        .selectExpr(*sides, "false as counts")
-    )
-    opened = cut.unionByName(nearby).selectExpr("*", "explode(sequence(0, slots - 1)) as slot").drop("slots")
-    dealt = points.join(
-        F.broadcast(filled.where("slots > 1").select(*cell, "slots")), cell, "left"
-    ).selectExpr(
-        *cell, "lat", "lon", "n", "if(slots is null, 0, int(pmod(xxhash64(lat, lon), slots))) as slot"
-    )
-    measured = opened.join(dealt, [*cell, "slot"]).withColumn(
-        "km", haversine_km("lat", "lon", "site_lat", "site_lon")
-    )
-    single = measured.selectExpr(
-        "city_id",
-        day,
-        *[f"if(counts and {edge[b]} and km <= {b}, n, 0) as w{b}" for b in bands],
-        "km",
-    )
-    return (
-        whole.drop("closest")
-        .withColumn("km", F.lit(None).cast("double"))
-        .unionByName(single)
-        .groupBy("city_id", day)
-        .agg(
-            *[F.sum(f"w{b}").alias(f"hotspots_within_{b}km") for b in bands],
-            F.min("km").alias("nearest_hotspot_distance_km"),
-        )
-        .where(f"hotspots_within_{max(bands)}km > 0")
-    )
+    return nearby.exposure_of_sites(hotspots, sites, bands, day, cell_degrees, crowded)
 
 
 def ring_edges(vertices: DataFrame, band_degrees: float = 0.5) -> DataFrame:

@@ -781,12 +781,12 @@ def statements() -> dict[str, str]:
         "hotspot_site_exposure",
         ["hot", "sta"],
         f"""select station_id, cast(date as varchar) as date, count(*) filter (where km <= 100) as hotspots_within_100km,
-          count(*) filter (where km <= 250) as hotspots_within_250km, count(*) as hotspots_within_500km,
+          count(*) filter (where km <= 250) as hotspots_within_250km, count(*) filter (where km <= 500) as hotspots_within_500km,
           {r6('min(km)')} as nearest_hotspot_distance_km
         from (select station_id, date, {km('h.lat', 'h.lon', 'p.slat', 'p.slon')} as km from hot h,
           (select station_id, min(latitude) as slat, min(longitude) as slon from sta
            where latitude between -90 and 90 and longitude between -180 and 180 group by station_id) p)
-        where km <= 500 group by station_id, date""",
+        group by station_id, date""",
     )
     add("point_in_polygon", ["inside"], f"select uid, {r6('lat')} as lat, {r6('lon')} as lon from inside")
     add(
