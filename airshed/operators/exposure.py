@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from airshed.config import BBOX, CITIES, DISTANCE_BANDS_KM
 from airshed.functions.geo import haversine_km
 from airshed.functions.moments import strict_date
 from airshed.operators import nearby
+from airshed.operators.cover import inside_polygon
 from airshed.operators.grouping import literal_rows
 
 # So many cities are measured in one scan; expressions for more would not compile well.
@@ -101,73 +101,21 @@ def site_exposure(
     return nearby.exposure_of_sites(hotspots, sites, bands, day, cell_degrees, crowded)
 
 
-def ring_edges(vertices: DataFrame, band_degrees: float = 0.5) -> DataFrame:
-    """(band, lat1, lon1, lat2, lon2): the edges of rings, once for each latitude band they cross.
-
-    vertices: ring (any key), seq, lat, lon. Rings are parts and holes alike: a point is inside when
-    it is inside an odd number of them. The last vertex may or may not repeat the first.
-    """
-    around = W.partitionBy("ring").orderBy("seq")
-    first = around.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    edges = vertices.select(
-        F.col("lat").alias("lat1"),
-        F.col("lon").alias("lon1"),
-        F.coalesce(F.lead("lat").over(around), F.first("lat").over(first)).alias("lat2"),
-        F.coalesce(F.lead("lon").over(around), F.first("lon").over(first)).alias("lon2"),
-    ).where("lat1 <> lat2")
-    return edges.selectExpr(
-        f"explode(sequence(int(floor(least(lat1, lat2) / {band_degrees}D)), int(floor(greatest(lat1, lat2) / {band_degrees}D)))) as band",
-        "lat1", "lon1", "lat2", "lon2",
-    )
-
-
 def outline_vertices(spark: SparkSession, rings: Sequence[Sequence[tuple[float, float]]]) -> DataFrame:
     """The vertices of rings that are given as lists of (latitude, longitude)."""
     rows = [(r, i, float(lat), float(lon)) for r, ring in enumerate(rings) for i, (lat, lon) in enumerate(ring)]
     return literal_rows(spark, ["ring", "seq", "lat", "lon"], rows)
 
 
-def inside_polygon(points: DataFrame, vertices: DataFrame, band_degrees: float = 0.5) -> DataFrame:
-    """Points within a polygon of any number of parts and holes (``ring_edges`` has the form of
-    ``vertices``), by counting the edges east of the point.
-
-    A point meets only the edges of its own latitude band: an equality lookup of one array per
-    band, so rows are neither multiplied nor regrouped; the optimizer broadcasts the bands when it
-    finds them small.
-    """
-    per_band = (
-        ring_edges(vertices, band_degrees)
-        .groupBy("band")
-        .agg(F.collect_list(F.struct("lat1", "lon1", "lat2", "lon2")).alias("__edges"))
-        .withColumnRenamed("band", "__of_band")
-    )
-    banded = points.where("lat is not null and lon is not null").withColumn(
-        "__band", F.floor(F.col("lat") / F.lit(band_degrees)).cast("int")
-    )
-
-    def crosses(e: Column) -> Column:
-        straddles = (e["lat1"] > F.col("lat")) != (e["lat2"] > F.col("lat"))
-        meets = e["lon1"] + (F.col("lat") - e["lat1"]) / (e["lat2"] - e["lat1"]) * (
-            e["lon2"] - e["lon1"]
-        )
-        return straddles & (F.col("lon") < meets)
-
-    return (
-        banded.join(per_band, F.col("__band") == F.col("__of_band"))
-        .where(F.size(F.filter("__edges", crosses)) % 2 == 1)
-        .drop("__band", "__of_band", "__edges")
-    )
-
-
 def inside_outline(
-    points: DataFrame, rings: Sequence[Sequence[tuple[float, float]]], band_degrees: float = 0.5
+    points: DataFrame, rings: Sequence[Sequence[tuple[float, float]]], first_degrees: float = 0.5
 ) -> DataFrame:
-    """``inside_polygon`` for rings given as lists; the rectangle around them reaches the scan."""
+    """``cover.inside_polygon`` for rings given as lists; the rectangle around them reaches the scan."""
     lats, lons = [p[0] for ring in rings for p in ring], [p[1] for ring in rings for p in ring]
     boxed = points.where(
         F.col("lat").between(min(lats), max(lats)) & F.col("lon").between(min(lons), max(lons))
     )
-    return inside_polygon(boxed, outline_vertices(points.sparkSession, rings), band_degrees)
+    return inside_polygon(boxed, outline_vertices(points.sparkSession, rings), first_degrees)
 
 
 def province_daily_totals(

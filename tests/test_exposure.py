@@ -7,7 +7,7 @@ import pytest
 from conftest import as_set
 
 from airshed.config import CITIES, PROVINCE_SKETCH, SKETCH_LAKE, SKETCH_OUTER
-from airshed.operators import exposure
+from airshed.operators import cover, exposure
 from airshed.operators.grouping import literal_rows
 from airshed.sources.geojson import read_polygon
 
@@ -92,8 +92,8 @@ def test_point_in_polygon_equals_ray_casting(spark, tmp_path):
     held = [r for r in data if r[2] is not None and sum(inside(r[2], r[3], ring) for ring in PROVINCE_SKETCH) % 2]
     want = sorted(r[0] for r in held)
     assert 0 < len(want) < len(data) and any(inside(r[2], r[3], SKETCH_LAKE) for r in data if r[2])
-    for band in (0.1, 0.5, 7.0):
-        got = exposure.inside_outline(df, PROVINCE_SKETCH, band_degrees=band)
+    for band in (0.5, 7.0):
+        got = exposure.inside_outline(df, PROVINCE_SKETCH, first_degrees=band)
         assert got.columns == df.columns and sorted(r["uid"] for r in got.collect()) == want
     total = sum(r["total_hotspots"] for r in exposure.province_daily_totals(exposure.inside_outline(df, PROVINCE_SKETCH)).collect())
     assert total == len(want)
@@ -105,7 +105,39 @@ def test_point_in_polygon_equals_ray_casting(spark, tmp_path):
     ):
         (tmp_path / "p.geojson").write_text(json.dumps(shape, indent=1))
         vertices = read_polygon(spark, str(tmp_path / "p.geojson"))
-        assert sorted(r["uid"] for r in exposure.inside_polygon(df, vertices).collect()) == want
+        assert sorted(r["uid"] for r in cover.inside_polygon(df, vertices).collect()) == want
+
+
+def wiggly(n, lat, lon, size, seed):
+    """A ring of n corners around a place, with bays; it does not cross itself."""
+    r = random.Random(seed)
+    turns = [2 * math.pi * i / n for i in range(n)]
+    return [(lat + size * math.sin(t) * (k := r.uniform(0.8, 1.0)), lon + size * math.cos(t) * k) for t in turns]
+
+
+def test_cover_of_a_long_boundary(spark, monkeypatch):
+    rings = [wiggly(4000, 48.0, -85.0, 4.0, 1), wiggly(500, 48.5, -85.5, 1.0, 2), [(50.0, -80.0), (50.0, -79.5), (50.5, -79.5), (50.5, -80.0)]]
+    rnd = random.Random(3)
+    data = [(i, rnd.uniform(43, 53), rnd.uniform(-91, -78.5)) for i in range(400)]
+    data += [(1000 + i, *p) for i, p in enumerate(rings[0][:60])]  # corners
+    data += [(2000 + i, 48.0 + 4 * rnd.uniform(0.8, 1.0) * math.sin(i), -85.0 + 4 * rnd.uniform(0.8, 1.0) * math.cos(i)) for i in range(200)]
+    data += [(3000 + 10 * i + j, 50.0 + i / 4, -80.0 + j / 4) for i in range(4) for j in range(4)]  # on grid lines and sides
+    df = spark.createDataFrame(data, "uid int, lat double, lon double")
+    vertices = exposure.outline_vertices(spark, rings)
+    want = sorted(i for i, la, lo in data if sum(inside(la, lo, ring) for ring in rings) % 2)
+    assert sorted(r["uid"] for r in cover.inside_polygon(df, vertices).collect()) == want
+    assert sorted(r["uid"] for r in cover.by_latitude(df, vertices).collect()) == want
+    seen = cover.edges_seen(df, vertices).first()
+    assert seen["points"] == len(data) > seen["in_cut_cells"] and 10 * seen["edges_by_cover"] < seen["edges_by_band"]
+    assert len(cover.cover(vertices)) > 1
+    monkeypatch.setattr(cover, "FEW_EDGES", 3)
+    assert sorted(r["uid"] for r in cover.inside_polygon(df, vertices, 2.0, 3).collect()) == want
+
+
+def test_empty_polygon_holds_nothing(spark):
+    df = spark.createDataFrame([(1, 50.0, -80.0)], "uid int, lat double, lon double")
+    none = spark.createDataFrame([], "ring int, seq int, lat double, lon double")
+    assert cover.inside_polygon(df, none).count() == 0
 
 
 def test_box_and_period(spark):
