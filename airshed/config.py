@@ -150,6 +150,11 @@ WEATHER_LIMITS = {
     "wind_dir_10s_deg": (0.0, 36.0),
 }
 MIN_VALID_HOURS = 18
+
+# Order in which a city's weather stations are asked: station id, place. The fallback ids are stand-ins
+# until a fallback is chosen for good.
+FALLBACK_WEATHER_STATIONS = [(900000 + s[0], s[1]) for s in WEATHER_STATIONS]
+WEATHER_RANKS = [(s[0], 1) for s in WEATHER_STATIONS] + [(s[0], 2) for s in FALLBACK_WEATHER_STATIONS]
 LOG_START = "2026-01-01"
 PUBLISHER_HOSTS = ["www.cbc.ca", "www.ctvnews.ca"]
 

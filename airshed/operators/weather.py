@@ -8,9 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from airshed.config import CIVIL_ZONE, MIN_VALID_HOURS, STANDARD_OFFSET_HOURS
+from airshed.config import CIVIL_ZONE, MIN_VALID_HOURS, STANDARD_OFFSET_HOURS, WEATHER_RANKS
 from airshed.functions import wind
 from airshed.functions.moments import civil_date, hour_index, lst_to_utc
+from airshed.operators.grouping import literal_rows
 from airshed.operators.quality import n_rows
 
 FIELDS = ["temp", "rh", "precip", "wind_dir_10s_deg", "wind_speed"]
@@ -92,19 +93,70 @@ def station_hours(df: DataFrame, keys: Sequence[str], station: str = "station_id
     )
 
 
+HOURLY_VALUES = ["temp", "rh", "precip", "wind_dir_10s_deg", "wind_speed", "wind_u", "wind_v"]
+
+
+def city_hours(
+    df: DataFrame,
+    keys: Sequence[str] = ("city",),
+    ranks: DataFrame | None = None,
+    fallback: bool = True,
+    station: str = "station_id",
+) -> DataFrame:
+    """One row per city and hour: each field from the best-ranked station that has it, never a mixture.
+
+    ``ranks`` (station, rank; 1 is the primary) is the configured register unless given. Stations
+    without a rank come after all others, the smallest id first, and are counted in ``unranked``. Rows
+    are first brought to one per station and hour, so a city's hour meets a handful of rows. Without
+    ``fallback`` only primaries count. Columns beside the fields: landed_rows, stations (that
+    reported), and fallback_stations, the stations other than the primary that a field was taken from.
+    """
+    if ranks is None:
+        ranks = literal_rows(df.sparkSession, [station, "rank"], WEATHER_RANKS)
+    places = ranks.select(F.col(station).cast(df.schema[station].dataType).alias(station), "rank")
+    rows = station_hours(df, keys, station).join(places, station, "left")
+    if not fallback:
+        rows = rows.where("rank = 1")
+    place = F.format_string("%09d %20s", F.coalesce("rank", F.lit(999_999_999)), F.col(station).cast("string"))
+    source = F.when(F.coalesce(F.col("rank") > 1, F.lit(True)), F.col(station))
+
+    def best(c: str):
+        return F.min_by(F.struct(F.col(c).alias("v"), source.alias("s")), F.when(F.col(c).isNotNull(), place)).alias(c)
+
+    picked = rows.groupBy(*keys, "date_time_lst").agg(
+        *[best(c) for c in HOURLY_VALUES],
+        F.sum("landed_rows").alias("landed_rows"),
+        F.count(F.lit(1)).alias("stations"),
+        F.count_if(F.col("rank").isNull()).alias("unranked"),
+    )
+    used = F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.col(f"{c}.s") for c in HOURLY_VALUES]))))
+    return picked.select(
+        *keys, "date_time_lst", *[F.col(f"{c}.v").alias(c) for c in HOURLY_VALUES], "landed_rows", "stations", "unranked",
+        used.alias("fallback_stations"),
+    )
+
+
 def daily_weather(
     df: DataFrame,
     keys: Sequence[str] = ("city",),
     day: str = "cast(date_time_lst as date)",
     min_hours: int = MIN_VALID_HOURS,
+    ranks: DataFrame | None = None,
+    fallback: bool = True,
+    station: str = "station_id",
 ) -> DataFrame:
     """Hourly rows to daily features; the day is local standard time unless given.
 
     Rows are first brought to one per station and hour (``station_hours``), so repeated hours add
-    nothing; ``repeated_rows`` counts them. A sum over nothing stays null. A day counts as available
-    with at least ``min_hours`` distinct hours of temperature; the hours are counted as bits, so no
-    distinct aggregate is needed. Sums run over the stations given: choose one per city before.
+    nothing; ``repeated_rows`` counts them. Unless the station is among the keys, a city's hours are
+    then those of its best-ranked stations (``city_hours``): several stations are never added up or
+    averaged, and ``fallback_stations`` names those other than the primary that the day rests on, by
+    ``fallback_hours`` of its hours; ``unranked_rows`` counts hours of stations without a rank. A sum over
+    nothing stays null. A day counts as available with at least ``min_hours`` distinct hours of
+    temperature; the hours are counted as bits, so no distinct aggregate is needed.
     """
+    chosen = station not in keys
+    hours = city_hours(df, keys, ranks, fallback, station) if chosen else station_hours(df, keys, station).withColumn("stations", F.lit(1))
     aggregates = [f"{f}({c}) as {c}_{n}" for c in ("temp", "rh") for n, f in STATISTICS.items()]
     aggregates += [
         "sum(precip) as precip_total",
@@ -114,12 +166,18 @@ def daily_weather(
         "avg(wind_v) as wind_v_mean",
         f"{wind.vector_direction('avg(wind_u)', 'avg(wind_v)')} as wind_dir_mean_deg",
         "count(1) as hourly_rows",
-        "sum(landed_rows) - count(1) as repeated_rows",
+        "sum(landed_rows - stations) as repeated_rows",
         f"coalesce({HOURS_SEEN.format(when='temp is not null')}, 0) as valid_hours",
         *[f"avg(double({c} is null)) * 100 as {c}_missing_pct" for c in FIELDS],
         f"coalesce({HOURS_SEEN.format(when='temp is not null')}, 0) >= {min_hours} as weather_data_available",
     ]
-    on_day = station_hours(df, keys).withColumn("date", F.expr(day))
+    if chosen:
+        aggregates += [
+            "array_join(array_sort(array_distinct(flatten(collect_set(fallback_stations)))), ',') as fallback_stations",
+            "count_if(size(fallback_stations) > 0) as fallback_hours",
+            "sum(unranked) as unranked_rows",
+        ]
+    on_day = hours.withColumn("date", F.expr(day))
     return on_day.groupBy(*keys, "date").agg(*[F.expr(a) for a in aggregates])
 
 

@@ -29,7 +29,8 @@ def assemble(
     """The grid with all three daily tables.
 
     ``fire_days`` (date, ok) says which days a hotspot extract covered. A covered day without
-    hotspots is a true zero with no nearest distance; any other day is unknown. Every input is already at
+    hotspots is a true zero with no nearest distance; any other day is unknown. Stations other than the
+    primary that a day's weather rests on are named, joined by commas. Every input is already at
     city-day grain, so the joins move the small daily tables only, all on the same two keys.
     """
     ids = ", ".join(f"'{c[1]}', {c[0]}" for c in CITIES)
@@ -47,6 +48,7 @@ def assemble(
         "wind_speed_mean",
         "wind_dir_mean_deg",
         "weather_data_available as wx_ok",
+        "fallback_stations as weather_fallback_stations",
     )
     covered = fire_days.selectExpr("date as date_id", "ok as fire_ok")
     keys = ["city_id", "date_id"]
@@ -72,4 +74,5 @@ def assemble(
         "wind_speed_mean",
         "wind_dir_mean_deg",
         "coalesce(wx_ok, false) as weather_data_available",
+        "weather_fallback_stations",
     )

@@ -11,21 +11,12 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.operators import aqhi, evacuation, exposure, fires, rules, weather
-from airshed.plans import city_daily, dimensions
-from airshed.sources.files import read_table, replace_load, write_table
-
-# Staging table -> column its month partition is taken from, and what one delivery replaces as a
-# whole: all rows that an earlier load has under the same values of these columns.
-STAGING = {
-    "cwfis_hotspots": ("rep_date", ["uid"]),
-    "aqhi_geomet_current": ("observation_datetime", ["id"]),
-    "aqhi_aqo_historical": ("date", ["station_id", "value_type", "requested_year"]),
-    "ontario_active_fires": ("snapshot_downloaded_at_utc", ["snapshot_downloaded_at_utc"]),
-    "eccc_hourly_weather": ("date_time_lst", ["station_id", "month"]),
-    "evacuation_log": ("start_date", ["event_id", "status_as_of_date"]),
-}
-
+from airshed.operators import aqhi, cover, evacuation, exposure, fires, rules, weather
+from airshed.plans import city_daily, dimensions, staging
+from airshed.plans.staging import STAGING
+from airshed.sources import landed
+from airshed.sources.files import read_csv, read_table, write_table
+from airshed.streaming.polls import stamp_rows
 
 @dataclass(frozen=True)
 class Store:
@@ -41,33 +32,47 @@ class Store:
         return read_table(self.spark, self.path(layer, name))
 
 
-def load_staging(store: Store, sources: dict[str, DataFrame], load: int = 0) -> None:
+# How each landed table becomes the table that is staged.
+LANDED = {
+    "cwfis_hotspots": landed.hotspots,
+    "aqhi_geomet_current": landed.current,
+    "aqhi_aqo_historical": landed.history,
+    "ontario_active_fires": landed.fires,
+    "eccc_hourly_weather": landed.weather,
+    "evacuation_log": landed.evacuations,
+}
+
+
+def load_staging(
+    store: Store,
+    sources: dict[str, DataFrame],
+    load: int,
+    spans: dict[str, DataFrame] | None = None,
+    replace: bool = False,
+) -> None:
     """Each source at its own grain, by load and month; an empty source still makes a table.
 
-    Loads are numbered by the caller. A load adds its rows beside those of the others and replaces
-    only itself when it is run again, so nothing that was landed before is lost; ``staged`` tells
-    which rows count.
+    Loads are numbered by the caller; a number that is taken is refused, unless the same load is run
+    again (``replace``). What a load replaces of earlier ones is in ``staging``; ``spans`` declares it
+    per source where the rows alone do not show it.
     """
     for name, df in sources.items():
-        month = F.date_format(F.col(STAGING[name][0]).cast("date"), "yyyy-MM")
-        rows = df.withColumn("month", F.coalesce(month, F.lit("undated")))
-        replace_load(rows, store.path("staging", name), load, ["month"])
+        staging.stage(df, store.path("staging", name), STAGING[name], load, (spans or {}).get(name), replace)
 
 
-def staged(store: Store, name: str) -> DataFrame:
-    """The rows of a staging table that count: of each delivery unit those of its last load.
+def load_landed(store: Store, files: dict[str, str], load: int, taken_at: str, page_url: str, replace: bool = False) -> None:
+    """Landed CSV files (a path or a folder per source) to staging. Headers of weather files are normalised;
+    the fire snapshot is stamped with the moment and the address it was taken from."""
+    tables = {}
+    for name, path in files.items():
+        df = LANDED[name](read_csv(store.spark, path, normalise=name == "eccc_hourly_weather"))
+        tables[name] = stamp_rows(df, taken_at, page_url) if name == "ontario_active_fires" else df
+    load_staging(store, tables, load, replace=replace)
 
-    Rows of one load are all kept, repeats too: staging holds the source grain. A unit with a null
-    in its columns is a unit as well.
-    """
-    rows = store.read("staging", name)
-    unit = STAGING[name][1]
-    last = rows.groupBy(*unit).agg(F.max("load").alias("__load"))
-    last = last.select(*[F.col(c).alias(f"__{c}") for c in unit], "__load")
-    same = F.col("load") == F.col("__load")
-    for c in unit:
-        same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return rows.join(last, same, "left_semi").drop("load")
+
+def staged(store: Store, name: str) -> DataFrame:
+    """The rows of a staging table that count, of all loads."""
+    return staging.staged(store.spark, store.path("staging", name), STAGING[name]).drop("load")
 
 
 def load_dimensions(store: Store, first_day: str, last_day: str) -> None:
@@ -83,19 +88,32 @@ def load_dimensions(store: Store, first_day: str, last_day: str) -> None:
     )
 
 
-def load_facts(store: Store, fire_days: DataFrame, aqhi_rule: str = "mean") -> None:
-    """The city-day fact by month, the evacuation events, and the fire snapshots beside it."""
+def load_facts(
+    store: Store,
+    fire_days: DataFrame,
+    aqhi_rule: str = "mean",
+    boundary: DataFrame | None = None,
+    station_ranks: DataFrame | None = None,
+) -> None:
+    """The city-day fact by month, the evacuation events, and the fire snapshots beside it.
+
+    With a ``boundary`` (vertices, see ``cover``) only hotspots inside it count, and their totals per day
+    are written beside the fact. ``station_ranks`` orders the weather stations of a city.
+    """
     days = store.read("analytics", "dim_date").select("date_id")
     hotspots = staged(store, "cwfis_hotspots").withColumn(
         "date", F.col("rep_date").cast("date")
     )
+    if boundary is not None:
+        hotspots = cover.inside_polygon(hotspots, boundary)
+        write_table(exposure.province_daily_totals(hotspots), store.path("analytics", "province_daily_totals"))
     fact = city_daily.assemble(
         dimensions.city_day_grid(days),
         aqhi.city_daily(
             aqhi.station_daily(staged(store, "aqhi_aqo_historical")), aqhi_rule
         ),
         exposure.city_exposure(hotspots),
-        weather.daily_weather(staged(store, "eccc_hourly_weather")),
+        weather.daily_weather(staged(store, "eccc_hourly_weather"), ranks=station_ranks),
         fire_days,
     )
     write_table(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from airshed.config import AQO_STATIONS, CITIES, WEATHER_STATIONS
+from airshed.config import AQO_STATIONS, CITIES, FALLBACK_WEATHER_STATIONS, WEATHER_STATIONS
 from airshed.operators.aqhi import clean_history
 from airshed.operators.grouping import latest
 
@@ -112,8 +112,9 @@ def current_rows(events: DataFrame) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession, sf: str) -> DataFrame:
+def weather(spark: SparkSession, sf: str, *more: str) -> DataFrame:
     return table(spark, sf, "events").selectExpr(
+        *more,
         "event_id as row_id",
         f"{pick([s[0] for s in WEATHER_STATIONS], 'user_id % 4')} as station_id",
         "if(event_id % 499 = 0, 'RENAMED',"
@@ -134,6 +135,15 @@ def weather(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def weather_network(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows from three stations a city: the primary, its fallback and one without a rank."""
+    ids = [s[0] for s in WEATHER_STATIONS], [s[0] for s in FALLBACK_WEATHER_STATIONS], [800000 + i for i in range(4)]
+    at = [pick(x, "row_id2 % 4") for x in ids]
+    return weather(spark, sf, "user_id as row_id2").selectExpr(
+        "* except (station_id, row_id2)", f"case floor(row_id2 / 4) % 3 when 0 then {at[0]} when 1 then {at[1]} else {at[2]} end as station_id"
+    )
+
+
 def fires_raw(spark: SparkSession, sf: str) -> DataFrame:
     based = table(spark, sf, "orders").selectExpr(
         "o_orderkey as k",

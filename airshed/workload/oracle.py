@@ -221,22 +221,50 @@ VIEWS = {
       avg(-wind_speed * sin(radians(wind_dir_10s_deg * 10e0))) as u,
       avg(-wind_speed * cos(radians(wind_dir_10s_deg * 10e0))) as v
     from wx group by 1, 2, 3""",
+    "wx_net": """
+    select wx.* exclude (station_id), r.rank, case (user_id // 4) % 3 when 0 then wx.station_id when 1 then 900000 + wx.station_id
+        else 800000 + user_id % 4 end as station_id
+    from wx join (select event_id, user_id, case (user_id // 4) % 3 when 0 then 1 when 1 then 2 else 3 end as rank from events) r
+      on r.event_id = wx.row_id""",
+    "wx_station": """
+    select city, station_id, rank, date_trunc('hour', date_time_lst) as date_time_lst, count(*) as landed, avg(temp) as temp, avg(rh) as rh,
+      avg(precip) filter (where precip >= 0 and precip_flag is distinct from 'M') as precip,
+      avg(wind_dir_10s_deg) as wind_dir_10s_deg, avg(wind_speed) as wind_speed,
+      avg(-wind_speed * sin(radians(wind_dir_10s_deg * 10e0))) as u,
+      avg(-wind_speed * cos(radians(wind_dir_10s_deg * 10e0))) as v
+    from wx_net group by all""",
+    "wx_long": """
+    select city, station_id, rank, date_time_lst, field, value from wx_station
+    unpivot (value for field in (temp, rh, precip, wind_dir_10s_deg, wind_speed, u, v))""",
+    "wx_best": """
+    select * from wx_long qualify row_number() over (partition by city, date_time_lst, field order by rank, station_id) = 1""",
+    "wx_hour": """
+    select city, date_time_lst, """
+    + ", ".join(f"max(value) filter (where field = '{c}') as {c}" for c in ("temp", "rh", "precip", "wind_dir_10s_deg", "wind_speed", "u", "v"))
+    + """ from (select distinct city, date_time_lst from wx_station) left join wx_best using (city, date_time_lst) group by 1, 2""",
+    "wx_used": """
+    select city, cast(date_time_lst as date) as date, string_agg(distinct cast(station_id as varchar), ',' order by cast(station_id as varchar))
+      as fallback_stations, count(distinct date_time_lst) as fallback_hours from wx_best where rank > 1 group by 1, 2""",
+    "wx_landed": """
+    select city, cast(date_time_lst as date) as date, cast(sum(landed) - count(*) as bigint) as repeated_rows,
+      count(*) filter (where rank = 3) as unranked_rows from wx_station group by 1, 2""",
     "wx_day": """
-    select city, cast(date_time_lst as date) as date,
+    select h.*, l.repeated_rows, coalesce(u.fallback_stations, '') as fallback_stations, coalesce(u.fallback_hours, 0) as fallback_hours, l.unranked_rows
+    from (select city, cast(date_time_lst as date) as date,
       avg(temp) as temp_mean, min(temp) as temp_min, max(temp) as temp_max,
       avg(rh) as rh_mean, min(rh) as rh_min, max(rh) as rh_max,
       sum(precip) as precip_total, avg(wind_speed) as wind_speed_mean, max(wind_speed) as wind_speed_max,
       avg(u) as um, avg(v) as vm,
       case when sqrt(avg(u) * avg(u) + avg(v) * avg(v)) > 1e-6
            then ((degrees(atan2(-avg(u), -avg(v))) % 360) + 360) % 360 end as wind_dir_mean_deg,
-      count(*) as hourly_rows, cast(sum(landed) - count(*) as bigint) as repeated_rows,
+      count(*) as hourly_rows,
       count(distinct case when temp is not null then hour(date_time_lst) end) as valid_hours,
       100e0 * sum(case when temp is null then 1 else 0 end) / count(*) as temp_missing_pct,
       100e0 * sum(case when rh is null then 1 else 0 end) / count(*) as rh_missing_pct,
       100e0 * sum(case when precip is null then 1 else 0 end) / count(*) as precip_missing_pct,
       100e0 * sum(case when wind_dir_10s_deg is null then 1 else 0 end) / count(*) as wind_dir_10s_deg_missing_pct,
       100e0 * sum(case when wind_speed is null then 1 else 0 end) / count(*) as wind_speed_missing_pct
-    from wx_vec group by 1, 2""",
+    from wx_hour group by 1, 2) h join wx_landed l using (city, date) left join wx_used u using (city, date)""",
     "fact": """
     select g.city_id, g.date_id, a.a4 as aqhi_daily_4pm, a.am as aqhi_daily_max, a.plus as aqhi_any_10_plus,
       a.a4 is not null or a.am is not null as aqhi_data_available,
@@ -246,7 +274,7 @@ VIEWS = {
       case when f.date is not null then x.nearest_hotspot_distance_km end as nearest_hotspot_distance_km,
       f.date is not null as fire_data_available,
       w.temp_mean, w.temp_min, w.temp_max, w.precip_total, w.wind_speed_mean, w.wind_dir_mean_deg,
-      coalesce(w.valid_hours >= 18, false) as weather_data_available
+      coalesce(w.valid_hours >= 18, false) as weather_data_available, w.fallback_stations as weather_fallback_stations
     from (select c.city_id, c.city_name, d.date_id from city c cross join days d) g
     left join fire_days f on f.date = g.date_id and f.ok
     left join (select city, date, max(case when value_type = 'daily_4pm' then aqhi end) as a4,
@@ -302,7 +330,14 @@ NEEDS = {
     "st_day": ["obs"],
     "city_day": ["st_day"],
     "wx_vec": ["wx"],
-    "wx_day": ["wx_vec"],
+    "wx_net": ["wx"],
+    "wx_station": ["wx_net"],
+    "wx_long": ["wx_station"],
+    "wx_best": ["wx_long"],
+    "wx_hour": ["wx_station", "wx_best"],
+    "wx_used": ["wx_best"],
+    "wx_landed": ["wx_station"],
+    "wx_day": ["wx_hour", "wx_used", "wx_landed"],
     "fact": ["city", "days", "fire_days", "city_day", "exposure", "wx_day"],
     "panel": ["fact"],
     "naive": ["panel"],
@@ -768,6 +803,7 @@ def statements() -> dict[str, str]:
             "fire_data_available",
             *[f"{r6(c)} as {c}" for c in ("temp_mean", "temp_min", "temp_max", "precip_total", "wind_speed_mean", "wind_dir_mean_deg")],
             "weather_data_available",
+            "weather_fallback_stations",
         ]
     )
     add("fact_city_daily", ["fact"], f"select {fact_cols} from fact")
@@ -979,6 +1015,17 @@ def statements() -> dict[str, str]:
         ["fire"],
         " union all ".join(f"select '{k}' as check_name, cast({v} as double) as value from fire" for k, v in checks.items()),
     )
+    add(
+        "snapshot_append",
+        ["obs"],
+        """select row_id, cast(o.date as varchar) as date, 1 as load from obs o left join (
+          select station_id, value_type, requested_year, min(date) as lo, max(date) as hi from obs
+          where row_id % 3 = 0 and dayofyear(date) between 100 and 160 and station_id % 2 = 1 group by all) s
+          using (station_id, value_type, requested_year)
+        where lo is null or date is null or date not between lo and hi
+        union all select row_id, cast(date as varchar), 2 from obs
+        where row_id % 3 = 0 and dayofyear(date) between 100 and 160 and station_id % 2 = 1""",
+    )
     add(
         "rows_per_city_month",
         ["wx"],
@@ -994,7 +1041,8 @@ def statements() -> dict[str, str]:
         ["wx_day"],
         "select city, cast(date as varchar) as date, "
         + ", ".join(f"{r6(c)} as {c}" for c in wx_cols)
-        + ", hourly_rows, repeated_rows, cast(valid_hours as integer) as valid_hours, valid_hours >= 18 as weather_data_available from wx_day",
+        + ", hourly_rows, repeated_rows, cast(valid_hours as integer) as valid_hours, valid_hours >= 18 as weather_data_available, "
+        "fallback_stations, fallback_hours, unranked_rows from wx_day",
     )
     add(
         "wind_vector_daily",

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from airshed.config import GEOMET_LOCATIONS, PROVINCE_SKETCH, SENTINEL_FIELDS, SOURCE_FIELDS
 from airshed.functions import geo, moments, text
 from airshed.operators import aqhi, evacuation, exposure, fires, grouping, quality, rules, weather
-from airshed.plans import city_daily, dimensions, model_prep
+from airshed.plans import city_daily, dimensions, model_prep, staging
 from airshed.session import settle, shared_dir
 from airshed.sources import files, geojson, html, manifest
 from airshed.sources.schemas import struct
@@ -430,7 +430,7 @@ def _city_fact(spark: SparkSession, sf: str) -> DataFrame:
         dimensions.city_day_grid(_days(spark, sf)),
         air,
         exposure.city_exposure(inputs.hotspots(spark, sf)),
-        weather.daily_weather(inputs.weather(spark, sf)),
+        weather.daily_weather(inputs.weather_network(spark, sf)),
         inputs.fire_days(spark, sf),
     )
 
@@ -642,7 +642,7 @@ def distinct_locations(spark, sf):
 
 @query
 def weather_daily(spark, sf):
-    return weather.daily_weather(inputs.weather(spark, sf)).drop(
+    return weather.daily_weather(inputs.weather_network(spark, sf)).drop(
         "wind_u_mean", "wind_v_mean", "wind_dir_mean_deg"
     )
 
@@ -654,6 +654,18 @@ def wind_vector_daily(spark, sf):
     )
 
 
+@query
+def snapshot_append(spark, sf):
+    """The historical readings in two loads: the second one delivers a part of the days of some stations again."""
+    path = f"{shared_dir(spark)}/staging-{uuid.uuid4().hex}"
+    rows = inputs.aqhi(spark, sf)
+    again = rows.where("row_id % 3 = 0 and dayofyear(date) between 100 and 160 and station_id % 2 = 1")
+    source = staging.STAGING["aqhi_aqo_historical"]
+    staging.stage(rows, path, source, 1)
+    staging.stage(again, path, source, 2)
+    return staging.staged(spark, path, source).select("row_id", "date", "load")
+
+
 @query
 def expected_hours(spark, sf):
     return weather.expected_hours(inputs.weather(spark, sf))

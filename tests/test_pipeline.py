@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from conftest import as_set
 from pyspark.sql import functions as F
 
@@ -7,9 +8,10 @@ from airshed.operators.aqhi import clean_history
 from airshed.operators.evacuation import evacuation_facts
 from airshed.operators.weather import daily_weather
 from airshed.plans.dimensions import dim_city
-from airshed.plans.pipeline import Store, check_facts, load_dimensions, load_facts, load_staging, row_counts, staged
+from airshed.operators.exposure import outline_vertices
+from airshed.plans.pipeline import Store, check_facts, load_dimensions, load_facts, load_landed, load_staging, row_counts, staged
 from airshed.sources import landed
-from airshed.sources.files import read_csv
+from airshed.sources.files import read_csv, replace_load
 from airshed.sources.schemas import ACTIVE_FIRES, AQHI_CURRENT, conform
 from airshed.streaming.polls import stamp_rows
 
@@ -47,8 +49,8 @@ def sources(spark):
 def test_landing_to_facts_twice(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     fire_days = spark.sql("select * from values (date'2024-01-02', true), (date'2024-01-03', false), (date'2024-01-04', true) as t(date, ok)")
-    for _ in range(2):  # a second run replaces, it does not add
-        load_staging(store, sources(spark))
+    for again in (False, True):  # a second run replaces, it does not add
+        load_staging(store, sources(spark), 0, replace=again)
         load_dimensions(store, "2024-01-01", str(dt.date(2024, 1, 1) + dt.timedelta(DAYS - 1)))
         load_facts(store, fire_days)
     counts = {r["table_name"]: r["row_count"] for r in row_counts(store).collect()}
@@ -83,12 +85,78 @@ def test_later_loads_keep_what_was_landed(spark, tmp_path):
     ]
     for load, (hot, snapshot) in enumerate(zip((one, two), fires)):
         load_staging(store, {"cwfis_hotspots": hot, "ontario_active_fires": snapshot}, load)
-    load_staging(store, {"cwfis_hotspots": two}, 1)  # the same load again
+    load_staging(store, {"cwfis_hotspots": two}, 1, replace=True)  # the same load again
     got = as_set(staged(store, "cwfis_hotspots").select("uid", "lat", F.month("rep_date")))
     assert got == [("a", 44.0, 7), ("b", 45.0, 8), ("c", 44.0, 7)]
     assert staged(store, "ontario_active_fires").count() == 2
 
 
+def readings(spark, first, n, value="3"):
+    return clean_history(
+        spark.sql(
+            f"select id as row_id, cast(date_add(date'{first}', int(id)) as string) as date, '4:00 pm EST' as time, '{value}' as aqhi, 'low risk' as category,"
+            f" 'Barrie' as city, 'Barrie' as station_name, 47045 as station_id, 2024 as requested_year, 'daily_4pm' as value_type, 0 as show_day_code from range({n})"
+        )
+    )
+
+
+def test_a_load_replaces_the_span_it_covers(spark, tmp_path):
+    store, name = Store(spark, str(tmp_path)), "aqhi_aqo_historical"
+    load_staging(store, {name: readings(spark, "2024-01-01", 10)}, 0)
+    load_staging(store, {name: readings(spark, "2024-01-11", 1)}, 1)  # one later day
+    assert staged(store, name).count() == 11
+    load_staging(store, {name: readings(spark, "2024-01-03", 2, "7")}, 2)  # two days corrected
+    got = {r["date"].day: r["aqhi_numeric"] for r in staged(store, name).collect()}
+    assert got == {d: 7.0 if d in (3, 4) else 3.0 for d in range(1, 12)}
+    with pytest.raises(ValueError, match="load 2"):
+        load_staging(store, {name: readings(spark, "2024-05-01", 2)}, 2)
+    # Days 8 to 11 are taken back, by declaration; the other station's and the undated rows stay.
+    taken = spark.sql("select 47045 as station_id, 'daily_4pm' as value_type, 2024 as requested_year, date'2024-01-08' as first, date'2024-01-11' as last")
+    other = readings(spark, "2024-01-08", 2).withColumn("station_id", F.lit(1))
+    load_staging(store, {name: other.withColumn("date", F.when(F.col("row_id") > 0, F.col("date")))}, 3, spans={name: taken})
+    got = as_set(staged(store, name).select("station_id", F.dayofmonth("date")))
+    assert sorted(got, key=repr) == sorted([(47045, d) for d in range(1, 8)] + [(1, 9), (1, None)], key=repr)
+    load_staging(store, {name: other.withColumn("date", F.lit(None).cast("date"))}, 4)  # undated rows replace undated rows
+    assert staged(store, name).where("station_id = 1").groupBy("date").count().count() == 2
+    assert staged(store, name).where("date is null").count() == 2
+
+
+def test_a_load_that_broke_off_does_not_count(spark, tmp_path):
+    store, name = Store(spark, str(tmp_path)), "aqhi_aqo_historical"
+    load_staging(store, {name: readings(spark, "2024-01-01", 10)}, 0)
+    rows = readings(spark, "2024-01-01", 3, "7").withColumn("month", F.lit("2024-01"))
+    replace_load(rows, store.path("staging", name), 1, ["month"])  # rows without their record
+    assert staged(store, name).count() == 10 and staged(store, name).where("aqhi_numeric = 7").count() == 0
+    load_staging(store, {name: readings(spark, "2024-01-01", 3, "7")}, 1)
+    assert staged(store, name).where("aqhi_numeric = 7").count() == 3
+
+
+def test_landed_files_and_a_boundary_to_facts(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"))
+    (tmp_path / "hot.csv").write_text("uid,rep_date,lat,lon\na,2024-01-02 05:00:00,44.4,-79.7\nb,2024-01-02 05:00:00,44.4,-74.5\n")
+    (tmp_path / "wx.csv").write_text(
+        "Date/Time (LST),Temp (°C),Precip. Amount (mm),Wind Dir (10s deg),Wind Spd (km/h),project_city,project_station_id,project_station_name\n"
+        + "".join(f"2024-01-02 {h:02d}:00,1.5,1.0,27,5,Barrie,{s},X\n" for h in range(24) for s in (42183, 942183))
+    )
+    (tmp_path / "air.csv").write_text(
+        "row_id,date,time,aqhi,category,city,station_name,station_id,requested_year,value_type,show_day_code\n"
+        "1,2024-01-02,4:00 pm EST,10+,very high risk,Barrie,Barrie,47045,2024,daily_4pm,0\n"
+    )
+    (tmp_path / "evac.csv").write_text(
+        "event_id,community,nearby_project_city,evacuation_start_date,evacuation_end_date,event_status,status_as_of_date,source_name,source_url\n"
+        "EVAC-001,Armstrong,Thunder Bay,2026-07-13,,Ongoing,2026-08-04,CBC News,https://www.cbc.ca/1\n"
+    )
+    (tmp_path / "fires.csv").write_text("OBJECTID\n1\n")
+    names = {"cwfis_hotspots": "hot", "eccc_hourly_weather": "wx", "aqhi_aqo_historical": "air", "evacuation_log": "evac", "ontario_active_fires": "fires"}
+    load_landed(store, {n: str(tmp_path / f"{f}.csv") for n, f in names.items()}, 1, "2026-07-31 04:59:31", "https://example.org/fires")
+    load_dimensions(store, "2024-01-01", "2024-01-03")
+    box = outline_vertices(spark, [[(44.0, -80.0), (44.0, -79.0), (45.0, -79.0), (45.0, -80.0)]])
+    load_facts(store, spark.sql("select date'2024-01-02' as date, true as ok"), boundary=box)
+    fact = store.read("analytics", "fact_city_daily").where("city_id = 1 and date_id = date'2024-01-02'").first()
+    assert (fact["precip_total"], fact["aqhi_daily_4pm"], fact["hotspots_within_500km"], fact["weather_fallback_stations"]) == (24.0, 10.0, 1, "")
+    assert store.read("analytics", "province_daily_totals").first()["total_hotspots"] == 1
+
+
 def test_a_load_with_fewer_columns_hides_none(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     full = spark.sql("select 'a' as uid, timestamp_ntz'2024-07-01 05:00:00' as rep_date, 1D as frp")

@@ -108,3 +108,21 @@ def test_repeated_hours_and_impossible_amounts_add_nothing(spark):
     a, b = (weather.daily_weather(x).first().asDict() for x in (clean, twice))
     assert (a.pop("repeated_rows"), b.pop("repeated_rows")) == (0, 26)
     assert a == b and a["precip_total"] == 24.0
+
+
+def test_one_station_of_a_city_at_a_time(spark):
+    """The primary's 24 mm, not the sum of two stations; a fallback fills what the primary lacks and is named."""
+    primary = [(*r[:1], 47267, *r[2:]) for r in hours(24, precip=1.0, temp=lambda i: None if i < 3 else 20.0)]
+    second = [(*r[:1], 947267, *r[2:]) for r in hours(24, precip=1.0, temp=10.0)]
+    third = [(*r[:1], 5, *r[2:]) for r in hours(30, precip=7.0, temp=-5.0)]
+    df = spark.createDataFrame(primary + second + third, DDL)
+    got = weather.daily_weather(df).orderBy("date").collect()
+    assert got[0]["precip_total"] == 24.0 and got[0]["temp_min"] == 10.0 and got[0]["temp_mean"] == pytest.approx((3 * 10 + 21 * 20) / 24)
+    assert (got[0]["fallback_stations"], got[0]["fallback_hours"], got[0]["unranked_rows"], got[0]["repeated_rows"]) == ("947267", 3, 24, 0)
+    assert (got[1]["precip_total"], got[1]["fallback_stations"], got[1]["hourly_rows"]) == (42.0, "5", 6)
+    strict = weather.daily_weather(df, fallback=False).collect()
+    assert len(strict) == 1 and strict[0]["valid_hours"] == 21 and strict[0]["fallback_stations"] == ""
+    other = spark.createDataFrame([(5, 1), (947267, 2)], "station_id int, rank int")
+    assert weather.daily_weather(df, ranks=other).orderBy("date").first()["precip_total"] == 7.0 * 24
+    two = spark.createDataFrame([(*r[:1], s, *r[2:]) for r in hours(24, precip=1.0) for s in (8, 9)], DDL)
+    assert weather.daily_weather(two).first()["precip_total"] == 24.0 and weather.daily_weather(two).first()["unranked_rows"] == 48
