@@ -915,16 +915,15 @@ def poll_upsert(spark, sf):
 
 @query
 def poll_stream_ids(spark, sf):
-    """Ids left after the streaming de-duplication of one catch-up run."""
+    """Ids left after the streaming de-duplication of one catch-up run, late ones included."""
     schema = inputs.table(spark, sf, "events").schema
     stream = polls.stream_folder(spark, f"{sf}/events.parquet", schema).select(
         F.concat_ws("-", (F.col("user_id") % 8).cast("string"), F.col("ts").cast("date").cast("string"), F.hour("ts").cast("string")).alias("id"),
         F.col("ts").cast("timestamp").alias("observation_datetime"),
     )
     run = f"{shared_dir(spark)}/poll-{uuid.uuid4().hex}"
-    done = polls.ingest_available(polls.first_seen(stream).select("id"), f"{run}/ids", f"{run}/progress")
-    done.awaitTermination()
-    return spark.read.schema(struct("id string")).parquet(f"{run}/ids")
+    polls.ingest_first_seen(stream, f"{run}/ids", f"{run}/progress").awaitTermination()
+    return polls.read_first_seen(spark, f"{run}/ids").select("id")
 
 
 @query
@@ -935,4 +934,4 @@ def poll_stream_upsert(spark, sf):
     rows = inputs.current_rows(stream).select("id", "snapshot_ts", "row_id", "aqhi")
     run = f"{shared_dir(spark)}/upsert-{uuid.uuid4().hex}"
     polls.ingest_upserts(rows, f"{run}/rows", f"{run}/progress").awaitTermination()
-    return polls.read_upserts(spark, f"{run}/rows").select("id", "snapshot_ts", "row_id", "aqhi")
+    return polls.upserts(spark, f"{run}/rows", rows.schema).read()
