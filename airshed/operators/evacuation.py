@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from airshed.operators import spans
 from airshed.operators.grouping import latest
 
 
@@ -45,47 +46,20 @@ def episodes(events: DataFrame, community: str = "community") -> DataFrame:
     )
 
 
-def open_per_day(events: DataFrame, city: str = "city") -> DataFrame:
-    """Events open per city and day, for display only.
+def open_per_day(events: DataFrame, days: DataFrame, city: str = "city", day: str = "date_id") -> DataFrame:
+    """Events open per city and day of the calendar ``days``, for display only; days without one have no row.
 
-    Each event adds one on its first day and takes one away after its last; a running sum over the
-    city's calendar gives the count, so no event is copied once per day it lasts.
+    An event is a few aligned spans (``spans``), counted per city before they meet the calendar: an end
+    date far in the future costs no more than another.
     """
-    valid = events.withColumn("__end", known_end()).where(F.col("__end") >= F.col("start_date"))
-    steps = valid.select(
-        city,
-        F.inline(
-            F.array(
-                F.struct(F.col("start_date").alias("date"), F.lit(1).alias("__step")),
-                F.struct(F.date_add("__end", 1).alias("date"), F.lit(-1).alias("__step")),
-            )
-        ),
-    )
-    net = steps.groupBy(city, "date").agg(F.sum("__step").alias("__net"))
-    order = W.partitionBy(city).orderBy("date")
-    level = net.withColumns(
-        {
-            "open_events": F.sum("__net").over(order),
-            "__next": F.lead("date").over(order),
-        }
-    ).where(F.col("__next").isNotNull() & (F.col("open_events") > 0))
-    return level.select(
-        city,
-        F.explode(F.sequence("date", F.date_sub("__next", 1))).alias("date"),
-        "open_events",
-    )
+    counted = spans.open_on_days(events.withColumn("__end", known_end()), "start_date", "__end", days.distinct(), day, [city])
+    return counted.select(city, F.col(day).alias("date"), F.col("n").alias("open_events"))
 
 
-def annotations(events: DataFrame, city: str = "city") -> DataFrame:
-    """Which events overlap a city-day, one row per event and day, for display beside the fact."""
-    valid = events.withColumn("__end", known_end()).where(F.col("__end") >= F.col("start_date"))
-    return valid.select(
-        city,
-        F.explode(F.sequence("start_date", "__end")).alias("date"),
-        "event_id",
-        "community",
-        "status",
-    )
+def annotations(events: DataFrame, days: DataFrame, city: str = "city", day: str = "date_id") -> DataFrame:
+    """Which events overlap a city-day, one row per event and day of the calendar, for display beside the fact."""
+    met = spans.on_days(events.withColumn("__end", known_end()), "start_date", "__end", days.distinct(), day)
+    return met.select(city, F.col(day).alias("date"), "event_id", "community", "status")
 
 
 def evacuation_facts(log: DataFrame, cities: DataFrame, row_id: str | None = None) -> DataFrame:

@@ -112,3 +112,78 @@ def read_polygon(spark: SparkSession, path: str) -> DataFrame:
     ).select(F.explode(F.flatten("parts")).alias("r"))
     numbered = rings.select(F.xxhash64(F.to_json("r")).alias("ring"), F.posexplode("r").alias("seq", "p"))
     return numbered.select("ring", "seq", F.col("p")[1].alias("lat"), F.col("p")[0].alias("lon"))
+
+
+# --- pages whose properties are not declared -----------------------------------------------------
+
+MAX_PROPERTIES = 2000
+
+# What a VARIANT calls the type of a value -> how it is reported.
+KINDS = {"BIGINT": "integer", "DECIMAL": "number", "DOUBLE": "number", "FLOAT": "number", "STRING": "text", "BOOLEAN": "boolean", "VOID": "null"}
+
+
+def open_features(pages: DataFrame, text: str) -> DataFrame:
+    """One row per feature of pages held as text: page columns, id, geometry type and coordinates, and
+    ``properties``, a map of VARIANT values. A page that is no JSON object with features has no rows."""
+    context = [c for c in pages.columns if c != text]
+    page = pages.select(*context, F.try_parse_json(F.col(text)).alias("__page"))
+    features = page.select(*context, F.explode(F.try_variant_get("__page", "$.features", "array<variant>")).alias("__f"))
+    return features.select(
+        *context,
+        F.try_variant_get("__f", "$.id", "string").alias("source_feature_id"),
+        F.try_variant_get("__f", "$.geometry.type", "string").alias("geometry_type"),
+        F.try_variant_get("__f", "$.geometry.coordinates", "array<double>").alias("coordinates"),
+        F.try_variant_get("__f", "$.properties", "map<string,variant>").alias("properties"),
+    )
+
+
+def property_report(features: DataFrame) -> DataFrame:
+    """Every property that some feature has: its kinds of values, joined by commas, the features that have
+    a value, and whether its kind changes between features (null and whole numbers beside others do not
+    count as a change)."""
+    each = features.select(F.explode("properties").alias("property", "__v"))
+    name = F.regexp_extract(F.schema_of_variant("__v"), "^[A-Z]+", 0)
+    kind = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in KINDS.items() for x in pair]), name), F.lower(name))
+    counted = each.groupBy("property", kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    report = counted.groupBy("property").agg(
+        F.array_sort(F.collect_set("kind")).alias("kinds"),
+        F.sum(F.when(F.col("kind") != "null", F.col("n")).otherwise(0)).alias("feature_count"),
+    )
+    other = F.filter("kinds", lambda k: ~k.isin("null", "integer"))
+    numbers = F.array_except("kinds", F.array(*[F.lit(k) for k in ("null", "integer", "number")]))
+    changed = (F.size(F.array_except("kinds", F.array(F.lit("null")))) > 1) & (F.size(numbers) > 0) & (F.size(other) > 0)
+    return report.select("property", F.array_join("kinds", ",").alias("kinds"), "feature_count", changed.alias("kind_changes"))
+
+
+def flatten_open(pages: DataFrame, text: str, lon: str = "longitude", lat: str = "latitude", report: DataFrame | None = None) -> DataFrame:
+    """One row per feature with a column for every property that any page has, in the order of their names.
+
+    The names and types come from ``property_report`` of the same pages (its rows are as many as there
+    are properties; more than ``MAX_PROPERTIES`` are refused). Whole numbers are bigint, numbers double,
+    truth values boolean; anything else, and whatever changes its kind, is text, objects and lists as JSON.
+    """
+    features = open_features(pages, text)
+    found = (property_report(features) if report is None else report).orderBy("property").limit(MAX_PROPERTIES + 1).collect()
+    if len(found) > MAX_PROPERTIES:
+        raise ValueError(f"more than {MAX_PROPERTIES} properties")
+    context = [c for c in pages.columns if c != text]
+    taken = {c.lower() for c in [*context, lon, lat, "source_feature_id", "geometry_type"]}
+    out = []
+    for r in found:
+        kinds = set(r["kinds"].split(",")) - {"null"}
+        kind = {frozenset(["integer"]): "bigint", frozenset(["boolean"]): "boolean"}.get(frozenset(kinds), "string")
+        kind = "double" if "number" in kinds and kinds <= {"integer", "number"} else kind
+        name = r["property"]
+        while name.lower() in taken:  # beside a page column, or a property that differs in case only
+            name = f"property_{name}"
+        taken.add(name.lower())
+        out.append(F.try_variant_get(F.col("properties").getItem(r["property"]), "$", kind).alias(name))
+    complete = F.size("coordinates") >= 2
+    return features.select(
+        *context,
+        "source_feature_id",
+        "geometry_type",
+        *out,
+        F.when(complete, F.get("coordinates", F.lit(0))).alias(lon),
+        F.when(complete, F.get("coordinates", F.lit(1))).alias(lat),
+    )

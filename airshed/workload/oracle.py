@@ -552,6 +552,22 @@ def statements() -> dict[str, str]:
         f"select uid, sensor, agency, case when uid % 13 <> 0 then {r6('lon')} end as longitude, "
         f"case when uid % 13 <> 0 then {r6('lat')} end as latitude from hot",
     )
+    add(
+        "geojson_open_flatten",
+        ["hot"],
+        f"select uid, sensor, agency, case when uid >= 20 then uid % 4 / 4 end as frp, "
+        "case when uid % 2 = 0 then cast(uid % 7 as varchar) else 'x' || uid % 7 end as code, 'Point' as geometry_type, "
+        f"{r6('lon')} as longitude, {r6('lat')} as latitude from hot",
+    )
+    add(
+        "geojson_properties",
+        ["hot"],
+        """select 'agency' as property, 'text' as kinds, cast(count(agency) as bigint) as feature_count, false as kind_changes from hot
+        union all select 'code', 'integer,text', count(*), true from hot
+        union all select 'frp', 'number', count(*) filter (where uid >= 20), false from hot
+        union all select 'sensor', 'text', count(sensor), false from hot
+        union all select 'uid', 'integer', count(*), false from hot""",
+    )
     add(
         "snapshot_lineage",
         ["hot"],
@@ -849,6 +865,15 @@ def statements() -> dict[str, str]:
           select *, row_number() over (partition by fire_id order by snapshot_no desc, status_date desc, part desc, stage desc, size_hectares desc) as rn
           from hist) where rn = 1""",
     )
+    add(
+        "state_as_of",
+        ["hist"],
+        """select a.fire_id, cast(a.asked_on as varchar) as asked_on, s.stage, s.size_hectares
+        from (select o_orderkey as fire_id, cast(o_orderdate as date) + cast(o_orderkey % 120 as integer) as asked_on from orders) a
+        asof left join (select fire_id, status_date, stage, size_hectares from hist
+          qualify row_number() over (partition by fire_id, status_date order by stage desc, size_hectares desc) = 1) s
+        on a.fire_id = s.fire_id and a.asked_on >= s.status_date""",
+    )
     add(
         "snapshot_diff",
         ["snap"],
@@ -883,14 +908,14 @@ def statements() -> dict[str, str]:
         ["known"],
         """select nearby_project_city, cast(d as varchar) as date, count(*) as open_events from (
           select nearby_project_city, cast(unnest(generate_series(cast(start_date as timestamp), cast(last_day as timestamp), interval 1 day)) as date) as d
-          from known where last_day >= start_date) group by nearby_project_city, d""",
+          from known where last_day >= start_date) where d <= (select max(start_date) from evac) group by nearby_project_city, d""",
     )
     add(
         "evac_annotations",
         ["known"],
         """select nearby_project_city, cast(d as varchar) as date, event_id, community, status from (
           select *, cast(unnest(generate_series(cast(start_date as timestamp), cast(last_day as timestamp), interval 1 day)) as date) as d
-          from known where last_day >= start_date)""",
+          from known where last_day >= start_date) where d <= (select max(start_date) from evac)""",
     )
     add(
         "evac_episodes",

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from airshed.config import GEOMET_LOCATIONS, PROVINCE_SKETCH, SENTINEL_FIELDS, SOURCE_FIELDS
 from airshed.functions import geo, moments, text
-from airshed.operators import aqhi, evacuation, exposure, fires, grouping, quality, rules, weather
+from airshed.operators import aqhi, asof, evacuation, exposure, fires, grouping, quality, rules, weather
 from airshed.plans import city_daily, dimensions, model_prep, staging
 from airshed.session import settle, shared_dir
 from airshed.sources import files, geojson, html, manifest
@@ -79,6 +79,34 @@ def geojson_flatten(spark, sf):
     return geojson.flatten_features(pages.drop("page"), drop_empty=True)
 
 
+def _open_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages whose features have properties that no schema names: one comes only from the second page on,
+    and one is a number here and a text there."""
+    feature = F.concat(
+        F.lit('{"properties":'),
+        F.regexp_replace(F.to_json(F.struct("uid", "sensor", "agency", F.when(F.col("uid") >= BLOCK, F.col("uid") % 4 / 4).alias("frp"))), "[}]$", ""),
+        F.lit(',"code":'),
+        F.when(F.col("uid") % 2 == 0, (F.col("uid") % 7).cast("string")).otherwise(F.concat(F.lit('"x'), F.col("uid") % 7, F.lit('"'))),
+        F.lit('},"geometry":{"type":"Point","coordinates":['), "lon", F.lit(","), "lat", F.lit("]}}"),
+    )
+    return (
+        inputs.hotspots(spark, sf)
+        .groupBy(F.floor(F.col("uid") / F.lit(BLOCK)).alias("page"))
+        .agg(F.concat(F.lit('{"features":['), F.array_join(F.collect_list(feature), ","), F.lit("]}")).alias("body"))
+    )
+
+
+@query
+def geojson_open_flatten(spark, sf):
+    """All properties of all pages, none declared."""
+    return geojson.flatten_open(_open_pages(spark, sf), "body").drop("page", "source_feature_id")
+
+
+@query
+def geojson_properties(spark, sf):
+    return geojson.property_report(geojson.open_features(_open_pages(spark, sf), "body"))
+
+
 @query
 def snapshot_lineage(spark, sf):
     pages = geojson.parse_pages(_feature_pages(spark, sf), "body", HOT_PROPERTIES)
@@ -488,6 +516,16 @@ def latest_state(spark, sf):
     )
 
 
+@query
+def state_as_of(spark, sf):
+    """What was known of each fire some days after it was reported."""
+    asked = inputs.table(spark, sf, "orders").selectExpr(
+        "o_orderkey as fire_id", "date_add(cast(o_orderdate as date), int(o_orderkey % 120)) as asked_on"
+    )
+    history = inputs.fire_history(spark, sf).select("fire_id", "status_date", "stage", "size_hectares")
+    return asof.state_as_of(asked, history, ["fire_id"], "asked_on", "status_date", ["stage", "size_hectares"], 50_000)
+
+
 @query
 def snapshot_diff(spark, sf):
     return fires.snapshot_diff(
@@ -505,14 +543,21 @@ def provisional_codes_seen(spark, sf):
     return fires.provisional_codes_seen(inputs.fires_raw(spark, sf))
 
 
+def _start_days(log: DataFrame) -> DataFrame:
+    """The calendar from the first to the last day on which an event began."""
+    return dimensions.calendar(log.agg(F.min("start_date").alias("a"), F.max("start_date").alias("b")), "a", "b")
+
+
 @query
 def evac_overlap_days(spark, sf):
-    return evacuation.open_per_day(inputs.evacuation_log(spark, sf), "nearby_project_city")
+    log = inputs.evacuation_log(spark, sf)
+    return evacuation.open_per_day(log, _start_days(log), "nearby_project_city")
 
 
 @query
 def evac_annotations(spark, sf):
-    return evacuation.annotations(inputs.evacuation_log(spark, sf), "nearby_project_city")
+    log = inputs.evacuation_log(spark, sf)
+    return evacuation.annotations(log, _start_days(log), "nearby_project_city")
 
 
 @query

@@ -5,7 +5,7 @@ from collections import Counter
 from conftest import as_set
 from pyspark.sql import functions as F
 
-from airshed.operators import evacuation, rules
+from airshed.operators import evacuation, rules, spans
 from airshed.plans.dimensions import dim_city
 
 D = dt.date
@@ -35,8 +35,26 @@ def test_open_events_per_day(spark):
     for r in data:
         for k in range((last_day(r) - r[2]).days + 1):
             want[(r[1], r[2] + dt.timedelta(k))] += 1
-    got = evacuation.open_per_day(spark.createDataFrame(data, DDL))
+    days = spark.sql("select explode(sequence(date'2025-12-01', date'2026-12-31')) as date_id")
+    got = evacuation.open_per_day(spark.createDataFrame(data, DDL), days)
     assert {(r["city"], r["date"]): r["open_events"] for r in got.collect()} == dict(want)
+    few = days.where("dayofyear(date_id) % 7 = 0")
+    got = evacuation.open_per_day(spark.createDataFrame(data, DDL), few)
+    assert {(r["city"], r["date"]): r["open_events"] for r in got.collect()} == {k: n for k, n in want.items() if k[1].timetuple().tm_yday % 7 == 0}
+
+
+def test_an_end_far_away_gives_no_more_rows_than_the_calendar(spark):
+    """And a long event is a handful of spans."""
+    df = spark.sql(
+        "select 'e' as event_id, 'x' as community, 'c' as city, date'2026-01-05' as start_date, date'9999-12-31' as end_date, 'Lifted' as status,"
+        " date'2026-01-06' as status_as_of_date union all select 'f', 'x', 'c', date'1960-03-01', date'2026-01-07', 'Lifted', null"
+    )
+    days = spark.sql("select explode(sequence(date'2026-01-01', date'2026-01-31')) as date_id")
+    got = [(r["event_id"], r["date"].day) for r in evacuation.annotations(df, days).collect()]
+    assert sorted(got) == [("e", d) for d in range(5, 32)] + [("f", d) for d in range(1, 8)]
+    assert evacuation.open_per_day(df, days).agg(F.sum("open_events")).first()[0] == 27 + 7
+    assert spans.cover(df, "start_date", "end_date").count() < 2 * 2 * spans.LEVELS
+    assert {r["event_id"] for r in spans.on_days(df.where("event_id = 'e'"), "start_date", "start_date", days, "date_id").collect()} == {"e"}
 
 
 def test_episodes_cover_exactly_the_event_days(spark):

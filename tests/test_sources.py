@@ -130,3 +130,20 @@ def test_sinks(spark, tmp_path):
     for stamp, n in (("t1", 3), ("t2", 5), ("t1", 3)):
         append_snapshot(spark.range(n).selectExpr("id", f"'{stamp}' as snapshot_ts"), path)
     assert as_set(spark.read.parquet(path).groupBy("snapshot_ts").count()) == [("t1", 3), ("t2", 5)]
+
+
+def test_geojson_properties_that_no_schema_names(spark):
+    """A property of the second page arrives as a column; one that changes its kind is text and reported."""
+    one = '{"features":[{"id":"a","properties":{"n":1,"code":5,"on":true,"page":"p"},"geometry":{"type":"Point","coordinates":[-80.5,44]}},{"properties":null}]}'
+    two = '{"features":[{"id":"b","properties":{"n":2.5,"code":"x","new":{"k":[1]},"it\'s \\"odd\\" $.a":"v","N":7,"gone":null},"geometry":null}]}'
+    pages = spark.createDataFrame([(1, one), (2, two), (3, "no json"), (4, None), (5, "{}"), (6, '{"features":3}')], "page int, body string")
+    got = geojson.flatten_open(pages, "body").orderBy("page", "source_feature_id")
+    assert [r["source_feature_id"] for r in got.collect()] == [None, "a", "b"]
+    a, b = got.collect()[1:]
+    assert (a["property_n"], a["code"], a["on"], a["property_page"], a["longitude"], a["latitude"], a["new"]) == (1.0, "5", True, "p", -80.5, 44.0, None)
+    assert (b["property_n"], b["code"], b["on"], b["new"], b['it\'s "odd" $.a'], b["longitude"], b["gone"]) == (2.5, "x", None, '{"k":[1]}', "v", None, None)
+    assert (a["N"], b["N"]) == (None, 7) and dict(got.dtypes)["property_n"] == "double"
+    report = {r["property"]: (r["kinds"], r["feature_count"], r["kind_changes"]) for r in geojson.property_report(geojson.open_features(pages, "body")).collect()}
+    assert report["code"] == ("integer,text", 2, True) and report["n"] == ("integer,number", 2, False)
+    assert report["new"] == ("object", 1, False) and report["gone"] == ("null", 0, False) and report["on"] == ("boolean", 1, False)
+    assert geojson.flatten_open(pages.where("page > 2"), "body").count() == 0
