@@ -137,8 +137,9 @@ CITIES = [
 ]
 CITY_NAMES = [c[1] for c in CITIES]
 
-# Offset of local standard time from UTC, and the civil zone, for all four cities.
+# Offset of local standard time from UTC, by city, and the civil zone of all four.
 STANDARD_OFFSET_HOURS = -5
+CITY_OFFSET_HOURS = {c[1]: STANDARD_OFFSET_HOURS for c in CITIES}
 CIVIL_ZONE = "America/Toronto"
 CLOCK_OFFSETS = {"EST": -5, "EDT": -4}
 

@@ -17,6 +17,7 @@ from airshed.operators.quality import group_sizes, year_mismatches
 STATION_YEAR = ["station_id", "station_name", "requested_year"]
 BOUNDARY_ISSUE = "possible_date_boundary_anomaly"
 YEAR_ISSUE = "date_outside_requested_year"
+LINE_RECORDS = 100_000
 
 
 def censored(df: DataFrame, source: str = "aqhi") -> DataFrame:
@@ -78,37 +79,40 @@ def _boundary_dates(df: DataFrame) -> DataFrame:
     )
 
 
-def daily_max_date_anomalies(df: DataFrame, row_id: str = "row_id") -> DataFrame:
-    """Date-boundary report: one line per suspicious date, its times and values in row order.
+def daily_max_date_anomalies(df: DataFrame, row_id: str = "row_id", line_records: int = LINE_RECORDS) -> DataFrame:
+    """Date-boundary report: a line per suspicious date, with the time and value of each of its records
+    in row order.
 
-    Equal readings (time and value) of a date are listed once, at the place of the first, so a line
-    is as long as the different readings of a date, however many records it has; their number is in
-    ``records_on_duplicated_date`` and the single rows are in ``date_anomaly_flags``.
+    A date with more than about ``line_records`` records goes on in further lines (``line_no``), so no
+    task holds more than twice as many; row ids are unique. Nothing is left out.
     """
     keys = [*STATION_YEAR, "date"]
-    readings = (
-        df.where(F.col("value_type") == "daily_max")
-        .groupBy(*keys, "time", "aqhi_raw")
-        .agg(F.min(row_id).alias("k"))
-    )
-    found = readings.join(_boundary_dates(df), keys)
+    maxima = df.where(F.col("value_type") == "daily_max").select(*keys, row_id, "time", "aqhi_raw")
+    found = attach_facts(maxima, _boundary_dates(df), keys, "records_on_duplicated_date", row_id)
+    found = found.withColumn("__piece", F.floor(F.col(row_id) / F.lit(line_records)))
+    pieces = found.groupBy(*keys, "__piece").agg(F.count(F.lit(1)).alias("__n"))
+    earlier = W.partitionBy(*keys).orderBy("__piece").rowsBetween(W.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    line = (F.floor(before / F.lit(line_records)) + 1).cast("int")
     ordered = F.array_sort(
         F.collect_list(
             F.struct(
-                "k",
+                F.col(row_id).alias("k"),
                 F.coalesce(F.col("time"), F.lit(NULL_MARK)).alias("t"),
                 F.coalesce(F.col("aqhi_raw"), F.lit(NULL_MARK)).alias("v"),
             )
         )
     )
     return (
-        found.groupBy(*keys, "records_on_duplicated_date")
+        found.join(pieces.select(*keys, "__piece", line.alias("line_no")), [*keys, "__piece"])
+        .groupBy(*keys, "records_on_duplicated_date", "line_no")
         .agg(ordered.alias("r"))
         .select(
             *STATION_YEAR,
             F.date_sub("date", 1).alias("missing_previous_date"),
             F.col("date").alias("duplicated_reported_date"),
             "records_on_duplicated_date",
+            "line_no",
             F.array_join(F.col("r.t"), SEPARATOR).alias("reported_times"),
             F.array_join(F.col("r.v"), SEPARATOR).alias("reported_aqhi_values"),
             F.lit(BOUNDARY_ISSUE).alias("issue_type"),

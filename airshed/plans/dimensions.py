@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from airshed.config import AQO_STATIONS, CITIES, GEOMET_LOCATIONS, WEATHER_STATIONS
+from airshed.config import AQO_STATIONS, CITIES, CITY_OFFSET_HOURS, GEOMET_LOCATIONS, WEATHER_STATIONS
 from airshed.functions.moments import iso_weekday
 from airshed.operators.grouping import literal_rows
 
@@ -39,16 +39,18 @@ def dim_date(days: DataFrame) -> DataFrame:
 
 
 def station_register(spark: SparkSession) -> DataFrame:
-    """All source stations with surrogate ids in natural-key order (stable, unlike an identity)."""
+    """All source stations with surrogate ids in natural-key order (stable, unlike an identity), and the
+    offset of their local standard time from UTC."""
     city_ids = {c[1]: c[0] for c in CITIES}
     places = {c[0]: (c[3], c[4]) for c in CITIES}
+    offsets = {city_ids[name]: hours for name, hours in CITY_OFFSET_HOURS.items()}
     natural = sorted(
         [("aqo", str(i), name, city_ids[city]) for i, city, name in AQO_STATIONS]
         + [("geomet", i, i, city_ids[city]) for i, city in GEOMET_LOCATIONS]
         + [("eccc_weather", str(i), name, city_ids[city]) for i, city, name, _ in WEATHER_STATIONS]
     )
     rows = [
-        (n, source_id, name, system, city, *places[city])
+        (n, source_id, name, system, city, *places[city], offsets[city])
         for n, (system, source_id, name, city) in enumerate(natural, start=1)
     ]
     return literal_rows(
@@ -61,6 +63,7 @@ def station_register(spark: SparkSession) -> DataFrame:
             "city_id",
             "latitude",
             "longitude",
+            "utc_offset_hours",
         ],
         rows,
     )
@@ -78,6 +81,7 @@ def with_station_city(
         "source_system",
         "source_station_id",
         "city_id",
+        "utc_offset_hours",
     )
     keyed = rows.withColumns(
         {"source_system": F.lit(system), "source_station_id": source_id.cast("string")}

@@ -253,6 +253,23 @@ def stations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def places(spark: SparkSession, sf: str) -> DataFrame:
+    """A city table with planted defects, one city per supplier."""
+    return table(spark, sf, "supplier").selectExpr(
+        "if(s_suppkey % 41 <> 40, s_suppkey - (s_suppkey % 19) div 18, null) as city_id",
+        "if(s_suppkey % 43 <> 42, concat('City ', s_suppkey - (s_suppkey % 13) div 12), null) as city_name",
+        "if(s_suppkey % 47 <> 46, if(s_suppkey % 23 = 7, 95.5e0, 42e0 + (s_suppkey % 140) / 10e0), null) as latitude",
+        "if(s_suppkey % 37 = 9, -190.25e0, -95e0 + (s_suppkey % 200) / 10e0) as longitude",
+    )
+
+
+def calendar_days(spark: SparkSession, sf: str) -> DataFrame:
+    """A calendar with repeated and missing days, one per order."""
+    return table(spark, sf, "orders").selectExpr(
+        "if(o_orderkey % 101 <> 100, date_add(date'2024-01-01', int(o_orderkey - (o_orderkey % 53) div 52)), null) as date_id"
+    )
+
+
 def station_candidates(spark: SparkSession, sf: str) -> DataFrame:
     """Weather-station candidates, one per customer."""
     return table(spark, sf, "customer").selectExpr(

@@ -169,6 +169,14 @@ VIEWS = {
       case when s_suppkey % 23 = 7 then 95.5e0 else 42e0 + (s_suppkey % 140) / 10e0 end as latitude,
       case when s_suppkey % 37 = 9 then -190.25e0 else -95e0 + (s_suppkey % 200) / 10e0 end as longitude
     from supplier""",
+    "place": """
+    select case when s_suppkey % 41 <> 40 then s_suppkey - s_suppkey % 19 // 18 end as city_id,
+      case when s_suppkey % 43 <> 42 then 'City ' || cast(s_suppkey - s_suppkey % 13 // 12 as varchar) end as city_name,
+      case when s_suppkey % 47 <> 46 then case when s_suppkey % 23 = 7 then 95.5e0 else 42e0 + (s_suppkey % 140) / 10e0 end end as latitude,
+      case when s_suppkey % 37 = 9 then -190.25e0 else -95e0 + (s_suppkey % 200) / 10e0 end as longitude
+    from supplier""",
+    "due": """
+    select case when o_orderkey % 101 <> 100 then cast('2024-01-01' as date) + cast(o_orderkey - o_orderkey % 53 // 52 as integer) end as date_id from orders""",
     "cand": f"""
     select c_custkey as station_id, {_list([c[1] for c in CITIES])}[c_nationkey % 4 + 1] as city,
       case when c_custkey % 3 = 0 then 'daily' else 'hourly' end as interval_kind,
@@ -466,6 +474,20 @@ def _dim_rules() -> str:
     return _union(parts)
 
 
+def _city_date_rules() -> str:
+    c = "place"
+    parts = [_rule(c, f"Q2_city_{x}", f"{x} is null", "city_id", f"'{x}'") for x in ("city_id", "city_name", "latitude", "longitude")]
+    parts += [
+        _rule(c, "Q3_city_latitude", "latitude not between -90 and 90", "city_id", "latitude"),
+        _rule(c, "Q3_city_longitude", "longitude not between -180 and 180", "city_id", "longitude"),
+        _unique(c, "Q1_city_id", ["city_id"]),
+        _unique(c, "Q1_city_name", ["city_name"]),
+        _rule("due", "Q2_date_date_id", "date_id is null", "date_id", "'date_id'"),
+        _unique("due", "Q1_date_id", ["date_id"]),
+    ]
+    return _union(parts)
+
+
 def _weather_rules() -> str:
     limits = {"temp": (-60, 50), "rh": (0, 100), "wind_speed": (0, 200), "wind_dir_10s_deg": (0, 36)}
     parts = [
@@ -753,8 +775,9 @@ def statements() -> dict[str, str]:
     add(
         "lst_to_utc",
         ["wx"],
-        """select row_id, cast(date_time_lst as varchar) as date_time_lst, cast(date_time_lst + interval 5 hour as varchar) as date_time_utc,
-          cast(cast(((date_time_lst + interval 5 hour) at time zone 'UTC') at time zone 'America/Toronto' as date) as varchar) as civil_date from wx""",
+        """select row_id, cast(date_time_lst as varchar) as date_time_lst, cast(utc as varchar) as date_time_utc,
+          cast(cast((utc at time zone 'UTC') at time zone 'America/Toronto' as date) as varchar) as civil_date
+        from (select *, date_time_lst + case when city = 'Thunder Bay' then interval 6 hour else interval 5 hour end as utc from wx)""",
     )
     add(
         "station_coordinates",
@@ -1163,11 +1186,10 @@ def statements() -> dict[str, str]:
         ["boundary"],
         """select b.station_id, b.station_name, b.requested_year, cast(b.date - 1 as varchar) as missing_previous_date,
           cast(b.date as varchar) as duplicated_reported_date, b.n as records_on_duplicated_date,
-          string_agg(coalesce(r.time, '<NA>'), ' | ' order by r.first_row) as reported_times,
-          string_agg(coalesce(r.aqhi_raw, '<NA>'), ' | ' order by r.first_row) as reported_aqhi_values,
+          1 as line_no, string_agg(coalesce(r.time, '<NA>'), ' | ' order by r.row_id) as reported_times,
+          string_agg(coalesce(r.aqhi_raw, '<NA>'), ' | ' order by r.row_id) as reported_aqhi_values,
           'possible_date_boundary_anomaly' as issue_type
-        from boundary b join (select station_id, station_name, requested_year, date, time, aqhi_raw, min(row_id) as first_row
-            from obs_sparse where value_type = 'daily_max' group by all) r
+        from boundary b join (select * from obs_sparse where value_type = 'daily_max') r
           on r.station_id = b.station_id and r.station_name = b.station_name and r.requested_year = b.requested_year and r.date = b.date
         group by 1, 2, 3, 4, 5, 6""",
     )
@@ -1312,6 +1334,7 @@ def statements() -> dict[str, str]:
         where civil_day_hours <> 24""",
     )
     add("dq_dim", ["sta", "city"], _dim_rules())
+    add("dq_city_date", ["place", "due"], _city_date_rules())
     add("dq_weather", ["wx"], _weather_rules())
     add("dq_evac", ["evac"], _evac_rules())
     s["dq_fact"] = _fact_rules()

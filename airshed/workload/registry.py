@@ -388,9 +388,11 @@ def precip_class(spark, sf):
 
 @query
 def lst_to_utc(spark, sf):
-    return weather.with_utc(inputs.weather(spark, sf)).select(
-        "row_id", "date_time_lst", "date_time_utc", "civil_date"
-    )
+    """By the offset that the station dimension gives; one city's station is planted an hour behind."""
+    behind = F.when(F.col("city_id") == 3, -6).otherwise(F.col("utc_offset_hours"))
+    stations = dimensions.station_register(spark).withColumn("utc_offset_hours", behind)
+    rows = dimensions.with_station_city(inputs.weather(spark, sf), stations, "eccc_weather", F.col("station_id"))
+    return weather.with_utc(rows, F.col("utc_offset_hours")).select("row_id", "date_time_lst", "date_time_utc", "civil_date")
 
 
 @query
@@ -918,6 +920,11 @@ def dq_dim(spark, sf):
     return rules.dimension_rules(inputs.stations(spark, sf), dimensions.dim_city(spark))
 
 
+@query
+def dq_city_date(spark, sf):
+    return rules.city_rules(inputs.places(spark, sf)).unionByName(rules.date_rules(inputs.calendar_days(spark, sf)))
+
+
 @query
 def dq_weather(spark, sf):
     return rules.weather_rules(inputs.weather(spark, sf), F.col("row_id"))
