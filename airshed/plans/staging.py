@@ -14,9 +14,14 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from airshed.operators import profiles
 from airshed.sources.files import read_table, replace_load
 
+# Columns of these types get a profile of each load.
+PROFILED = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
 
 @dataclass(frozen=True)
 class Source:
@@ -69,6 +74,9 @@ def stage(
             )
     # A load without units is a load too.
     marker = rows.sparkSession.range(1).select(F.lit(True).alias("marker")).select("marker")
+    columns = [f.name for f in rows.schema if isinstance(f.dataType, PROFILED)]
+    if columns:
+        replace_load(profiles.states(rows, columns).coalesce(1), f"{path}_profiles", load)
     record = record.withColumn("marker", F.lit(False)).unionByName(marker, allowMissingColumns=True)
     replace_load(record.coalesce(1), f"{path}_loads", load)
 
@@ -87,6 +95,13 @@ def loads(spark: SparkSession, path: str) -> list[int]:
     return [] if record is None else sorted(r["load"] for r in record.where("marker").select("load").distinct().collect())
 
 
+def profile(spark: SparkSession, path: str) -> DataFrame:
+    """The merged profile (``profiles.merged``) of all rows that any load delivered; reads no raw row."""
+    counted = _record(spark, path).where("marker").select(F.col("load").alias("__load"))
+    some = read_table(spark, f"{path}_profiles")
+    return profiles.merged(some.join(counted, F.col("load") == F.col("__load"), "left_semi").drop("load"))
+
+
 def staged(spark: SparkSession, path: str, source: Source) -> DataFrame:
     """The rows that count, with their ``load``. Rows of one load are all kept, repeats too.
 

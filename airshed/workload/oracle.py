@@ -897,6 +897,16 @@ def statements() -> dict[str, str]:
           qualify row_number() over (partition by fire_id, status_date order by stage desc, size_hectares desc) = 1) s
         on a.fire_id = s.fire_id and a.asked_on >= s.status_date""",
     )
+    number = {"uid": "cast(uid as double)", "date": "epoch(cast(date as timestamp))", "agency": "cast(null as double)", "lat": "lat"}
+    add(
+        "merged_profile",
+        ["hot"],
+        " union all ".join(
+            f"select '{c}' as column_name, count(*) as row_count, count(*) filter (where {c} is null) as null_count, {r6(f'min({x})')} as low, "
+            f"{r6(f'max({x})')} as high, count(distinct {c}) as exact_count, true as distinct_within_3_pct from hot"
+            for c, x in number.items()
+        ),
+    )
     add(
         "snapshot_diff",
         ["snap"],

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from airshed.config import GEOMET_LOCATIONS, PROVINCE_SKETCH, SENTINEL_FIELDS, SOURCE_FIELDS
 from airshed.functions import geo, moments, text
-from airshed.operators import aqhi, asof, evacuation, exposure, fires, grouping, quality, rules, weather
+from airshed.operators import aqhi, asof, evacuation, exposure, fires, grouping, profiles, quality, rules, weather
 from airshed.plans import city_daily, dimensions, model_prep, staging
 from airshed.session import settle, shared_dir
 from airshed.sources import files, geojson, html, manifest
@@ -659,6 +659,21 @@ def coverage(spark, sf):
     )
 
 
+@query
+def merged_profile(spark, sf):
+    """The hotspots' profile from the states of eight loads, held against the exact one."""
+    columns = ["uid", "date", "agency", "lat"]
+    rows = inputs.hotspots(spark, sf)
+    states = settle(profiles.states(rows.withColumn("load", F.col("uid") % 8), columns, ["load"]), "profile-states")
+    exact = profiles.exact(rows, columns)
+    near = F.abs(F.col("distinct_count") - F.col("exact_count")) <= 0.03 * F.col("exact_count")
+    return (
+        profiles.merged(states)
+        .join(exact.select("column_name", F.col("distinct_count").alias("exact_count")), "column_name")
+        .select("column_name", "row_count", "null_count", "low", "high", "exact_count", near.alias("distinct_within_3_pct"))
+    )
+
+
 @query
 def code_frequency(spark, sf):
     return fires.fire_code_frequency(inputs.fires_raw(spark, sf))

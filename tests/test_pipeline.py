@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from airshed.operators.aqhi import clean_history
 from airshed.operators.evacuation import evacuation_facts
 from airshed.operators.weather import daily_weather
+from airshed.plans import staging
 from airshed.plans.dimensions import dim_city
 from airshed.operators.exposure import outline_vertices
 from airshed.plans.pipeline import Store, check_facts, load_dimensions, load_facts, load_landed, load_staging, row_counts, staged
@@ -105,6 +106,8 @@ def test_a_load_replaces_the_span_it_covers(spark, tmp_path):
     load_staging(store, {name: readings(spark, "2024-01-01", 10)}, 0)
     load_staging(store, {name: readings(spark, "2024-01-11", 1)}, 1)  # one later day
     assert staged(store, name).count() == 11
+    known = {r["column_name"]: r for r in staging.profile(spark, store.path("staging", name)).collect()}
+    assert (known["date"]["row_count"], known["date"]["distinct_count"], known["date"]["low"]) == (11, 11, 19723 * 86400.0)
     load_staging(store, {name: readings(spark, "2024-01-03", 2, "7")}, 2)  # two days corrected
     got = {r["date"].day: r["aqhi_numeric"] for r in staged(store, name).collect()}
     assert got == {d: 7.0 if d in (3, 4) else 3.0 for d in range(1, 12)}
