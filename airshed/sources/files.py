@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,20 +64,41 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    mode: str = "overwrite",
+    measures: dict[str, Column] | None = None,
 ) -> None:
     """Parquet table with its schema beside it, so that an empty one can be read too.
 
     Rows are first rebalanced by the partition columns: few files per partition, and a partition
     far larger than the others is split over several tasks. Only the partitions present in ``df``
-    are replaced, so writing the same snapshot again leaves one copy.
+    are replaced, so writing the same snapshot again leaves one copy. ``measures`` (aggregates by name,
+    whole numbers) are observed in the write itself, behind the last shuffle, where a task that runs
+    again is counted once; ``read_measures`` gives what the last write saw.
     """
     out = df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+    observed = Observation() if measures else None
+    if observed:
+        out = out.observe(observed, F.count(F.lit(1)).alias("__rows"), *[c.alias(n) for n, c in measures.items()])
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     _describe(df, path)
+    if observed:
+        found = observed.get
+        values = [(n, int(found.get(n) or 0)) for n in measures]
+        df.sparkSession.createDataFrame(values, "name string, value bigint").coalesce(1).write.mode("overwrite").parquet(f"{path}/_measures")
+
+
+def read_measures(spark: SparkSession, path: str) -> dict[str, int]:
+    """What the last write of a table measured; nothing for a table written without measures."""
+    try:
+        return {r["name"]: r["value"] for r in spark.read.schema("name string, value bigint").parquet(f"{path}/_measures").collect()}
+    except AnalysisException:
+        return {}
 
 
 def replace_load(df: DataFrame, path: str, load: int, partition_by: Sequence[str] = ()) -> None:

@@ -10,9 +10,10 @@ from airshed.operators.weather import daily_weather
 from airshed.plans import staging
 from airshed.plans.dimensions import dim_city
 from airshed.operators.exposure import outline_vertices
+from airshed.operators.rules import fact_rules
 from airshed.plans.pipeline import Store, check_facts, load_dimensions, load_facts, load_landed, load_staging, row_counts, staged
 from airshed.sources import landed
-from airshed.sources.files import read_csv, replace_load
+from airshed.sources.files import read_csv, read_measures, read_table, replace_load, write_table
 from airshed.sources.schemas import ACTIVE_FIRES, AQHI_CURRENT, conform
 from airshed.streaming.polls import stamp_rows
 
@@ -71,6 +72,12 @@ def test_landing_to_facts_twice(spark, tmp_path):
     assert fact.where("not aqhi_data_available").count() == 1
     warned = {r["rule_id"] for r in check_facts(store).collect()}
     assert warned == {f"Q17_{c}_incomplete" for c in ("temp_mean", "temp_min", "temp_max", "precip_total", "wind_speed_mean", "wind_dir_mean_deg")}
+    # The write has measured what the rules find, so unbroken ones need no scan.
+    seen = read_measures(spark, store.path("analytics", "fact_city_daily"))
+    assert seen["row_count"] == 4 * DAYS and {n for n, v in seen.items() if v and n != "row_count"} == warned
+    assert as_set(fact_rules(store.read("analytics", "fact_city_daily"), store.read("analytics", "dim_city"), store.read("analytics", "dim_date"))) == as_set(
+        store.read("quality", "fact_rules")
+    )
     snapshot = store.read("analytics", "ref_active_fires_snapshot").first()
     assert snapshot["is_active_fire"] and snapshot["stage_of_control_label"] == "Out of Control"
 
@@ -160,6 +167,16 @@ def test_landed_files_and_a_boundary_to_facts(spark, tmp_path):
     assert store.read("analytics", "province_daily_totals").first()["total_hotspots"] == 1
 
 
+def test_measures_of_empty_and_rewritten_tables(spark, tmp_path):
+    path = str(tmp_path / "t")
+    measures = {"n": F.count(F.lit(1)), "odd": F.count_if(F.col("id") % 2 == 1)}
+    assert read_measures(spark, path) == {}
+    write_table(spark.range(0), path, measures=measures)
+    assert read_measures(spark, path) == {"n": 0, "odd": 0}
+    write_table(spark.range(7).withColumn("p", F.col("id") % 2), path, ["p"], measures=measures)
+    assert read_measures(spark, path) == {"n": 7, "odd": 3} and read_table(spark, path).count() == 7
+
+
 def test_a_load_with_fewer_columns_hides_none(spark, tmp_path):
     store = Store(spark, str(tmp_path))
     full = spark.sql("select 'a' as uid, timestamp_ntz'2024-07-01 05:00:00' as rep_date, 1D as frp")
