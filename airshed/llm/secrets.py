@@ -4,7 +4,8 @@ Every rule is a small regular expression, given as nested tuples. All rules toge
 by subset construction into one automaton that tells, after each byte, which rules have a match
 ending there; equal states are then merged and the transitions laid out in one array over classes
 of bytes. A text is read once by that array. Only where it reports a rule are the exact spans
-taken, with an automaton of that rule alone: leftmost, as long as possible, not overlapping.
+taken, with two automata of that rule alone: one reads backwards and marks where matches begin, one
+reads forwards from there: leftmost, as long as possible, not overlapping. Every pass is one step a byte.
 """
 
 from __future__ import annotations
@@ -176,16 +177,25 @@ class Automaton:
     dead: int
 
 
-def compiled(rules: tuple[Rule, ...], anywhere: bool) -> Automaton:
+def backward(x):
+    """The expression of the reversed matches."""
+    if isinstance(x, frozenset):
+        return x
+    kind, *parts = x
+    return (kind, *[backward(part) for part in (reversed(parts) if kind == "seq" else parts)])
+
+
+def compiled(rules: tuple[Rule, ...], anywhere: bool, whole: bool = False) -> Automaton:
     """One minimal automaton for all rules; ``anywhere``: matches may begin at any byte.
 
-    No rule may match the empty text.
+    An automaton for matches anywhere reports a rule where its shortest matches end, which is enough to
+    tell that there is one; ``whole``: wherever a match ends. No rule may match the empty text.
     """
     nfa = _Nfa()
     begin = nfa.state()
     ends = {}
     for i, rule in enumerate(rules):
-        x = shortest(rule.expression) if anywhere else rule.expression
+        x = shortest(rule.expression) if anywhere and not whole else rule.expression
         ends[nfa.add(x, nfa._after(begin))] = 1 << i
     # Bytes that no rule tells apart are one class.
     sets = sorted({s for steps in nfa.steps for s, _ in steps}, key=sorted)
@@ -241,23 +251,39 @@ def reported(data: bytes, every: Automaton) -> int:
     return seen
 
 
-def spans_of(data: bytes, one: Automaton, fits: Callable[[str], bool] | None) -> list[tuple[int, int]]:
-    """Byte spans of a rule: leftmost, longest, not overlapping; those that don't fit are dropped after."""
+def begins_of(data: bytes, back: Automaton) -> bytearray:
+    """1 at each byte where a match of the rule begins: one step a byte, from the end."""
+    table, accepting = back.table, back.accepting
+    marks, state = bytearray(len(data)), 0
+    at = len(data)
+    for c in data[::-1].translate(back.classes):
+        at -= 1
+        state = table[state + c]
+        if state >= accepting:
+            marks[at] = 1
+    return marks
+
+
+def spans_of(data: bytes, one: Automaton, back: Automaton, fits: Callable[[str], bool] | None) -> list[tuple[int, int]]:
+    """Byte spans of a rule: leftmost, longest, not overlapping; those that don't fit are dropped after.
+
+    The way forward starts only where a match begins, and reads on only until no longer one can follow. So
+    the time is linear in the text, whatever it repeats.
+    """
     read, table, accepting, dead = data.translate(one.classes), one.table, one.accepting, one.dead
-    begins = bytes(int(table[c] != dead) for c in range(one.width)).ljust(256, b"\0")
-    alive = read.translate(begins)  # 1 where a match may begin
-    out, at = [], alive.find(1)
+    marks = begins_of(data, back)
+    out, at = [], marks.find(1)
     while at >= 0:
-        state, end = 0, -1
+        state, end = 0, at
         for i in range(at, len(read)):
             state = table[state + read[i]]
             if state == dead:
                 break
             if state >= accepting:
                 end = i + 1
-        if end > 0 and (fits is None or fits(data[at:end].decode("ascii"))):
+        if fits is None or fits(data[at:end].decode("ascii")):
             out.append((at, end))
-        at = alive.find(1, end if end > 0 else at + 1)
+        at = marks.find(1, end)
     return out
 
 
@@ -269,6 +295,7 @@ class Scanner:
         self.fits = [r.fits for r in rules]
         self.every = compiled(rules, True)
         self.each = [compiled((r,), False) for r in rules]
+        self.back = [compiled((Rule(r.kind, backward(r.expression)),), True, whole=True) for r in rules]
 
     def scan(self, text: str | None) -> list[tuple[int, int, int]]:
         """(rule number, start, end) in code points, by start, then rule."""
@@ -280,7 +307,7 @@ class Scanner:
             (i, a, b)
             for i in range(len(self.kinds))
             if seen >> i & 1
-            for a, b in spans_of(data, self.each[i], self.fits[i])
+            for a, b in spans_of(data, self.each[i], self.back[i], self.fits[i])
         ]
         if len(data) != len(text):
             # A code point begins at each byte that doesn't continue one.
@@ -308,7 +335,7 @@ def scanner(rules: tuple[Rule, ...] = RULES) -> Scanner:
 def scanned(docs: DataFrame) -> DataFrame:
     """docs with secrets (array of kind, start, end; code points, end exclusive), by start, then rule.
 
-    Null and empty texts have none. The name gets underscores in front if docs has it already.
+    Null and empty texts have none; every row, a repeated one too, is scanned for itself. The name gets underscores in front if docs has it already.
     """
     at = docs.columns.index("text")
     name = free_name(docs, "secrets")
@@ -338,7 +365,10 @@ def masked(text: str | None, spans: list[tuple[int, int]]) -> str | None:
 
 
 def without_secrets(docs: DataFrame) -> DataFrame:
-    """docs with every secret masked; n_chars, where docs has it, follows the text that changed."""
+    """docs with every secret masked; n_chars, where docs has it, follows the text that changed.
+
+    Every row is kept, repeated ones too. Null and empty texts stay as they are.
+    """
     at = docs.columns.index("text")
     new = free_name(docs, "masked")
 
