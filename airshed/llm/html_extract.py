@@ -3,14 +3,17 @@
 The standard library's parser sends events; from them a page becomes lines, one per block, each with
 its text, its tags and the elements it lies in. The ratio of text to tags of a line is high in an
 article and low in menus. The ratios are smoothed along the page with a Gaussian, and lines above
-the page's threshold form clusters. The element that holds the clusters together is the content
-region; all its lines are kept, short ones too, but for those in elements that are marked, by
-element or by name, as menu, advert, comment and the like.
+the page's threshold form clusters. The elements that hold the clusters together are the content
+regions, one or several; all their lines are kept, short ones too, but for those in elements that are
+marked, by element or by name, as menu, advert, comment and the like. A name marks an element only as a
+whole (``related-work`` is not ``related``), and names that parts of an article carry too need more than
+the name inside one. All passes over a page are linear in its length.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html.parser import HTMLParser
 
 import numpy as np
@@ -26,8 +29,8 @@ CHUNK = 1 << 16  # characters that the parser gets at a time
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose text is never content.
 SILENT = frozenset(
-    "head title script style noscript template iframe object svg math canvas audio video map "
-    "nav aside footer form fieldset button select option datalist textarea label legend menu dialog".split()
+    "head title script style noscript template iframe object svg canvas audio video map "
+    "nav aside footer form fieldset button select option datalist textarea menu dialog".split()
 )
 #: Elements that end a line. All others stand inside one.
 BLOCKS = frozenset(
@@ -58,6 +61,18 @@ BOXES = frozenset(
 #: Words that make a name speak of the page's state or layout (has-sidebar, comments-open), not of a box.
 STATES = frozenset("has with no without open opened closed enabled disabled layout free".split())
 PAGE_HEAD = frozenset({"header", "banner", "masthead"})  # of a page, not of an article
+#: Marks that sections of an article carry too; inside one they count if the text is mostly links, or a thread is within.
+WEAK = frozenset("alert discussion legal recommended related search share sharing social skip teaser disclaimer".split())
+#: Words that say nothing about what a box is: a name is a mark if it holds nothing but marks and these.
+NEUTRAL = frozenset(
+    "a an and area article bar block blog body bottom box btn button center col column container content entry fixed footer form full "
+    "global group id in inner item items js layer left list lower main message module my new of on outer page panel part post posts "
+    "primary region right row secondary section shell site slot small sticky story tertiary text the thread to top unit upper user view wrap wrapper".split()
+)
+#: Elements of running text: weak names on them say nothing.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 li td th dt dd figcaption caption blockquote pre".split())
+ENTRIES = 3  # boxes side by side that are a thread
+SHARE = 0.3  # of the first region's weight that another one must have
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 _SPACE = re.compile(r"\s+")
 _CUT_TAG = re.compile(r"<(?:[A-Za-z/!?][^<>]*)?\Z")
@@ -65,14 +80,19 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Lines(HTMLParser):
-    """Collects the lines of a page."""
+    """Collects the lines of a page, and the elements they lie in: blocks, silent elements and marked ones.
+
+    Element 0 is the page. Marks: 0 none, 1 one that a wrapper of the page may carry, 2 one of a box; 3 and 4
+    are weak ones of either kind.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int]] = []  # open elements: name, number
-        self.elements: list[tuple[str, int, int]] = []  # name, parent (-1: none), mark
-        self.silent = 0  # open silent elements
-        self.links = 0
+        self.names, self.parents, self.marks = [""], [-1], [0]
+        self.stack = [0]
+        self.open: Counter = Counter()  # names on the stack
+        self.silent = 0  # silent elements among them
+        self.link = 0  # length of the stack at which a link was opened
         self.lines: list[list] = []  # text, tags, characters in links, innermost element
         self.text: list[str] = []
         self.tags = self.linked = 0
@@ -80,67 +100,84 @@ class Lines(HTMLParser):
     def end_line(self) -> None:
         text = _SPACE.sub(" ", "".join(self.text)).strip()
         if text:
-            self.lines.append([text, self.tags, min(self.linked, len(text)), self.stack[-1][1] if self.stack else -1])
+            self.lines.append([text, self.tags, min(self.linked, len(text)), self.stack[-1]])
             self.tags = 0
         self.text, self.linked = [], 0
 
     def mark(self, tag: str, attrs: list) -> int:
-        """0: none, 1: one that a wrapper of the page may carry, 2: one of a box."""
         named = dict(attrs)
-        found, boxed = {"header"} if tag == "header" else set(), False
+        if tag in ("html", "body"):
+            return 0
+        found = {"header"} if tag == "header" else set()
         for key in ("class", "id", "role"):
             for name in (named.get(key) or "").split():
-                parts = {x.lower() for x in _NAME.findall(name)}
-                found |= parts
-                boxed |= not parts.isdisjoint(BOXES) and parts.isdisjoint(STATES)
-        found &= MARKS
+                parts = {x for x in (y.lower() for y in _NAME.findall(name)) if len(x) > 1 and not x.isdigit()}
+                if parts.isdisjoint(STATES) and parts <= MARKS | NEUTRAL:
+                    found |= parts & MARKS
         hidden = "hidden" in named or named.get("aria-hidden") == "true" or bool(_HIDDEN.search(named.get("style") or ""))
-        if not hidden:
-            if found <= PAGE_HEAD and any(name in ("article", "main") for name, _ in self.stack):
-                return 0
-            if tag in ("html", "body"):
-                return 0
-        return 2 if boxed and tag not in ("html", "body") else int(hidden or bool(found))
+        if tag in RUNNING:
+            found -= WEAK
+        if found <= PAGE_HEAD and (self.open["article"] or self.open["main"]):
+            found = set()
+        boxed = 1 if found.isdisjoint(BOXES) else 2
+        return boxed if hidden or not found <= WEAK else boxed + 2 if found else 0
+
+    def push(self, tag: str, mark: int) -> None:
+        self.names.append(tag)
+        self.parents.append(self.stack[-1])
+        self.marks.append(mark)
+        self.stack.append(len(self.names) - 1)
+        self.open[tag] += 1
+        self.silent += tag in SILENT
+
+    def pop(self) -> str:
+        tag = self.names[self.stack.pop()]
+        self.open[tag] -= 1
+        self.silent -= tag in SILENT
+        if len(self.stack) < self.link:
+            self.link = 0
+        return tag
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self.end_line()
-            while self.stack and tag in IMPLIED.get(self.stack[-1][0], ()):
-                self.pop()
+            # A block ends what stands inside a line, and a block of its kind that ends by itself.
+            while len(self.stack) > 1:
+                top = self.names[self.stack[-1]]
+                if top not in BLOCKS and top not in SILENT or tag in IMPLIED.get(top, ()):
+                    self.pop()
+                else:
+                    break
         if tag == "body":
-            while any(name == "head" for name, _ in self.stack):
+            while self.open["head"]:
                 self.pop()
+        if tag == "a":
+            self.link = len(self.stack)
         if tag not in VOID:
-            parent = self.stack[-1][1] if self.stack else -1
-            self.elements.append((tag, parent, self.mark(tag, attrs) if attrs or tag == "header" else 0))
-            self.stack.append((tag, len(self.elements) - 1))
-            self.silent += tag in SILENT
-            self.links += tag == "a"
+            mark = self.mark(tag, attrs) if attrs or tag == "header" else 0
+            if mark or tag in BLOCKS or tag in SILENT:
+                self.push(tag, mark)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
         if tag not in VOID and tag not in REGIONS:
             self.handle_endtag(tag)
 
-    def pop(self) -> str:
-        tag, _ = self.stack.pop()
-        self.silent -= tag in SILENT
-        self.links -= tag == "a"
-        return tag
-
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
         if tag in BLOCKS:
             self.end_line()
-        if any(name == tag for name, _ in self.stack):
+        if tag == "a":
+            self.link = 0
+        if self.open[tag]:
             while self.pop() != tag:
                 pass
 
     def handle_data(self, data: str) -> None:
         if not self.silent:
             self.text.append(data)
-            if self.links:
+            if self.link:
                 self.linked += len(data.strip())
 
 
@@ -162,96 +199,149 @@ def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     return padded / weight
 
 
-def main_text(html: str | None) -> str:
+class Tree:
+    """Sums over the elements of a page. Elements are numbered from the outside in, so one pass from the
+    last to the first adds up all that lies within each."""
+
+    def __init__(self, page: Lines):
+        self.page, self.n = page, len(page.names)
+        self.inner = np.array([e for *_, e in page.lines])
+
+    def within(self, values: np.ndarray) -> list[float]:
+        """Per element the sum of a value of the lines in it."""
+        out = np.bincount(self.inner, weights=values, minlength=self.n).tolist()
+        for e in range(self.n - 1, 0, -1):
+            out[self.page.parents[e]] += out[e]
+        return out
+
+    def below(self, own: list) -> list:
+        """Per element its own value, or else that of the nearest element around it that has one."""
+        out = list(own)
+        for e in range(1, self.n):
+            out[e] = out[e] or out[self.page.parents[e]]
+        return out
+
+
+def barred_elements(tree: Tree, size: np.ndarray, linked: np.ndarray) -> list[bool]:
+    """Which elements lie in one whose mark counts.
+
+    A mark on an element that holds most of the page says nothing about its text, unless it names a
+    box: threads and menus can be longer than the article. The main element lies in no box. Weak marks
+    inside an article or main element count if links are most of the text, or a thread or a form lies within;
+    a section of running text that is called so is part of the article.
+    """
+    page = tree.page
+    under, links = tree.within(size), tree.within(linked)
+    around = [False] * tree.n
+    for e in range(tree.n):
+        if page.names[e] == "main" and under[e]:
+            while e > 0 and not around[e]:
+                around[e] = True
+                e = page.parents[e]
+    # Entries of a thread: boxes side by side, or in a list; one of a marked kind or a form tells as much.
+    holds, entries = [False] * tree.n, [0] * tree.n
+    for e in range(tree.n - 1, 0, -1):
+        name, above = page.names[e], page.parents[e]
+        holds[above] |= holds[e] or page.marks[e] == 2 or name == "form" or entries[e] >= ENTRIES
+        entries[above] += entries[e] if name in ("ul", "ol") else name in ("div", "li", "article") and under[e] > 0
+    inside = tree.below([name in ("article", "main") for name in page.names])
+    own = []
+    for e in range(tree.n):
+        mark, most = page.marks[e], under[e] > 0.6 * under[0]
+        if mark > 2 and not (inside[e] and not holds[e] and entries[e] < ENTRIES and 2 * links[e] <= under[e]):
+            mark -= 2
+        own.append(mark == 2 and not around[e] or mark == 1 and not most)
+    return tree.below(own)
+
+
+def main_text(html: str | None, sigma: float = SIGMA) -> str:
     """The article of a page, its blocks joined by single spaces; empty if there is none."""
     if not html:
         return ""
     page = lines_of(html)
     if not page.lines:
         return ""
-    elements = page.elements
-    paths = []
-    for *_, inner in page.lines:
-        path = []
-        while inner >= 0:
-            path.append(inner)
-            inner = elements[inner][1]
-        paths.append(path)  # from the innermost element outwards
+    tree = Tree(page)
     size = np.array([len(text) for text, *_ in page.lines], float)
-    # A mark on an element that holds most of the page says nothing about its text, unless it names
-    # a box: threads and menus can be longer than the article. The main element lies in no box.
-    total = size.sum()
-    under: dict[int, float] = {}
-    for path, n in zip(paths, size, strict=True):
-        for e in path:
-            under[e] = under.get(e, 0) + n
-    around: set[int] = set()
-    for e in under:
-        if elements[e][0] == "main":
-            while e >= 0 and e not in around:
-                around.add(e)
-                e = elements[e][1]
-    strict = {e for e in under if elements[e][2] == 2 and e not in around}
-    barred = np.array([any(e in strict or elements[e][2] and under[e] <= 0.6 * total for e in path) for path in paths])
     linked = np.array([in_links for _, _, in_links, _ in page.lines], float)
     tags = np.array([n for _, n, _, _ in page.lines], float)
-    ratio = np.where(barred, 0, (size - linked) / np.maximum(tags, 1))
+    bars = np.array(barred_elements(tree, size, linked))[tree.inner]
+    ratio = np.where(bars, 0, (size - linked) / np.maximum(tags, 1))
     if not ratio.any():
         return ""
-    even = smoothed(ratio)
-    chosen = (even >= min(even.std(), even.max())) & ~barred  # clusters of content lines
-    weight = np.where(chosen, ratio, 0)
-    region = content_region(elements, paths, weight)
-    kept = []
-    for (text, *_), path, bar in zip(page.lines, paths, barred, strict=True):
-        if not bar and (region < 0 or region in path):
-            inside = path[: path.index(region)] if region >= 0 else path
-            kept.append((text, inside))
-    lists = link_lists(elements, page, paths, region)
-    return " ".join(text for text, inside in kept if not lists.intersection(inside))
-
-
-def content_region(elements: list, paths: list[list[int]], weight: np.ndarray) -> int:
-    """The innermost element that holds the clusters together (-1: the whole page).
-
-    If an article or main element holds some of them, the one that holds most of them; an article
-    rather than the main element, unless it has less than half of that.
+    even = smoothed(ratio, sigma) if sigma else ratio
+    chosen = (even >= min(even.std(), even.max())) & ~bars  # clusters of content lines
+    regions = content_regions(tree, np.where(chosen, ratio, 0))
+    place = np.array(tree.below(regions))[tree.inner]
+    kept = (place > 0) & ~bars
+    for e, edge in link_lists(tree, size, linked, kept, np.flatnonzero(chosen & kept), regions).items():
+        kept[edge] = False
+    return " ".join(line[0] for line, keep in zip(page.lines, kept, strict=True) if keep)
+
+
+def content_regions(tree: Tree, weight: np.ndarray) -> list[int]:
+    """Per element 1 if it is a region: one of those that hold the clusters together.
+
+    The first holds most of the weight. If an article or main element holds some of it, it is the one
+    that holds most; an article rather than the main element, unless it has less than half of that.
+    Otherwise it is the innermost element with 70% of the weight. Further ones, articles beside an
+    article, other regions beside others, lie apart from those before and have ``SHARE`` of its weight.
     """
-    held: dict[int, float] = {}
-    for path, w in zip(paths, weight, strict=True):
-        for e in path:
-            held[e] = held.get(e, 0) + w
+    names, held = tree.page.names, tree.within(weight)
     best: dict[str, int] = {}  # of nested ones that hold the same the inner one
-    for e, w in sorted(held.items()):
-        if w > 0 and elements[e][0] in ("article", "main") and w >= held.get(best.get(elements[e][0], -1), 0):
-            best[elements[e][0]] = e
+    for e in range(tree.n):
+        if names[e] in ("article", "main") and held[e] > 0 and held[e] >= held[best.get(names[e], e)]:
+            best[names[e]] = e
     if best:
-        article, main = (best.get(k, -1) for k in ("article", "main"))
-        return article if held.get(article, 0) >= 0.5 * held.get(main, 0) else main
-    whole = weight.sum()
-    fits = [e for e, w in held.items() if w >= 0.7 * whole and elements[e][0] in REGIONS]
-    return max(fits, default=-1)  # elements are numbered from the outside in
-
-
-def link_lists(elements: list, page: Lines, paths: list[list[int]], region: int) -> set[int]:
-    """Lists and boxes within the region that are mostly links, of two lines or more."""
-    total: dict[int, list] = {}
-    for (text, _, in_links, _), path in zip(page.lines, paths, strict=True):
-        if region in path or region < 0:
-            for e in path[: path.index(region)] if region >= 0 else path:
-                if elements[e][0] in ("ul", "ol", "dl", "table", "div", "section"):
-                    t = total.setdefault(e, [0, 0, 0])
-                    t[0] += len(text)
-                    t[1] += in_links
-                    t[2] += 1
-    return {e for e, (n, in_links, count) in total.items() if count > 1 and in_links > 0.5 * n}
+        article, main = best.get("article", 0), best.get("main", 0)
+        first = article if article and held[article] >= 0.5 * (held[main] if main else 0) else main
+    else:
+        first = max((e for e in range(tree.n) if held[e] >= 0.7 * held[0] and names[e] in REGIONS), default=0)
+    out = [0] * tree.n
+    kinds = frozenset({"article"}) if names[first] == "article" else frozenset() if names[first] == "main" or not first else REGIONS
+    out[first] = 1
+    taken = [e for e in range(1, tree.n) if names[e] in kinds and held[e] >= SHARE * held[first]]
+    apart = set()  # elements around a region
+    e = first
+    while e >= 0:
+        apart.add(e)
+        e = tree.page.parents[e]
+    inside = tree.below(out)
+    for e in sorted(taken, key=lambda e: (-held[e], -e)):
+        if e in apart or inside[e]:
+            continue
+        out[e] = 1
+        inside = tree.below(out)
+        while e >= 0 and e not in apart:
+            apart.add(e)
+            e = tree.page.parents[e]
+    return out
+
+
+def link_lists(
+    tree: Tree, size: np.ndarray, linked: np.ndarray, kept: np.ndarray, chosen: np.ndarray, regions: list[int]
+) -> dict[int, np.ndarray]:
+    """Unmarked menus: the lines of lists and boxes that are mostly links, of two lines or more, which lie before
+    the first or after the last cluster of a page without an article. Lists between or in an article are text."""
+    names = tree.page.names
+    if not len(chosen) or any(r and name in ("article", "main") for r, name in zip(regions, names, strict=True)):
+        return {}
+    text, links, count = (tree.within(np.where(kept, x, 0)) for x in (size, linked, np.ones(len(size))))
+    mostly = [
+        e if names[e] in ("ul", "ol", "dl", "table", "div", "section") and count[e] > 1 and 2 * links[e] > text[e] else 0
+        for e in range(tree.n)
+    ]
+    owner = np.array(tree.below(mostly))[tree.inner]
+    at = np.arange(len(owner))
+    edge = (owner > 0) & ((at < chosen[0]) | (at > chosen[-1]))
+    return {0: edge} if edge.any() else {}
 
 
 def extracted(pages: DataFrame) -> DataFrame:
     """pages with text (string) and n_chars (long, its code points), made from html.
 
-    A null or empty page, or one without an article, has an empty text. Names that pages has
-    already get underscores in front.
+    A null or empty page, or one without an article, has an empty text; every row, a repeated one too, is
+    extracted for itself. Names that pages has already get underscores in front.
     """
     at = pages.columns.index("html")
     text = free_name(pages, "text")
