@@ -1,9 +1,10 @@
 """Benchmark decontamination: windows of normalised test words, looked up in every text.
 
 The windows of the benchmark become a hash table that every task gets. A table of more than
-``BLOCK`` windows is cut into blocks and the texts pass one block after the other, row by row and
-without a shuffle, so neither the table in memory nor the result depends on the benchmark's size.
-A window counts only after its words have been compared.
+``BLOCK`` windows is cut into blocks: one is looked up in all texts and its hits are written before the
+next one is built, so there is one block in memory at a time, whatever the benchmark's size, and at
+last the hits of a text are put together. A window counts only after its words have been compared.
+Every row is judged for itself, repeated ones too; a null or empty text has no words and no hits.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from airshed.llm.common import free_name, ship, words
+from airshed.llm.common import free_name, keyed, mapped, ship, words
 from airshed.session import settle
 
 WINDOW = 10
@@ -113,16 +114,40 @@ def marked(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block: int
     kinds = [f.dataType for f in T.StructType.fromDDL(ddl)]
     at = docs.columns.index("text")
     shape = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    out = docs.select("*", *[F.lit(None).cast(k).alias(c) for c, k in zip((n_words, hit_spans, hit_items), kinds, strict=True)])
+    if count == 1:
+        return _passed(docs, at, _shipped(table), ddl, shape)
+    row = free_name(docs, "__row")
+    rows = keyed(docs, "benchmark-docs", row)
+    found = None
     for i in range(count):
-        rows = [tuple(r) for r in table.where(F.pmod(F.xxhash64("window", "item_id"), F.lit(count)) == i).collect()]
-        shipped = spark.sparkContext.broadcast([(bytes(w), n, item) for w, n, item in rows])  # about ``block`` windows
-        out = _passed(out, shipped, at, ddl, shape)
-    return out
+        part = _shipped(table.where(F.pmod(F.xxhash64("window", "item_id"), F.lit(count)) == i))
+        hits = _passed(rows.select(row, "text"), 1, part, ddl, shape).drop("text")
+        hits = settle(hits if i == 0 else hits.where(F.size(hit_spans) > 0), "benchmark-hits")  # the first tells the words of all
+        part.destroy()
+        found = hits if found is None else found.unionByName(hits)
+    found = found.groupBy(row).agg(
+        F.max(n_words).alias(n_words),
+        F.flatten(F.collect_list(hit_spans)).alias(hit_spans),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(hit_items)))).alias(hit_items),
+    )
+    out = rows.join(found, row).select(*docs.columns, n_words, hit_spans, hit_items)
+
+    def touching(batch: pa.RecordBatch) -> list:
+        return [pa.array([[{"start": a, "end": b} for a, b in merged([(x["start"], x["end"]) for x in r])] for r in batch.column(hit_spans).to_pylist()], shape)]
+
+    again = free_name(out, "__merged")
+    united = mapped(out, f"`{again}` {kinds[1].simpleString()}", touching)
+    return united.select(*docs.columns, n_words, F.col(again).alias(hit_spans), hit_items)
 
 
-def _passed(rows: DataFrame, shipped, at: int, ddl: str, shape: pa.DataType) -> DataFrame:
-    names = [f.name for f in T.StructType.fromDDL(ddl)]
+def _shipped(table: DataFrame):
+    """The windows of one block, some ``BLOCK`` of them, for every task."""
+    rows = [tuple(r) for r in table.collect()]
+    return table.sparkSession.sparkContext.broadcast([(bytes(w), n, item) for w, n, item in rows])
+
+
+def _passed(docs: DataFrame, at: int, shipped, ddl: str, shape: pa.DataType) -> DataFrame:
+    """docs with what the block's windows find in column ``at``."""
     state: dict = {}
 
     def prepare() -> None:
@@ -130,27 +155,19 @@ def _passed(rows: DataFrame, shipped, at: int, ddl: str, shape: pa.DataType) ->
 
     def fill(batch: pa.RecordBatch) -> list:
         counts, spans, items = [], [], []
-        old = len(batch.schema.names) - 2
-        for k, value in enumerate(batch.column(at)):
+        for value in batch.column(at):
             found = words(value.as_py())
             hit, owners = state["windows"].look_up(found)
-            before = batch.column(old)[k].as_py() or []
             counts.append(len(found))
-            spans.append([{"start": a, "end": b} for a, b in merged([*hit, *((x["start"], x["end"]) for x in before)])])
-            items.append(sorted({*owners, *(batch.column(old + 1)[k].as_py() or [])}))
+            spans.append([{"start": a, "end": b} for a, b in merged(list(hit))])
+            items.append(sorted(owners))
         return [pa.array(counts, pa.int64()), pa.array(spans, shape), pa.array(items, pa.list_(pa.string()))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        prepare()
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-3], *fill(batch)], names=batch.schema.names)
-
-    assert rows.columns[-3:] == names
-    return rows.mapInArrow(run, rows.schema)
+    return mapped(docs, ddl, fill, prepare)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that hold no window of the benchmark, with their own columns."""
+    """The documents that hold no window of the benchmark, with their own columns; those without words stay."""
     rows = marked(docs, benchmark)
     return rows.where(F.size(rows.columns[-2]) == 0).select(*docs.columns)
 
