@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from airshed.config import CIVIL_ZONE
+from airshed.config import CIVIL_ZONE, GEOMET_LOCATIONS
 from airshed.functions.moments import civil_date, civil_hour, parse_date
 from airshed.functions.text import NULL_MARK, SEPARATOR, number_sql
-from airshed.operators.grouping import HOT_ROWS, attach_facts, keep_one
+from airshed.operators.grouping import HOT_ROWS, attach_facts, keep_one, literal_rows
 from airshed.operators.quality import group_sizes, year_mismatches
 
 STATION_YEAR = ["station_id", "station_name", "requested_year"]
@@ -49,6 +49,14 @@ def station_mode(
     )
 
 
+def allowed_locations(current: DataFrame, locations: Sequence[tuple] = GEOMET_LOCATIONS, location: str = "location_id") -> DataFrame:
+    """Rows of the current feed from the locations on the list, with the project city of each.
+
+    The list is VALUES of known size; rows of other locations, or without one, go.
+    """
+    return current.join(literal_rows(current.sparkSession, [location, "city"], list(locations)), location)
+
+
 def missing_and_capped(df: DataFrame) -> DataFrame:
     """Rows without a reading, and rows reported as "10+"."""
     return df.withColumn(

@@ -176,25 +176,25 @@ def snapshot_steps(snapshots: DataFrame, number: str) -> DataFrame:
 def snapshot_diff(snapshots: DataFrame, key: str, number: str, compared: list[str]) -> DataFrame:
     """Each snapshot against the one taken before it: fires new, gone and changed.
 
-    A snapshot has at most one row per fire. Each row counts as "now" of its own snapshot and as
-    "before" of the next one; a single aggregate over (fire, snapshot) pairs the two.
+    A snapshot has at most one row per fire. Each row is read once and counts as "now" of its own
+    snapshot and as "before" of the next one; a single aggregate over (fire, snapshot) pairs the two.
     """
-    steps = F.broadcast(
-        snapshot_steps(snapshots, number).withColumnsRenamed(
-            {"previous_no": "__from", "snapshot_no": "__to"}
-        )
+    steps = snapshot_steps(snapshots, number)
+    # Per snapshot number (one small row each): whether one was taken before it, and the next one.
+    places = (
+        steps.select(F.col("snapshot_no").alias("__no"), F.lit(True).alias("__later"), F.lit(None).cast(steps.schema["snapshot_no"].dataType).alias("__next"))
+        .unionByName(steps.select(F.col("previous_no").alias("__no"), F.lit(None).cast("boolean").alias("__later"), F.col("snapshot_no").alias("__next")))
+        .groupBy("__no")
+        .agg(F.max("__later").alias("__later"), F.max("__next").alias("__next"))
     )
     state = F.struct(*[F.col(c) for c in compared])
-    state_type = snapshots.select(state.alias("s")).schema["s"].dataType
-    nothing = F.lit(None).cast(state_type)
-    now = snapshots.join(steps, F.col(number) == F.col("__to")).select(
-        key, F.col("__to").alias("snapshot_no"), state.alias("now"), nothing.alias("before")
-    )
-    then = snapshots.join(steps, F.col(number) == F.col("__from")).select(
-        key, F.col("__to").alias("snapshot_no"), nothing.alias("now"), state.alias("before")
-    )
+    nothing = F.lit(None).cast(snapshots.select(state.alias("s")).schema["s"].dataType)
+    as_now = F.struct(F.col(number).alias("snapshot_no"), state.alias("now"), nothing.alias("before"))
+    as_before = F.struct(F.col("__next").alias("snapshot_no"), nothing.alias("now"), state.alias("before"))
+    roles = F.array_compact(F.array(F.when(F.col("__later"), as_now), F.when(F.col("__next").isNotNull(), as_before)))
     paired = (
-        now.unionByName(then)
+        snapshots.join(F.broadcast(places), F.col(number) == F.col("__no"))
+        .select(key, F.inline(roles))
         .groupBy(key, "snapshot_no")
         .agg(F.max("now").alias("now"), F.max("before").alias("before"))
     )

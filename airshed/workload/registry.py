@@ -278,9 +278,8 @@ def bbox_time_filter(spark, sf):
 
 @query
 def allowlist_city_map(spark, sf):
-    cities = grouping.literal_rows(spark, ["location_id", "city"], GEOMET_LOCATIONS)
     rows = inputs.current(spark, sf).select("row_id", "location_id", "observation_datetime", "aqhi")
-    return rows.join(cities, "location_id")
+    return aqhi.allowed_locations(rows)
 
 
 @query
