@@ -3,8 +3,9 @@
 Base patterns find what is certainly well formed. Wider generators propose further spans, which
 may overlap; gradient-boosted trees judge each by its format and its context. The trees learn from
 the candidates themselves: those that are base spans are examples, those of the same shape that
-break a rule of the format are counterexamples. Thresholds are calibrated on a part of the
-candidates that the trees have not seen, so that what is accepted there is nearly always right.
+break a rule of the format are counterexamples. All of them count: three in four teach the trees,
+on the others, which the trees have not seen, thresholds are calibrated, so that what is accepted
+there is nearly always right.
 Everything is DataFrame operations.
 """
 
@@ -21,7 +22,6 @@ from pyspark.sql import functions as F
 from airshed.llm.common import free_name, keyed
 from airshed.session import settle
 
-EXAMPLES = 20_000  # candidates that the trees are fitted on, at most
 PRECISION = 0.98  # of what is accepted, on candidates set aside
 CONTEXT = 24  # characters to the left that are looked at
 SEED = 3
@@ -205,23 +205,23 @@ def judged_candidates(candidates: DataFrame) -> DataFrame:
     candidates: those of ``located`` with free (boolean: no base span overlaps it).
     """
     rows, columns = features(candidates)
-    rows = VectorAssembler(inputCols=columns, outputCol="x").transform(rows)
-    picked = F.pmod(F.xxhash64("found", "before", F.lit(SEED)), F.lit(4))
-    known = rows.where("known").select("kind", "x", F.col("is_base").cast("double").alias("y"), picked.alias("fold"), "found", "start", "row")
-    examples = settle(
-        known.orderBy(F.xxhash64("found", "row", "start"), "found", "row", "start").limit(EXAMPLES).drop("found", "start", "row"),
-        "pii-examples",
-    )
-    sides = {r["y"]: r["count"] for r in examples.where("fold <> 0").groupBy("y").count().collect()}
+    vector = VectorAssembler(inputCols=columns, outputCol="x")
+    picked = F.pmod(F.xxhash64("found", "before", F.lit(SEED)), F.lit(4)) == 0
+    known = rows.where("known").withColumns({"y": F.col("is_base").cast("double"), "aside": picked})
+    # Candidates that the trees cannot tell apart are one example that weighs as much as all of them.
+    known = known.groupBy("kind", *columns, "y", "aside").agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    examples = settle(vector.transform(known).select("kind", "x", "y", "aside", "weight"), "pii-examples")
+    rows = vector.transform(rows)
+    sides = {r["y"]: r["count"] for r in examples.where("not aside").groupBy("y").count().collect()}
     none = rows.select("row", "kind", "start", "end", F.lit(0.0).alias("score")).limit(0)
     if len(sides) < 2:
         return none  # nothing to learn from: only base spans count
-    trees = GBTClassifier(featuresCol="x", labelCol="y", maxIter=12, maxDepth=3, seed=SEED, stepSize=0.3)
-    model = trees.fit(examples.where("fold <> 0"))
+    trees = GBTClassifier(featuresCol="x", labelCol="y", weightCol="weight", maxIter=12, maxDepth=3, seed=SEED, stepSize=0.3)
+    model = trees.fit(examples.where("not aside"))
     score = vector_to_array("probability")[1].alias("score")
-    seen = model.transform(examples.where("fold = 0")).select("kind", "y", score)
+    seen = model.transform(examples.where("aside")).select("kind", "y", "weight", score)
     bins = seen.groupBy("kind", F.floor(F.col("score") * 50).alias("bin")).agg(
-        F.sum("y").alias("right"), F.count("*").alias("n")
+        F.sum(F.col("y") * F.col("weight")).alias("right"), F.sum("weight").alias("n")
     )
     limits = thresholds([tuple(r) for r in bins.collect()])  # 50 bins a kind at most
     limit = F.lit(2.0)
@@ -231,7 +231,7 @@ def judged_candidates(candidates: DataFrame) -> DataFrame:
     return fresh.where(F.col("score") >= limit)
 
 
-def thresholds(bins: list[tuple[int, int, float, int]], precision: float = PRECISION) -> dict[int, float]:
+def thresholds(bins: list[tuple[int, int, float, float]], precision: float = PRECISION) -> dict[int, float]:
     """For each kind the lowest score from which on the share of right ones is high enough."""
     out: dict[int, float] = {}
     for kind in {b[0] for b in bins}:
